@@ -4,13 +4,29 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hindcast.llm.shared import table
+from hindcast.llm import bpe, token_store
+from hindcast.llm.shared import new_path, table
 from hindcast.llm.sharding import assign_shards
 
 
+def op1_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents through a written token store, read back."""
+    path = new_path(spark, "tokens")
+    token_store.write(table(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"), 0)
+    return token_store.read(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents encoded to ids and decoded again."""
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    ids = bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), path).drop("text")
+    return bpe.decode(ids, path).select("doc_id", (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def op9_shard_by_splitters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents in 16 shards of near-equal bytes; equal texts have one key and stand side by side."""
     text = F.coalesce("text", F.lit(""))
@@ -19,5 +35,5 @@ def op9_shard_by_splitters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op9_shard_by_splitters": op9_shard_by_splitters}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_token_store, op3_byte_bpe, op9_shard_by_splitters)}
 ORACLE_SQL: dict[str, str] = {}
