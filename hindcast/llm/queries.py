@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from hindcast.llm import bpe, token_store
 from hindcast.llm.shared import new_path, table
 from hindcast.llm.sharding import assign_shards
+from hindcast.llm.shingle_join import shingle_classes
 
 
 def op1_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -27,6 +28,11 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.decode(ids, path).select("doc_id", (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op7_shingle_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with the component of their near copies."""
+    return shingle_classes(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
 def op9_shard_by_splitters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents in 16 shards of near-equal bytes; equal texts have one key and stand side by side."""
     text = F.coalesce("text", F.lit(""))
@@ -35,5 +41,5 @@ def op9_shard_by_splitters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_token_store, op3_byte_bpe, op9_shard_by_splitters)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_token_store, op3_byte_bpe, op7_shingle_join, op9_shard_by_splitters)}
 ORACLE_SQL: dict[str, str] = {}

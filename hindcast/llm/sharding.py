@@ -17,14 +17,16 @@ OVERSAMPLE = 16
 
 
 def splitters(keyed: DataFrame, ranges: int) -> list[int]:
-    """Size-weighted quantiles of ``_key``: ``ranges - 1`` values, repeated where one key fills several ranges.
+    """Weighted quantiles of ``_key``: ``ranges - 1`` values, repeated where one key fills several ranges.
 
-    The driver gets this list alone. The sample is drawn by a hash, so that a retried task draws the same rows.
+    A record weighs its share of the bytes plus its share of the rows, so that neither large records nor many small
+    ones fill a range. The driver gets this list alone. The sample is drawn by a hash, so that a retried task draws
+    the same rows.
     """
-    total = keyed.agg(F.sum("_size")).first()[0]
-    if not total:
+    total, rows = keyed.agg(F.sum("_size"), F.count(F.lit(1))).first()
+    if not rows:
         return []
-    chance = F.col("_size") * F.lit(ranges * OVERSAMPLE / total)
+    chance = (F.col("_size") / F.lit(float(max(total, 1))) + F.lit(1 / rows)) * F.lit(ranges * OVERSAMPLE / 2)
     drawn = F.shiftrightunsigned(F.xxhash64("_key", "_tie", F.lit("sample")), 11) / F.lit(float(1 << 53)) < chance
     sample = keyed.where(drawn).select("_key", F.explode(F.sequence(F.lit(1), F.greatest(F.lit(1), chance.cast("int")))))
     return sample.agg(F.percentile_approx("_key", [k / ranges for k in range(1, ranges)], 100_000)).first()[0] or []
