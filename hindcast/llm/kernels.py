@@ -1,6 +1,6 @@
 """Vectorised helpers used inside Arrow tasks: words, word hashes and pre-tokens of text columns.
 
-All helpers take Arrow string arrays and treat null as the empty text. They work on slices of a few megabytes
+All helpers take Arrow string arrays and treat null as the empty text. They work on slices of two megabytes
 (``slices``) so that memory stays bounded whatever the batch size; a single text is never cut.
 """
 
@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 _U = np.uint64
 _ODD = _U(0x9E3779B97F4A7C15)
 _MIX1, _MIX2 = _U(0xBF58476D1CE4E5B9), _U(0x94D049BB133111EB)

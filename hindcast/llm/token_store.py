@@ -98,7 +98,9 @@ def _tokenizer_table(path: str) -> WordTable:
     tokenizer.encode_special_tokens = True
 
     def encode(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        found = [e.ids for e in tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)]
+        found: list[list[int]] = []
+        for k in range(0, len(words), 2048):  # the library's results take much more room than their ids
+            found += [e.ids for e in tokenizer.encode_batch_fast([w.decode() for w in words[k : k + 2048]], add_special_tokens=False)]
         counts = np.fromiter(map(len, found), np.int64, len(found))
         return np.fromiter((i for ids in found for i in ids), np.uint32, int(counts.sum())), counts
 

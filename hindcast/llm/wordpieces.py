@@ -14,7 +14,7 @@ import pyarrow as pa
 
 from hindcast.llm.kernels import pretokens, runs, text_buffer
 
-LIMIT = 1_000_000
+LIMIT = 600_000
 Encoder = Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]]
 
 
