@@ -12,6 +12,7 @@ from hindcast.llm import bpe, token_store
 from hindcast.llm.shared import new_path, table
 from hindcast.llm.sharding import assign_shards
 from hindcast.llm.shingle_join import shingle_classes
+from hindcast.llm.substring_dedup import remove_repeats
 
 
 def op1_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,6 +22,12 @@ def op1_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.read(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the windows of 20 words that occur earlier."""
+    out = remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents encoded to ids and decoded again."""
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -41,5 +48,5 @@ def op9_shard_by_splitters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_token_store, op3_byte_bpe, op7_shingle_join, op9_shard_by_splitters)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_token_store, op2_substring_dedup, op3_byte_bpe, op7_shingle_join, op9_shard_by_splitters)}
 ORACLE_SQL: dict[str, str] = {}
