@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hindcast.llm import bpe, token_store
+from hindcast.llm import bpe, quality, token_store
 from hindcast.llm.shared import new_path, table
 from hindcast.llm.sharding import assign_shards
 from hindcast.llm.shingle_join import shingle_classes
@@ -48,5 +48,13 @@ def op9_shard_by_splitters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_token_store, op2_substring_dedup, op3_byte_bpe, op7_shingle_join, op9_shard_by_splitters)}
+def op10_quality_gam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with the score of a model fitted on labelled rows that are not held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.fit(docs, table(spark, sf_dir, "labels"))
+    out = quality.score(docs, model, to="score").drop("text")
+    return out.select("doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_token_store, op2_substring_dedup, op3_byte_bpe, op7_shingle_join, op9_shard_by_splitters, op10_quality_gam)}
 ORACLE_SQL: dict[str, str] = {}
