@@ -114,19 +114,23 @@ def sketches(values: np.ndarray, at: np.ndarray, frequent: np.ndarray, percent:
     return np.concatenate([x for x, _ in found]), np.concatenate([d for _, d in found])
 
 
-_ENTRY = np.dtype([("low", "<u4"), ("high", "u1"), ("ref", "<u4")])
+_ENTRY = np.dtype([("sketch", "<u4"), ("ref", "<u2")])
+_CLASSES = 1 << 16
 
 
 def _blocks(sketch: np.ndarray, classes: np.ndarray, buckets: int) -> Iterator[tuple[int, bytes, bytes]]:
-    """Entries by bucket: (bucket, ids of the classes in it, packed sketches with the number of their class)."""
-    bucket = (sketch >> _U(40)) % _U(buckets)
+    """Entries by bucket: (bucket, ids of the classes in it, packed sketches with the number of their class).
+
+    A bucket and 32 more bits tell sketches apart; sketches that fall together only bring sets to the exact check.
+    """
+    bucket = (sketch >> _U(32)) % _U(buckets)
     order = np.argsort(bucket, kind="stable")
     edge = np.searchsorted(bucket[order], np.arange(buckets + 1, dtype=_U))
     for b in np.flatnonzero(np.diff(edge)):
         some = order[edge[b] : edge[b + 1]]
         ids, ref = np.unique(classes[some], return_inverse=True)
         entry = np.empty(len(some), _ENTRY)
-        entry["low"], entry["high"], entry["ref"] = sketch[some] & _U(0xFFFFFFFF), (sketch[some] >> _U(32)) & _U(0xFF), ref
+        entry["sketch"], entry["ref"] = sketch[some] & _U(0xFFFFFFFF), ref
         yield int(b), ids.astype("<i8").tobytes(), entry.tobytes()
 
 
@@ -135,7 +139,7 @@ def _groups(table: pa.Table) -> pa.Table:
     sketch, classes = [], []
     for ids, packed in zip(table["ids"], table["entries"], strict=True):
         entry = np.frombuffer(packed.as_buffer(), _ENTRY)
-        sketch.append(entry["low"].astype(_U) | (entry["high"].astype(_U) << _U(32)))
+        sketch.append(entry["sketch"])
         classes.append(np.frombuffer(ids.as_buffer(), "<i8")[entry["ref"]])
     sketch, classes = np.concatenate(sketch), np.concatenate(classes)
     order = np.argsort(sketch, kind="stable")
@@ -163,20 +167,34 @@ def _groups(table: pa.Table) -> pa.Table:
     return pa.table({"gid": pa.array(total[big].view(np.int64)), "leader": pa.array(leaders, pa.int64()), "members": members})
 
 
+_POPCOUNT = np.array([bin(b).count("1") for b in range(256)], np.int32)
+
+
+def _may_link(n: np.ndarray, m: np.ndarray, bits: np.ndarray, percent: int) -> np.ndarray:
+    """Whether sets of n and m n-grams whose parity bits differ in ``bits`` can be linked."""
+    return (100 * np.minimum(n, m) >= percent * np.maximum(n, m)) & (_POPCOUNT[bits].sum(axis=1) * (100 + percent) <= (n + m) * (100 - percent))
+
+
+def _possible(batches: Iterable[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        n, m = (batch.column(c).to_numpy() for c in ("n_a", "n_b"))
+        x, y = (text_buffer(batch.column(c))[0].reshape(-1, SKETCH_BITS // 8) for c in ("sketch_a", "sketch_b"))
+        yield batch.select(["a", "b"]).filter(pa.array(_may_link(n, m, x ^ y, percent)))
+
+
 def _pairs_apart(batches: Iterable[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
     """Pairs of one group's classes that are in different components and that sizes and parity bits allow."""
-    count = np.array([bin(b).count("1") for b in range(256)], np.int32)
     for batch in batches:
         for row in range(batch.num_rows):
             m = batch.column("members")[row].values
             fp, part, n = (m.field(c).to_numpy() for c in ("fp", "component", "n"))
-            bits = np.frombuffer(b"".join(m.field("sketch").to_pylist()), np.uint8).reshape(len(fp), -1)
+            bits = np.frombuffer(b"".join(m.field("sketch").to_pylist()), np.uint8).reshape(-1, SKETCH_BITS // 8)
             order = np.argsort(n, kind="stable")
             fp, part, n, bits = fp[order], part[order], n[order], bits[order]
             for i in range(len(fp) - 1):
                 to = int(np.searchsorted(n, n[i] * 100 // percent, side="right"))
                 j = i + 1 + np.flatnonzero(part[i + 1 : to] != part[i])
-                j = j[count[bits[j] ^ bits[i]].sum(axis=1) * (100 + percent) <= (n[j] + n[i]) * (100 - percent)]
+                j = j[_may_link(n[i], n[j], bits[j] ^ bits[i], percent)]
                 if len(j):
                     yield pa.RecordBatch.from_arrays([pa.array(np.minimum(fp[j], fp[i])), pa.array(np.maximum(fp[j], fp[i]))], ["a", "b"])
 
@@ -232,6 +250,7 @@ def shingle_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
     def sign(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, np.ndarray]] = []
+        texts = 0
 
         def flush() -> Iterator[pa.RecordBatch]:
             rows = list(_blocks(np.concatenate([x for x, _ in held]), np.concatenate([c for _, c in held]), buckets))
@@ -241,11 +260,16 @@ def shingle_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
         for batch in batches:
             for part in slices(batch, "text"):
+                if held and texts + part.num_rows > _CLASSES:
+                    yield from flush()
+                    texts = 0
                 values, at = shingle_sets(part.column("text"), width)
                 sketch, of = sketches(values, at, frequent.value, percent)
                 held.append((sketch, class_ids(values, at)[of]))
+                texts += part.num_rows
                 if sum(len(x) for x, _ in held) > BLOCK_ENTRIES:
                     yield from flush()
+                    texts = 0
         if held:
             yield from flush()
 
@@ -256,9 +280,6 @@ def shingle_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     met = groups.select(F.explode("members").alias("fp")).distinct()
     classes = members.join(met, "fp").groupBy("fp").agg(F.min_by("doc_id", F.coalesce("doc_id", F.lit(2**63 - 1))).alias("doc_id"), F.first("n").alias("n"), F.first("sketch").alias("sketch"))
     classes = written(classes, "classes")
-    asked = classes.select("fp", "doc_id")
-    if classes.count() <= BROADCAST_ROWS:
-        asked = F.broadcast(asked)
 
     def collect_sets(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -268,21 +289,21 @@ def shingle_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                 same = pa.array(ids == part.column("fp").to_numpy())
                 yield pa.RecordBatch.from_arrays([pa.array(ids), binary_rows(values.view(np.uint8), at * 8)], ["fp", "grams"]).filter(same)
 
-    sets = docs.join(asked, docs["doc_id"].eqNullSafe(asked["doc_id"])).select("fp", "text").mapInArrow(collect_sets, "fp bigint, grams binary")
-    sets = written(sets.dropDuplicates(["fp"]), "sets")
-
     def linked(pairs: DataFrame) -> DataFrame:
+        """Pairs that are linked: those that sizes and parity bits allow are compared by their sets."""
+        for side in ("a", "b"):
+            pairs = pairs.join(classes.select(F.col("fp").alias(side), F.col("n").alias(f"n_{side}"), F.col("sketch").alias(f"sketch_{side}")), side)
+        pairs = written(pairs.mapInArrow(lambda batches: _possible(batches, percent), "a bigint, b bigint"), "pairs")
+        asked = classes.join(pairs.select(F.col("a").alias("fp")).unionByName(pairs.select(F.col("b").alias("fp"))).distinct(), "fp").select("fp", F.col("doc_id").alias("_doc"))
+        asked = written(asked, "asked")
+        small = F.broadcast(asked) if asked.count() <= BROADCAST_ROWS else asked
+        sets = docs.join(small, docs["doc_id"].eqNullSafe(small["_doc"])).select("fp", "text").mapInArrow(collect_sets, "fp bigint, grams binary")
+        sets = written(sets.dropDuplicates(["fp"]), "sets")
         both = pairs.join(sets.select(F.col("fp").alias("a"), F.col("grams").alias("set_a")), "a").join(sets.select(F.col("fp").alias("b"), F.col("grams").alias("set_b")), "b")
-        return both.mapInArrow(lambda batches: _linked(batches, percent), "a bigint, b bigint")
-
-    def sized(pairs: DataFrame) -> DataFrame:
-        """Pairs whose sizes allow a link."""
-        n = classes.select("fp", "n")
-        pairs = pairs.join(n.select(F.col("fp").alias("a"), F.col("n").alias("na")), "a").join(n.select(F.col("fp").alias("b"), F.col("n").alias("nb")), "b")
-        return pairs.where(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent).select("a", "b")
+        return written(both.mapInArrow(lambda batches: _linked(batches, percent), "a bigint, b bigint"), "links")
 
     stars = groups.select("leader", F.explode("members").alias("fp")).where("leader <> fp").select(F.least("leader", "fp").alias("a"), F.greatest("leader", "fp").alias("b")).distinct()
-    first = written(linked(sized(stars)), "links")
+    first = linked(stars)
     part = written(components(first, "a", "b"), "parts")
     labelled = groups.select("gid", F.explode("members").alias("fp")).join(part.withColumnRenamed("node", "fp"), "fp", "left").withColumn("component", F.coalesce("component", "fp"))
     open_groups = labelled.groupBy("gid").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("gid")
