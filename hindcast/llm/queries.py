@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hindcast.llm import bpe, quality, token_store
+from hindcast.llm.pitman_yor import language_model_scores
 from hindcast.llm.shared import new_path, table
 from hindcast.llm.sharding import assign_shards
 from hindcast.llm.shingle_join import shingle_classes
@@ -40,6 +41,11 @@ def op7_shingle_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shingle_classes(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
+def op8_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with log10 probabilities under a model of those that are not held out."""
+    return language_model_scores(table(spark, sf_dir, "documents"))
+
+
 def op9_shard_by_splitters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents in 16 shards of near-equal bytes; equal texts have one key and stand side by side."""
     text = F.coalesce("text", F.lit(""))
@@ -56,5 +62,5 @@ def op10_quality_gam(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_token_store, op2_substring_dedup, op3_byte_bpe, op7_shingle_join, op9_shard_by_splitters, op10_quality_gam)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_token_store, op2_substring_dedup, op3_byte_bpe, op7_shingle_join, op8_pitman_yor, op9_shard_by_splitters, op10_quality_gam)}
 ORACLE_SQL: dict[str, str] = {}
