@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hindcast.llm import bpe, quality, token_store
+from hindcast.llm.near_vectors import near_duplicates
+from hindcast.llm.neighbours import nearest_neighbours
 from hindcast.llm.pitman_yor import language_model_scores
 from hindcast.llm.shared import new_path, table
 from hindcast.llm.sharding import assign_shards
@@ -36,6 +38,16 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.decode(ids, path).select("doc_id", (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op4_p_stable(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All embeddings with their near duplicates of the same label."""
+    return near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+def op6_ivf_pq(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five nearest embeddings to each whose id is divisible by 50."""
+    return nearest_neighbours(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op7_shingle_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents with the component of their near copies."""
     return shingle_classes(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
@@ -62,5 +74,5 @@ def op10_quality_gam(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_token_store, op2_substring_dedup, op3_byte_bpe, op7_shingle_join, op8_pitman_yor, op9_shard_by_splitters, op10_quality_gam)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_token_store, op2_substring_dedup, op3_byte_bpe, op4_p_stable, op6_ivf_pq, op7_shingle_join, op8_pitman_yor, op9_shard_by_splitters, op10_quality_gam)}
 ORACLE_SQL: dict[str, str] = {}
