@@ -4,7 +4,7 @@ Sets of n-grams are cut by a hash into parts, and a part's sketch is the XOR of
 one set alone changes one part, so two sets that differ in d n-grams agree in all but d parts (pigeonhole). A set of n
 differs from any partner in at most n (1 - t) / t n-grams, so where more than that many parts are filled, partners
 agree in a filled part and meet there. Parts are the same for all sets of a size band (a power of two, with those of
-the band below that may have partners in it). Before the exact check, a second sketch of 1,024 parity bits gives a
+the band below that may have partners in it). Before the exact check, a second sketch of 4,096 parity bits gives a
 lower bound of the difference by its Hamming distance.
 
 Very frequent n-grams (boilerplate) may be left out of the sketches: leaving out the same n-grams everywhere never
@@ -37,7 +37,7 @@ FREQUENT_SHARE, FREQUENT_LEAST = 2000, 32
 BLOCK_ENTRIES, BUCKET_BYTES = 1 << 20, 12 << 20
 #: A table of class and document ids is broadcast up to so many rows (16 bytes each).
 BROADCAST_ROWS = 2_000_000
-SKETCH_BITS = 1024
+SKETCH_BITS = 4096
 _U = np.uint64
 
 
@@ -67,7 +67,7 @@ def class_ids(values: np.ndarray, at: np.ndarray) -> np.ndarray:
 def parity_bits(values: np.ndarray, at: np.ndarray) -> np.ndarray:
     """Rows of ``SKETCH_BITS`` packed bits: the parity of each set's members that fall on each bit."""
     n = len(at) - 1
-    place = np.repeat(np.arange(n), np.diff(at)) * SKETCH_BITS + (values >> _U(54)).astype(np.int64)
+    place = np.repeat(np.arange(n), np.diff(at)) * SKETCH_BITS + (values >> _U(52)).astype(np.int64)
     return np.packbits((np.bincount(place, minlength=n * SKETCH_BITS) & 1).astype(bool).reshape(n, SKETCH_BITS), axis=1)
 
 
