@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hindcast.llm import bpe, quality, token_store
+from hindcast.llm import bpe, mixing, quality, token_store
 from hindcast.llm.near_vectors import near_duplicates
 from hindcast.llm.neighbours import nearest_neighbours
 from hindcast.llm.pitman_yor import language_model_scores
@@ -43,6 +43,11 @@ def op4_p_stable(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+def op5_rake_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with their weight in a mix of tempered sources, languages and topics, and whether they are drawn."""
+    return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "source", "lang", "topic", "n_tokens", "factor", "probability", "kept")
+
+
 def op6_ivf_pq(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The five nearest embeddings to each whose id is divisible by 50."""
     return nearest_neighbours(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
@@ -74,5 +79,5 @@ def op10_quality_gam(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_token_store, op2_substring_dedup, op3_byte_bpe, op4_p_stable, op6_ivf_pq, op7_shingle_join, op8_pitman_yor, op9_shard_by_splitters, op10_quality_gam)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_token_store, op2_substring_dedup, op3_byte_bpe, op4_p_stable, op5_rake_mix, op6_ivf_pq, op7_shingle_join, op8_pitman_yor, op9_shard_by_splitters, op10_quality_gam)}
 ORACLE_SQL: dict[str, str] = {}
