@@ -14,6 +14,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 SLICE_BYTES = 2 << 20
+pa.set_memory_pool(pa.system_memory_pool())  # workers give memory of past batches back at once
 _U = np.uint64
 _ODD = _U(0x9E3779B97F4A7C15)
 _MIX1, _MIX2 = _U(0xBF58476D1CE4E5B9), _U(0x94D049BB133111EB)

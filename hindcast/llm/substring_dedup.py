@@ -26,7 +26,7 @@ WINDOW, PERIOD = 20, 13
 COVER = np.array([0, 1, 3, 9])
 ANCHOR = WINDOW - PERIOD + 1
 #: Text that is handled at once, and anchors in a block, about.
-GROUP_BYTES, BLOCK_ENTRIES = 8 << 20, 1 << 20
+GROUP_BYTES, BLOCK_ENTRIES = 6 << 20, 1 << 19
 _U = np.uint64
 _SENT = np.dtype([("low", "<u4"), ("high", "<u2"), ("ref", "<u4"), ("at", "<u4")])
 _FIRST = np.dtype([("h1", "<u8"), ("h2", "<u4"), ("ref", "<u4"), ("at", "<u4")])
