@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hindcast.llm import bpe, mixing, quality, token_store
+from hindcast.llm import bpe, mixing, oracle, quality, token_store
 from hindcast.llm.near_vectors import near_duplicates
 from hindcast.llm.neighbours import nearest_neighbours
 from hindcast.llm.pitman_yor import language_model_scores
@@ -80,4 +80,4 @@ def op10_quality_gam(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_token_store, op2_substring_dedup, op3_byte_bpe, op4_p_stable, op5_rake_mix, op6_ivf_pq, op7_shingle_join, op8_pitman_yor, op9_shard_by_splitters, op10_quality_gam)}
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op2_substring_dedup": oracle.OP2, "op4_p_stable": oracle.OP4, "op7_shingle_join": oracle.OP7}
