@@ -56,6 +56,8 @@ def rake(cells: pd.DataFrame, targets: dict[str, pd.Series]) -> np.ndarray:
     the targets contradict each other on the cells that exist, the factors are those of the last round.
     """
     counted = cells["tokens"].to_numpy(float)
+    if not len(counted):
+        return counted
     weight, total = counted.copy(), counted.sum()
     margins = []
     for column, target in targets.items():
