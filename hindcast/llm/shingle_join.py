@@ -30,9 +30,9 @@ from hindcast.llm.kernels import mix, runs, slices, text_buffer, window_hashes,
 from hindcast.llm.shared import written
 from hindcast.llm.wordpieces import binary_rows
 
-#: An n-gram is frequent if it is in one of so many documents, and in ``FREQUENT_LEAST`` at least. There are at most
-#: ``FREQUENT_SHARE`` times the mean number of n-grams of a document, whatever the number of documents.
-FREQUENT_SHARE, FREQUENT_LEAST = 2000, 32
+#: An n-gram is frequent if batches in which it occurs more than once have it ``FREQUENT_LEAST`` times together. Of more
+#: than ``FREQUENT_MOST`` (8 bytes each, broadcast) only the most frequent count as such.
+FREQUENT_LEAST, FREQUENT_MOST = 16, 2_000_000
 #: Entries of a block of sketches, and blocks' bytes in a bucket, about.
 BLOCK_ENTRIES, BUCKET_BYTES = 1 << 20, 12 << 20
 #: A table of class and document ids is broadcast up to so many rows (16 bytes each).
@@ -167,6 +167,8 @@ def _groups(table: pa.Table) -> pa.Table:
     return pa.table({"gid": pa.array(total[big].view(np.int64)), "leader": pa.array(leaders, pa.int64()), "members": members})
 
 
+_PAIR = np.dtype([("a", "<i8"), ("b", "<i8")])
+PAIRS_HELD = 1 << 19
 _POPCOUNT = np.array([bin(b).count("1") for b in range(256)], np.int32)
 
 
@@ -183,20 +185,36 @@ def _possible(batches: Iterable[pa.RecordBatch], percent: int) -> Iterator[pa.Re
 
 
 def _pairs_apart(batches: Iterable[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
-    """Pairs of one group's classes that are in different components and that sizes and parity bits allow."""
+    """Pairs of one group's classes that are in different components and whose sizes allow a link; each once a task."""
+    seen, held, total = np.zeros(0, _PAIR), [], 0
+
+    def new() -> pa.RecordBatch:
+        nonlocal seen
+        pairs = np.setdiff1d(np.concatenate(held), seen)
+        seen = np.union1d(seen, pairs)
+        held.clear()
+        return pa.RecordBatch.from_arrays([pa.array(pairs["a"]), pa.array(pairs["b"])], ["a", "b"])
+
     for batch in batches:
         for row in range(batch.num_rows):
             m = batch.column("members")[row].values
             fp, part, n = (m.field(c).to_numpy() for c in ("fp", "component", "n"))
-            bits = np.frombuffer(b"".join(m.field("sketch").to_pylist()), np.uint8).reshape(-1, SKETCH_BITS // 8)
             order = np.argsort(n, kind="stable")
-            fp, part, n, bits = fp[order], part[order], n[order], bits[order]
-            for i in range(len(fp) - 1):
-                to = int(np.searchsorted(n, n[i] * 100 // percent, side="right"))
-                j = i + 1 + np.flatnonzero(part[i + 1 : to] != part[i])
-                j = j[_may_link(n[i], n[j], bits[j] ^ bits[i], percent)]
-                if len(j):
-                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(fp[j], fp[i])), pa.array(np.maximum(fp[j], fp[i]))], ["a", "b"])
+            fp, part, n = fp[order], part[order], n[order]
+            to = np.searchsorted(n, n * 100 // percent, side="right")
+            count = np.maximum(to - np.arange(len(n)) - 1, 0)
+            i = np.repeat(np.arange(len(n)), count)
+            j = i + 1 + runs(count)
+            i, j = i[part[i] != part[j]], j[part[i] != part[j]]
+            pairs = np.empty(len(i), _PAIR)
+            pairs["a"], pairs["b"] = np.minimum(fp[i], fp[j]), np.maximum(fp[i], fp[j])
+            held.append(pairs)
+            total += len(pairs)
+            if total > PAIRS_HELD:
+                yield new()
+                total = 0
+    if held:
+        yield new()
 
 
 def _linked(batches: Iterable[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
@@ -222,8 +240,6 @@ def shingle_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     """
     spark = docs.sparkSession
     docs = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
-    total = docs.count()
-
     def describe(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             seen = []
@@ -237,12 +253,21 @@ def shingle_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                     ["doc_id", "n", "fp", "sketch", "gram", "count"],
                 )
             grams, count = np.unique(np.concatenate(seen), return_counts=True) if seen else (np.zeros(0, _U), np.zeros(0, np.int64))
-            grams, count = grams[count > 3], count[count > 3]  # those below stand for a small share of a batch
+            grams, count = grams[count > 1], count[count > 1]
             nothing = pa.nulls(len(grams), pa.int64())
             yield pa.RecordBatch.from_arrays([nothing, nothing, nothing, pa.nulls(len(grams), pa.binary()), pa.array(grams.view(np.int64)), pa.array(count)], ["doc_id", "n", "fp", "sketch", "gram", "count"])
 
     described = written(docs.mapInArrow(describe, "doc_id bigint, n bigint, fp bigint, sketch binary, gram bigint, count bigint"), "shingles")
-    often = described.where("gram is not null").groupBy("gram").agg(F.sum("count").alias("c")).where(F.col("c") >= max(FREQUENT_LEAST, total // FREQUENT_SHARE))
+    often = described.where("gram is not null").groupBy("gram").agg(F.sum("count").alias("c")).where(F.col("c") >= FREQUENT_LEAST)
+    many = written(often, "frequent")
+    sizes = many.groupBy(F.floor(F.log2("c") * 8).alias("k")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.col("k").desc()).collect()
+    kept, lowest = 0, 10**6
+    for row in sizes:  # some hundred rows: one for each eighth of a power of two
+        kept += row["n"]
+        if kept > FREQUENT_MOST:
+            break
+        lowest = row["k"]
+    often = many.where(F.floor(F.log2("c") * 8) >= lowest)
     frequent = spark.sparkContext.broadcast(np.sort(often.select("gram").toPandas()["gram"].to_numpy(np.int64).view(_U)))
     members = described.where("n is not null").select("doc_id", "n", "fp", "sketch")
     n_total = members.agg(F.sum("n")).first()[0] or 0
@@ -307,8 +332,9 @@ def shingle_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     part = written(components(first, "a", "b"), "parts")
     labelled = groups.select("gid", F.explode("members").alias("fp")).join(part.withColumnRenamed("node", "fp"), "fp", "left").withColumn("component", F.coalesce("component", "fp"))
     open_groups = labelled.groupBy("gid").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("gid")
-    rest = labelled.join(open_groups, "gid").join(classes.select("fp", "n", "sketch"), "fp").groupBy("gid").agg(F.collect_list(F.struct("fp", "component", "n", "sketch")).alias("members"))
+    rest = labelled.join(open_groups, "gid").join(classes.select("fp", "n"), "fp").groupBy("gid").agg(F.collect_list(F.struct("fp", "component", "n")).alias("members"))
     apart = rest.mapInArrow(lambda batches: _pairs_apart(batches, percent), "a bigint, b bigint").distinct()
+    apart = written(apart, "apart")
     second = linked(apart.join(stars, ["a", "b"], "left_anti"))
     part = components(first.unionByName(second), "a", "b")
     labelled = members.join(part.withColumnRenamed("node", "fp"), "fp", "left").withColumn("component", F.coalesce("component", "fp"))
