@@ -48,7 +48,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The ids of each document, and whether they decode to its text."""
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    out = bpe.decode(bpe.encode(docs.select(*COLUMNS), path), path)
+    out = bpe.round_trip(docs.select(*COLUMNS), path)
     whole = F.coalesce("text", F.lit("")).cast("binary") == F.col("decoded")
     return out.select("doc_id", "lang", "source", (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"), "ids", whole.alias("round_trip"))
 

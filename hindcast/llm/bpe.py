@@ -205,6 +205,22 @@ def encode(df: DataFrame, path: str, text: str = "text", ids: str = "ids") -> Da
     return df.mapInArrow(task, T.StructType([*[df.schema[c] for c in kept], T.StructField(ids, T.BinaryType())]))
 
 
+def round_trip(df: DataFrame, path: str, text: str = "text", ids: str = "ids", to: str = "decoded") -> DataFrame:
+    """``encode``, then ``decode`` of the ids, in one pass over the rows."""
+    kept = [c for c in df.columns if c not in (ids, to)]
+
+    def task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table, vocabulary = _table(path), ranks(path)
+        for batch in batches:
+            for part in slices(batch, text):
+                flat, at = table.encode_column(part.column(text))
+                data, edge = vocabulary.decode(flat)
+                new = [binary_rows(flat.astype("<u4").view(np.uint8), at * 4), binary_rows(data, edge[at])]
+                yield pa.RecordBatch.from_arrays([*[part.column(c) for c in kept], *new], [*kept, ids, to])
+
+    return df.mapInArrow(task, T.StructType([*[df.schema[c] for c in kept], T.StructField(ids, T.BinaryType()), T.StructField(to, T.BinaryType())]))
+
+
 def decode(df: DataFrame, path: str, ids: str = "ids", to: str = "decoded") -> DataFrame:
     """Replace or add the column ``to``: the bytes that the ids stand for. Null ids give no bytes; an id outside the
     vocabulary is an error."""

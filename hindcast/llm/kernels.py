@@ -1,6 +1,6 @@
 """Vectorised helpers used inside Arrow tasks: words, word hashes and pre-tokens of text columns.
 
-All helpers take Arrow string arrays and treat null as the empty text. They work on slices of two megabytes
+All helpers take Arrow string arrays and treat null as the empty text. They work on slices of a megabyte
 (``slices``) so that memory stays bounded whatever the batch size; a single text is never cut.
 """
 
@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 pa.set_memory_pool(pa.system_memory_pool())  # workers give memory of past batches back at once
 _U = np.uint64
 _ODD = _U(0x9E3779B97F4A7C15)
@@ -87,30 +87,37 @@ def _byte_values(seed: int, lower: bool) -> np.ndarray:
     return values
 
 
-_POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+HASH_BLOCK = 1 << 18
 
 
 def _powers(n: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of an odd base and of its inverse modulo 2**64."""
-    if seed not in _POWERS or len(_POWERS[seed][0]) < n:
-        base = int(mix(np.array([seed + 77], _U))[0]) | 1
-        size = max(n, SLICE_BYTES + 1)
-        with np.errstate(over="ignore"):
-            up, down = (np.multiply.accumulate(np.array([1] + [x] * (size - 1), _U)) for x in (base, pow(base, -1, 1 << 64)))
-        _POWERS[seed] = (up, down)
-    return _POWERS[seed]
+    if n <= HASH_BLOCK + 1:
+        return _block_powers(HASH_BLOCK + 1, seed)
+    return _block_powers.__wrapped__(n, seed)  # for a word longer than a block
+
+
+@lru_cache(maxsize=4)
+def _block_powers(n: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    base = int(mix(np.array([seed + 77], _U))[0]) | 1
+    up, down = (np.multiply.accumulate(np.array([1] + [x] * (n - 1), _U)) for x in (base, pow(base, -1, 1 << 64)))
+    return up, down
 
 
 def word_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, *, lower: bool = False, seed: int = 0) -> np.ndarray:
-    """64-bit hashes of byte ranges; with ``lower``, A-Z count as a-z."""
-    if not len(starts):
-        return np.zeros(0, _U)
-    up, down = _powers(buf.size + 1, seed)
-    total = np.zeros(buf.size + 1, _U)
-    np.multiply(_byte_values(seed, lower)[buf], up[: buf.size], out=total[1:])
-    np.cumsum(total[1:], out=total[1:])
-    h = (total[ends] - total[starts]) * down[starts]
-    return mix(h ^ ((ends - starts).astype(_U) * _ODD))
+    """64-bit hashes of ascending byte ranges; with ``lower``, A-Z count as a-z. Works through the bytes in blocks."""
+    out, values, a = np.empty(len(starts), _U), _byte_values(seed, lower), 0
+    while a < len(starts):
+        b = max(a + 1, int(np.searchsorted(ends, starts[a] + HASH_BLOCK, side="right")))
+        low, n = int(starts[a]), int(ends[b - 1] - starts[a])
+        up, down = _powers(n + 1, seed)
+        total = np.zeros(n + 1, _U)
+        np.multiply(values[buf[low : low + n]], up[:n], out=total[1:])
+        np.cumsum(total[1:], out=total[1:])
+        at = starts[a:b] - low
+        out[a:b] = (total[ends[a:b] - low] - total[at]) * down[at]
+        a = b
+    return mix(out ^ ((ends - starts).astype(_U) * _ODD)) if len(out) else out
 
 
 def window_hashes(h: np.ndarray, width: int, seed: int = 0) -> np.ndarray:

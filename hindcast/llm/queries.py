@@ -34,8 +34,8 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents encoded to ids and decoded again."""
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    ids = bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), path).drop("text")
-    return bpe.decode(ids, path).select("doc_id", (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+    out = bpe.round_trip(table(spark, sf_dir, "documents").select("doc_id", "text"), path)
+    return out.select("doc_id", (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 def op4_p_stable(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -104,7 +104,7 @@ def _tokenizer_table(path: str) -> WordTable:
         counts = np.fromiter(map(len, found), np.int64, len(found))
         return np.fromiter((i for ids in found for i in ids), np.uint32, int(counts.sum())), counts
 
-    return WordTable(encode)
+    return WordTable(encode, limit=600_000)  # the library takes long for a word
 
 
 def write(docs: DataFrame, path: str, tokenizer: str, end_id: int) -> None:
@@ -131,7 +131,7 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int) -> None:
             return pa.RecordBatch.from_pylist([row], schema=_ARROW)
 
         for batch in batches:
-            for some in slices(batch, "text"):
+            for some in slices(batch, "text", 2 << 20):
                 flat, edge = table.encode_column(some.column("text"))
                 held.append((some.column("doc_id").to_pylist(), np.insert(flat, edge[1:], end_id), np.diff(edge) + 1))
                 if sum(len(x[1]) for x in held) >= SEGMENT:

@@ -1,7 +1,7 @@
 """Byte-level BPE over Arrow columns: each distinct pre-token is encoded once, then gathered by number.
 
 Byte-level BPE never merges across pre-tokens, so the ids of a text are the ids of its pre-tokens in order. A
-``WordTable`` remembers the ids of the pre-tokens that one Python worker has seen and holds at most ``LIMIT`` of them;
+``WordTable`` remembers the ids of the pre-tokens that one Python worker has seen and holds at most ``limit`` of them;
 when it is full it starts anew, which changes the time and never the ids.
 """
 
@@ -14,13 +14,13 @@ import pyarrow as pa
 
 from hindcast.llm.kernels import pretokens, runs, text_buffer
 
-LIMIT = 600_000
+LIMIT = 250_000
 Encoder = Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]]
 
 
 class WordTable:
-    def __init__(self, encode: Encoder):
-        self.encode = encode
+    def __init__(self, encode: Encoder, limit: int = LIMIT):
+        self.encode, self.limit = encode, limit
         self.clear()
 
     def clear(self) -> None:
@@ -30,7 +30,7 @@ class WordTable:
 
     def numbers(self, words: list[bytes]) -> np.ndarray:
         """The number of each of some distinct words; new ones are encoded and kept."""
-        if len(self.index) + len(words) > LIMIT and self.index:
+        if len(self.index) + len(words) > self.limit and self.index:
             self.clear()
         found = self.index
         new = [w for w in words if w not in found]
