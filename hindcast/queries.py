@@ -209,18 +209,21 @@ def parse_local_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _scored(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Discounted against listed prices of order lines: return flags as zones, ship days as operating days."""
+    """Discounted against listed prices of order lines: return flags as zones, ship days as operating days.
+
+    A discount is net of a charge of 0.07 %, so that averages have no finite decimals and no engine rounds at a tie.
+    """
     rows = table(spark, sf_dir, "lineitem")
-    error = -F.col("l_extendedprice") * F.col("l_discount")
+    error = -F.col("l_extendedprice") * F.col("l_discount") / 1.0007
     return rows.select(F.col("l_returnflag").alias("weather_zone"), F.to_date("l_shipdate").alias("operating_date"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("target_ts_utc"), F.col("l_extendedprice").alias("actual_mw"), error.alias("error_mw"), F.abs(error).alias("abs_error_mw"))
 
 
-SCORED = "s AS (SELECT l_returnflag AS weather_zone, CAST(l_shipdate AS DATE) AS operating_date, l_orderkey * 10 + l_linenumber AS target_ts_utc, l_extendedprice AS actual_mw, -l_extendedprice * l_discount AS error_mw, abs(-l_extendedprice * l_discount) AS abs_error_mw FROM lineitem)"
-SUMMARY = "count(*) AS rows, round(100.0 * sum(abs_error_mw) / nullif(sum(actual_mw), 0), 4) AS wape_pct, round(avg(abs_error_mw), 3) AS mae_mw, round(avg(error_mw), 3) AS bias_mw, round(quantile_cont(100.0 * abs_error_mw / nullif(actual_mw, 0), 0.95), 4) AS p95_ape_pct"
+SCORED = "s AS (SELECT l_returnflag AS weather_zone, CAST(l_shipdate AS DATE) AS operating_date, l_orderkey * 10 + l_linenumber AS target_ts_utc, l_extendedprice AS actual_mw, -l_extendedprice * l_discount / 1.0007::DOUBLE AS error_mw, abs(-l_extendedprice * l_discount / 1.0007::DOUBLE) AS abs_error_mw FROM lineitem)"
+SUMMARY = "count(*) AS rows, round(100.0 * sum(abs_error_mw) / nullif(sum(actual_mw), 0), 7) AS wape_pct, round(avg(abs_error_mw), 7) AS mae_mw, round(avg(error_mw), 7) AS bias_mw, round(quantile_cont(100.0 * abs_error_mw / nullif(actual_mw, 0), 0.95), 7) AS p95_ape_pct"
 
 
 def _rounded(df: DataFrame) -> DataFrame:
-    return df.withColumns({c: F.round(c, 4 if c.endswith("pct") else 3) for c, t in df.dtypes if t == "double"})
+    return df.withColumns({c: F.round(c, 7) for c, t in df.dtypes if t == "double"})
 
 
 @query(f"WITH {SCORED} SELECT {SUMMARY} FROM s")
@@ -234,7 +237,7 @@ def wape_by_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""WITH {SCORED}, p AS (SELECT *, row_number() OVER (PARTITION BY weather_zone, operating_date ORDER BY actual_mw DESC, target_ts_utc) AS k FROM s)
-SELECT weather_zone, count(*) AS rows, round(100.0 * sum(abs_error_mw) / nullif(sum(actual_mw), 0), 4) AS wape_pct, round(max(abs_error_mw) FILTER (WHERE k = 1), 3) AS peak_hour_abs_error_mw, round(max(100.0 * abs_error_mw / nullif(actual_mw, 0)) FILTER (WHERE k = 1), 4) AS peak_hour_ape_pct FROM p GROUP BY 1""")
+SELECT weather_zone, count(*) AS rows, round(100.0 * sum(abs_error_mw) / nullif(sum(actual_mw), 0), 7) AS wape_pct, round(max(abs_error_mw) FILTER (WHERE k = 1), 7) AS peak_hour_abs_error_mw, round(max(100.0 * abs_error_mw / nullif(actual_mw, 0)) FILTER (WHERE k = 1), 7) AS peak_hour_ape_pct FROM p GROUP BY 1""")
 def zone_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(metrics.zone_scores(_scored(spark, sf_dir)))
 
@@ -261,28 +264,28 @@ def ambiguous_models(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""WITH {EVALUATION}, h AS (SELECT zone, target, value FROM (SELECT *, row_number() OVER (PARTITION BY zone, target ORDER BY pub DESC, value) AS k FROM f WHERE used) WHERE k = 1)
-SELECT count(*) AS rows, round(100.0 * sum(abs(ercot_error_mw)) / sum(actual_mw), 4) AS asof_wape_pct, round(100.0 * sum(abs(h.value - actual_mw)) / sum(actual_mw), 4) AS hindsight_wape_pct FROM ev JOIN h ON h.zone = weather_zone AND h.target = target_ts_utc WHERE ercot_forecast_mw IS NOT NULL AND actual_mw IS NOT NULL""")
+SELECT count(*) AS rows, round(100.0 * sum(abs(ercot_error_mw)) / sum(actual_mw), 7) AS asof_wape_pct, round(100.0 * sum(abs(h.value - actual_mw)) / sum(actual_mw), 7) AS hindsight_wape_pct FROM ev JOIN h ON h.zone = weather_zone AND h.target = target_ts_utc WHERE ercot_forecast_mw IS NOT NULL AND actual_mw IS NOT NULL""")
 def cost_of_hindsight(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The error as of the deadline, and of the value published last."""
     key = ["weather_zone", "target_ts_utc"]
     latest = asof.latest_hindsight(_forecasts(spark, sf_dir).where("is_ercot_model_in_use"), key, "publication_ts_utc", "forecast_mw").select(*key, F.col("forecast_mw").alias("latest_mw"))
     rows = metrics.scored(_evaluation(spark, sf_dir), "ercot").join(latest, key)
-    return rows.agg(F.count(F.lit(1)).alias("rows"), F.round(metrics.wape(), 4).alias("asof_wape_pct"), F.round(metrics.wape(F.abs(F.col("latest_mw") - F.col("actual_mw"))), 4).alias("hindsight_wape_pct"))
+    return rows.agg(F.count(F.lit(1)).alias("rows"), F.round(metrics.wape(), 7).alias("asof_wape_pct"), F.round(metrics.wape(F.abs(F.col("latest_mw") - F.col("actual_mw"))), 7).alias("hindsight_wape_pct"))
 
 
-@query(f"WITH {VINTAGES}, m AS (SELECT zone, avg(value) AS mean FROM v GROUP BY 1) SELECT CAST(date_diff('minute', pub, target) / 60.0 AS INTEGER) AS lead_hours, count(*) AS rows, round(100.0 * sum(abs(value - mean)) / nullif(sum(mean), 0), 4) AS wape_pct FROM v JOIN m USING (zone) GROUP BY 1 HAVING count(*) >= 200")
+@query(f"WITH {VINTAGES}, m AS (SELECT zone, avg(value) AS mean FROM v GROUP BY 1) SELECT CAST(date_diff('minute', pub, target) / 60.0 AS INTEGER) AS lead_hours, count(*) AS rows, round(100.0 * sum(abs(value - mean)) / nullif(sum(mean), 0), 7) AS wape_pct FROM v JOIN m USING (zone) GROUP BY 1 HAVING count(*) >= 200")
 def lead_time_wape(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Weighted error by lead hours, where there are at least 200 rows."""
     v = vintages(spark, sf_dir)
     rows = v.join(v.groupBy("zone").agg(F.avg("value").alias("actual_mw")), "zone").withColumn("abs_error_mw", F.abs(F.col("value") - F.col("actual_mw")))
-    by_lead = rows.groupBy(T.lead_hours(F.col("pub"), F.col("target")).alias("lead_hours")).agg(F.count(F.lit(1)).alias("rows"), F.round(metrics.wape(), 4).alias("wape_pct"))
+    by_lead = rows.groupBy(T.lead_hours(F.col("pub"), F.col("target")).alias("lead_hours")).agg(F.count(F.lit(1)).alias("rows"), F.round(metrics.wape(), 7).alias("wape_pct"))
     return by_lead.where("rows >= 200")
 
 
-@query(f"WITH {TIED}, k AS (SELECT zone, target, count(DISTINCT value) AS n, count(DISTINCT pub) AS pubs FROM v GROUP BY 1, 2) SELECT count(*) AS keys, round(100.0 * sum(CASE WHEN n > 1 THEN 1 ELSE 0 END) / count(*), 4) AS revised_pct, count(*) FILTER (WHERE pubs > 1) AS republished FROM k")
+@query(f"WITH {TIED}, k AS (SELECT zone, target, count(DISTINCT value) AS n, count(DISTINCT pub) AS pubs FROM v GROUP BY 1, 2) SELECT count(*) AS keys, round(100.0 * sum(CASE WHEN n > 1 THEN 1 ELSE 0 END) / count(*), 7) AS revised_pct, count(*) FILTER (WHERE pubs > 1) AS republished FROM k")
 def revision_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
     keys = _tied(spark, sf_dir).groupBy("zone", "target").agg(F.count_distinct("value").alias("n"), F.count_distinct("pub").alias("pubs"))
-    return keys.agg(F.count(F.lit(1)).alias("keys"), F.round(100.0 * F.count_if(F.col("n") > 1) / F.count(F.lit(1)), 4).alias("revised_pct"), F.count_if(F.col("pubs") > 1).alias("republished"))
+    return keys.agg(F.count(F.lit(1)).alias("keys"), F.round(100.0 * F.count_if(F.col("n") > 1) / F.count(F.lit(1)), 7).alias("revised_pct"), F.count_if(F.col("pubs") > 1).alias("republished"))
 
 
 @query("WITH " + FORECASTS + ", k AS (SELECT zone, target, count(DISTINCT model) AS models, count(DISTINCT model) FILTER (WHERE used) AS in_use, string_agg(DISTINCT model, ', ' ORDER BY model) AS names FROM f GROUP BY 1, 2) SELECT models, in_use, names, count(*) AS keys FROM k GROUP BY 1, 2, 3")
@@ -365,11 +368,11 @@ def unpivot_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
     return normalize.unpivot(table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"], names, "measure", "value")
 
 
-@query("SELECT event_type, " + ", ".join(f"round(avg(value) FILTER (WHERE hour(ts) = {h}), 4) AS h{h}" for h in range(24)) + " FROM events GROUP BY 1")
+@query("SELECT event_type, " + ", ".join(f"round(avg(value / 1.0007::DOUBLE) FILTER (WHERE hour(ts) = {h}), 7) AS h{h}" for h in range(24)) + " FROM events GROUP BY 1")
 def heatmap_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Zone by hour; the hours are given, so no pass looks for them."""
     rows = table(spark, sf_dir, "events").withColumn("h", F.concat(F.lit("h"), F.hour("ts").cast("string")))
-    return rows.groupBy("event_type").pivot("h", [f"h{h}" for h in range(24)]).agg(F.round(F.avg("value"), 4))
+    return rows.groupBy("event_type").pivot("h", [f"h{h}" for h in range(24)]).agg(F.round(F.avg(F.col("value") / 1.0007), 7))
 
 
 @query("""SELECT count(DISTINCT o_orderkey) AS orders, min(o_orderkey) AS sample FROM orders o WHERE EXISTS (SELECT 1 FROM lineitem l WHERE l.l_orderkey = o.o_orderkey AND l.l_returnflag = 'R' AND l.l_quantity > 45)""")
@@ -431,8 +434,8 @@ def gaps_by_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""WITH s AS (SELECT event_type, ts, value, avg(value) OVER (PARTITION BY event_type) AS mean, row_number() OVER (PARTITION BY event_type, CAST(ts AS DATE) ORDER BY value DESC, event_id) = 1 AS is_peak FROM events)
-SELECT event_type, ts, round(100.0 * abs(value - mean) / nullif(value, 0), 4) AS ape_pct, is_peak FROM s""")
+SELECT event_type, ts, round(100.0 * abs(value - mean) / nullif(value, 0), 7) AS ape_pct, is_peak FROM s""")
 def ape_scatter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The absolute percentage error of each row, flagged at each day's peak."""
     rows = table(spark, sf_dir, "events").withColumns({"mean": F.avg("value").over(Window.partitionBy("event_type")), "is_peak": F.row_number().over(Window.partitionBy("event_type", F.to_date("ts")).orderBy(F.col("value").desc(), "event_id")) == 1})
-    return rows.select("event_type", "ts", F.round(metrics.ape(F.abs(F.col("value") - F.col("mean")), F.col("value")), 4).alias("ape_pct"), "is_peak")
+    return rows.select("event_type", "ts", F.round(metrics.ape(F.abs(F.col("value") - F.col("mean")), F.col("value")), 7).alias("ape_pct"), "is_peak")
