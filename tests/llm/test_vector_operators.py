@@ -67,7 +67,9 @@ def test_neighbours(spark, rows):
     assert nearest_neighbours(df.limit(0), F.col("vec_id") % 50 == 0).count() == 0
 
 
-def test_components(spark):
+@pytest.mark.parametrize("most", [10**6, 0])
+def test_components(spark, monkeypatch, most):
+    monkeypatch.setattr("hindcast.llm.graph.TASK_EDGES", most)
     rng = np.random.default_rng(2)
     edges = [(int(a), int(b)) for a, b in rng.integers(0, 300, (200, 2))] + [(k, k + 1) for k in range(1000, 1100)] + [(5000, k) for k in range(5001, 5100)] + [(None, 1), (2, None), (7, 7)]
     got = {r["node"]: r["component"] for r in components(spark.createDataFrame(edges, "u bigint, v bigint")).collect()}
