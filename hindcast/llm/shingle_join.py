@@ -169,6 +169,8 @@ def _groups(table: pa.Table) -> pa.Table:
 
 _PAIR = np.dtype([("a", "<i8"), ("b", "<i8")])
 PAIRS_HELD = 1 << 19
+#: Sets of a group that are compared group by group; and sets of a block of a family.
+LARGE, BLOCK = 32, 1024
 _POPCOUNT = np.array([bin(b).count("1") for b in range(256)], np.int32)
 
 
@@ -217,6 +219,23 @@ def _pairs_apart(batches: Iterable[pa.RecordBatch], percent: int) -> Iterator[pa
         yield new()
 
 
+def _blocks_apart(t: pa.Table, percent: int) -> pa.Table:
+    """Pairs between two blocks of a family (or within one) that are in different components and that sizes and parity
+    bits allow: one after another row of the first block against the second, without any pair kept before that."""
+    t = t.combine_chunks()
+    own, fp, part, n = (t[c].to_numpy() for c in ("block", "fp", "component", "n"))
+    bits = text_buffer(t["sketch"])[0].view(_U).reshape(len(fp), -1)
+    first, second = np.flatnonzero(own == t["i"][0].as_py()), np.flatnonzero(own == t["j"][0].as_py())
+    found = []
+    for at, x in enumerate(first.tolist()):
+        y = second[at + 1 :] if first[0] == second[0] else second
+        y = y[(part[y] != part[x]) & (100 * np.minimum(n[x], n[y]) >= percent * np.maximum(n[x], n[y]))]
+        y = y[np.bitwise_count(bits[y] ^ bits[x]).sum(axis=1, dtype=np.int64) * (100 + percent) <= (n[x] + n[y]) * (100 - percent)]
+        found.append(np.stack([np.minimum(fp[x], fp[y]), np.maximum(fp[x], fp[y])]))
+    pairs = np.concatenate(found, axis=1) if found else np.zeros((2, 0), np.int64)
+    return pa.table({"a": pairs[0], "b": pairs[1]})
+
+
 def _linked(batches: Iterable[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         keep = []
@@ -331,10 +350,19 @@ def shingle_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     first = linked(stars)
     part = written(components(first, "a", "b"), "parts")
     labelled = groups.select("gid", F.explode("members").alias("fp")).join(part.withColumnRenamed("node", "fp"), "fp", "left").withColumn("component", F.coalesce("component", "fp"))
-    open_groups = labelled.groupBy("gid").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("gid")
-    rest = labelled.join(open_groups, "gid").join(classes.select("fp", "n"), "fp").groupBy("gid").agg(F.collect_list(F.struct("fp", "component", "n")).alias("members"))
-    apart = rest.mapInArrow(lambda batches: _pairs_apart(batches, percent), "a bigint, b bigint").distinct()
-    apart = written(apart, "apart")
+    open_groups = labelled.groupBy("gid").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count(F.lit(1)).alias("size")).where("x <> y").select("gid", "size")
+    rest = labelled.join(open_groups.where("size <= " + str(LARGE)), "gid").join(classes.select("fp", "n"), "fp").groupBy("gid").agg(F.collect_list(F.struct("fp", "component", "n")).alias("members"))
+    small = rest.mapInArrow(lambda batches: _pairs_apart(batches, percent), "a bigint, b bigint")
+    # large groups are much alike: those that share sets are one family, which is gone through once
+    large = written(groups.where(F.size("members") > LARGE).join(open_groups.where("size > " + str(LARGE)).select("gid"), "gid", "left_semi").select("leader", F.explode("members").alias("fp")).distinct(), "large")
+    family = components(large, "leader", "fp").select(F.col("node").alias("fp"), F.col("component").alias("family"))
+    family = written(family.join(part.withColumnRenamed("node", "fp"), "fp", "left").withColumn("component", F.coalesce("component", "fp")).join(classes.select("fp", "n", "sketch"), "fp"), "families")
+    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
+    family = family.join(family.groupBy("family").agg(F.count(F.lit(1)).alias("size")), "family").withColumn("blocks", blocks)
+    family = family.withColumn("block", F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    family = family.select("family", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "fp", "component", "n", "sketch")
+    near = family.groupBy("family", "i", "j").applyInArrow(lambda t: _blocks_apart(t, percent), "a bigint, b bigint")
+    apart = written(small.unionByName(near).distinct(), "apart")
     second = linked(apart.join(stars, ["a", "b"], "left_anti"))
     part = components(first.unionByName(second), "a", "b")
     labelled = members.join(part.withColumnRenamed("node", "fp"), "fp", "left").withColumn("component", F.coalesce("component", "fp"))
