@@ -28,10 +28,10 @@ ANCHOR = WINDOW - PERIOD + 1
 #: Text that is handled at once, and anchors in a block, about.
 GROUP_BYTES, BLOCK_ENTRIES = 6 << 20, 1 << 19
 _U = np.uint64
-_SENT = np.dtype([("low", "<u4"), ("high", "<u2"), ("ref", "<u4"), ("at", "<u4")])
+_SENT = np.dtype([("low", "<u4"), ("high", "u1"), ("ref", "<u2"), ("at", "<u4")])
 _FIRST = np.dtype([("h1", "<u8"), ("h2", "<u4"), ("ref", "<u4"), ("at", "<u4")])
 _RUN = np.dtype([("key", "<i8"), ("at", "<u4"), ("n", "<u4")])
-_NOBODY = 0xFFFFFFFF
+_NOBODY = 0xFFFF  # so a block has the anchors of fewer documents
 _LAST = np.iinfo(np.int64).max
 
 
@@ -66,6 +66,7 @@ def _anchor_blocks(batches: Iterable[pa.RecordBatch], buckets: int) -> Iterator[
     """Blocks of anchors: each once, with its place if it occurs once in the block; the places of others are known
     to repeat."""
     held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    texts = 0
 
     def flush() -> pa.RecordBatch:
         h, key, at = (np.concatenate(x) for x in zip(*held, strict=True))
@@ -77,7 +78,7 @@ def _anchor_blocks(batches: Iterable[pa.RecordBatch], buckets: int) -> Iterator[
         again = np.repeat(times > 1, times)
         docs, ref = np.unique(key[first], return_inverse=True)
         entry = np.empty(len(first), _SENT)
-        entry["low"], entry["high"], entry["at"] = h[first] & _U(0xFFFFFFFF), (h[first] >> _U(32)) & _U(0xFFFF), at[first]
+        entry["low"], entry["high"], entry["at"] = h[first] & _U(0xFFFFFFFF), (h[first] >> _U(32)) & _U(0xFF), at[first]
         entry["ref"] = np.where(times > 1, _NOBODY, ref)
         bucket = (h[first] >> _U(48)) % _U(buckets)
         order = np.argsort(bucket, kind="stable")
@@ -102,9 +103,15 @@ def _anchor_blocks(batches: Iterable[pa.RecordBatch], buckets: int) -> Iterator[
             text = np.repeat(np.arange(len(n)), n)
             can = (n[text] >= WINDOW) & (place + ANCHOR <= n[text]) & np.isin(place % PERIOD, COVER)
             at = np.flatnonzero(can)
+            more = int((n >= WINDOW).sum())  # fewer than a slice's bytes over 40
+            if held and texts + more >= _NOBODY:
+                yield flush()
+                texts = 0
+            texts += more
             held.append((h[at], part.column("_key").to_numpy()[text[at]], place[at]))
             if sum(len(x[0]) for x in held) > BLOCK_ENTRIES:
                 yield flush()
+                texts = 0
     if held:
         yield flush()
 
