@@ -10,12 +10,15 @@ A store is a Parquet folder, so it may lie wherever Spark can write. Each row is
 
 from __future__ import annotations
 
+import json
 import os
+import re
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -95,7 +98,6 @@ def _tokenizer_table(path: str) -> WordTable:
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
 
     def encode(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         found: list[list[int]] = []
@@ -107,17 +109,42 @@ def _tokenizer_table(path: str) -> WordTable:
     return WordTable(encode, limit=600_000)  # the library takes long for a word
 
 
+@lru_cache(maxsize=2)
+def _added_tokens(path: str) -> dict[str, int]:
+    """The tokens that the library finds in a text before it splits it, by their literal."""
+    with open(path, encoding="utf-8") as f:
+        added = json.load(f)["added_tokens"]
+    if any(t["single_word"] or t["lstrip"] or t["rstrip"] for t in added):
+        raise ValueError("added tokens that take in white space or stand for whole words only are not supported")
+    return {t["content"]: t["id"] for t in added if t["content"]}
+
+
+def _encode(column: pa.Array, tokenizer: str) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of all texts in a row, and the n + 1 offsets of the texts in them; added tokens cut a text into pieces."""
+    table, added = _tokenizer_table(tokenizer), _added_tokens(tokenizer)
+    if not any(pc.any(pc.match_substring(column, x)).as_py() for x in added):
+        return table.encode_column(column)
+    cut = re.compile("(" + "|".join(re.escape(x) for x in sorted(added, key=len, reverse=True)) + ")")
+    parts = [cut.split(t or "") for t in column.to_pylist()]  # pieces, and the added tokens between them
+    ids, edge = table.encode_column(pa.array([x for p in parts for x in p[::2]], pa.large_string()))
+    between = np.array([i for p in parts for i in [*map(added.__getitem__, p[1::2]), -1]], np.int64)
+    there = between >= 0
+    ids = np.insert(ids, edge[1:][there], between[there].astype(np.uint32))
+    edge = edge + np.concatenate([[0], np.cumsum(there)])
+    return ids, edge[np.cumsum([0, *[len(p) // 2 + 1 for p in parts]])]
+
+
 def write(docs: DataFrame, path: str, tokenizer: str, end_id: int) -> None:
     """Encode ``docs(doc_id, text)`` with the tokenizer file of the tokenizers library into a store at ``path``.
 
-    The tokenizer must be byte-level BPE with the usual split and without a space before the text. Each document's ids
-    end with ``end_id``; a null text is empty. A null doc_id comes first, repeated ones stay side by side. Other
+    The tokenizer must be byte-level BPE with the usual split and without a space before the text. Its added tokens get
+    their ids wherever a text holds their literal, as in the library. Each document's ids end with ``end_id``; a null text is empty. A null doc_id comes first, repeated ones stay side by side. Other
     columns are not stored. Texts move once, to their range of doc_id.
     """
     ordered = docs.select("doc_id", "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id")
 
     def task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, part = _tokenizer_table(tokenizer), TaskContext.get().partitionId()
+        part = TaskContext.get().partitionId()
         state = {"segment": 0, "start": 0}
         held: list[tuple[list, np.ndarray, np.ndarray]] = []
 
@@ -132,7 +159,7 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int) -> None:
 
         for batch in batches:
             for some in slices(batch, "text", 2 << 20):
-                flat, edge = table.encode_column(some.column("text"))
+                flat, edge = _encode(some.column("text"), tokenizer)
                 held.append((some.column("doc_id").to_pylist(), np.insert(flat, edge[1:], end_id), np.diff(edge) + 1))
                 if sum(len(x[1]) for x in held) >= SEGMENT:
                     yield segment()

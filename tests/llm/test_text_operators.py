@@ -85,6 +85,18 @@ def test_token_store(spark, docs, rows, empty):
     assert token_store.read(spark, other).count() == 0
 
 
+def test_added_tokens_in_texts_of_the_store(spark):
+    end = "<|endoftext|>"
+    texts = ["plain", f"a {end} b", end, f"{end}{end}", f"  {end}  x  ", f"don't{end}'s 1", "<|endoftext|", None, f"é{end}ü\n\n", f"<|endof{end}text|>", "after"]
+    path = new_path(spark, "tokens")
+    token_store.write(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").coalesce(1), path, JSON, 0)
+    t, start = Tokenizer.from_file(JSON), 0
+    for r in token_store.read(spark, path).orderBy("doc_id").collect():
+        ids = [*t.encode(texts[r["doc_id"]] or "", add_special_tokens=False).ids, 0]
+        assert (r["start"], np.frombuffer(r["ids"], "<u4").tolist()) == (start, ids)
+        start += len(ids)
+
+
 def test_null_and_repeated_ids_in_the_store(spark):
     path = new_path(spark, "tokens")
     token_store.write(spark.createDataFrame([(1, "b"), (None, "a"), (1, "b"), (2, None)], "doc_id bigint, text string"), path, JSON, 7)
