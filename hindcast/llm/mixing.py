@@ -2,8 +2,10 @@
 
 Documents fall into cells of (source, language, topic). The cells' token counts are raked, margin by margin, until
 the shares of sources, languages and topics are the targets; a cell's factor is its raked over its counted tokens.
-Documents are kept with a probability proportional to the factor of their cell, so that the expected tokens of what is
-kept have the target shares. The draw is a hash of the id: the same at every run and on any cluster.
+Documents are kept with a probability proportional to the factor of their cell and cut at 1, so that the expected
+tokens of what is kept have the target shares, but for cells so rare that all they have is less than their share. How
+much is kept goes by the token-weighted median of the factors or by a budget; no rare cell decides it. The draw is a
+hash of the id: the same at every run and on any cluster.
 """
 
 from __future__ import annotations
@@ -16,6 +18,8 @@ from pyspark.sql import functions as F
 #: Cells are collected and their factors broadcast; there may be at most so many (sources x languages x topics).
 MAX_CELLS = 200_000
 ROUNDS, CLOSE = 200, 1e-10
+#: Without a budget, cells at or above this token-weighted quantile of the factors are kept whole.
+WHOLE_FROM = 0.5
 #: Sources are evened out most; topics keep their shares.
 POWERS = {"source": 0.7, "lang": 0.9, "topic": 1.0}
 SPACES = "[ \\t\\n\\x0B\\f\\r]+"
@@ -76,14 +80,21 @@ def rake(cells: pd.DataFrame, targets: dict[str, pd.Series]) -> np.ndarray:
     return np.divide(weight, counted, out=np.zeros(len(counted)), where=counted > 0)
 
 
+def quantile(values: np.ndarray, weight: np.ndarray, q: float) -> float:
+    """The least value up to which a share ``q`` of the weight lies."""
+    order = np.argsort(values, kind="stable")
+    below = np.cumsum(weight[order])
+    return float(values[order][np.searchsorted(below, q * below[-1])])
+
+
 def mix(docs: DataFrame, targets: dict[str, dict[str, float]] | None = None, powers: dict[str, float] = POWERS, budget: float | None = None, seed: str = "mix", doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Add ``n_tokens``, ``topic``, ``factor``, ``probability`` and ``kept`` to ``docs(doc_id, text, source, lang)``.
 
     ``targets`` gives shares by value for "source", "lang" and "topic"; a margin that is not given is tempered: its
     shares are proportional to its tokens to the power in ``powers``. Null sources and languages count as the empty string. With
-    ``budget`` (expected tokens), probabilities are scaled to meet it and cut at 1; without one, the largest is 1.
-    Documents without words have no weight and the probability of the largest factor, which is to keep them if
-    there is no budget. Repeated rows are drawn alike; a null id is drawn as the empty string. Other columns are kept;
+    ``budget`` (expected tokens), probabilities are scaled to meet it and cut at 1; without one, cells at or above the
+    quantile ``WHOLE_FROM`` of the factors, each token counted, have 1. Documents without words have no weight and are
+    kept. Repeated rows are drawn alike; a null id is drawn as the empty string. Other columns are kept;
     those with the new names are replaced. An empty table gives an empty one.
     """
     tokens = token_count(F.col(text))
@@ -100,9 +111,10 @@ def mix(docs: DataFrame, targets: dict[str, dict[str, float]] | None = None, pow
         named[c] = pd.Series(targets[c], dtype=float) if targets and c in targets else tempered(by, powers[c])
     factor = rake(cells, named)
     some = cells["tokens"].to_numpy(float) > 0
-    scale = 1 / factor[some].max() if some.any() and factor[some].max() > 0 else 0.0
+    weighed = some & (factor > 0)
+    scale = 1 / quantile(factor[weighed], cells["tokens"].to_numpy(float)[weighed], WHOLE_FROM) if weighed.any() else 0.0
     if budget is not None and some.any():
-        low, high = 0.0, 1 / factor[some & (factor > 0)].min() if (some & (factor > 0)).any() else 0.0
+        low, high = 0.0, 1 / factor[weighed].min() if weighed.any() else 0.0
         for _ in range(100):
             scale = (low + high) / 2
             low, high = (scale, high) if (cells["tokens"] * np.minimum(1, scale * factor)).sum() < budget else (low, scale)

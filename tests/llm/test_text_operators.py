@@ -277,6 +277,18 @@ def test_mixing(clashing, rows, empty, spark):
     assert [r["kept"] for r in mixing.mix(nulls).collect()] in ([True, True], [False, False])
 
 
+def test_rare_sources_do_not_decide_how_much_is_kept(spark):
+    def share(rows):
+        out = mixing.mix(spark.createDataFrame([(i, "w " * n, "en", s) for i, (s, n) in enumerate(rows)], "doc_id bigint, text string, lang string, source string"))
+        return out.agg(F.sum(F.col("n_tokens") * F.col("probability")) / F.sum("n_tokens")).first()[0], out
+
+    usual = [("hot", 500)] * 190 + [(f"s{k}", 500) for k in range(19) for _ in range(20)]
+    before, _ = share(usual)
+    after, out = share([*usual, ("tiny", 1), (None, 2), (None, 1)])
+    assert before == pytest.approx(0.84, abs=0.01) and after == pytest.approx(before, abs=0.01)
+    assert {r["source"]: r["probability"] for r in out.select("source", "probability").distinct().collect() if r["source"] in ("tiny", None)} == {"tiny": 1.0, None: 1.0}
+
+
 def shard_rows(df, **more):
     return sharding.assign_shards(df, F.xxhash64("text"), F.octet_length("text") + 1, ["doc_id"], **more)
 
