@@ -1,41 +1,40 @@
 """Language-model scores by a hierarchical Pitman-Yor model.
 
-A token is drawn in the restaurant of its context, the last byte of the word before it (there are at most 256
-contexts, so no table of contexts grows with the corpus). All context restaurants share one parent, the restaurant of
-words without context, whose parent is the uniform distribution over the known words and one unknown word. Customers of
-a dish sit at tables, and each table is a customer in the parent restaurant.
+A token is drawn in the restaurant of its context, the word before it (by its 64-bit hash; the end of a text stands
+before the next one's first word). All context restaurants share one parent, the restaurant of words without context,
+whose parent is the uniform distribution over the known words and one unknown word. Customers of a dish sit at tables,
+and each table is a customer in the parent restaurant.
 
 Seating is sampled by Gibbs sweeps: given all others, the customers of one dish in one restaurant are reseated one
 after another (from the 64th on in doubling blocks, at the block's first rate). Words are dealt to buckets by a hash,
-which puts all restaurants' tables of one word together; buckets share only the totals of the restaurants, which are
-summed between passes. Predictive probabilities use averages over the last sweeps.
+which puts all restaurants' tables of one word together; the totals of a context are summed in the bucket of the
+context and sent to the buckets of words that ask for them. A pair with one customer has one table, so only pairs with
+more take part in the sweeps. Predictive probabilities use averages over the last sweeps.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
-from dataclasses import dataclass
+from collections.abc import Callable, Iterable, Iterator
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hindcast.llm.kernels import mix, slices, text_buffer, word_hashes, words
 from hindcast.llm.shared import written
 
-#: Tokens of a block, packed bytes of a bucket, and buckets at least.
-BLOCK_TOKENS, BUCKET_BYTES, BUCKETS = 1 << 20, 24 << 20, 12
-#: A word is frequent if it makes one of so many tokens; so there are at most so many, whose tables are broadcast.
-FREQUENT = 8192
+#: Tokens of a block, text bytes of a bucket and of a group of documents, and buckets at least.
+BLOCK_TOKENS, BUCKET_BYTES, GROUP_BYTES, BUCKETS = 1 << 20, 12 << 20, 24 << 20, 12
+#: A pair is frequent if it makes one of so many tokens; so there are at most so many, whose scores are broadcast.
+FREQUENT = 1 << 16
 BURN_IN, SAMPLES, STRENGTH = 4, 6, 1.0
-CONTEXTS, START = 256, 0x20  # a space ends no word
 END = np.uint64(0x0123456789ABCDEF)
 _U = np.uint64
 _NULL = np.iinfo(np.int64).max
 _PARTIAL = np.dtype([("doc", "<i8"), ("n", "<u4"), ("known", "<u4"), ("base", "<f8"), ("score", "<f8")])
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[65:91] += 32
 
 
 def tokens(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -43,24 +42,28 @@ def tokens(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     buf, off = text_buffer(column)
     starts, ends, at = words(buf, off)
     h = np.insert(word_hashes(buf, starts, ends, lower=True), at[1:], END)
-    last = np.insert(_LOWER[buf[ends - 1]] if len(ends) else np.zeros(0, np.uint8), at[1:], START)
-    return h, np.concatenate([[START], last[:-1]]).astype(np.uint8), np.diff(at) + 1
+    return h, np.concatenate([np.array([END], _U), h[:-1]])[: len(h)], np.diff(at) + 1
+
+
+def pair_keys(h: np.ndarray, ctx: np.ndarray) -> np.ndarray:
+    return mix(h ^ _U(0x2545F491)) ^ ctx
 
 
 @dataclass
 class Totals:
-    """What all buckets share."""
+    """What all buckets share, and the totals of some contexts."""
 
     n: int  # training tokens
     v: int  # different ones
-    customers: np.ndarray  # of each context
+    customers: np.ndarray  # of each of the contexts
     tables: np.ndarray
     root_tables: float
     d1: float  # discounts of the contexts and of their parent
     d0: float
+    all_tables: float | None = None  # of all contexts, where there are more than those at hand
 
     def root(self, numerator: np.ndarray) -> np.ndarray:
-        return (numerator + (STRENGTH + self.d0 * self.root_tables) / (self.v + 1)) / (STRENGTH + self.tables.sum())
+        return (numerator + (STRENGTH + self.d0 * self.root_tables) / (self.v + 1)) / (STRENGTH + (self.tables.sum() if self.all_tables is None else self.all_tables))
 
     def word(self, numerator: np.ndarray, context: np.ndarray, root: np.ndarray) -> np.ndarray:
         return (numerator + (STRENGTH + self.d1 * self.tables[context]) * root) / (STRENGTH + self.customers[context])
@@ -90,8 +93,8 @@ def _merge(table: pa.Table) -> pa.Table:
     """One bucket's counts: its words, the number of contexts of each, and those with their counts."""
     h, ctx, count = [], [], []
     for w, s, c, k in zip(table["words"], table["sizes"], table["contexts"], table["counts"], strict=True):
-        h.append(np.repeat(np.frombuffer(w.as_buffer(), "<u8"), np.frombuffer(s.as_buffer(), "<u2")))
-        ctx.append(np.frombuffer(c.as_buffer(), np.uint8))
+        h.append(np.repeat(np.frombuffer(w.as_buffer(), "<u8"), np.frombuffer(s.as_buffer(), "<u4")))
+        ctx.append(np.frombuffer(c.as_buffer(), "<u8"))
         count.append(np.frombuffer(k.as_buffer(), "<u4").astype(np.int64))
     return pa.Table.from_batches([_packed([(table["bucket"][0].as_py(), *_grouped(np.concatenate(h), np.concatenate(ctx), np.concatenate(count), "<i8"))])])
 
@@ -103,7 +106,7 @@ def _grouped(h: np.ndarray, ctx: np.ndarray, count: np.ndarray, kind: str) -> tu
     total = np.add.reduceat(count, new) if len(new) else count
     h, ctx = h[new], ctx[new]
     first = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]])) if len(h) else np.zeros(0, np.int64)
-    return h[first].astype("<u8").tobytes(), np.diff(np.append(first, len(h))).astype("<u2").tobytes(), ctx.tobytes(), total.astype(kind).tobytes()
+    return h[first].astype("<u8").tobytes(), np.diff(np.append(first, len(h))).astype("<u4").tobytes(), ctx.astype("<u8").tobytes(), total.astype(kind).tobytes()
 
 
 _COUNTS = pa.schema([("bucket", pa.int32()), *[(c, pa.binary()) for c in ("words", "sizes", "contexts", "counts")]])
@@ -115,7 +118,7 @@ def _packed(rows: list[tuple]) -> pa.RecordBatch:
 
 
 def _unpacked(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    return np.frombuffer(row["words"], "<u8"), np.frombuffer(row["sizes"], "<u2").astype(np.int64), np.frombuffer(row["contexts"], np.uint8), np.frombuffer(row["counts"], "<i8")
+    return np.frombuffer(row["words"], "<u8"), np.frombuffer(row["sizes"], "<u4").astype(np.int64), np.frombuffer(row["contexts"], "<u8"), np.frombuffer(row["counts"], "<i8")
 
 
 def _bucket(h: np.ndarray, buckets: int) -> np.ndarray:
@@ -123,109 +126,186 @@ def _bucket(h: np.ndarray, buckets: int) -> np.ndarray:
 
 
 def _count_blocks(batches: Iterable[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
-    held: list[tuple[np.ndarray, np.ndarray]] = []
+    """Pairs of all documents with their training counts, which are 0 for pairs of held-out documents alone."""
+    held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
 
     def flush() -> pa.RecordBatch:
-        h, ctx = (np.concatenate(x) for x in zip(*held, strict=True))
+        h, ctx, one = (np.concatenate(x) for x in zip(*held, strict=True))
         held.clear()
         b = _bucket(h, buckets)
         order = np.argsort(b, kind="stable")
-        h, ctx, edge = h[order], ctx[order], np.searchsorted(b[order], np.arange(buckets + 1, dtype=_U))
-        return _packed([(k, *_grouped(h[edge[k] : edge[k + 1]], ctx[edge[k] : edge[k + 1]], np.ones(edge[k + 1] - edge[k], np.int64), "<u4")) for k in range(buckets) if edge[k + 1] > edge[k]])
+        h, ctx, one, edge = h[order], ctx[order], one[order], np.searchsorted(b[order], np.arange(buckets + 1, dtype=_U))
+        return _packed([(k, *_grouped(h[edge[k] : edge[k + 1]], ctx[edge[k] : edge[k + 1]], one[edge[k] : edge[k + 1]], "<u4")) for k in range(buckets) if edge[k + 1] > edge[k]])
 
     for batch in batches:
         for part in slices(batch, "text"):
-            h, ctx, _ = tokens(part.column("text"))
-            held.append((h, ctx))
-            if sum(len(x) for x, _ in held) >= BLOCK_TOKENS:
+            h, ctx, n = tokens(part.column("text"))
+            held.append((h, ctx, np.repeat((~part.column("held").to_numpy(zero_copy_only=False)).astype(np.int64), n)))
+            if sum(len(x[0]) for x in held) >= BLOCK_TOKENS:
                 yield flush()
     if held:
         yield flush()
 
 
-def _sweeps(row: dict, totals: Totals, seed: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Gibbs sweeps over one bucket: mean tables of each (word, context), and mean customers and tables of each word
-    in the parent."""
-    h, size, ctx, c = _unpacked(row)
-    word = np.repeat(np.arange(len(h)), size)
-    rng = np.random.default_rng((seed, int(row["bucket"])))
-    t, root_t = np.ones(len(c)), np.ones(len(h))
-    more = np.flatnonzero(c > 1)
-    mean_t, mean_c, mean_r = np.zeros(len(c)), np.zeros(len(h)), np.zeros(len(h))
-    opens = STRENGTH + totals.d1 * totals.tables
+# ---------------------------------------------------------------- totals of contexts
+
+_MESSAGE = "to int, bucket int, contexts binary, customers binary, tables binary"
+_MESSAGE_ARROW = pa.schema([("to", pa.int32()), ("bucket", pa.int32()), *[(c, pa.binary()) for c in ("contexts", "customers", "tables")]])
+
+
+def _message(rows: list[tuple]) -> pa.Table:
+    return pa.table([pa.array([r[k] for r in rows], f.type) for k, f in enumerate(_MESSAGE_ARROW)], schema=_MESSAGE_ARROW)
+
+
+def _distinct(ctx: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Different contexts by their bucket, the place of each of ``ctx`` among them, and the edges of the buckets."""
+    u, of = np.unique(ctx, return_inverse=True)
+    b = _bucket(u, buckets)
+    order = np.argsort(b, kind="stable")
+    place = np.empty(len(u), np.int64)
+    place[order] = np.arange(len(u))
+    return u[order], place[of], np.searchsorted(b[order], np.arange(buckets + 1, dtype=_U))
+
+
+def _send(bucket: int, ctx: np.ndarray, customers: np.ndarray | None, tables: np.ndarray | None, buckets: int) -> pa.Table:
+    """One bucket's sums to the buckets of its contexts, or (without sums) its questions."""
+    u, place, edge = _distinct(ctx, buckets)
+    sums = [np.zeros(0) if x is None else np.bincount(place, x, len(u)).astype("<f8") for x in (customers, tables)]
+    return _message([(k, bucket, u[edge[k] : edge[k + 1]].tobytes(), *[x[edge[k] : edge[k + 1]].tobytes() for x in sums]) for k in range(buckets) if edge[k + 1] > edge[k]])
+
+
+def _joined(table: pa.Table, column: str, kind: str) -> np.ndarray:
+    return np.concatenate([np.zeros(0, kind), *[np.frombuffer(x.as_buffer(), kind) for x in table[column]]])
+
+
+def _added_up(sent: pa.Table) -> pa.Table:
+    """Totals of one bucket's contexts, from the sums of all buckets of words."""
+    u, of = np.unique(_joined(sent, "contexts", "<u8"), return_inverse=True)
+    sums = [np.bincount(of, _joined(sent, c, "<f8"), len(u)).astype("<f8").tobytes() for c in ("customers", "tables")]
+    return _message([(sent["to"][0].as_py(), None, u.tobytes(), *sums)])
+
+
+def _answers(asked: pa.Table, contexts: pa.Table) -> pa.Table:
+    """The totals of the contexts that each bucket of words asks for, in the order in which it asks."""
+    u, c, t = _joined(contexts, "contexts", "<u8"), _joined(contexts, "customers", "<f8"), _joined(contexts, "tables", "<f8")
+    rows = []
+    for row in asked.to_pylist():
+        at = np.searchsorted(u, np.frombuffer(row["contexts"], "<u8"))
+        rows.append((row["to"], row["bucket"], b"", c[at].tobytes(), t[at].tobytes()))
+    return _message(rows)
+
+
+def _local(answers: pa.Table, ctx: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """Customers and tables of each of ``ctx``, by the answers to its bucket."""
+    _, place, _ = _distinct(ctx, buckets)
+    answers = answers.sort_by("to")
+    return _joined(answers, "customers", "<f8")[place], _joined(answers, "tables", "<f8")[place]
+
+
+# ---------------------------------------------------------------- seating
+
+def _sweeps(bucket: int, word: np.ndarray, c: np.ndarray, single: np.ndarray, tables: np.ndarray, totals: Totals, seed: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Gibbs sweeps over one bucket: mean tables of each pair with more than one customer (``c``; ``tables`` are its
+    context's), and mean customers and tables of each word in the parent. ``single``: the other pairs of each word."""
+    rng = np.random.default_rng((seed, bucket))
+    t = np.ones(len(c))
+    there = np.flatnonzero(single + np.bincount(word, minlength=len(single)))  # words of training documents
+    root_t = np.zeros(len(single))
+    root_t[there] = 1
+    mean_t, mean_c, mean_r = np.zeros(len(c)), np.zeros(len(single)), np.zeros(len(single))
+    opens = STRENGTH + totals.d1 * tables
     for sweep in range(BURN_IN + SAMPLES):
-        customers = np.bincount(word, t, len(h))
+        customers = single + np.bincount(word, t, len(single))
         root = totals.root(customers - totals.d0 * root_t)
-        t[more] = reseat(c[more], opens[ctx[more]] * root[word[more]], totals.d1, rng)
-        customers = np.bincount(word, t, len(h))
-        root_t = reseat(customers.astype(np.int64), np.full(len(h), (STRENGTH + totals.d0 * totals.root_tables) / (totals.v + 1)), totals.d0, rng)
+        t = reseat(c, opens * root[word], totals.d1, rng)
+        customers = single + np.bincount(word, t, len(single))
+        root_t[there] = reseat(customers[there].astype(np.int64), np.full(len(there), (STRENGTH + totals.d0 * totals.root_tables) / (totals.v + 1)), totals.d0, rng)
         if sweep >= BURN_IN:
             mean_t += t / SAMPLES
             mean_c += customers / SAMPLES
             mean_r += root_t / SAMPLES
-    return mean_t, mean_c, mean_r, word
+    return mean_t, mean_c, mean_r
+
+
+_SEATS = "bucket int, tables binary, roots binary, added double, root_tables double"
+
+
+def _seat(table: pa.Table, answers: pa.Table, totals: Totals, buckets: int, seed: int) -> pa.Table:
+    row = table.to_pylist()[0]
+    size, c = np.frombuffer(row["sizes"], "<u4").astype(np.int64), np.frombuffer(row["counts"], "<i8")
+    tables = _local(answers, np.frombuffer(row["contexts"], "<u8"), buckets)[1] if len(c) else np.zeros(0)
+    t, customers, root_t = _sweeps(row["bucket"], np.repeat(np.arange(len(size)), size), c, np.frombuffer(row["words"], "<i8").astype(float), tables, totals, seed)
+    out = [row["bucket"], t.astype("<f8").tobytes(), (customers - totals.d0 * root_t).astype("<f8").tobytes(), float((t - 1).sum()), float(root_t.sum())]
+    return pa.table([pa.array([x], k) for x, k in zip(out, [pa.int32(), pa.binary(), pa.binary(), pa.float64(), pa.float64()], strict=True)], ["bucket", "tables", "roots", "added", "root_tables"])
+
+
+def _repeats(row: dict) -> tuple:
+    """One bucket's pairs with more than one customer; in place of each word the number of its pairs with one."""
+    h, size, ctx, c = _unpacked(row)
+    word, more = np.repeat(np.arange(len(h)), size), c > 1
+    return row["bucket"], np.bincount(word, c == 1, len(h)).astype("<i8").tobytes(), np.bincount(word, more, len(h)).astype("<u4").tobytes(), ctx[more].tobytes(), c[more].tobytes()
 
 
 def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(5)) == 1, F.lit(False))
 
 
-def _shared(counts: DataFrame) -> tuple[int, int, np.ndarray, np.ndarray, float, float]:
-    """Totals of the counts: each bucket adds up its own, and Spark adds up the buckets (257 rows each)."""
+def _shared(counts: DataFrame) -> tuple[int, int, int, float, float]:
+    """Training tokens, different words and pairs, and the discounts: each bucket adds up its own."""
+    names = ["n", "v", "pairs", "n1", "n2", "m1", "m2"]
 
     def task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                h, size, ctx, c = _unpacked(row)
-                some = np.bincount(ctx, minlength=CONTEXTS)
-                cols = [np.arange(CONTEXTS), np.bincount(ctx, c, CONTEXTS).astype(np.int64), some, *[np.bincount(ctx, c == k, CONTEXTS).astype(np.int64) for k in (1, 2)]]
-                zero = np.zeros(CONTEXTS, np.int64)
-                head = [zero.copy() for _ in range(3)]
-                head[0][0], head[1][0], head[2][0] = len(h), (size == 1).sum(), (size == 2).sum()
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in [*cols, *head]], ["ctx", "c", "t", "n1", "n2", "v", "m1", "m2"])
+                h, size, _, c = _unpacked(row)
+                some = np.bincount(np.repeat(np.arange(len(h)), size), c > 0, len(h))
+                found = [c.sum(), (some > 0).sum(), (c > 0).sum(), (c == 1).sum(), (c == 2).sum(), (some == 1).sum(), (some == 2).sum()]
+                yield pa.RecordBatch.from_arrays([pa.array([int(x)]) for x in found], names)
+
+    got = counts.mapInArrow(task, ", ".join(f"{x} bigint" for x in names)).agg(*[F.coalesce(F.sum(x), F.lit(0)).alias(x) for x in names]).first()
+    d = [float(np.clip(a / (a + 2 * b) if a else 0.5, 0.1, 0.95)) for a, b in ((got["n1"], got["n2"]), (got["m1"], got["m2"]))]
+    return got["n"], got["v"], got["pairs"], *d
 
-    rows = counts.mapInArrow(task, "ctx bigint, c bigint, t bigint, n1 bigint, n2 bigint, v bigint, m1 bigint, m2 bigint").groupBy("ctx").agg(*[F.sum(x).alias(x) for x in ("c", "t", "n1", "n2", "v", "m1", "m2")]).toPandas()
-    customers, tables = np.zeros(CONTEXTS), np.zeros(CONTEXTS)
-    customers[rows["ctx"]], tables[rows["ctx"]] = rows["c"], rows["t"]
-    n1, n2, m1, m2 = (float(rows[x].sum()) for x in ("n1", "n2", "m1", "m2"))
-    d = [float(np.clip(a / (a + 2 * b) if a else 0.5, 0.1, 0.95)) for a, b in ((n1, n2), (m1, m2))]
-    return int(rows["c"].sum()), int(rows["v"].sum()), customers, tables, *d
 
+_MODEL = "bucket int, counts binary, pairs binary, numbers binary, scores binary, frequent binary"
+_MODEL_ARROW = pa.schema([("bucket", pa.int32()), *[(c, pa.binary()) for c in ("counts", "pairs", "numbers", "scores", "frequent")]])
 
-_MODEL = "bucket int, words binary, sizes binary, contexts binary, numerators binary, counts binary, roots binary"
+
+def _scored(table: pa.Table, others: pa.Table, totals: Totals, buckets: int) -> pa.Table:
+    """One bucket's model: the counts of its words; pairs by key, with the number of their word and their score."""
+    row = table.to_pylist()[0]
+    seats, answers = others.filter(pc.is_valid(others["roots"])).to_pylist()[0], others.filter(pc.is_null(others["roots"]))
+    h, size, ctx, c = _unpacked(row)
+    word = np.repeat(np.arange(len(h)), size)
+    t = (c > 0).astype(float)
+    t[c > 1] = np.frombuffer(seats["tables"], "<f8")
+    customers, tables = _local(answers, ctx, buckets)
+    here = replace(totals, customers=customers, tables=tables)
+    root = here.root(np.frombuffer(seats["roots"], "<f8"))
+    score = np.log10(here.word(c - totals.d1 * t, np.arange(len(c)), root[word]))
+    key, count = pair_keys(h[word], ctx), np.bincount(word, c, len(h)).astype("<i8")
+    order = np.argsort(key, kind="stable")
+    out = [row["bucket"], count.tobytes(), key[order].tobytes(), word[order].astype("<u4").tobytes(), score[order].astype("<f4").tobytes(), np.flatnonzero(c[order] * FREQUENT > totals.n).astype("<u4").tobytes()]
+    return pa.table([pa.array([x], f.type) for x, f in zip(out, _MODEL_ARROW, strict=True)], schema=_MODEL_ARROW)
 
 
 class _Lookup:
-    """Numerators of some words, found by hash."""
-
-    def __init__(self, rows: list[dict], totals: Totals):
-        parts = [(np.frombuffer(r["words"], "<u8"), np.frombuffer(r["sizes"], "<u2").astype(np.int64), np.frombuffer(r["contexts"], np.uint8), np.frombuffer(r["numerators"], "<f4"), np.frombuffer(r["counts"], "<i8"), np.frombuffer(r["roots"], "<f8")) for r in rows]
-        empty = [np.zeros(0, x) for x in ("<u8", np.int64, np.uint8, "<f4", "<i8", "<f8")]
-        self.h, size, ctx, self.numerator, self.count, root = (np.concatenate([e, *p]) for e, p in zip(empty, zip(*parts, strict=True) if parts else [()] * 6, strict=True))
-        order = np.argsort(self.h, kind="stable")
-        number = np.empty(len(order), np.int64)
-        number[order] = np.arange(len(order))
-        pair = np.repeat(number, size) * CONTEXTS + ctx
-        at = np.argsort(pair, kind="stable")
-        self.pair, self.numerator = pair[at], self.numerator[at].astype(float)
-        self.h, self.count, self.root, self.totals = self.h[order], self.count[order], root[order], totals
-
-    def find(self, h: np.ndarray) -> np.ndarray:
-        """The number of each word, or -1."""
-        at = np.minimum(np.searchsorted(self.h, h), max(len(self.h) - 1, 0))
-        return np.where(self.h[at] == h, at, -1) if len(self.h) else np.full(len(h), -1)
-
-    def scores(self, number: np.ndarray, ctx: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Scores of some pairs and the counts of their words, found by key."""
+
+    def __init__(self, keys: np.ndarray, counts: np.ndarray, scores: np.ndarray, totals: Totals):
+        order = np.argsort(keys, kind="stable")
+        self.keys, self.counts, self.found, self.totals = keys[order], counts[order], scores[order], totals
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """The number of each pair, or -1."""
+        if not len(self.keys):
+            return np.full(len(keys), -1)
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        return np.where(self.keys[at] == keys, at, -1)
+
+    def scores(self, number: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Training counts and log10 probabilities of tokens."""
-        known, safe = number >= 0, np.maximum(number, 0)
-        count = np.where(known, self.count[safe], 0) if len(self.h) else np.zeros(len(number), np.int64)
-        numerator = np.zeros(len(number))
-        if len(self.pair):
-            pair = number * CONTEXTS + ctx
-            at = np.minimum(np.searchsorted(self.pair, pair), len(self.pair) - 1)
-            numerator = np.where(known & (self.pair[at] == pair), self.numerator[at], 0.0)
-        root = self.totals.root(np.where(known, self.root[safe], 0.0) if len(self.h) else np.zeros(len(number)))
-        return count, np.log10(self.totals.word(numerator, ctx, root))
+        return self.counts[number], self.found[number].astype(float)
 
 
 def _partials(doc: np.ndarray, count: np.ndarray, score: np.ndarray, totals: Totals) -> np.ndarray:
@@ -238,37 +318,37 @@ def _partials(doc: np.ndarray, count: np.ndarray, score: np.ndarray, totals: Tot
     return out
 
 
-_ASKED = "bucket int, docs binary, words binary, sizes binary, contexts binary, refs binary, known binary"
-_ASKED_ARROW = pa.schema([("bucket", pa.int32()), *[(c, pa.binary()) for c in ("docs", "words", "sizes", "contexts", "refs", "known")]])
+_ASKED = "bucket int, docs binary, pairs binary, sizes binary, refs binary, known binary"
+_ASKED_ARROW = pa.schema([("bucket", pa.int32()), *[(c, pa.binary()) for c in ("docs", "pairs", "sizes", "refs", "known")]])
 
 
 def _ask_blocks(batches: Iterable[pa.RecordBatch], buckets: int, frequent: _Lookup) -> Iterator[pa.RecordBatch]:
-    """Tokens to be scored, by bucket of their word; those of frequent words are scored here."""
+    """Tokens to be scored, by bucket of their word; those of frequent pairs are scored here."""
     held: list[tuple[np.ndarray, ...]] = []
 
     def flush() -> pa.RecordBatch:
-        h, ctx, doc = (np.concatenate(x) for x in zip(*held, strict=True))
+        h, key, doc = (np.concatenate(x) for x in zip(*held, strict=True))
         held.clear()
-        number = frequent.find(h)
+        number = frequent.find(key)
         there = number >= 0
-        known = _partials(doc[there], *frequent.scores(number[there], ctx[there]), frequent.totals)
-        h, ctx, doc = h[~there], ctx[~there], doc[~there]
+        known = _partials(doc[there], *frequent.scores(number[there]), frequent.totals)
+        h, key, doc = h[~there], key[~there], doc[~there]
         b = _bucket(h, buckets)
-        order = np.lexsort((h, b))
-        h, ctx, doc, edge = h[order], ctx[order], doc[order], np.searchsorted(b[order], np.arange(buckets + 1, dtype=_U))
+        order = np.lexsort((key, b))
+        key, doc, edge = key[order], doc[order], np.searchsorted(b[order], np.arange(buckets + 1, dtype=_U))
         carrier, rows = int(known["doc"][0]) % buckets if len(known) else 0, []
         for k in range(buckets):
-            x, some = h[edge[k] : edge[k + 1]], slice(edge[k], edge[k + 1])
+            x, some = key[edge[k] : edge[k + 1]], slice(edge[k], edge[k + 1])
             if len(x) or k == carrier:
                 first = np.flatnonzero(np.concatenate([[True], x[1:] != x[:-1]])) if len(x) else np.zeros(0, np.int64)
                 docs, ref = np.unique(doc[some], return_inverse=True)
-                rows.append((k, docs.astype("<i8").tobytes(), x[first].tobytes(), np.diff(np.append(first, len(x))).astype("<u4").tobytes(), ctx[some].tobytes(), ref.astype("<u2" if len(docs) <= 65536 else "<u4").tobytes(), known.tobytes() if k == carrier else b""))
+                rows.append((k, docs.astype("<i8").tobytes(), x[first].tobytes(), np.diff(np.append(first, len(x))).astype("<u4").tobytes(), ref.astype("<u2" if len(docs) <= 65536 else "<u4").tobytes(), known.tobytes() if k == carrier else b""))
         return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], f.type) for k, f in enumerate(_ASKED_ARROW)], schema=_ASKED_ARROW)
 
     for batch in batches:
         for part in slices(batch, "text"):
             h, ctx, n = tokens(part.column("text"))
-            held.append((h, ctx, np.repeat(part.column("_doc").to_numpy(), n)))
+            held.append((h, pair_keys(h, ctx), np.repeat(part.column("_doc").to_numpy(), n)))
             if sum(len(x[0]) for x in held) >= BLOCK_TOKENS:
                 yield flush()
     if held:
@@ -277,14 +357,14 @@ def _ask_blocks(batches: Iterable[pa.RecordBatch], buckets: int, frequent: _Look
 
 def _answer(asked: pa.Table, model: pa.Table, totals: Totals, groups: int) -> pa.Table:
     """Scores of one bucket's tokens, summed by document."""
-    lookup = _Lookup(model.to_pylist(), totals)
+    count, number = _joined(model, "counts", "<i8"), _joined(model, "numbers", "<u4")
+    lookup = _Lookup(_joined(model, "pairs", "<u8"), count[number], _joined(model, "scores", "<f4"), totals)
     found = []
     for row in asked.to_pylist():
-        size = np.frombuffer(row["sizes"], "<u4").astype(np.int64)
-        docs, ctx = np.frombuffer(row["docs"], "<i8"), np.frombuffer(row["contexts"], np.uint8)
+        docs = np.frombuffer(row["docs"], "<i8")
         ref = np.frombuffer(row["refs"], "<u2" if len(docs) <= 65536 else "<u4")
-        number = np.repeat(lookup.find(np.frombuffer(row["words"], "<u8")), size)
-        found += [_partials(docs[ref], *lookup.scores(number, ctx), totals), np.frombuffer(row["known"], _PARTIAL)]
+        pair = np.repeat(lookup.find(np.frombuffer(row["pairs"], "<u8")), np.frombuffer(row["sizes"], "<u4").astype(np.int64))
+        found += [_partials(docs[ref], *lookup.scores(pair), totals), np.frombuffer(row["known"], _PARTIAL)]
     every = _added(np.concatenate(found)) if found else np.zeros(0, _PARTIAL)
     group = every["doc"] % groups
     order = np.argsort(group, kind="stable")
@@ -319,51 +399,64 @@ def language_model_scores(docs: DataFrame, doc_id: str = "doc_id", text: str = "
     spark = docs.sparkSession
     rows = docs.select(F.coalesce(F.col(doc_id).cast("bigint"), F.lit(_NULL)).alias("_doc"), held_out(F.col(doc_id)).alias("held"), F.col(text).alias("text"))
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    buckets = max(BUCKETS, size * 3 // 4 // BUCKET_BYTES + 1)  # about 3 packed bytes a token, and 4 bytes of text
-    groups = max(int(spark.conf.get("spark.sql.shuffle.partitions")), size // BUCKET_BYTES + 1)
-    counted = rows.where(~F.col("held")).select("text").mapInArrow(lambda b: _count_blocks(b, buckets), COUNTS)
+    buckets = max(BUCKETS, size // BUCKET_BYTES + 1)
+    groups = max(int(spark.conf.get("spark.sql.shuffle.partitions")), size // GROUP_BYTES + 1)
+    counted = rows.select("held", "text").mapInArrow(lambda b: _count_blocks(b, buckets), COUNTS)
     counts = written(counted.groupBy("bucket").applyInArrow(_merge, COUNTS), "counts")
-    n, v, customers, tables, d1, d0 = _shared(counts)
-    totals = Totals(n, v, customers, tables, float(v), d1, d0)
-
-    def seat(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                t, c, r, word = _sweeps(row, totals, seed)
-                h, sizes, ctx, count = _unpacked(row)
-                out = [row["bucket"], row["words"], row["sizes"], row["contexts"], (count - totals.d1 * t).astype("<f4").tobytes(), np.bincount(word, count, len(h)).astype("<i8").tobytes(), (c - totals.d0 * r).astype("<f8").tobytes()]
-                out += [np.bincount(ctx, t, CONTEXTS).tolist(), float(r.sum())]
-                kinds = [pa.int32(), *[pa.binary()] * 6, pa.list_(pa.float64()), pa.float64()]
-                yield pa.RecordBatch.from_arrays([pa.array([x], k) for x, k in zip(out, kinds, strict=True)], ["bucket", "words", "sizes", "contexts", "numerators", "counts", "roots", "tables", "root_tables"])
-
-    schema = _MODEL + ", tables array<double>, root_tables double"
-
-    def summed(model: DataFrame) -> Totals:
-        by_context = model.select(F.posexplode("tables").alias("ctx", "t")).groupBy("ctx").agg(F.sum("t").alias("t")).toPandas()
-        new = np.zeros(CONTEXTS)
-        new[by_context["ctx"]] = by_context["t"]
-        return Totals(n, v, customers, new, float(model.agg(F.sum("root_tables")).first()[0] or 0), d1, d0)
-
-    # a pass with the totals of one table for each (word, context), and one with the totals that it sampled
-    totals = summed(written(counts.mapInArrow(seat, schema).select("tables", "root_tables"), "seats"))
-    model = written(counts.mapInArrow(seat, schema), "model")
-    totals = summed(model)
-    parts = model.drop("tables", "root_tables")
-    frequent = _Lookup(parts.mapInArrow(lambda b: _frequent(b, n), _MODEL).toPandas().to_dict("records"), totals)
-    shared = spark.sparkContext.broadcast(frequent)
+    n, v, pairs, d1, d0 = _shared(counts)
+    none = np.zeros(0)
+    totals = Totals(n, v, none, none, float(v), d1, d0, float(pairs))
+
+    def each(df: DataFrame, f: Callable[[dict], pa.Table | pa.RecordBatch], schema: str) -> DataFrame:
+        def task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for row in batch.to_pylist():
+                    out = f(row)
+                    yield from out.to_batches() if isinstance(out, pa.Table) else [out]
+
+        return df.mapInArrow(task, schema)
+
+    def first_sums(row: dict) -> pa.Table:
+        _, _, ctx, c = _unpacked(row)
+        return _send(row["bucket"], ctx, c, c > 0, buckets)
+
+    def more_tables(row: dict) -> pa.Table:
+        t = np.frombuffer(row["tables"], "<f8")
+        return _send(row["bucket"], np.frombuffer(row["contexts"], "<u8"), np.zeros(len(t)), t - 1, buckets)
+
+    def answered(df: DataFrame, contexts: DataFrame) -> DataFrame:
+        asked = each(df.select("bucket", "contexts"), lambda r: _send(r["bucket"], np.frombuffer(r["contexts"], "<u8"), None, None, buckets), _MESSAGE)
+        return asked.groupBy("to").cogroup(contexts.groupBy("to")).applyInArrow(_answers, _MESSAGE)
+
+    repeats = written(each(counts, lambda r: _packed([_repeats(r)]), COUNTS), "repeats")
+    first = written(each(counts, first_sums, _MESSAGE).groupBy("to").applyInArrow(_added_up, _MESSAGE), "contexts")
+    contexts = first
+    # a pass with the totals of one table for each (context, word), and one with the totals that it sampled
+    for _ in range(2):
+        shared = totals
+        seated = repeats.groupBy("bucket").cogroup(answered(repeats, contexts).groupBy("bucket")).applyInArrow(lambda r, a: _seat(r, a, shared, buckets, seed), _SEATS)
+        seats = written(seated, "seats")
+        added, root_tables = seats.agg(F.sum("added"), F.sum("root_tables")).first()
+        totals = replace(totals, root_tables=float(root_tables or 0), all_tables=float(pairs + (added or 0)))
+        more = each(seats.select("bucket", "tables").join(repeats.select("bucket", "contexts"), "bucket"), more_tables, _MESSAGE)
+        contexts = written(first.unionByName(more).groupBy("to").applyInArrow(_added_up, _MESSAGE), "contexts")
     final = totals
-    asked = rows.select("_doc", "text").mapInArrow(lambda b: _ask_blocks(b, buckets, shared.value), _ASKED)
-    answers = asked.groupBy("bucket").cogroup(parts.groupBy("bucket")).applyInArrow(lambda a, m: _answer(a, m, final, groups), "group int, partials binary")
+    others = answered(counts, contexts).withColumn("roots", F.lit(None).cast("binary")).select("bucket", "to", "customers", "tables", "roots")
+    others = others.unionByName(seats.select("bucket", "tables", "roots"), allowMissingColumns=True)
+    model = written(counts.groupBy("bucket").cogroup(others.groupBy("bucket")).applyInArrow(lambda c, o: _scored(c, o, final, buckets), _MODEL), "model")
+    often = model.mapInArrow(_frequent, "pair binary, counts binary, scores binary").toArrow()
+    frequent = spark.sparkContext.broadcast(_Lookup(_joined(often, "pair", "<u8"), _joined(often, "counts", "<i8"), _joined(often, "scores", "<f4"), final))
+    asked = rows.select("_doc", "text").mapInArrow(lambda b: _ask_blocks(b, buckets, frequent.value), _ASKED)
+    answers = asked.groupBy("bucket").cogroup(model.groupBy("bucket")).applyInArrow(lambda a, m: _answer(a, m, final, groups), "group int, partials binary")
     out = answers.groupBy("group").applyInArrow(_finished, "doc_id bigint, n_tokens bigint, n_known bigint, base_score double, score double")
     return out.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "n_tokens", "n_known", F.lit(n).cast("bigint").alias("train_tokens"), "base_score", "score")
 
 
-def _frequent(batches: Iterable[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatch]:
-    """The rows of the model with frequent words alone."""
+def _frequent(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The frequent pairs of the model alone."""
     for batch in batches:
         for row in batch.to_pylist():
-            size, count = np.frombuffer(row["sizes"], "<u2").astype(np.int64), np.frombuffer(row["counts"], "<i8")
-            keep = count * FREQUENT > n
-            pairs = np.repeat(keep, size)
-            cut = [np.frombuffer(row[c], k)[m].tobytes() for c, k, m in (("words", "<u8", keep), ("sizes", "<u2", keep), ("contexts", np.uint8, pairs), ("numerators", "<f4", pairs), ("counts", "<i8", keep), ("roots", "<f8", keep))]
-            yield pa.RecordBatch.from_arrays([pa.array([row["bucket"]], pa.int32()), *[pa.array([c], pa.binary()) for c in cut]], ["bucket", "words", "sizes", "contexts", "numerators", "counts", "roots"])
+            some = np.frombuffer(row["frequent"], "<u4")
+            count = np.frombuffer(row["counts"], "<i8")[np.frombuffer(row["numbers"], "<u4")[some]]
+            cut = [np.frombuffer(row["pairs"], "<u8")[some], count, np.frombuffer(row["scores"], "<f4")[some]]
+            yield pa.RecordBatch.from_arrays([pa.array([x.tobytes()], pa.binary()) for x in cut], ["pair", "counts", "scores"])

@@ -211,6 +211,22 @@ def test_language_model(docs, rows, empty, spark):
     assert [(r["doc_id"], r["n_tokens"]) for r in one] == [(None, 4)]
 
 
+def test_language_model_learns_word_pairs(spark):
+    """Words that follow one another in fixed pairs, where all first words end in the same byte."""
+    import random
+
+    rng = random.Random(2)
+    text = lambda: " ".join(f"{k}x {k}y" for k in (rng.randrange(40) for _ in range(60)))
+    rows = [(i, text()) for i in range(60)]
+    broken = (1003, " ".join(f"{k}x {(k + 1) % 40}y" for k in range(40)))
+    got = {r["doc_id"]: r for r in pitman_yor.language_model_scores(spark.createDataFrame([*rows, broken], "doc_id bigint, text string").repartition(3)).collect()}
+    held = [r for i, r in got.items() if r["held_out"] and i < 1000]
+    assert held
+    for r in held:  # of two words, one follows from the other
+        assert r["score"] > 0.65 * r["base_score"]
+    assert got[1003]["held_out"] and got[1003]["score"] < got[1003]["base_score"]
+
+
 def test_language_model_probabilities_add_up_to_one():
     totals = pitman_yor.Totals(100, 2, np.zeros(256), np.zeros(256), 3.0, 0.5, 0.5)
     totals.customers[65], totals.tables[65], totals.tables[66] = 10, 4, 1
