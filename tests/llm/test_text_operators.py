@@ -309,6 +309,19 @@ def shard_rows(df, **more):
     return sharding.assign_shards(df, F.xxhash64("text"), F.octet_length("text") + 1, ["doc_id"], **more)
 
 
+@pytest.mark.parametrize("hot", [1715669780721960923, -(2**62) - 12345, 7])
+def test_a_hot_key_is_dealt_over_many_ranges(spark, hot):
+    rows = spark.range(30_000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 3 == 0, hot).otherwise(F.xxhash64("id")).alias("k"), F.lit(10).alias("bytes"))
+    ranges = sharding.ranged(rows, F.col("k"), F.col("bytes"), ["doc_id"], ranges=256)
+    counts = {r["_range"]: (r["n"], r["hot"]) for r in ranges.groupBy("_range").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("k") == hot).alias("hot")).collect()}
+    assert max(n for n, _ in counts.values()) < 5 * 30_000 / 256
+    assert sum(h > 0 for _, h in counts.values()) > 60
+    placed = sharding.assign_shards(rows, F.col("k"), F.col("bytes"), ["doc_id"], ranges=256)
+    shards = {r["shard"]: (r["n"], r["hot"]) for r in placed.groupBy("shard").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("k") == hot).alias("hot")).collect()}
+    assert all(abs(n - 1875) <= 1 for n, _ in shards.values())
+    assert sum(h > 0 for _, h in shards.values()) <= 7  # copies stay side by side
+
+
 def test_sharding(clashing, spark, empty):
     many = spark.range(4000).selectExpr("id AS doc_id", "CASE WHEN id % 3 = 0 THEN 'hot' ELSE repeat(cast(id AS string), 1 + cast(id % 50 AS int)) END AS text")
     got = shard_rows(many, ranges=64).collect()
