@@ -74,13 +74,19 @@ class Model:
     def bins(self, x: np.ndarray) -> np.ndarray:
         return np.stack([np.searchsorted(e, x[:, j], side="right") for j, e in enumerate(self.edges)], axis=1)
 
+    def coarse(self, bins: np.ndarray) -> np.ndarray:
+        """Bins for tables of pairs: those of each feature in ``PAIR_BINS`` even parts, or one by one if they are few."""
+        n = np.array([len(e) + 1 for e in self.edges])
+        return np.where(n <= PAIR_BINS, bins, bins * PAIR_BINS // np.maximum(n, 1))
+
     def score(self, x: np.ndarray) -> np.ndarray:
         b = self.bins(x)
         total = np.full(len(x), self.base)
         for j, t in enumerate(self.tables):
             total += t[b[:, j]]
+        coarse = self.coarse(b)
         for i, j, t in self.pairs:
-            total += t[b[:, i] * PAIR_BINS // BINS, b[:, j] * PAIR_BINS // BINS]
+            total += t[coarse[:, i], coarse[:, j]]
         return 1 / (1 + np.exp(-total))
 
 
@@ -121,10 +127,21 @@ def _pair_tree(g: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, float]:
     return best
 
 
+def _edges(x: np.ndarray) -> np.ndarray:
+    """Edges of a feature's bins: its most frequent value has a bin of its own, quantiles of the others make the rest."""
+    if not len(x):
+        return np.zeros(0)
+    values, count = np.unique(x, return_counts=True)
+    mode = values[count.argmax()]
+    rest = x[x != mode]
+    even = np.quantile(rest, np.arange(1, BINS - 2) / (BINS - 2)) if len(rest) else np.zeros(0)
+    return np.unique(np.concatenate([even, [mode, np.nextafter(mode, np.inf)]]))
+
+
 def fit_rows(x: np.ndarray, y: np.ndarray) -> Model:
     """Fit features and labels (0 or 1). Without rows, or with one label only, the model is a constant."""
     rate = (y.sum() + 1) / (len(y) + 2)
-    edges = [np.unique(np.quantile(x[:, j], np.arange(1, BINS) / BINS)) if len(x) else np.zeros(0) for j in range(len(FEATURES))]
+    edges = [_edges(x[:, j]) for j in range(len(FEATURES))]
     model = Model(float(np.log(rate / (1 - rate))), edges, [np.zeros(BINS) for _ in FEATURES], [])
     if len(np.unique(y)) < 2:
         return model
@@ -139,7 +156,7 @@ def fit_rows(x: np.ndarray, y: np.ndarray) -> Model:
             step = RATE * _tree(*sums(b[:, j], BINS))
             model.tables[j] += step
             total += step[b[:, j]]
-    coarse = b * PAIR_BINS // BINS
+    coarse = model.coarse(b)
     cell = {(i, j): coarse[:, i] * PAIR_BINS + coarse[:, j] for i in range(len(FEATURES)) for j in range(i)}
     shape = (PAIR_BINS, PAIR_BINS)
     gains = {p: _pair_tree(*(s.reshape(shape) for s in sums(c, PAIR_BINS**2)))[1] for p, c in cell.items()}
@@ -159,7 +176,9 @@ def held_out(doc_id: Column) -> Column:
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", sample_rows: int = SAMPLE_ROWS) -> Model:
     """Fit on ``docs(doc_id, text)`` and ``labels(doc_id, label)``, by at most ``sample_rows`` labelled rows that are
-    not held out. Null labels and ids are left out; with repeated labels of a document, the larger one counts."""
+    not held out. Null labels and ids are left out; with repeated labels of a document, the larger one counts, and of
+    repeated rows of a document the one with the least features. Null and empty texts have zeros. Other columns of both tables are not looked at;
+    empty tables give a constant model."""
     known = labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max(label).cast("int").alias("_y"))
     known = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows)
 
@@ -171,8 +190,8 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", sample_rows:
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("_y"), rows], ["doc_id", "_y", "x"])
 
     rows = docs.select("doc_id", "text").join(F.broadcast(known), "doc_id").select("doc_id", "_y", "text").mapInArrow(task, T.StructType([docs.schema["doc_id"], T.StructField("_y", T.IntegerType()), T.StructField("x", T.ArrayType(T.DoubleType()))]))
-    got = rows.toPandas().sort_values("doc_id", kind="stable")  # bounded by sample_rows, but for repeated documents
-    got = got.drop_duplicates("doc_id")
+    # repeated documents count once, so that the driver gets sample_rows rows of numbers at most
+    got = rows.groupBy("doc_id").agg(F.min("x").alias("x"), F.max("_y").alias("_y")).toPandas().sort_values("doc_id", kind="stable")
     x = np.array(got["x"].to_list(), float).reshape(-1, len(FEATURES))
     return fit_rows(x, got["_y"].to_numpy(float))
 
