@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -11,9 +12,12 @@ KEY = "spark.checkpoint.dir"
 
 
 def folder(spark: SparkSession) -> str:
-    """The cluster's folder for checkpoints; a temporary one of this machine only where none is named, as in tests."""
+    """The cluster's folder for checkpoints. Where none is named, a temporary one in local mode, where driver and
+    executors are one process, and an error on a cluster, whose executors do not share such a folder."""
     named = spark.conf.get(KEY, None) or spark.sparkContext.getCheckpointDir()
     if not named:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise ValueError(f"name a folder that all executors share in {KEY}")
         named = "file://" + tempfile.mkdtemp(prefix="hindcast-")
         spark.sparkContext.setCheckpointDir(named)
     return named.rstrip("/")
@@ -31,5 +35,14 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(*tables: DataFrame) -> None:
+    """Delete tables of ``written`` that nothing reads any more."""
+    for df in tables:
+        for path in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+            if "/hindcast/" in path:
+                where = df.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
+                where.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
