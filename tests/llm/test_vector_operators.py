@@ -67,6 +67,28 @@ def test_neighbours(spark, rows):
     assert nearest_neighbours(df.limit(0), F.col("vec_id") % 50 == 0).count() == 0
 
 
+def test_codes_decide_and_recall_holds(spark, monkeypatch):
+    """6,000 vectors with 600 near copies of one: distances by codes cut far below the vectors that are searched."""
+    monkeypatch.setattr("hindcast.llm.neighbours.RERANK", 60)
+    rng = np.random.default_rng(8)
+    x = rng.standard_normal((6000, 16))
+    x[3000:3600] = x[0] + 0.02 * rng.standard_normal((600, 16))
+    rows = [(i, [float(v) for v in r], None) for i, r in enumerate(x)] + [(50, [9.0] * 16, None)]
+    got: dict[int, list] = {}
+    for r in nearest_neighbours(spark.createDataFrame(rows, SCHEMA), F.col("vec_id") % 50 == 0).collect():
+        got.setdefault(r["query_id"], set()).add(r["vec_id"])
+    x[50] = min(list(np.float64(np.float32(x[50]))), [9.0] * 16)
+    u = np.float64(np.float32(x))
+    u /= np.linalg.norm(u, axis=1, keepdims=True)
+    hits = 0
+    assert len(got) == 120
+    for q, found in got.items():
+        score = u @ u[q]
+        score[q] = -2
+        hits += len(set(np.lexsort((np.arange(len(u)), -score))[:5].tolist()) & found)
+    assert hits >= 0.9 * 5 * 120
+
+
 @pytest.mark.parametrize("most", [10**6, 0])
 def test_components(spark, monkeypatch, most):
     monkeypatch.setattr("hindcast.llm.graph.TASK_EDGES", most)
