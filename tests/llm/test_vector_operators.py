@@ -47,6 +47,40 @@ def test_near_duplicates(spark, rows):
     assert [(r["n_links"], r["kept"]) for r in twice] == [(0, True)]
 
 
+@pytest.mark.parametrize("large", [32, 3])
+def test_planted_links_near_the_threshold(spark, monkeypatch, large):
+    """2,000 unrelated vectors of one label, 400 pairs at cosines from 0.90 to 0.99, and a family of 50 near copies."""
+    monkeypatch.setattr("hindcast.llm.near_vectors.LARGE", large)
+    rng = np.random.default_rng(6)
+    x = rng.standard_normal((2000, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    off = rng.standard_normal((400, 64))
+    off -= (off * x[:400]).sum(axis=1, keepdims=True) * x[:400]
+    off /= np.linalg.norm(off, axis=1, keepdims=True)
+    c = np.linspace(0.90, 0.99, 400)[:, None]
+    family = x[1999] + 0.02 * rng.standard_normal((50, 64))
+    y = np.float32(np.concatenate([x, c * x[:400] + np.sqrt(1 - c**2) * off, family]))
+    got = {r["vec_id"]: r["n_links"] for r in near_duplicates(spark.createDataFrame([(i, [float(v) for v in r], 1) for i, r in enumerate(y)], SCHEMA)).collect()}
+    u = np.float64(y)
+    u /= np.linalg.norm(u, axis=1, keepdims=True)
+    links = (u @ u.T >= 0.93).sum(axis=1) - 1
+    assert links.sum() > 3000
+    missed = sum(int(links[i]) - n for i, n in got.items())
+    assert all(n <= links[i] for i, n in got.items())
+    assert missed <= 4  # of 3,100 ends of links, those at the very threshold
+    assert all(got[i] == links[i] for i in range(200, 400))  # at 0.945 and above
+    assert all(got[i] == 50 for i in [1999, *range(2400, 2450)])
+
+
+def test_tables_grow_with_the_vectors():
+    from hindcast.llm.near_vectors import _same_cell, shape
+
+    for n in (10, 10**4, 10**8):
+        tables, hashes = shape(n, 0.93)
+        assert n * _same_cell(2**0.5) ** hashes < 1
+        assert (1 - _same_cell(0.14**0.5) ** hashes) ** tables <= 0.001
+
+
 def test_neighbours(spark, rows):
     df = spark.createDataFrame(rows, SCHEMA)
     got: dict[int, list] = {}
