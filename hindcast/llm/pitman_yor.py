@@ -1,300 +1,365 @@
 """Language-model scores by a hierarchical Pitman-Yor model.
 
-A token is drawn in the restaurant of its context, the word before it (by its 64-bit hash; the end of a text stands
+A token is drawn in the restaurant of its context, the word before it (by its 48-bit hash; the end of a text stands
 before the next one's first word). All context restaurants share one parent, the restaurant of words without context,
 whose parent is the uniform distribution over the known words and one unknown word. Customers of a dish sit at tables,
 and each table is a customer in the parent restaurant.
 
-Seating is sampled by Gibbs sweeps: given all others, the customers of one dish in one restaurant are reseated one
-after another (from the 64th on in doubling blocks, at the block's first rate). Words are dealt to buckets by a hash,
-which puts all restaurants' tables of one word together; the totals of a context are summed in the bucket of the
-context and sent to the buckets of words that ask for them. A pair with one customer has one table, so only pairs with
-more take part in the sweeps. Predictive probabilities use averages over the last sweeps.
+Seating is sampled by Gibbs sweeps. Contexts are dealt to buckets by a hash (a very frequent one over several buckets,
+by its words), and words to parts by theirs. In a sweep, the buckets seat the customers of their contexts anew, given
+the parent's probabilities; the parts then seat the tables of all contexts anew in the parent. After ``BURN_IN``
+sweeps, each of ``SAMPLES`` sweeps is a sample, and a token's probability is the mean of its predictive probabilities
+under the samples.
+
+Bucketed tables hold what does not change (pairs with their counts; words with the buckets that ask for them), so that
+only sums by word travel between sweeps.
 """
 
 from __future__ import annotations
 
+from collections import defaultdict
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hindcast.llm.kernels import mix, slices, text_buffer, word_hashes, words
-from hindcast.llm.shared import written
-
-#: Tokens of a block, text bytes of a bucket and of a group of documents, and buckets at least.
-BLOCK_TOKENS, BUCKET_BYTES, GROUP_BYTES, BUCKETS = 1 << 20, 12 << 20, 24 << 20, 12
-#: A pair is frequent if it makes one of so many tokens; so there are at most so many, whose scores are broadcast.
-FREQUENT = 1 << 16
-BURN_IN, SAMPLES, STRENGTH = 4, 6, 1.0
-END = np.uint64(0x0123456789ABCDEF)
+from hindcast.llm.seating import sample_tables, sweep
+from hindcast.llm.shared import Scratch
+
+#: Tokens of a block, text bytes of a bucket and of a group of documents; buckets, and parts of the words, at least.
+BLOCK_TOKENS, BUCKET_BYTES, GROUP_BYTES, BUCKETS, PARTS = 1 << 21, 12 << 20, 24 << 20, 24, 8
+#: A pair is frequent, or a context is very frequent, only if it makes one of so many tokens: that bounds how many there are.
+FREQUENT, HOT = 1 << 17, 1 << 18
+BURN_IN, SAMPLES, THETA = 2, 3, 1.0
 _U = np.uint64
+MASK = _U((1 << 48) - 1)
+END = _U(0x0123456789ABCDEF) & MASK
 _NULL = np.iinfo(np.int64).max
-_PARTIAL = np.dtype([("doc", "<i8"), ("n", "<u4"), ("known", "<u4"), ("base", "<f8"), ("score", "<f8")])
+_FIXED = float(1 << 30)  # log10 probabilities travel as multiples of 2 ** -30
 
 
 def tokens(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Hashes and contexts of all tokens of some texts, and the number of tokens of each: its words and one end."""
     buf, off = text_buffer(column)
     starts, ends, at = words(buf, off)
-    h = np.insert(word_hashes(buf, starts, ends, lower=True), at[1:], END)
+    h = np.insert(word_hashes(buf, starts, ends, lower=True) & MASK, at[1:], END)
     return h, np.concatenate([np.array([END], _U), h[:-1]])[: len(h)], np.diff(at) + 1
 
 
 def pair_keys(h: np.ndarray, ctx: np.ndarray) -> np.ndarray:
-    return mix(h ^ _U(0x2545F491)) ^ ctx
+    return mix(mix(h ^ _U(0x2545F491)) ^ ctx)
 
 
-@dataclass
-class Totals:
-    """What all buckets share, and the totals of some contexts."""
+# ---------------------------------------------------------------- messages
 
-    n: int  # training tokens
-    v: int  # different ones
-    customers: np.ndarray  # of each of the contexts
-    tables: np.ndarray
-    root_tables: float
-    d1: float  # discounts of the contexts and of their parent
-    d0: float
-    all_tables: float | None = None  # of all contexts, where there are more than those at hand
-
-    def root(self, numerator: np.ndarray) -> np.ndarray:
-        return (numerator + (STRENGTH + self.d0 * self.root_tables) / (self.v + 1)) / (STRENGTH + (self.tables.sum() if self.all_tables is None else self.all_tables))
-
-    def word(self, numerator: np.ndarray, context: np.ndarray, root: np.ndarray) -> np.ndarray:
-        return (numerator + (STRENGTH + self.d1 * self.tables[context]) * root) / (STRENGTH + self.customers[context])
-
-
-def reseat(customers: np.ndarray, weight: np.ndarray, d: float, rng: np.random.Generator) -> np.ndarray:
-    """Tables of each dish after its customers were seated one after another; ``weight`` opens a new table."""
-    order = np.argsort(-customers, kind="stable")
-    c, w, t = customers[order], weight[order], np.ones(len(order))
-    i = 1
-    while len(c) and i < c[0]:
-        k = int(np.searchsorted(-c, -i))  # those with more than i customers
-        to = 2 * i if i >= 64 else i + 1
-        stop = np.minimum(to, c[:k])
-        taken = np.maximum(i - d * t[:k], 1e-9)
-        if to == i + 1:
-            t[:k] += rng.random(k) * (w[:k] + taken) < w[:k]
-        else:
-            t[:k] += np.minimum(rng.poisson(w[:k] * np.log((w[:k] + taken + stop - i) / (w[:k] + taken))), stop - i)
-        i = to
-    out = np.empty(len(t))
-    out[order] = t
-    return out
+_KINDS = [pa.int32(), pa.string(), pa.int32(), *[pa.binary()] * 5, pa.float64(), pa.float64()]
+_NAMES = ["key", "kind", "part", "a", "b", "c", "d", "e", "x", "y"]
+MESSAGE = "key int, kind string, part int, a binary, b binary, c binary, d binary, e binary, x double, y double"
 
 
-def _merge(table: pa.Table) -> pa.Table:
-    """One bucket's counts: its words, the number of contexts of each, and those with their counts."""
-    h, ctx, count = [], [], []
-    for w, s, c, k in zip(table["words"], table["sizes"], table["contexts"], table["counts"], strict=True):
-        h.append(np.repeat(np.frombuffer(w.as_buffer(), "<u8"), np.frombuffer(s.as_buffer(), "<u4")))
-        ctx.append(np.frombuffer(c.as_buffer(), "<u8"))
-        count.append(np.frombuffer(k.as_buffer(), "<u4").astype(np.int64))
-    return pa.Table.from_batches([_packed([(table["bucket"][0].as_py(), *_grouped(np.concatenate(h), np.concatenate(ctx), np.concatenate(count), "<i8"))])])
+def put(x: np.ndarray) -> bytes:
+    """Whole numbers as eight planes of bytes, of which the upper ones are mostly zeros and compress away."""
+    return np.ascontiguousarray(x.astype("<u8").view(np.uint8).reshape(-1, 8).T).tobytes()
 
 
-def _grouped(h: np.ndarray, ctx: np.ndarray, count: np.ndarray, kind: str) -> tuple[bytes, bytes, bytes, bytes]:
-    order = np.lexsort((ctx, h))
-    h, ctx, count = h[order], ctx[order], count[order]
-    new = np.flatnonzero(np.concatenate([[True], (h[1:] != h[:-1]) | (ctx[1:] != ctx[:-1])])) if len(h) else np.zeros(0, np.int64)
-    total = np.add.reduceat(count, new) if len(new) else count
-    h, ctx = h[new], ctx[new]
-    first = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]])) if len(h) else np.zeros(0, np.int64)
-    return h[first].astype("<u8").tobytes(), np.diff(np.append(first, len(h))).astype("<u4").tobytes(), ctx.astype("<u8").tobytes(), total.astype(kind).tobytes()
+def get(b: bytes | None) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(b or b"", np.uint8).reshape(8, -1).T).view("<u8").ravel()
 
 
-_COUNTS = pa.schema([("bucket", pa.int32()), *[(c, pa.binary()) for c in ("words", "sizes", "contexts", "counts")]])
-COUNTS = "bucket int, words binary, sizes binary, contexts binary, counts binary"
+def counts_of(b: bytes | None) -> np.ndarray:
+    return get(b).astype(np.int64)
 
 
-def _packed(rows: list[tuple]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], f.type) for k, f in enumerate(_COUNTS)], schema=_COUNTS)
+def message(key: int, kind: str, part: int | None = None, *arrays: bytes, x: float | None = None, y: float | None = None) -> tuple:
+    return (key, kind, part, *arrays, *[None] * (5 - len(arrays)), x, y)
 
 
-def _unpacked(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    return np.frombuffer(row["words"], "<u8"), np.frombuffer(row["sizes"], "<u4").astype(np.int64), np.frombuffer(row["contexts"], "<u8"), np.frombuffer(row["counts"], "<i8")
+def table_of(rows: list[tuple]) -> pa.Table:
+    return pa.table([pa.array([r[k] for r in rows], t) for k, t in enumerate(_KINDS)], _NAMES)
 
 
-def _bucket(h: np.ndarray, buckets: int) -> np.ndarray:
-    return (mix(h ^ _U(0x51ED270B)) >> _U(33)) % _U(buckets)
+def batch_of(rows: list[tuple]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(_KINDS)], _NAMES)
 
 
-def _count_blocks(batches: Iterable[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
-    """Pairs of all documents with their training counts, which are 0 for pairs of held-out documents alone."""
-    held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+def by_kind(*tables: pa.Table) -> dict[str, list[dict]]:
+    out = defaultdict(list)
+    for t in tables:
+        for row in t.select([c for c in _NAMES if c in t.column_names]).to_pylist():
+            out[row["kind"]].append(row)
+    for found in out.values():
+        found.sort(key=lambda r: -1 if r["part"] is None else r["part"])
+    return out
 
-    def flush() -> pa.RecordBatch:
-        h, ctx, one = (np.concatenate(x) for x in zip(*held, strict=True))
-        held.clear()
-        b = _bucket(h, buckets)
-        order = np.argsort(b, kind="stable")
-        h, ctx, one, edge = h[order], ctx[order], one[order], np.searchsorted(b[order], np.arange(buckets + 1, dtype=_U))
-        return _packed([(k, *_grouped(h[edge[k] : edge[k + 1]], ctx[edge[k] : edge[k + 1]], one[edge[k] : edge[k + 1]], "<u4")) for k in range(buckets) if edge[k + 1] > edge[k]])
 
-    for batch in batches:
-        for part in slices(batch, "text"):
-            h, ctx, n = tokens(part.column("text"))
-            held.append((h, ctx, np.repeat((~part.column("held").to_numpy(zero_copy_only=False)).astype(np.int64), n)))
-            if sum(len(x[0]) for x in held) >= BLOCK_TOKENS:
-                yield flush()
-    if held:
-        yield flush()
+def joined(found: list[dict], column: str) -> np.ndarray:
+    return np.concatenate([np.zeros(0, np.int64), *[counts_of(r[column]) for r in found]])
 
 
-# ---------------------------------------------------------------- totals of contexts
+# ---------------------------------------------------------------- totals
 
-_MESSAGE = "to int, bucket int, contexts binary, customers binary, tables binary"
-_MESSAGE_ARROW = pa.schema([("to", pa.int32()), ("bucket", pa.int32()), *[(c, pa.binary()) for c in ("contexts", "customers", "tables")]])
 
+@dataclass(frozen=True)
+class Deal:
+    """How contexts go to buckets: very frequent ones (sorted) are split by their words."""
 
-def _message(rows: list[tuple]) -> pa.Table:
-    return pa.table([pa.array([r[k] for r in rows], f.type) for k, f in enumerate(_MESSAGE_ARROW)], schema=_MESSAGE_ARROW)
+    buckets: int
+    hot: np.ndarray
+    splits: np.ndarray
 
+    def __call__(self, h: np.ndarray, ctx: np.ndarray) -> np.ndarray:
+        at = mix(ctx ^ _U(0x51ED270B)) >> _U(33)
+        if len(self.hot):
+            k = np.minimum(np.searchsorted(self.hot, ctx), len(self.hot) - 1)
+            some = np.flatnonzero(self.hot[k] == ctx)
+            at[some] += (mix(h[some] ^ _U(0x7FEB352D)) >> _U(33)) % self.splits[k[some]]
+        return at % _U(self.buckets)
 
-def _distinct(ctx: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Different contexts by their bucket, the place of each of ``ctx`` among them, and the edges of the buckets."""
-    u, of = np.unique(ctx, return_inverse=True)
-    b = _bucket(u, buckets)
-    order = np.argsort(b, kind="stable")
-    place = np.empty(len(u), np.int64)
-    place[order] = np.arange(len(u))
-    return u[order], place[of], np.searchsorted(b[order], np.arange(buckets + 1, dtype=_U))
 
+@dataclass(frozen=True)
+class Totals:
+    """What all buckets share."""
 
-def _send(bucket: int, ctx: np.ndarray, customers: np.ndarray | None, tables: np.ndarray | None, buckets: int) -> pa.Table:
-    """One bucket's sums to the buckets of its contexts, or (without sums) its questions."""
-    u, place, edge = _distinct(ctx, buckets)
-    sums = [np.zeros(0) if x is None else np.bincount(place, x, len(u)).astype("<f8") for x in (customers, tables)]
-    return _message([(k, bucket, u[edge[k] : edge[k + 1]].tobytes(), *[x[edge[k] : edge[k + 1]].tobytes() for x in sums]) for k in range(buckets) if edge[k + 1] > edge[k]])
+    n: int  # training tokens
+    v: int  # different ones
+    d1: float  # discounts of the contexts and of their parent
+    d0: float
+    customers: float = 0.0  # of the parent
+    tables: float = 0.0
+    hot_customers: np.ndarray | None = None  # of the very frequent contexts
+    hot_tables: np.ndarray | None = None
 
+    def parent(self, customers: np.ndarray, tables: np.ndarray) -> np.ndarray:
+        """The parent's probability of words with so many customers and tables in it."""
+        return (customers - self.d0 * tables + (THETA + self.d0 * self.tables) / (self.v + 1)) / (THETA + self.customers)
 
-def _joined(table: pa.Table, column: str, kind: str) -> np.ndarray:
-    return np.concatenate([np.zeros(0, kind), *[np.frombuffer(x.as_buffer(), kind) for x in table[column]]])
+    def predictive(self, c: np.ndarray, t: np.ndarray, customers: np.ndarray, tables: np.ndarray, parent: np.ndarray) -> np.ndarray:
+        """Probabilities of pairs with c customers at t tables, in contexts with so many in all."""
+        return (c - self.d1 * t + (THETA + self.d1 * tables) * parent) / (THETA + customers)
 
 
-def _added_up(sent: pa.Table) -> pa.Table:
-    """Totals of one bucket's contexts, from the sums of all buckets of words."""
-    u, of = np.unique(_joined(sent, "contexts", "<u8"), return_inverse=True)
-    sums = [np.bincount(of, _joined(sent, c, "<f8"), len(u)).astype("<f8").tobytes() for c in ("customers", "tables")]
-    return _message([(sent["to"][0].as_py(), None, u.tobytes(), *sums)])
+def held_out(doc_id: Column) -> Column:
+    return F.coalesce(F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(5)) == 1, F.lit(False))
 
 
-def _answers(asked: pa.Table, contexts: pa.Table) -> pa.Table:
-    """The totals of the contexts that each bucket of words asks for, in the order in which it asks."""
-    u, c, t = _joined(contexts, "contexts", "<u8"), _joined(contexts, "customers", "<f8"), _joined(contexts, "tables", "<f8")
-    rows = []
-    for row in asked.to_pylist():
-        at = np.searchsorted(u, np.frombuffer(row["contexts"], "<u8"))
-        rows.append((row["to"], row["bucket"], b"", c[at].tobytes(), t[at].tobytes()))
-    return _message(rows)
-
-
-def _local(answers: pa.Table, ctx: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
-    """Customers and tables of each of ``ctx``, by the answers to its bucket."""
-    _, place, _ = _distinct(ctx, buckets)
-    answers = answers.sort_by("to")
-    return _joined(answers, "customers", "<f8")[place], _joined(answers, "tables", "<f8")[place]
-
-
-# ---------------------------------------------------------------- seating
-
-def _sweeps(bucket: int, word: np.ndarray, c: np.ndarray, single: np.ndarray, tables: np.ndarray, totals: Totals, seed: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Gibbs sweeps over one bucket: mean tables of each pair with more than one customer (``c``; ``tables`` are its
-    context's), and mean customers and tables of each word in the parent. ``single``: the other pairs of each word."""
-    rng = np.random.default_rng((seed, bucket))
-    t = np.ones(len(c))
-    there = np.flatnonzero(single + np.bincount(word, minlength=len(single)))  # words of training documents
-    root_t = np.zeros(len(single))
-    root_t[there] = 1
-    mean_t, mean_c, mean_r = np.zeros(len(c)), np.zeros(len(single)), np.zeros(len(single))
-    opens = STRENGTH + totals.d1 * tables
-    for sweep in range(BURN_IN + SAMPLES):
-        customers = single + np.bincount(word, t, len(single))
-        root = totals.root(customers - totals.d0 * root_t)
-        t = reseat(c, opens * root[word], totals.d1, rng)
-        customers = single + np.bincount(word, t, len(single))
-        root_t[there] = reseat(customers[there].astype(np.int64), np.full(len(there), (STRENGTH + totals.d0 * totals.root_tables) / (totals.v + 1)), totals.d0, rng)
-        if sweep >= BURN_IN:
-            mean_t += t / SAMPLES
-            mean_c += customers / SAMPLES
-            mean_r += root_t / SAMPLES
-    return mean_t, mean_c, mean_r
-
-
-_SEATS = "bucket int, tables binary, roots binary, added double, root_tables double"
-
-
-def _seat(table: pa.Table, answers: pa.Table, totals: Totals, buckets: int, seed: int) -> pa.Table:
-    row = table.to_pylist()[0]
-    size, c = np.frombuffer(row["sizes"], "<u4").astype(np.int64), np.frombuffer(row["counts"], "<i8")
-    tables = _local(answers, np.frombuffer(row["contexts"], "<u8"), buckets)[1] if len(c) else np.zeros(0)
-    t, customers, root_t = _sweeps(row["bucket"], np.repeat(np.arange(len(size)), size), c, np.frombuffer(row["words"], "<i8").astype(float), tables, totals, seed)
-    out = [row["bucket"], t.astype("<f8").tobytes(), (customers - totals.d0 * root_t).astype("<f8").tobytes(), float((t - 1).sum()), float(root_t.sum())]
-    return pa.table([pa.array([x], k) for x, k in zip(out, [pa.int32(), pa.binary(), pa.binary(), pa.float64(), pa.float64()], strict=True)], ["bucket", "tables", "roots", "added", "root_tables"])
-
-
-def _repeats(row: dict) -> tuple:
-    """One bucket's pairs with more than one customer; in place of each word the number of its pairs with one."""
-    h, size, ctx, c = _unpacked(row)
-    word, more = np.repeat(np.arange(len(h)), size), c > 1
-    return row["bucket"], np.bincount(word, c == 1, len(h)).astype("<i8").tobytes(), np.bincount(word, more, len(h)).astype("<u4").tobytes(), ctx[more].tobytes(), c[more].tobytes()
+# ---------------------------------------------------------------- counting
 
 
-def held_out(doc_id: Column) -> Column:
-    return F.coalesce(F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(5)) == 1, F.lit(False))
+def _blocks(batches: Iterable[pa.RecordBatch], *more: str) -> Iterator[tuple[np.ndarray, ...]]:
+    """Tokens and contexts of about ``BLOCK_TOKENS`` tokens of whole texts, and the named columns for each token."""
+    held: list[tuple[np.ndarray, ...]] = []
+    total = 0
+    for batch in batches:
+        for part in slices(batch, "text"):
+            h, ctx, n = tokens(part.column("text"))
+            held.append((h, ctx, *[np.repeat(part.column(c).to_numpy(zero_copy_only=False), n) for c in more]))
+            total += len(h)
+            if total >= BLOCK_TOKENS:
+                yield tuple(np.concatenate(x) for x in zip(*held, strict=True))
+                held, total = [], 0
+    if held:
+        yield tuple(np.concatenate(x) for x in zip(*held, strict=True))
+
+
+def _often(batches: Iterable[pa.RecordBatch], share: float) -> Iterator[pa.RecordBatch]:
+    """Contexts with half of a share of a block's tokens or more."""
+    for (_, ctx) in _blocks(batches):
+        u, n = np.unique(ctx, return_counts=True)
+        some = n * 2 >= share * len(ctx)
+        yield pa.RecordBatch.from_arrays([pa.array(u[some].view(np.int64)), pa.array(n[some])], ["ctx", "n"])
+
+
+def _edges(sorted_values: np.ndarray, n: int) -> np.ndarray:
+    return np.searchsorted(sorted_values, np.arange(n + 1, dtype=sorted_values.dtype))
 
 
-def _shared(counts: DataFrame) -> tuple[int, int, int, float, float]:
-    """Training tokens, different words and pairs, and the discounts: each bucket adds up its own."""
-    names = ["n", "v", "pairs", "n1", "n2", "m1", "m2"]
+def _starts(*columns: np.ndarray) -> np.ndarray:
+    """Where rows of sorted columns differ from the row before."""
+    if not len(columns[0]):
+        return np.zeros(0, np.int64)
+    return np.flatnonzero(np.concatenate([[True], np.any([c[1:] != c[:-1] for c in columns], axis=0)]))
 
-    def task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                h, size, _, c = _unpacked(row)
-                some = np.bincount(np.repeat(np.arange(len(h)), size), c > 0, len(h))
-                found = [c.sum(), (some > 0).sum(), (c > 0).sum(), (c == 1).sum(), (c == 2).sum(), (some == 1).sum(), (some == 2).sum()]
-                yield pa.RecordBatch.from_arrays([pa.array([int(x)]) for x in found], names)
 
-    got = counts.mapInArrow(task, ", ".join(f"{x} bigint" for x in names)).agg(*[F.coalesce(F.sum(x), F.lit(0)).alias(x) for x in names]).first()
-    d = [float(np.clip(a / (a + 2 * b) if a else 0.5, 0.1, 0.95)) for a, b in ((got["n1"], got["n2"]), (got["m1"], got["m2"]))]
-    return got["n"], got["v"], got["pairs"], *d
+def _sums(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    return np.add.reduceat(values, starts) if len(starts) else np.zeros(0, values.dtype)
 
 
-_MODEL = "bucket int, counts binary, pairs binary, numbers binary, scores binary, frequent binary"
-_MODEL_ARROW = pa.schema([("bucket", pa.int32()), *[(c, pa.binary()) for c in ("counts", "pairs", "numbers", "scores", "frequent")]])
+def _sizes(starts: np.ndarray, n: int) -> np.ndarray:
+    return np.diff(np.append(starts, n))
 
 
-def _scored(table: pa.Table, others: pa.Table, totals: Totals, buckets: int) -> pa.Table:
-    """One bucket's model: the counts of its words; pairs by key, with the number of their word and their score."""
-    row = table.to_pylist()[0]
-    seats, answers = others.filter(pc.is_valid(others["roots"])).to_pylist()[0], others.filter(pc.is_null(others["roots"]))
-    h, size, ctx, c = _unpacked(row)
-    word = np.repeat(np.arange(len(h)), size)
-    t = (c > 0).astype(float)
-    t[c > 1] = np.frombuffer(seats["tables"], "<f8")
-    customers, tables = _local(answers, ctx, buckets)
-    here = replace(totals, customers=customers, tables=tables)
-    root = here.root(np.frombuffer(seats["roots"], "<f8"))
-    score = np.log10(here.word(c - totals.d1 * t, np.arange(len(c)), root[word]))
-    key, count = pair_keys(h[word], ctx), np.bincount(word, c, len(h)).astype("<i8")
-    order = np.argsort(key, kind="stable")
-    out = [row["bucket"], count.tobytes(), key[order].tobytes(), word[order].astype("<u4").tobytes(), score[order].astype("<f4").tobytes(), np.flatnonzero(c[order] * FREQUENT > totals.n).astype("<u4").tobytes()]
-    return pa.table([pa.array([x], f.type) for x, f in zip(out, _MODEL_ARROW, strict=True)], schema=_MODEL_ARROW)
+def _count_blocks(batches: Iterable[pa.RecordBatch], deal: Deal) -> Iterator[pa.RecordBatch]:
+    """Pairs of all documents with their training counts, which are 0 for pairs of held-out documents alone."""
+    for h, ctx, held in _blocks(batches, "held"):
+        b = deal(h, ctx)
+        order = np.lexsort((h, ctx, b))
+        h, ctx, b, one = h[order], ctx[order], b[order], (~held[order].astype(bool)).astype(np.int64)
+        new = _starts(b, ctx, h)
+        count, h, ctx, b = _sums(one, new), h[new], ctx[new], b[new]
+        edge, rows = _edges(b, deal.buckets), []
+        for k in np.flatnonzero(np.diff(edge)).tolist():
+            some = slice(edge[k], edge[k + 1])
+            first = _starts(ctx[some])
+            rows.append(message(k, "cell", None, put(h[some]), put(ctx[some][first]), put(_sizes(first, edge[k + 1] - edge[k])), put(count[some])))
+        yield batch_of(rows)
+
 
+def _merge(table: pa.Table) -> pa.Table:
+    """One bucket's pairs by context: its words, its contexts with their number of pairs, the pairs' words and counts.
+
+    ``x`` and ``y`` are the pairs with one and with two customers; ``part`` is not used."""
+    cells = table.to_pylist()
+    h = np.concatenate([get(r["a"]) for r in cells])
+    ctx = np.concatenate([np.repeat(get(r["b"]), counts_of(r["c"])) for r in cells])
+    count = np.concatenate([counts_of(r["d"]) for r in cells])
+    order = np.lexsort((h, ctx))
+    h, ctx, count = h[order], ctx[order], count[order]
+    new = _starts(ctx, h)
+    count, h, ctx = _sums(count, new), h[new], ctx[new]
+    first = _starts(ctx)
+    known, ref = np.unique(h, return_inverse=True)
+    row = message(cells[0]["key"], "pairs", None, put(known), put(ctx[first]), put(_sizes(first, len(ctx))), put(ref), put(count), x=float((count == 1).sum()), y=float((count == 2).sum()))
+    return table_of([row])
 
-class _Lookup:
+
+@dataclass
+class Pairs:
+    """One bucket's pairs, sorted by context and word."""
+
+    key: int
+    words: np.ndarray
+    ctx: np.ndarray
+    of: np.ndarray  # the context of each pair
+    ref: np.ndarray  # its word
+    c: np.ndarray  # its customers
+
+    @classmethod
+    def read(cls, row: dict) -> Pairs:
+        ctx = get(row["b"])
+        return cls(row["key"], get(row["a"]), ctx, np.repeat(np.arange(len(ctx)), counts_of(row["c"])), counts_of(row["d"]), counts_of(row["e"]))
+
+    def hot(self, deal: Deal) -> tuple[np.ndarray, np.ndarray]:
+        """Places of the very frequent contexts here, and their numbers."""
+        if not len(deal.hot) or not len(self.ctx):
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        k = np.minimum(np.searchsorted(deal.hot, self.ctx), len(deal.hot) - 1)
+        some = np.flatnonzero(deal.hot[k] == self.ctx)
+        return some, k[some]
+
+    def sum(self, values: np.ndarray, everywhere: np.ndarray | None, deal: Deal) -> np.ndarray:
+        """Sums by context; those of very frequent contexts, which other buckets share, are ``everywhere``."""
+        out = np.bincount(self.of, values, len(self.ctx))
+        some, number = self.hot(deal)
+        if len(some) and everywhere is not None:
+            out[some] = everywhere[number]
+        return out
+
+    def tables(self, seats: dict | None) -> np.ndarray:
+        """Tables of each pair: one where it has customers, unless a sweep gave more to those with two or more."""
+        t = (self.c > 0).astype(np.int64)
+        if seats is not None:
+            t[self.c > 1] = counts_of(seats["a"])
+        return t
+
+    def hot_row(self, values: np.ndarray, deal: Deal) -> list[tuple]:
+        some, number = self.hot(deal)
+        return [message(-1, "hot", None, put(number), put(np.bincount(self.of, values, len(self.ctx))[some]))] if len(some) else []
+
+
+def _part_edges(sorted_words: np.ndarray, bits: int) -> np.ndarray:
+    """Where the parts of some sorted words start: a part has the words with the same upper bits."""
+    return np.searchsorted(sorted_words, np.arange((1 << bits) + 1, dtype=_U) << _U(48 - bits))
+
+
+def _ask(batches: Iterable[pa.RecordBatch], bits: int, deal: Deal) -> Iterator[pa.RecordBatch]:
+    """One bucket's words by part, with their training counts and numbers of contexts."""
+    for batch in batches:
+        for row in batch.to_pylist():
+            p = Pairs.read(row)
+            count, kinds = (np.bincount(p.ref, x, len(p.words)) for x in (p.c, p.c > 0))
+            edge = _part_edges(p.words, bits)
+            cut = [slice(a, b) for a, b in zip(edge[:-1], edge[1:], strict=True)]
+            yield batch_of([message(k, "ask", p.key, put(p.words[s]), put(count[s]), put(kinds[s])) for k, s in enumerate(cut) if s.stop > s.start] + p.hot_row(p.c, deal))
+
+
+def _vocabulary(table: pa.Table) -> pa.Table:
+    """One part's words: counts, numbers of contexts, and which words each bucket asks for, bucket after bucket.
+
+    ``x`` and ``y`` are the tokens and the different words of the part; words with one and two contexts are in a row of
+    their own, as are the answers to the buckets: their words' counts."""
+    asked = by_kind(table)["ask"]
+    key = asked[0]["key"]
+    known, ref = np.unique(np.concatenate([get(r["a"]) for r in asked]), return_inverse=True)
+    count, kinds = (np.bincount(ref, joined(asked, c), len(known)).astype(np.int64) for c in ("b", "c"))
+    size = np.array([len(r["a"]) // 8 for r in asked])
+    edge = np.concatenate([[0], np.cumsum(size)])
+    rows = [message(key, "words", None, put(kinds), put(ref), put(np.array([r["part"] for r in asked])), put(size), x=float(count.sum()), y=float((count > 0).sum()))]
+    rows.append(message(key, "kinds", None, x=float((kinds == 1).sum()), y=float((kinds == 2).sum())))
+    rows += [message(r["part"], "known", key, put(count[ref[a:b]])) for r, a, b in zip(asked, edge[:-1], edge[1:], strict=True)]
+    return table_of(rows)
+
+
+# ---------------------------------------------------------------- Gibbs sweeps
+
+
+def _seat_parent(words_row: pa.Table, rest: pa.Table, totals: Totals, seed: tuple[int, int]) -> pa.Table:
+    """One part's words seated in the parent, given the tables of all contexts; and what its buckets asked for."""
+    if not words_row.num_rows:
+        return table_of([])
+    row, found = words_row.to_pylist()[0], by_kind(rest)
+    kinds, ref, parts, size = (counts_of(row[c]) for c in ("a", "b", "c", "d"))
+    customers = np.bincount(ref, joined(found["up"], "a"), len(kinds)).astype(np.int64) if found["up"] else kinds
+    t = counts_of(found["state"][0]["a"]) if found["state"] else (customers > 0).astype(np.int64)
+    some = np.flatnonzero(customers)
+    others = THETA + totals.d0 * np.maximum(totals.tables - t[some], 0)
+    t[some] = sample_tables(customers[some], others, totals.d0, np.full(len(some), 1 / (totals.v + 1)), np.random.default_rng((*seed, 0, row["key"])))
+    edge = np.concatenate([[0], np.cumsum(size)])
+    rows = [message(row["key"], "state", None, put(t), x=float(customers.sum()), y=float(t.sum()))]
+    rows += [message(int(k), "down", row["key"], put(customers[ref[a:b]]), put(t[ref[a:b]])) for k, a, b in zip(parts, edge[:-1], edge[1:], strict=True)]
+    return table_of(rows)
+
+
+def _seat_contexts(pairs: pa.Table, rest: pa.Table, totals: Totals, deal: Deal, bits: int, seed: tuple[int, int]) -> pa.Table:
+    """One bucket's customers seated anew, given the parent; and the new tables by word and of very frequent contexts."""
+    if not pairs.num_rows:
+        return table_of([])
+    p, found = Pairs.read(pairs.to_pylist()[0]), by_kind(rest)
+    parent = totals.parent(joined(found["down"], "a"), joined(found["down"], "b"))
+    t = p.tables(found["seat"][0] if found["seat"] else None)
+    more = np.flatnonzero(p.c > 1)
+    tables = p.sum(t, totals.hot_tables, deal)
+    t[more] = sweep(p.of[more], p.c[more], t[more], tables, THETA, totals.d1, parent[p.ref[more]], np.random.default_rng((*seed, 1, p.key)))
+    sums, edge = np.bincount(p.ref, t, len(p.words)), _part_edges(p.words, bits)
+    rows = [message(p.key, "seat", None, put(t[more]))]
+    rows += [message(k, "up", p.key, put(sums[edge[k] : edge[k + 1]])) for k in np.flatnonzero(np.diff(edge)).tolist()]
+    return table_of(rows + p.hot_row(t, deal))
+
+
+# ---------------------------------------------------------------- scores
+
+
+def _probabilities(p: Pairs, found: dict[str, list[dict]], samples: list[Totals], deal: Deal) -> tuple[np.ndarray, np.ndarray]:
+    """Of each pair, the word's training count and log10 of the mean of its predictive probabilities."""
+    mean = np.zeros(len(p.c))
+    for k, totals in enumerate(samples):
+        t = p.tables(found[f"seat{k}"][0] if found[f"seat{k}"] else None)
+        parent = totals.parent(joined(found[f"down{k}"], "a"), joined(found[f"down{k}"], "b"))
+        customers, tables = p.sum(p.c, totals.hot_customers, deal), p.sum(t, totals.hot_tables, deal)
+        mean += totals.predictive(p.c, t, customers[p.of], tables[p.of], parent[p.ref]) / len(samples)
+    return joined(found["known"], "a")[p.ref], np.log10(mean)
+
+
+class Lookup:
     """Scores of some pairs and the counts of their words, found by key."""
 
     def __init__(self, keys: np.ndarray, counts: np.ndarray, scores: np.ndarray, totals: Totals):
         order = np.argsort(keys, kind="stable")
-        self.keys, self.counts, self.found, self.totals = keys[order], counts[order], scores[order], totals
+        self.keys, self.known, self.score = keys[order], counts[order] > 0, scores[order]
+        self.base = np.log10((counts[order] + 0.5) / (totals.n + 0.5 * (totals.v + 1)))
 
     def find(self, keys: np.ndarray) -> np.ndarray:
         """The number of each pair, or -1."""
@@ -303,160 +368,174 @@ class _Lookup:
         at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
         return np.where(self.keys[at] == keys, at, -1)
 
-    def scores(self, number: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Training counts and log10 probabilities of tokens."""
-        return self.counts[number], self.found[number].astype(float)
-
+    def sums(self, doc: np.ndarray, number: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Different documents, and their tokens that are known, base scores and scores, from tokens that were found."""
+        docs, of = np.unique(doc, return_inverse=True)
+        return docs, *[np.bincount(of, x[number], len(docs)) for x in (self.known, self.base, self.score)]
 
-def _partials(doc: np.ndarray, count: np.ndarray, score: np.ndarray, totals: Totals) -> np.ndarray:
-    """Sums by document."""
-    docs, of = np.unique(doc, return_inverse=True)
-    out = np.empty(len(docs), _PARTIAL)
-    out["doc"], out["n"], out["known"] = docs, np.bincount(of, minlength=len(docs)), np.bincount(of, count > 0, len(docs))
-    out["base"] = np.bincount(of, np.log10((count + 0.5) / (totals.n + 0.5 * (totals.v + 1))), len(docs))
-    out["score"] = np.bincount(of, score, len(docs))
-    return out
 
+def _frequent(pairs: pa.Table, rest: pa.Table, samples: list[Totals], deal: Deal) -> pa.Table:
+    """The frequent pairs of one bucket: keys, counts of their words, and scores."""
+    if not pairs.num_rows:
+        return table_of([])
+    p = Pairs.read(pairs.to_pylist()[0])
+    some = p.c * FREQUENT > samples[0].n
+    count, score = _probabilities(p, by_kind(rest), samples, deal)
+    return table_of([message(p.key, "frequent", None, put(pair_keys(p.words[p.ref[some]], p.ctx[p.of[some]])), put(count[some]), score[some].astype("<f8").tobytes())])
 
-_ASKED = "bucket int, docs binary, pairs binary, sizes binary, refs binary, known binary"
-_ASKED_ARROW = pa.schema([("bucket", pa.int32()), *[(c, pa.binary()) for c in ("docs", "pairs", "sizes", "refs", "known")]])
 
+def _put_sums(docs: np.ndarray, n: np.ndarray, known: np.ndarray, base: np.ndarray, score: np.ndarray) -> list[bytes]:
+    """Sums by document, for documents in ascending order."""
+    return [put(np.diff(docs, prepend=np.int64(0)).view(_U)), put(n), put(known), put(np.rint(-base * _FIXED)), put(np.rint(-score * _FIXED))]
 
-def _ask_blocks(batches: Iterable[pa.RecordBatch], buckets: int, frequent: _Lookup) -> Iterator[pa.RecordBatch]:
-    """Tokens to be scored, by bucket of their word; those of frequent pairs are scored here."""
-    held: list[tuple[np.ndarray, ...]] = []
 
-    def flush() -> pa.RecordBatch:
-        h, key, doc = (np.concatenate(x) for x in zip(*held, strict=True))
-        held.clear()
+def _ask_blocks(batches: Iterable[pa.RecordBatch], deal: Deal, frequent: Lookup) -> Iterator[pa.RecordBatch]:
+    """Tokens to be scored, by the bucket of their pair; those of frequent pairs are scored here. One of a block's rows
+    carries the sums of these, with the number of all tokens of each of its documents."""
+    for h, ctx, doc in _blocks(batches, "_doc"):
+        key = pair_keys(h, ctx)
         number = frequent.find(key)
         there = number >= 0
-        known = _partials(doc[there], *frequent.scores(number[there]), frequent.totals)
-        h, key, doc = h[~there], key[~there], doc[~there]
-        b = _bucket(h, buckets)
+        docs, n = np.unique(doc, return_counts=True)
+        own = [np.zeros(len(docs)) for _ in range(3)]
+        some, *sums = frequent.sums(doc[there], number[there])
+        for x, s in zip(own, sums, strict=True):
+            x[np.searchsorted(docs, some)] = s
+        b = deal(h, ctx)[~there]
+        key, doc = key[~there], doc[~there]
         order = np.lexsort((key, b))
-        key, doc, edge = key[order], doc[order], np.searchsorted(b[order], np.arange(buckets + 1, dtype=_U))
-        carrier, rows = int(known["doc"][0]) % buckets if len(known) else 0, []
-        for k in range(buckets):
-            x, some = key[edge[k] : edge[k + 1]], slice(edge[k], edge[k + 1])
-            if len(x) or k == carrier:
-                first = np.flatnonzero(np.concatenate([[True], x[1:] != x[:-1]])) if len(x) else np.zeros(0, np.int64)
-                docs, ref = np.unique(doc[some], return_inverse=True)
-                rows.append((k, docs.astype("<i8").tobytes(), x[first].tobytes(), np.diff(np.append(first, len(x))).astype("<u4").tobytes(), ref.astype("<u2" if len(docs) <= 65536 else "<u4").tobytes(), known.tobytes() if k == carrier else b""))
-        return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], f.type) for k, f in enumerate(_ASKED_ARROW)], schema=_ASKED_ARROW)
-
-    for batch in batches:
-        for part in slices(batch, "text"):
-            h, ctx, n = tokens(part.column("text"))
-            held.append((h, pair_keys(h, ctx), np.repeat(part.column("_doc").to_numpy(), n)))
-            if sum(len(x[0]) for x in held) >= BLOCK_TOKENS:
-                yield flush()
-    if held:
-        yield flush()
-
-
-def _answer(asked: pa.Table, model: pa.Table, totals: Totals, groups: int) -> pa.Table:
-    """Scores of one bucket's tokens, summed by document."""
-    count, number = _joined(model, "counts", "<i8"), _joined(model, "numbers", "<u4")
-    lookup = _Lookup(_joined(model, "pairs", "<u8"), count[number], _joined(model, "scores", "<f4"), totals)
-    found = []
-    for row in asked.to_pylist():
-        docs = np.frombuffer(row["docs"], "<i8")
-        ref = np.frombuffer(row["refs"], "<u2" if len(docs) <= 65536 else "<u4")
-        pair = np.repeat(lookup.find(np.frombuffer(row["pairs"], "<u8")), np.frombuffer(row["sizes"], "<u4").astype(np.int64))
-        found += [_partials(docs[ref], *lookup.scores(pair), totals), np.frombuffer(row["known"], _PARTIAL)]
-    every = _added(np.concatenate(found)) if found else np.zeros(0, _PARTIAL)
-    group = every["doc"] % groups
-    order = np.argsort(group, kind="stable")
-    edge = np.searchsorted(group[order], np.arange(groups + 1))
-    some = np.flatnonzero(np.diff(edge))
-    return pa.table({"group": pa.array(some.astype(np.int32)), "partials": pa.array([every[order[edge[g] : edge[g + 1]]].tobytes() for g in some], pa.binary())})
-
-
-def _added(p: np.ndarray) -> np.ndarray:
-    docs, of = np.unique(p["doc"], return_inverse=True)
-    out = np.empty(len(docs), _PARTIAL)
-    out["doc"] = docs
-    for c in ("n", "known", "base", "score"):
-        out[c] = np.bincount(of, p[c], len(docs))
-    return out
+        key, doc, edge, rows = key[order], doc[order], _edges(b[order], deal.buckets), []
+        carrier = int(docs[0]) % deal.buckets
+        for k in range(deal.buckets):
+            if edge[k + 1] > edge[k]:
+                x, d = key[edge[k] : edge[k + 1]], doc[edge[k] : edge[k + 1]]
+                first = _starts(x)
+                of, ref = np.unique(d, return_inverse=True)
+                rows.append(message(k, "asked", None, put(x[first] >> _U(16)), put(_sizes(first, len(x))), put(ref), put(np.diff(of, prepend=np.int64(0)).view(_U))))
+        yield batch_of([*rows, message(carrier, "own", None, *_put_sums(docs, n, *own))])
+
+
+def _answer(pairs: pa.Table, rest: pa.Table, samples: list[Totals], deal: Deal, groups: int) -> pa.Table:
+    """Sums by document of one bucket's tokens, and of those that blocks scored themselves."""
+    found = by_kind(rest)
+    out: dict[int, list[tuple]] = defaultdict(list)
+
+    def send(docs: np.ndarray, *sums: np.ndarray) -> None:
+        group = docs % groups
+        for g in np.unique(group).tolist():
+            out[g].append(tuple(x[group == g] for x in (docs, *sums)))
+
+    if pairs.num_rows and found["asked"]:
+        p = Pairs.read(pairs.to_pylist()[0])
+        lookup = Lookup(pair_keys(p.words[p.ref], p.ctx[p.of]) >> _U(16), *_probabilities(p, found, samples, deal), samples[0])
+        held = []
+        for row in found["asked"]:
+            docs = np.cumsum(get(row["d"])).view(np.int64)
+            number = np.repeat(lookup.find(get(row["a"])), counts_of(row["b"]))
+            held.append(lookup.sums(docs[counts_of(row["c"])], number))
+        doc, known, base, score = (np.concatenate(x) for x in zip(*held, strict=True))
+        docs, of = np.unique(doc, return_inverse=True)
+        send(docs, np.zeros(len(docs)), *[np.bincount(of, x, len(docs)) for x in (known, base, score)])
+    for row in found["own"]:
+        docs = np.cumsum(get(row["a"])).view(np.int64)
+        send(docs, counts_of(row["b"]), counts_of(row["c"]), counts_of(row["d"]) / -_FIXED, counts_of(row["e"]) / -_FIXED)
+    rows = []
+    for g, held in out.items():
+        doc, *sums = (np.concatenate(x) for x in zip(*held, strict=True))
+        docs, of = np.unique(doc, return_inverse=True)
+        rows.append(message(int(g), "sums", None, *_put_sums(docs, *[np.bincount(of, x, len(docs)) for x in sums])))
+    return table_of(rows)
 
 
-def _finished(table: pa.Table) -> pa.Table:
-    p = _added(np.concatenate([np.frombuffer(x.as_buffer(), _PARTIAL) for x in table["partials"]]))
-    return pa.table({"doc_id": pa.array(p["doc"], mask=p["doc"] == _NULL), "n_tokens": p["n"].astype(np.int64), "n_known": p["known"].astype(np.int64), "base_score": p["base"], "score": p["score"]})
+def _finish(table: pa.Table) -> pa.Table:
+    rows = table.to_pylist()
+    docs, of = np.unique(np.concatenate([np.cumsum(get(r["a"])).view(np.int64) for r in rows]), return_inverse=True)
+    n, known, base, score = (np.bincount(of, joined(rows, c), len(docs)) for c in "bcde")
+    return pa.table({"doc_id": pa.array(docs, mask=docs == _NULL), "n_tokens": n.astype(np.int64), "n_known": known.astype(np.int64), "base_score": -base / _FIXED, "score": -score / _FIXED})
 
 
-def language_model_scores(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", seed: int = 1) -> DataFrame:
+def language_model_scores(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", seed: int = 1, burn_in: int = BURN_IN, samples: int = SAMPLES) -> DataFrame:
     """One row for each document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score.
 
     The model learns from all documents that are not held out and scores all. A-Z are lower-cased; tokens are the words
     ``[^\\x20\\x09-\\x0D]+`` and one end; a null or empty text is one end. ``score`` is the log10 probability of the whole
     text; ``base_score`` that of a unigram model with 0.5 added to each count. Rows that share a doc_id (or have none)
     are texts of one document and give one row. An empty table gives an empty one. With no training tokens at all
-    every token has the uniform probability.
+    every token has the uniform probability. Other columns are not looked at.
     """
     spark = docs.sparkSession
     rows = docs.select(F.coalesce(F.col(doc_id).cast("bigint"), F.lit(_NULL)).alias("_doc"), held_out(F.col(doc_id)).alias("held"), F.col(text).alias("text"))
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(BUCKETS, size // BUCKET_BYTES + 1)
+    bits = max(PARTS.bit_length() - 1, (buckets // 8).bit_length())
     groups = max(int(spark.conf.get("spark.sql.shuffle.partitions")), size // GROUP_BYTES + 1)
-    counted = rows.select("held", "text").mapInArrow(lambda b: _count_blocks(b, buckets), COUNTS)
-    counts = written(counted.groupBy("bucket").applyInArrow(_merge, COUNTS), "counts")
-    n, v, pairs, d1, d0 = _shared(counts)
-    none = np.zeros(0)
-    totals = Totals(n, v, none, none, float(v), d1, d0, float(pairs))
-
-    def each(df: DataFrame, f: Callable[[dict], pa.Table | pa.RecordBatch], schema: str) -> DataFrame:
-        def task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                for row in batch.to_pylist():
-                    out = f(row)
-                    yield from out.to_batches() if isinstance(out, pa.Table) else [out]
-
-        return df.mapInArrow(task, schema)
-
-    def first_sums(row: dict) -> pa.Table:
-        _, _, ctx, c = _unpacked(row)
-        return _send(row["bucket"], ctx, c, c > 0, buckets)
-
-    def more_tables(row: dict) -> pa.Table:
-        t = np.frombuffer(row["tables"], "<f8")
-        return _send(row["bucket"], np.frombuffer(row["contexts"], "<u8"), np.zeros(len(t)), t - 1, buckets)
-
-    def answered(df: DataFrame, contexts: DataFrame) -> DataFrame:
-        asked = each(df.select("bucket", "contexts"), lambda r: _send(r["bucket"], np.frombuffer(r["contexts"], "<u8"), None, None, buckets), _MESSAGE)
-        return asked.groupBy("to").cogroup(contexts.groupBy("to")).applyInArrow(_answers, _MESSAGE)
-
-    repeats = written(each(counts, lambda r: _packed([_repeats(r)]), COUNTS), "repeats")
-    first = written(each(counts, first_sums, _MESSAGE).groupBy("to").applyInArrow(_added_up, _MESSAGE), "contexts")
-    contexts = first
-    # a pass with the totals of one table for each (context, word), and one with the totals that it sampled
-    for _ in range(2):
-        shared = totals
-        seated = repeats.groupBy("bucket").cogroup(answered(repeats, contexts).groupBy("bucket")).applyInArrow(lambda r, a: _seat(r, a, shared, buckets, seed), _SEATS)
-        seats = written(seated, "seats")
-        added, root_tables = seats.agg(F.sum("added"), F.sum("root_tables")).first()
-        totals = replace(totals, root_tables=float(root_tables or 0), all_tables=float(pairs + (added or 0)))
-        more = each(seats.select("bucket", "tables").join(repeats.select("bucket", "contexts"), "bucket"), more_tables, _MESSAGE)
-        contexts = written(first.unionByName(more).groupBy("to").applyInArrow(_added_up, _MESSAGE), "contexts")
-    final = totals
-    others = answered(counts, contexts).withColumn("roots", F.lit(None).cast("binary")).select("bucket", "to", "customers", "tables", "roots")
-    others = others.unionByName(seats.select("bucket", "tables", "roots"), allowMissingColumns=True)
-    model = written(counts.groupBy("bucket").cogroup(others.groupBy("bucket")).applyInArrow(lambda c, o: _scored(c, o, final, buckets), _MODEL), "model")
-    often = model.mapInArrow(_frequent, "pair binary, counts binary, scores binary").toArrow()
-    frequent = spark.sparkContext.broadcast(_Lookup(_joined(often, "pair", "<u8"), _joined(often, "counts", "<i8"), _joined(often, "scores", "<f4"), final))
-    asked = rows.select("_doc", "text").mapInArrow(lambda b: _ask_blocks(b, buckets, frequent.value), _ASKED)
-    answers = asked.groupBy("bucket").cogroup(model.groupBy("bucket")).applyInArrow(lambda a, m: _answer(a, m, final, groups), "group int, partials binary")
-    out = answers.groupBy("group").applyInArrow(_finished, "doc_id bigint, n_tokens bigint, n_known bigint, base_score double, score double")
-    return out.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "n_tokens", "n_known", F.lit(n).cast("bigint").alias("train_tokens"), "base_score", "score")
-
-
-def _frequent(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The frequent pairs of the model alone."""
-    for batch in batches:
-        for row in batch.to_pylist():
-            some = np.frombuffer(row["frequent"], "<u4")
-            count = np.frombuffer(row["counts"], "<i8")[np.frombuffer(row["numbers"], "<u4")[some]]
-            cut = [np.frombuffer(row["pairs"], "<u8")[some], count, np.frombuffer(row["scores"], "<f4")[some]]
-            yield pa.RecordBatch.from_arrays([pa.array([x.tobytes()], pa.binary()) for x in cut], ["pair", "counts", "scores"])
+    with Scratch(spark, "pitman-yor") as scratch:
+        # contexts that fill more than a fourth of a bucket
+        share = max(1 / HOT, 1 / (4 * buckets))
+        often = rows.select("text").mapInArrow(lambda b: _often(b, share), "ctx bigint, n bigint").groupBy("ctx").agg(F.sum("n").alias("n")).toPandas()  # 2 * HOT rows at most
+        all_tokens = max(size / 6, float(often["n"].sum()), 1.0)
+        often = often[often["n"] >= share * all_tokens].sort_values("ctx", key=lambda c: c.astype("uint64"))
+        deal = Deal(buckets, often["ctx"].to_numpy(np.int64).view(_U), np.minimum(buckets, np.ceil(often["n"].to_numpy(float) / (share * all_tokens))).astype(_U))
+
+        counted = rows.select("held", "text").mapInArrow(lambda b: _count_blocks(b, deal), MESSAGE)
+        pairs = scratch.bucketed(counted.groupBy("key").applyInArrow(_merge, MESSAGE), "key", buckets, "pairs")
+        asks = scratch.written(pairs.mapInArrow(lambda b: _ask(b, bits, deal), MESSAGE), "asks")
+        heard = scratch.written(asks.where("kind = 'ask'").groupBy("key").applyInArrow(_vocabulary, MESSAGE), "answers")
+        vocabulary = scratch.bucketed(heard.where("kind = 'words'"), "key", 1 << bits, "words")
+
+        def sums(df: DataFrame, kind: str) -> tuple[float, float]:
+            got = df.where(F.col("kind") == kind).agg(F.sum("x"), F.sum("y")).first()
+            return float(got[0] or 0), float(got[1] or 0)
+
+        def of_hot(df: DataFrame) -> np.ndarray | None:
+            """Sums of the very frequent contexts over the buckets that share them."""
+            if not len(deal.hot):
+                return None
+            found = df.where("kind = 'hot'").select("a", "b").toArrow().to_pylist()
+            return np.bincount(joined(found, "a"), joined(found, "b"), len(deal.hot))
+
+        def discount(one: float, two: float) -> float:
+            return float(np.clip(one / (one + 2 * two) if one else 0.5, 0.1, 0.95))
+
+        n, v = sums(heard, "words")
+        totals = Totals(int(n), int(v), discount(*sums(pairs, "pairs")), discount(*sums(heard, "kinds")), tables=v, hot_customers=of_hot(asks))
+
+        def asked_of(df: DataFrame, others: list[DataFrame]) -> tuple:
+            rest = others[0]
+            for o in others[1:]:
+                rest = rest.unionByName(o)
+            return df.groupBy("key").cogroup(rest.groupBy("key"))
+
+        def kinds(df: DataFrame, *kind: str) -> DataFrame:
+            return df.where(F.col("kind").isin(*kind))
+
+        def parent(totals: Totals, k: int, seats: DataFrame | None, before: DataFrame | None) -> tuple[DataFrame, Totals]:
+            told = [*([kinds(seats, "up")] if seats is not None else []), *([kinds(before, "state")] if before is not None else [])]
+            told = told or [asks.where("kind = 'none'")]
+            out = scratch.written(asked_of(vocabulary, told).applyInArrow(lambda w, r: _seat_parent(w, r, totals, (seed, k)), MESSAGE), f"parent{k}")
+            customers, tables = sums(out, "state")
+            return out, replace(totals, customers=customers, tables=tables)
+
+        def contexts(totals: Totals, k: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
+            return lambda p, r: _seat_contexts(p, r, totals, deal, bits, (seed, k))
+
+        roots, totals = parent(totals, 0, None, None)
+        seats, kept = None, []
+        for k in range(1, burn_in + samples + 1):
+            told = [kinds(roots, "down"), *([kinds(seats, "seat")] if seats is not None else [])]
+            seats = scratch.written(asked_of(pairs, told).applyInArrow(contexts(totals, k), MESSAGE), f"seats{k}")
+            roots, totals = parent(replace(totals, hot_tables=of_hot(seats)), k, seats, roots)
+            if k > burn_in:
+                kept.append((seats, roots, totals))
+        final = [t for _, _, t in kept]
+        model = [kinds(heard, "known")]
+        for k, (s, r, _) in enumerate(kept):
+            model += [kinds(s, "seat").withColumn("kind", F.lit(f"seat{k}")), kinds(r, "down").withColumn("kind", F.lit(f"down{k}"))]
+        found = asked_of(pairs, model).applyInArrow(lambda p, r: _frequent(p, r, final, deal), MESSAGE).select("a", "b", "c").toArrow().to_pylist()  # FREQUENT pairs at most
+        scores = np.concatenate([np.zeros(0), *[np.frombuffer(r["c"], "<f8") for r in found]])
+        frequent = spark.sparkContext.broadcast(Lookup(np.concatenate([np.zeros(0, _U), *[get(r["a"]) for r in found]]), joined(found, "b"), scores, totals))
+        asked = rows.select("_doc", "text").mapInArrow(lambda b: _ask_blocks(b, deal, frequent.value), MESSAGE)
+        answers = asked_of(pairs, [*model, asked]).applyInArrow(lambda p, r: _answer(p, r, final, deal, groups), MESSAGE)
+        out = answers.groupBy("key").applyInArrow(_finish, "doc_id bigint, n_tokens bigint, n_known bigint, base_score double, score double")
+        out = out.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "n_tokens", "n_known", F.lit(int(n)).cast("bigint").alias("train_tokens"), "base_score", "score")
+        return scratch.result(out)

@@ -35,13 +35,33 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def discard(*tables: DataFrame) -> None:
-    """Delete tables of ``written`` that nothing reads any more."""
-    for df in tables:
-        for path in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-            if "/hindcast/" in path:
-                where = df.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
-                where.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(where, True)
+class Scratch:
+    """Tables in the shared folder that a computation needs until its result is written: all others go at the end."""
+
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark, self.path, self.tables = spark, new_path(spark, name), []
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def written(self, df: DataFrame, name: str) -> DataFrame:
+        df.write.parquet(f"{self.path}/{name}")
+        return self.spark.read.schema(df.schema).parquet(f"{self.path}/{name}")
+
+    def bucketed(self, df: DataFrame, key: str, buckets: int, name: str) -> DataFrame:
+        """A table that Spark reads by ``key`` without an exchange."""
+        self.tables.append(f"scratch_{uuid.uuid4().hex}")
+        df.repartition(buckets, key).write.bucketBy(buckets, key).option("path", f"{self.path}/{name}").saveAsTable(self.tables[-1])
+        return self.spark.table(self.tables[-1])
+
+    def result(self, df: DataFrame) -> DataFrame:
+        return written(df, "result")
+
+    def __exit__(self, *failed: object) -> None:
+        for name in self.tables:
+            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+        where = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        where.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -13,7 +13,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from hindcast.llm import bpe, kernels, mixing, pitman_yor, quality, sharding, token_store
+from hindcast.llm import bpe, kernels, mixing, pitman_yor, quality, seating, sharding, token_store
 from hindcast.llm.shared import new_path
 from hindcast.llm.shingle_join import shingle_classes
 from hindcast.llm.substring_dedup import remove_repeats
@@ -228,20 +228,161 @@ def test_language_model_learns_word_pairs(spark):
 
 
 def test_language_model_probabilities_add_up_to_one():
-    totals = pitman_yor.Totals(100, 2, np.zeros(256), np.zeros(256), 3.0, 0.5, 0.5)
-    totals.customers[65], totals.tables[65], totals.tables[66] = 10, 4, 1
-    # two words with 3 and 2 customers at 2 and 1 tables of the parent; the first alone in context 65
-    root = totals.root(np.array([3 - 0.5 * 2, 2 - 0.5 * 1, 0.0]))
+    totals = pitman_yor.Totals(100, 2, 0.5, 0.5, customers=5.0, tables=3.0)
+    # two words with 3 and 2 customers at 2 and 1 tables of the parent, and the unknown; the first alone in a context
+    root = totals.parent(np.array([3, 2, 0]), np.array([2, 1, 0]))
     assert root.sum() == pytest.approx(1)
-    assert totals.word(np.array([10 - 0.5 * 4, 0.0, 0.0]), np.array([65] * 3), root).sum() == pytest.approx(1)
+    assert totals.predictive(np.array([10, 0, 0]), np.array([4, 0, 0]), np.full(3, 10.0), np.full(3, 4.0), root).sum() == pytest.approx(1)
+
+
+def stirling(c, t, d):
+    """Ways to seat c customers at t tables, each table of n customers weighing (1 - d) (2 - d) ... (n - 1 - d)."""
+    row = [1.0]
+    for n in range(1, c):
+        row = [(row[k] * (n - d * (k + 1)) if k < len(row) else 0) + (row[k - 1] if k else 0) for k in range(n + 1)]
+    return row[t - 1]
+
+
+@pytest.mark.parametrize("c", [2, 3, 6, 20])
+def test_tables_are_drawn_from_their_conditional(c):
+    d, strength, p, n = 0.4, 3.0, 0.2, 200_000
+    want = np.array([stirling(c, t, d) * p**t * np.prod([strength + d * k for k in range(t)]) for t in range(1, c + 1)])
+    got = np.bincount(seating.sample_tables(np.full(n, c), np.full(n, strength), d, np.full(n, p), np.random.default_rng(3)), minlength=c + 1)[1:] / n
+    assert np.abs(got - want / want.sum()).max() < 0.005
+
+
+def test_tables_of_many_customers_are_drawn_alike():
+    rng, n, c = np.random.default_rng(4), 1500, np.full(1500, seating.EXACT)
+    for d, strength, p in ((0.5, 20.0, 0.1), (0.8, 500.0, 0.01), (0.3, 2.0, 0.5), (0.6, 3000.0, 0.3), (0.1, 1.0, 1e-6), (0.95, 1e6, 0.2)):
+        exact, fast = (f(c, np.full(n, strength), d, np.full(n, p), rng) for f in (seating.sample_tables, seating.sample_large))
+        assert fast.mean() == pytest.approx(exact.mean(), rel=0.03)
+        assert fast.std() == pytest.approx(exact.std(), rel=0.1, abs=0.05)
+    assert (seating.sample_tables(np.array([1, 1]), np.array([5.0, 5.0]), 0.5, np.array([0.5, 0.5]), rng) == 1).all()
+    assert 1 <= seating.sample_large(np.array([10**8]), np.array([1e6]), 0.7, np.array([0.05]), rng)[0] <= 10**8
+
+
+@pytest.mark.parametrize("bytes_of_a_bucket", [12 << 20, 40])
+def test_language_model_where_seating_is_certain(spark, monkeypatch, bytes_of_a_bucket):
+    """Every word once: each customer has a table of its own, and all probabilities follow by arithmetic. With small
+    buckets, the context of first words is split over many."""
+    monkeypatch.setattr(pitman_yor, "BUCKET_BYTES", bytes_of_a_bucket)
+    rows = [(i, " ".join(f"w{i}.{k}" for k in range(i % 4))) for i in range(30)]
+    held = {i: zlib.crc32(str(i).encode()) % 5 == 1 for i, _ in rows}
+    got = {r["doc_id"]: r for r in pitman_yor.language_model_scores(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)).collect()}
+    pairs: dict[tuple, int] = {}
+    for i, t in rows:
+        w = ["", *t.split(), ""]
+        for pair in zip(w[:-1], w[1:], strict=True):
+            pairs[pair] = pairs.get(pair, 0) + (not held[i])
+    seen = {pair: c for pair, c in pairs.items() if c}
+    assert {c for pair, c in seen.items() if pair != ("", "")} == {1}
+    n, v = sum(seen.values()), len({b for _, b in seen})
+    train = got[0]["train_tokens"]
+    assert train == n
+    # the empty text's pair alone has several customers; leave its tables out by looking at differences of other words
+    c1 = {x: sum(c for (a, _), c in seen.items() if a == x) for x, _ in seen}
+    for i, t in rows:
+        r, w = got[i], t.split()
+        assert r["n_tokens"] == len(w) + 1 and r["n_known"] == (len(w) + 1 if not held[i] else 1)
+        if held[i]:  # unknown words score alike, and end follows each unknown context alike
+            assert r["score"] < 0
+    known = [got[i]["score"] for i, t in rows if not held[i] and len(t.split()) == 3]
+    unknown = [got[i]["score"] for i, t in rows if held[i] and len(t.split()) == 3]
+    assert max(known) - min(known) < 1e-6
+    if len(unknown) > 1:
+        assert max(unknown) - min(unknown) < 1e-6
+    assert v and c1
+
+
+def gibbs(docs, held, sweeps, burn_in, seed):
+    """The same model in plain Python: single customers leave and come back, and predictive probabilities are averaged."""
+    import random
 
+    rng, theta = random.Random(seed), pitman_yor.THETA
+    stream = {i: list(zip(["", *w], [*w, ""], strict=True)) for i, w in docs.items()}
+    train = [pair for i, pairs in stream.items() if not held[i] for pair in pairs]
+    count: dict[tuple, int] = {}
+    for pair in train:
+        count[pair] = count.get(pair, 0) + 1
+    kinds: dict[str, int] = {}
+    for _, b in count:
+        kinds[b] = kinds.get(b, 0) + 1
+    v = len(kinds)
+
+    def discount(values):
+        one, two = (sum(x == k for x in values) for k in (1, 2))
+        return min(0.95, max(0.1, one / (one + 2 * two) if one else 0.5))
+
+    d1, d0 = discount(count.values()), discount(kinds.values())
+    seats: dict[tuple, list[int]] = {}  # of contexts: sizes of the tables of each dish
+    roots: dict[str, list[int]] = {}
+    tables, customers, root_tables, root_customers = {}, {}, [0], [0]
+
+    def root_p(w):
+        x = roots.get(w, [])
+        return (sum(x) - d0 * len(x) + (theta + d0 * root_tables[0]) / (v + 1)) / (theta + root_customers[0])
+
+    def sit(sizes, d, new):
+        weights = [s - d for s in sizes] + [new]
+        k = rng.choices(range(len(weights)), weights)[0]
+        if k == len(sizes):
+            sizes.append(1)
+            return True
+        sizes[k] += 1
+        return False
+
+    def leave(sizes):
+        k = rng.choices(range(len(sizes)), sizes)[0]
+        sizes[k] -= 1
+        if not sizes[k]:
+            del sizes[k]
+            return True
+        return False
+
+    def root_add(w):
+        root_tables[0] += sit(roots.setdefault(w, []), d0, (theta + d0 * root_tables[0]) / (v + 1))
+        root_customers[0] += 1
+
+    def root_drop(w):
+        root_tables[0] -= leave(roots[w])
+        root_customers[0] -= 1
+
+    def add(pair):
+        a, b = pair
+        if sit(seats.setdefault(pair, []), d1, (theta + d1 * tables.get(a, 0)) * root_p(b)):
+            tables[a] = tables.get(a, 0) + 1
+            root_add(b)
+        customers[a] = customers.get(a, 0) + 1
+
+    for pair in train:
+        add(pair)
+    mean = dict.fromkeys({p for pairs in stream.values() for p in pairs}, 0.0)
+    for s in range(sweeps):
+        for pair in train:
+            customers[pair[0]] -= 1
+            if leave(seats[pair]):
+                tables[pair[0]] -= 1
+                root_drop(pair[1])
+            add(pair)
+        if s >= burn_in:
+            for a, b in mean:
+                x = seats.get((a, b), [])
+                mean[a, b] += (sum(x) - d1 * len(x) + (theta + d1 * tables.get(a, 0)) * root_p(b)) / (theta + customers.get(a, 0)) / (sweeps - burn_in)
+    return {i: sum(np.log10(mean[p]) for p in pairs) for i, pairs in stream.items()}
+
+
+def test_language_model_equals_plain_gibbs_sampling(spark):
+    import random
 
-def test_reseating_follows_the_expected_number_of_tables():
-    rng = np.random.default_rng(1)
-    c = np.full(4000, 500)
-    t = pitman_yor.reseat(c, np.full(4000, 2.0), 0.0, rng)
-    assert t.mean() == pytest.approx(1 + sum(2.0 / (2.0 + k) for k in range(1, 500)), rel=0.03)
-    assert (pitman_yor.reseat(np.array([1, 1]), np.array([5.0, 5.0]), 0.5, rng) == 1).all()
+    rng = random.Random(9)
+    docs = {i: rng.choices(["a", "b", "c", "d", "e", "f", *(f"r{k}" for k in range(40))], [9, 7, 5, 3, 2, 2, *[0.3] * 40], k=rng.randint(0, 25)) for i in range(50)}
+    held = {i: zlib.crc32(str(i).encode()) % 5 == 1 for i in docs}
+    want = gibbs(docs, held, 400, 50, 1)
+    df = spark.createDataFrame([(i, " ".join(w)) for i, w in docs.items()], "doc_id bigint, text string").repartition(2)
+    got = {r["doc_id"]: r for r in pitman_yor.language_model_scores(df.withColumns({"held": F.lit("x"), "_doc": F.lit(1)}), burn_in=3, samples=6).collect()}
+    off = [got[i]["score"] - want[i] for i in docs]
+    assert abs(sum(off)) / sum(r["n_tokens"] for r in got.values()) < 0.005  # of about 1.1 a token
+    assert max(abs(x) / got[i]["n_tokens"] for i, x in zip(docs, off, strict=True) if len(docs[i]) >= 10) < 0.05
 
 
 def test_quality_classifier(spark, empty):
