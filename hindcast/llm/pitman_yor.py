@@ -31,9 +31,9 @@ from hindcast.llm.seating import sample_tables, sweep
 from hindcast.llm.shared import Scratch
 
 #: Tokens of a block, text bytes of a bucket and of a group of documents; buckets, and parts of the words, at least.
-BLOCK_TOKENS, BUCKET_BYTES, GROUP_BYTES, BUCKETS, PARTS = 1 << 21, 12 << 20, 24 << 20, 24, 8
+BLOCK_TOKENS, BUCKET_BYTES, GROUP_BYTES, BUCKETS, PARTS = 1 << 20, 12 << 20, 24 << 20, 24, 8
 #: A pair is frequent, or a context is very frequent, only if it makes one of so many tokens: that bounds how many there are.
-FREQUENT, HOT = 1 << 17, 1 << 18
+FREQUENT, HOT = 1 << 18, 1 << 18
 BURN_IN, SAMPLES, THETA = 2, 3, 1.0
 _U = np.uint64
 MASK = _U((1 << 48) - 1)
@@ -168,7 +168,8 @@ def _blocks(batches: Iterable[pa.RecordBatch], *more: str) -> Iterator[tuple[np.
 def _often(batches: Iterable[pa.RecordBatch], share: float) -> Iterator[pa.RecordBatch]:
     """Contexts with half of a share of a block's tokens or more."""
     for (_, ctx) in _blocks(batches):
-        u, n = np.unique(ctx, return_counts=True)
+        cell = ctx & _U((1 << 20) - 1)  # only contexts in full cells can be frequent
+        u, n = np.unique(ctx[np.bincount(cell.view(np.int64), minlength=1 << 20)[cell] * 2 >= share * len(ctx)], return_counts=True)
         some = n * 2 >= share * len(ctx)
         yield pa.RecordBatch.from_arrays([pa.array(u[some].view(np.int64)), pa.array(n[some])], ["ctx", "n"])
 
@@ -196,7 +197,7 @@ def _count_blocks(batches: Iterable[pa.RecordBatch], deal: Deal) -> Iterator[pa.
     """Pairs of all documents with their training counts, which are 0 for pairs of held-out documents alone."""
     for h, ctx, held in _blocks(batches, "held"):
         b = deal(h, ctx)
-        order = np.lexsort((h, ctx, b))
+        order = np.lexsort((h, (b << _U(40)) | (ctx >> _U(8))))  # contexts that differ in the last 8 bits alone may mingle
         h, ctx, b, one = h[order], ctx[order], b[order], (~held[order].astype(bool)).astype(np.int64)
         new = _starts(b, ctx, h)
         count, h, ctx, b = _sums(one, new), h[new], ctx[new], b[new]
@@ -291,6 +292,8 @@ def _vocabulary(table: pa.Table) -> pa.Table:
 
     ``x`` and ``y`` are the tokens and the different words of the part; words with one and two contexts are in a row of
     their own, as are the answers to the buckets: their words' counts."""
+    if table["key"][0].as_py() < 0:
+        return table  # customers of very frequent contexts
     asked = by_kind(table)["ask"]
     key = asked[0]["key"]
     known, ref = np.unique(np.concatenate([get(r["a"]) for r in asked]), return_inverse=True)
@@ -368,10 +371,9 @@ class Lookup:
         at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
         return np.where(self.keys[at] == keys, at, -1)
 
-    def sums(self, doc: np.ndarray, number: np.ndarray) -> tuple[np.ndarray, ...]:
-        """Different documents, and their tokens that are known, base scores and scores, from tokens that were found."""
-        docs, of = np.unique(doc, return_inverse=True)
-        return docs, *[np.bincount(of, x[number], len(docs)) for x in (self.known, self.base, self.score)]
+    def sums(self, doc: np.ndarray, number: np.ndarray, docs: int) -> list[np.ndarray]:
+        """Known tokens, base scores and scores of documents 0 to ``docs - 1``, from tokens that were found."""
+        return [np.bincount(doc, x[number], docs) for x in (self.known, self.base, self.score)]
 
 
 def _frequent(pairs: pa.Table, rest: pa.Table, samples: list[Totals], deal: Deal) -> pa.Table:
@@ -393,26 +395,21 @@ def _ask_blocks(batches: Iterable[pa.RecordBatch], deal: Deal, frequent: Lookup)
     """Tokens to be scored, by the bucket of their pair; those of frequent pairs are scored here. One of a block's rows
     carries the sums of these, with the number of all tokens of each of its documents."""
     for h, ctx, doc in _blocks(batches, "_doc"):
-        key = pair_keys(h, ctx)
+        key, b = pair_keys(h, ctx), deal(h, ctx)
+        docs, doc, n = np.unique(doc, return_inverse=True, return_counts=True)
         number = frequent.find(key)
         there = number >= 0
-        docs, n = np.unique(doc, return_counts=True)
-        own = [np.zeros(len(docs)) for _ in range(3)]
-        some, *sums = frequent.sums(doc[there], number[there])
-        for x, s in zip(own, sums, strict=True):
-            x[np.searchsorted(docs, some)] = s
-        b = deal(h, ctx)[~there]
-        key, doc = key[~there], doc[~there]
-        order = np.lexsort((key, b))
+        own = frequent.sums(doc[there], number[there], len(docs))
+        key, doc, b = key[~there] >> _U(8), doc[~there], b[~there]
+        order = np.argsort((b << _U(40)) | (key >> _U(16)))  # keys that differ in the last 16 bits alone may mingle
         key, doc, edge, rows = key[order], doc[order], _edges(b[order], deal.buckets), []
-        carrier = int(docs[0]) % deal.buckets
-        for k in range(deal.buckets):
-            if edge[k + 1] > edge[k]:
-                x, d = key[edge[k] : edge[k + 1]], doc[edge[k] : edge[k + 1]]
-                first = _starts(x)
-                of, ref = np.unique(d, return_inverse=True)
-                rows.append(message(k, "asked", None, put(x[first] >> _U(16)), put(_sizes(first, len(x))), put(ref), put(np.diff(of, prepend=np.int64(0)).view(_U))))
-        yield batch_of([*rows, message(carrier, "own", None, *_put_sums(docs, n, *own))])
+        for k in np.flatnonzero(np.diff(edge)).tolist():
+            x, d = key[edge[k] : edge[k + 1]], doc[edge[k] : edge[k + 1]]
+            first = _starts(x)
+            here = np.zeros(len(docs), bool)
+            here[d] = True
+            rows.append(message(k, "asked", None, put(x[first]), put(_sizes(first, len(x))), put((np.cumsum(here) - 1)[d]), put(np.diff(docs[here], prepend=np.int64(0)).view(_U))))
+        yield batch_of([*rows, message(int(docs[0]) % deal.buckets, "own", None, *_put_sums(docs, n, *own))])
 
 
 def _answer(pairs: pa.Table, rest: pa.Table, samples: list[Totals], deal: Deal, groups: int) -> pa.Table:
@@ -427,12 +424,12 @@ def _answer(pairs: pa.Table, rest: pa.Table, samples: list[Totals], deal: Deal,
 
     if pairs.num_rows and found["asked"]:
         p = Pairs.read(pairs.to_pylist()[0])
-        lookup = Lookup(pair_keys(p.words[p.ref], p.ctx[p.of]) >> _U(16), *_probabilities(p, found, samples, deal), samples[0])
+        lookup = Lookup(pair_keys(p.words[p.ref], p.ctx[p.of]) >> _U(8), *_probabilities(p, found, samples, deal), samples[0])
         held = []
         for row in found["asked"]:
             docs = np.cumsum(get(row["d"])).view(np.int64)
             number = np.repeat(lookup.find(get(row["a"])), counts_of(row["b"]))
-            held.append(lookup.sums(docs[counts_of(row["c"])], number))
+            held.append((docs, *lookup.sums(counts_of(row["c"]), number, len(docs))))
         doc, known, base, score = (np.concatenate(x) for x in zip(*held, strict=True))
         docs, of = np.unique(doc, return_inverse=True)
         send(docs, np.zeros(len(docs)), *[np.bincount(of, x, len(docs)) for x in (known, base, score)])
@@ -478,10 +475,11 @@ def language_model_scores(docs: DataFrame, doc_id: str = "doc_id", text: str = "
         deal = Deal(buckets, often["ctx"].to_numpy(np.int64).view(_U), np.minimum(buckets, np.ceil(often["n"].to_numpy(float) / (share * all_tokens))).astype(_U))
 
         counted = rows.select("held", "text").mapInArrow(lambda b: _count_blocks(b, deal), MESSAGE)
-        pairs = scratch.bucketed(counted.groupBy("key").applyInArrow(_merge, MESSAGE), "key", buckets, "pairs")
-        asks = scratch.written(pairs.mapInArrow(lambda b: _ask(b, bits, deal), MESSAGE), "asks")
-        heard = scratch.written(asks.where("kind = 'ask'").groupBy("key").applyInArrow(_vocabulary, MESSAGE), "answers")
-        vocabulary = scratch.bucketed(heard.where("kind = 'words'"), "key", 1 << bits, "words")
+        pairs = scratch.bucketed(counted.repartition(buckets, "key").groupBy("key").applyInArrow(_merge, MESSAGE), "key", buckets, "pairs")
+        asks = pairs.mapInArrow(lambda b: _ask(b, bits, deal), MESSAGE)
+        heard = scratch.written(asks.groupBy("key").applyInArrow(_vocabulary, MESSAGE), "answers")
+        vocabulary = scratch.bucketed(heard.where("kind = 'words'").repartition(1 << bits, "key"), "key", 1 << bits, "words")
+        nothing = spark.createDataFrame([], MESSAGE)
 
         def sums(df: DataFrame, kind: str) -> tuple[float, float]:
             got = df.where(F.col("kind") == kind).agg(F.sum("x"), F.sum("y")).first()
@@ -498,7 +496,7 @@ def language_model_scores(docs: DataFrame, doc_id: str = "doc_id", text: str = "
             return float(np.clip(one / (one + 2 * two) if one else 0.5, 0.1, 0.95))
 
         n, v = sums(heard, "words")
-        totals = Totals(int(n), int(v), discount(*sums(pairs, "pairs")), discount(*sums(heard, "kinds")), tables=v, hot_customers=of_hot(asks))
+        totals = Totals(int(n), int(v), discount(*sums(pairs, "pairs")), discount(*sums(heard, "kinds")), tables=v, hot_customers=of_hot(heard))
 
         def asked_of(df: DataFrame, others: list[DataFrame]) -> tuple:
             rest = others[0]
@@ -511,8 +509,7 @@ def language_model_scores(docs: DataFrame, doc_id: str = "doc_id", text: str = "
 
         def parent(totals: Totals, k: int, seats: DataFrame | None, before: DataFrame | None) -> tuple[DataFrame, Totals]:
             told = [*([kinds(seats, "up")] if seats is not None else []), *([kinds(before, "state")] if before is not None else [])]
-            told = told or [asks.where("kind = 'none'")]
-            out = scratch.written(asked_of(vocabulary, told).applyInArrow(lambda w, r: _seat_parent(w, r, totals, (seed, k)), MESSAGE), f"parent{k}")
+            out = scratch.written(asked_of(vocabulary, told or [nothing]).applyInArrow(lambda w, r: _seat_parent(w, r, totals, (seed, k)), MESSAGE), f"parent{k}")
             customers, tables = sums(out, "state")
             return out, replace(totals, customers=customers, tables=tables)
 
@@ -527,6 +524,9 @@ def language_model_scores(docs: DataFrame, doc_id: str = "doc_id", text: str = "
             roots, totals = parent(replace(totals, hot_tables=of_hot(seats)), k, seats, roots)
             if k > burn_in:
                 kept.append((seats, roots, totals))
+            if k <= burn_in + 1:  # what came before is no sample and has been read
+                scratch.drop(f"parent{k - 1}")
+                scratch.drop(f"seats{k - 1}")
         final = [t for _, _, t in kept]
         model = [kinds(heard, "known")]
         for k, (s, r, _) in enumerate(kept):

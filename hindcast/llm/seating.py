@@ -85,10 +85,15 @@ def _solve(below: Callable[[np.ndarray], np.ndarray], n: int) -> np.ndarray:
 
 
 def saddle_logs(c: float, t: np.ndarray, d: float) -> np.ndarray:
-    """Logarithms of the generalised Stirling numbers of c and some t, by a saddle point of their generating function
-    ((1 - (1 - z) ** d) / d) ** t / t!, but for what is the same for all t."""
-    u = _solve(lambda x: _saddle(x, c, d)[0] < t, len(t))
-    rest = -np.expm1(d * np.log(u))
+    """Logarithms of the generalised Stirling numbers of c and some ascending t, by a saddle point 1 - u of their generating
+    function ((1 - (1 - z) ** d) / d) ** t / t!, but for what is the same for all t."""
+    first = _solve(lambda x: _saddle(x, c, d)[0] < (t[0] + t[-1]) / 2, 1)
+    y, aim = np.full(len(t), np.log(first[0])), np.log(t / c)
+    for _ in range(12):  # Newton steps on log u
+        rest, gap = -np.expm1(d * y), -np.expm1(y)
+        slope = (1 - d) - d * np.exp(d * y) / rest + np.exp(y) / gap
+        y = np.clip(y - ((1 - d) * y + np.log(rest / (d * gap)) - aim) / slope, -700, -1e-12)
+    u, rest = np.exp(y), -np.expm1(d * y)
     second = c * (1 - u) * (1 / (1 - u) + (1 - d) / u - d * u ** (d - 1) / rest)
     return -gammaln(t + 1) + t * np.log(rest / d) - c * np.log1p(-u) - np.log(second) / 2
 
@@ -118,16 +123,17 @@ def large_logs(c: float, t: np.ndarray, d: float) -> np.ndarray:
 def sample_large(c: np.ndarray, strength: np.ndarray, d: float, p: np.ndarray, rng: np.random.Generator) -> np.ndarray:
     """Tables of dishes with many customers: a draw from the conditional near its mode, twelve deviations to each side."""
     out = np.empty(len(c), np.int64)
-    for k, (n, s, q) in enumerate(zip(c.astype(float).tolist(), strength.tolist(), p.tolist(), strict=True)):
 
-        def opens(u: np.ndarray, n: float = n, s: float = s, q: float = q) -> tuple[np.ndarray, np.ndarray]:
-            t, f = _saddle(u, n, d)
-            return t, np.log((s + d * t) * q) + f - np.log(np.maximum(t, 1e-300))
+    def opens(u: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        t, f = _saddle(u, c, d)
+        return t, np.log((strength + d * t) * p) + f - np.log(np.maximum(t, 1e-300))
 
-        u = _solve(lambda x: opens(x)[1] > 0, 1)  # noqa: B023
-        (t0, t1), (r0, r1) = opens(np.concatenate([u * 0.999, u * 1.001]))
-        width = 12 * np.sqrt(max((t1 - t0) / max(r0 - r1, 1e-12), 1.0)) + 40
-        t = np.arange(max(1, int(t0 - width)), min(int(n), int(t1 + width)) + 1)
+    u = _solve(lambda x: opens(x)[1] > 0, len(c))
+    (t0, r0), (t1, r1) = opens(u * 0.999), opens(np.minimum(u * 1.001, 1 - 1e-12))
+    width = 12 * np.sqrt(np.maximum((t1 - t0) / np.maximum(r0 - r1, 1e-12), 1.0)) + 40
+    least, most = np.maximum(1, t0 - width).astype(np.int64), np.minimum(c, t1 + width).astype(np.int64)
+    for k, (n, s, q) in enumerate(zip(c.astype(float).tolist(), strength.tolist(), p.tolist(), strict=True)):
+        t = np.arange(least[k], most[k] + 1)
         logs = large_logs(n, t, d) + gammaln(s / d + t) + t * np.log(d * q)  # strength + d * k, one after another
         out[k] = t[(logs - np.log(rng.standard_exponential(len(t)))).argmax()]
     return out

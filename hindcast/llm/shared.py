@@ -5,10 +5,13 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 KEY = "spark.checkpoint.dir"
+CLEAR = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def folder(spark: SparkSession) -> str:
@@ -27,11 +30,24 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{folder(spark)}/hindcast/{name}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def shuffles_cleared(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of what is run inside go when it ends, not when the driver next collects garbage. For tables that
+    are written once: nothing reads these shuffles again."""
+    before = spark.conf.get(CLEAR, None)
+    spark.conf.set(CLEAR, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(CLEAR) if before is None else spark.conf.set(CLEAR, before)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a table in the shared folder: computed once, and safe when executors are lost."""
     spark = df.sparkSession
     path = new_path(spark, name)
-    df.write.parquet(path)
+    with shuffles_cleared(spark):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -45,23 +61,29 @@ class Scratch:
         return self
 
     def written(self, df: DataFrame, name: str) -> DataFrame:
-        df.write.parquet(f"{self.path}/{name}")
+        with shuffles_cleared(self.spark):
+            df.write.parquet(f"{self.path}/{name}")
         return self.spark.read.schema(df.schema).parquet(f"{self.path}/{name}")
 
     def bucketed(self, df: DataFrame, key: str, buckets: int, name: str) -> DataFrame:
-        """A table that Spark reads by ``key`` without an exchange."""
+        """A table that Spark reads by ``key`` without an exchange; ``df`` has to be dealt by ``repartition(buckets, key)``."""
         self.tables.append(f"scratch_{uuid.uuid4().hex}")
-        df.repartition(buckets, key).write.bucketBy(buckets, key).option("path", f"{self.path}/{name}").saveAsTable(self.tables[-1])
+        with shuffles_cleared(self.spark):
+            df.write.bucketBy(buckets, key).option("path", f"{self.path}/{name}").saveAsTable(self.tables[-1])
         return self.spark.table(self.tables[-1])
 
     def result(self, df: DataFrame) -> DataFrame:
         return written(df, "result")
 
+    def drop(self, name: str = "") -> None:
+        """Delete a table of ``written``, or all."""
+        where = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}" if name else self.path)
+        where.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(where, True)
+
     def __exit__(self, *failed: object) -> None:
         for name in self.tables:
             self.spark.sql(f"DROP TABLE IF EXISTS {name}")
-        where = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
-        where.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(where, True)
+        self.drop()
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
