@@ -28,10 +28,10 @@ from pyspark.sql import functions as F
 
 from hindcast.llm.kernels import mix, slices, text_buffer, word_hashes, words
 from hindcast.llm.seating import sample_tables, sweep
-from hindcast.llm.shared import Scratch
+from hindcast.llm.shared import Scratch, shuffles_cleared
 
 #: Tokens of a block, text bytes of a bucket and of a group of documents; buckets, and parts of the words, at least.
-BLOCK_TOKENS, BUCKET_BYTES, GROUP_BYTES, BUCKETS, PARTS = 1 << 20, 12 << 20, 24 << 20, 24, 8
+BLOCK_TOKENS, BUCKET_BYTES, GROUP_BYTES, BUCKETS, PARTS = 3 << 18, 8 << 20, 24 << 20, 24, 8
 #: A pair is frequent, or a context is very frequent, only if it makes one of so many tokens: that bounds how many there are.
 FREQUENT, HOT = 1 << 18, 1 << 18
 BURN_IN, SAMPLES, THETA = 2, 3, 1.0
@@ -62,12 +62,25 @@ MESSAGE = "key int, kind string, part int, a binary, b binary, c binary, d binar
 
 
 def put(x: np.ndarray) -> bytes:
-    """Whole numbers as eight planes of bytes, of which the upper ones are mostly zeros and compress away."""
-    return np.ascontiguousarray(x.astype("<u8").view(np.uint8).reshape(-1, 8).T).tobytes()
+    """Whole numbers as planes of bytes, from the lowest one to the last that is not all zeros; the number of both before them."""
+    planes = x.astype("<u8").view(np.uint8).reshape(-1, 8).T
+    k = 8
+    while k and not planes[k - 1].any():
+        k -= 1
+    return (len(x) * 16 + k).to_bytes(8, "little") + planes[:k].tobytes()
+
+
+def length(b: bytes) -> int:
+    return int.from_bytes(b[:8], "little") // 16
 
 
 def get(b: bytes | None) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(b or b"", np.uint8).reshape(8, -1).T).view("<u8").ravel()
+    if b is None:
+        return np.zeros(0, _U)
+    n, k = divmod(int.from_bytes(b[:8], "little"), 16)
+    out = np.zeros((n, 8), np.uint8)
+    out[:, :k] = np.frombuffer(b, np.uint8, k * n, 8).reshape(k, n).T
+    return out.view("<u8").ravel()
 
 
 def counts_of(b: bytes | None) -> np.ndarray:
@@ -298,7 +311,7 @@ def _vocabulary(table: pa.Table) -> pa.Table:
     key = asked[0]["key"]
     known, ref = np.unique(np.concatenate([get(r["a"]) for r in asked]), return_inverse=True)
     count, kinds = (np.bincount(ref, joined(asked, c), len(known)).astype(np.int64) for c in ("b", "c"))
-    size = np.array([len(r["a"]) // 8 for r in asked])
+    size = np.array([length(r["a"]) for r in asked])
     edge = np.concatenate([[0], np.cumsum(size)])
     rows = [message(key, "words", None, put(kinds), put(ref), put(np.array([r["part"] for r in asked])), put(size), x=float(count.sum()), y=float((count > 0).sum()))]
     rows.append(message(key, "kinds", None, x=float((kinds == 1).sum()), y=float((kinds == 2).sum())))
@@ -531,7 +544,8 @@ def language_model_scores(docs: DataFrame, doc_id: str = "doc_id", text: str = "
         model = [kinds(heard, "known")]
         for k, (s, r, _) in enumerate(kept):
             model += [kinds(s, "seat").withColumn("kind", F.lit(f"seat{k}")), kinds(r, "down").withColumn("kind", F.lit(f"down{k}"))]
-        found = asked_of(pairs, model).applyInArrow(lambda p, r: _frequent(p, r, final, deal), MESSAGE).select("a", "b", "c").toArrow().to_pylist()  # FREQUENT pairs at most
+        with shuffles_cleared(spark):
+            found = asked_of(pairs, model).applyInArrow(lambda p, r: _frequent(p, r, final, deal), MESSAGE).select("a", "b", "c").toArrow().to_pylist()  # FREQUENT pairs at most
         scores = np.concatenate([np.zeros(0), *[np.frombuffer(r["c"], "<f8") for r in found]])
         frequent = spark.sparkContext.broadcast(Lookup(np.concatenate([np.zeros(0, _U), *[get(r["a"]) for r in found]]), joined(found, "b"), scores, totals))
         asked = rows.select("_doc", "text").mapInArrow(lambda b: _ask_blocks(b, deal, frequent.value), MESSAGE)

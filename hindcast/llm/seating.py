@@ -17,7 +17,7 @@ from math import lgamma
 import numpy as np
 
 EXACT = 1024
-_CELLS = 1 << 20
+_CELLS = 1 << 17
 
 
 def gammaln(x: np.ndarray) -> np.ndarray:
