@@ -6,6 +6,9 @@ Documents are kept with a probability proportional to the factor of their cell a
 tokens of what is kept have the target shares, but for cells so rare that all they have is less than their share. How
 much is kept goes by the token-weighted median of the factors or by a budget; no rare cell decides it. The draw is a
 hash of the id: the same at every run and on any cluster.
+
+Up to ``MAX_CELLS`` cells are raked on the driver, and their factors broadcast; more of them are raked by grouped sums
+on DataFrames, to the same factors.
 """
 
 from __future__ import annotations
@@ -15,13 +18,16 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Cells are collected and their factors broadcast; there may be at most so many (sources x languages x topics).
+from hindcast.llm.shared import written
+
+#: Cells (sources x languages x topics) that are collected and whose factors are broadcast.
 MAX_CELLS = 200_000
+MARGINS = ["source", "lang", "topic"]
 ROUNDS, CLOSE = 200, 1e-10
 #: Without a budget, cells at or above this token-weighted quantile of the factors are kept whole.
 WHOLE_FROM = 0.5
-#: Sources are evened out most; topics keep their shares.
-POWERS = {"source": 0.7, "lang": 0.9, "topic": 1.0}
+#: Sources are evened out most.
+POWERS = {"source": 0.7, "lang": 0.9, "topic": 0.9}
 SPACES = "[ \\t\\n\\x0B\\f\\r]+"
 
 
@@ -33,15 +39,15 @@ def token_count(text: Column) -> Column:
 def topic(text: Column, tokens: Column) -> Column:
     """A coarse kind of text by its characters: table, shout, noise, figures, long or prose; ``empty`` without words."""
 
-    def count(pattern: str) -> Column:
-        return F.length(text) - F.length(F.regexp_replace(text, pattern, ""))
+    def count(chars: str) -> Column:
+        return F.length(text) - F.length(F.translate(text, chars, ""))
 
     return (
         F.when(tokens == 0, "empty")
-        .when(count("\\|") * 5 > tokens, "table")
-        .when(count("!!") > tokens, "shout")
-        .when(count("[#$%&*]") > tokens, "noise")
-        .when(count("[0-9]") * 2 > tokens, "figures")
+        .when(count("|") * 5 > tokens, "table")
+        .when(F.length(text) - F.length(F.replace(text, F.lit("!!"), F.lit(""))) > tokens, "shout")
+        .when(count("#$%&*") > tokens, "noise")
+        .when(count("0123456789") * 2 > tokens, "figures")
         .when(tokens > 1000, "long")
         .otherwise("prose")
     )
@@ -87,6 +93,73 @@ def quantile(values: np.ndarray, weight: np.ndarray, q: float) -> float:
     return float(values[order][np.searchsorted(below, q * below[-1])])
 
 
+def _scale(factor: np.ndarray, tokens: np.ndarray, budget: float | None) -> float:
+    """What brings factors to probabilities, of cells that have tokens and a factor."""
+    if not len(factor):
+        return 0.0
+    scale = 1 / quantile(factor, tokens, WHOLE_FROM)
+    if budget is not None:
+        low, high = 0.0, 1 / factor.min()
+        for _ in range(100):
+            scale = (low + high) / 2
+            low, high = (scale, high) if (tokens * np.minimum(1, scale * factor)).sum() < budget else (low, scale)
+    return scale
+
+
+def _few(cells: DataFrame, targets: dict[str, dict[str, float]] | None, powers: dict[str, float], budget: float | None) -> DataFrame:
+    """Factors and probabilities of up to ``MAX_CELLS`` cells."""
+    rows = cells.toPandas().sort_values(MARGINS).reset_index(drop=True)
+    tokens = rows["tokens"].to_numpy(float)
+    factor = rake(rows, {c: pd.Series(targets[c], dtype=float) if targets and c in targets else tempered(rows.groupby(c)["tokens"].sum(), powers[c]) for c in MARGINS})
+    weighed = (tokens > 0) & (factor > 0)
+    scale = _scale(factor[weighed], tokens[weighed], budget)
+    rows["factor"] = np.where(tokens > 0, factor, 1 / scale if scale else 0.0)
+    rows["probability"] = np.minimum(1.0, rows["factor"] * scale)
+    out = [tuple(r) for r in rows[[*MARGINS, "factor", "probability"]].itertuples(index=False)]
+    return F.broadcast(cells.sparkSession.createDataFrame(out, ", ".join(f"{c} string" for c in MARGINS) + ", factor double, probability double"))
+
+
+def _many(cells: DataFrame, targets: dict[str, dict[str, float]] | None, powers: dict[str, float], budget: float | None) -> DataFrame:
+    """The same by grouped sums: each margin's step is a join with its values, and each round is written."""
+    spark = cells.sparkSession
+    cells = written(cells.withColumn("weight", F.col("tokens").cast("double")), "cells")
+    total = float(cells.agg(F.sum("tokens")).first()[0] or 0)
+    for c in MARGINS:
+        by = cells.groupBy(c).agg(F.sum("tokens").cast("double").alias("t"))
+        if targets and c in targets:
+            given = spark.createDataFrame([(k, float(v)) for k, v in targets[c].items()], f"{c} string, s double")
+            by = by.join(given, c, "left").select(c, "t", F.when(F.col("t") > 0, F.coalesce("s", F.lit(0.0))).otherwise(0.0).alias("s"))
+        else:
+            by = by.withColumn("s", F.when(F.col("t") > 0, F.pow("t", F.lit(powers[c]))).otherwise(0.0))
+        every = float(by.agg(F.sum("s")).first()[0] or 1)
+        cells = cells.join(by.select(c, (F.col("s") / every).alias(f"share_{c}")), c)
+    cells = written(cells, "cells")
+    for _ in range(ROUNDS):
+        worst = []
+        for c in MARGINS:
+            now = cells.groupBy(c).agg(F.sum("weight").alias("now"), F.max(f"share_{c}").alias("s"))
+            worst.append(now.agg(F.max(F.abs(F.col("now") - F.coalesce("s", F.lit(0.0)) * total))))
+            step = now.select(c, F.when(F.col("now") > 0, F.coalesce("s", F.lit(0.0)) * total / F.col("now")).otherwise(0.0).alias("step"))
+            cells = cells.join(step, c).withColumn("weight", F.col("weight") * F.col("step")).drop("step")
+        close = max(float(w.first()[0] or 0) for w in worst) < CLOSE * max(total, 1)
+        cells = written(cells, "cells")
+        if close:
+            break
+    cells = cells.withColumn("factor", F.when(F.col("tokens") > 0, F.col("weight") / F.col("tokens")).otherwise(0.0))
+    known = cells.where("tokens > 0 and factor > 0").groupBy("factor").agg(F.sum("tokens").alias("tokens"))
+    if budget is None:
+        scale = known.agg(F.percentile("factor", F.lit(WHOLE_FROM), F.col("tokens"))).first()[0]
+        scale = 1 / scale if scale else 0.0
+    else:
+        low, high = 0.0, 1 / float(known.agg(F.min("factor")).first()[0] or 1)
+        for _ in range(50):
+            scale = (low + high) / 2
+            kept = known.agg(F.sum(F.col("tokens") * F.least(F.lit(1.0), F.col("factor") * scale))).first()[0] or 0
+            low, high = (scale, high) if kept < budget else (low, scale)
+    factor = F.when(F.col("tokens") > 0, F.col("factor")).otherwise(1 / scale if scale else 0.0)
+    return cells.select(*MARGINS, factor.alias("factor"), F.least(F.lit(1.0), factor * scale).alias("probability"))
+
+
 def mix(docs: DataFrame, targets: dict[str, dict[str, float]] | None = None, powers: dict[str, float] = POWERS, budget: float | None = None, seed: str = "mix", doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Add ``n_tokens``, ``topic``, ``factor``, ``probability`` and ``kept`` to ``docs(doc_id, text, source, lang)``.
 
@@ -101,28 +174,8 @@ def mix(docs: DataFrame, targets: dict[str, dict[str, float]] | None = None, pow
     counted = docs.withColumn("n_tokens", tokens).withColumn("topic", topic(F.coalesce(F.col(text), F.lit("")), F.col("n_tokens")))
     counted = counted.withColumns({f"_{c}": F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("source", "lang")})
     keys = ["_source", "_lang", "topic"]
-    cells = counted.groupBy(*keys).agg(F.sum("n_tokens").alias("tokens")).limit(MAX_CELLS + 1).toPandas()
-    if len(cells) > MAX_CELLS:
-        raise ValueError(f"more than {MAX_CELLS} cells of source, language and topic; group rare sources first")
-    cells = cells.sort_values(keys).reset_index(drop=True).rename(columns={"_source": "source", "_lang": "lang"})
-    named = {}
-    for c in ("source", "lang", "topic"):
-        by = cells.groupby(c)["tokens"].sum()
-        named[c] = pd.Series(targets[c], dtype=float) if targets and c in targets else tempered(by, powers[c])
-    factor = rake(cells, named)
-    some = cells["tokens"].to_numpy(float) > 0
-    weighed = some & (factor > 0)
-    scale = 1 / quantile(factor[weighed], cells["tokens"].to_numpy(float)[weighed], WHOLE_FROM) if weighed.any() else 0.0
-    if budget is not None and some.any():
-        low, high = 0.0, 1 / factor[weighed].min() if weighed.any() else 0.0
-        for _ in range(100):
-            scale = (low + high) / 2
-            low, high = (scale, high) if (cells["tokens"] * np.minimum(1, scale * factor)).sum() < budget else (low, scale)
-    cells["factor"] = np.where(some, factor, 1 / scale if scale else 0.0)
-    cells["probability"] = np.minimum(1.0, cells["factor"] * scale)
-    spark = docs.sparkSession
-    rows = [tuple(r) for r in cells[["source", "lang", "topic", "factor", "probability"]].itertuples(index=False)]
-    small = F.broadcast(spark.createDataFrame(rows, "_source string, _lang string, topic string, factor double, probability double"))  # MAX_CELLS rows at most
+    cells = written(counted.groupBy(*keys).agg(F.sum("n_tokens").alias("tokens")).withColumnsRenamed({"_source": "source", "_lang": "lang"}), "cells")
+    small = (_few if cells.count() <= MAX_CELLS else _many)(cells, targets, powers, budget).withColumnsRenamed({"source": "_source", "lang": "_lang"})
     drawn = F.shiftrightunsigned(F.xxhash64(F.coalesce(F.col(doc_id).cast("string"), F.lit("")), F.lit(seed)), 11) / F.lit(float(1 << 53))
     out = counted.drop("factor", "probability", "kept").join(small, keys).withColumn("kept", drawn < F.col("probability"))
     new = ["n_tokens", "topic", "factor", "probability", "kept"]
