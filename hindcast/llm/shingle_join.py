@@ -248,7 +248,8 @@ def _linked(batches: Iterable[pa.RecordBatch], percent: int) -> Iterator[pa.Reco
 
 
 def shingle_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = 5, percent: int = 75) -> DataFrame:
-    """One row for each document: ``doc_id``, ``n_shingles``, ``class_id`` and ``component_id``.
+    """One row for each document: ``doc_id``, ``n_shingles``, ``class_id``, ``component_id`` and ``text_key`` (xxhash64 of the
+    text, which tells rows of one doc_id apart).
 
     A-Z are lower-cased; words are split at ASCII white space. A text's set are its distinct ``width``-word n-grams; with
     fewer words, all its words as one; without words or text, nothing (n_shingles 0, class_id 0), and it is linked
@@ -259,6 +260,7 @@ def shingle_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     """
     spark = docs.sparkSession
     docs = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
+
     def describe(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             seen = []
@@ -268,15 +270,15 @@ def shingle_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                 bits = parity_bits(values, at)
                 nothing = pa.nulls(part.num_rows, pa.int64())
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id").cast(pa.int64()), pa.array(np.diff(at)), pa.array(class_ids(values, at)), binary_rows(bits.ravel(), np.arange(part.num_rows + 1) * (SKETCH_BITS // 8)), nothing, nothing],
-                    ["doc_id", "n", "fp", "sketch", "gram", "count"],
+                    [part.column("doc_id").cast(pa.int64()), part.column("text_key"), pa.array(np.diff(at)), pa.array(class_ids(values, at)), binary_rows(bits.ravel(), np.arange(part.num_rows + 1) * (SKETCH_BITS // 8)), nothing, nothing],
+                    ["doc_id", "text_key", "n", "fp", "sketch", "gram", "count"],
                 )
             grams, count = np.unique(np.concatenate(seen), return_counts=True) if seen else (np.zeros(0, _U), np.zeros(0, np.int64))
             grams, count = grams[count > 1], count[count > 1]
             nothing = pa.nulls(len(grams), pa.int64())
-            yield pa.RecordBatch.from_arrays([nothing, nothing, nothing, pa.nulls(len(grams), pa.binary()), pa.array(grams.view(np.int64)), pa.array(count)], ["doc_id", "n", "fp", "sketch", "gram", "count"])
+            yield pa.RecordBatch.from_arrays([nothing, nothing, nothing, nothing, pa.nulls(len(grams), pa.binary()), pa.array(grams.view(np.int64)), pa.array(count)], ["doc_id", "text_key", "n", "fp", "sketch", "gram", "count"])
 
-    described = written(docs.mapInArrow(describe, "doc_id bigint, n bigint, fp bigint, sketch binary, gram bigint, count bigint"), "shingles")
+    described = written(docs.withColumn("text_key", F.xxhash64("text")).mapInArrow(describe, "doc_id bigint, text_key bigint, n bigint, fp bigint, sketch binary, gram bigint, count bigint"), "shingles")
     often = described.where("gram is not null").groupBy("gram").agg(F.sum("count").alias("c")).where(F.col("c") >= FREQUENT_LEAST)
     many = written(often, "frequent")
     sizes = many.groupBy(F.floor(F.log2("c") * 8).alias("k")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.col("k").desc()).collect()
@@ -288,7 +290,7 @@ def shingle_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         lowest = row["k"]
     often = many.where(F.floor(F.log2("c") * 8) >= lowest)
     frequent = spark.sparkContext.broadcast(np.sort(often.select("gram").toPandas()["gram"].to_numpy(np.int64).view(_U)))
-    members = described.where("n is not null").select("doc_id", "n", "fp", "sketch")
+    members = described.where("n is not null").select("doc_id", "text_key", "n", "fp", "sketch")
     n_total = members.agg(F.sum("n")).first()[0] or 0
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), int(n_total * 7 // BUCKET_BYTES) + 1)
 
@@ -322,8 +324,9 @@ def shingle_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     groups = written(groups.groupBy("gid").agg(F.min_by("leader", "leader").alias("leader"), F.first("members").alias("members")), "groups")
 
     met = groups.select(F.explode("members").alias("fp")).distinct()
-    classes = members.join(met, "fp").groupBy("fp").agg(F.min_by("doc_id", F.coalesce("doc_id", F.lit(2**63 - 1))).alias("doc_id"), F.first("n").alias("n"), F.first("sketch").alias("sketch"))
-    classes = written(classes, "classes")
+    # copies are added up before they are dealt by their set
+    least = F.min_by(F.struct("doc_id", "n", "sketch"), F.coalesce("doc_id", F.lit(2**63 - 1))).alias("one")
+    classes = written(members.groupBy("fp").agg(least).join(met, "fp").select("fp", "one.*"), "classes")
 
     def collect_sets(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -366,7 +369,7 @@ def shingle_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     second = linked(apart.join(stars, ["a", "b"], "left_anti"))
     part = components(first.unionByName(second), "a", "b")
     labelled = members.join(part.withColumnRenamed("node", "fp"), "fp", "left").withColumn("component", F.coalesce("component", "fp"))
-    labelled = written(labelled.select("doc_id", "n", "fp", "component"), "labelled")
+    labelled = written(labelled.select("doc_id", "text_key", "n", "fp", "component"), "labelled")
     least = labelled.where("n > 0").groupBy("component").agg(F.min("doc_id").alias("component_id"))
     out = labelled.join(least, "component", "left")
-    return out.select("doc_id", F.col("n").alias("n_shingles"), F.col("fp").alias("class_id"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+    return out.select("doc_id", F.col("n").alias("n_shingles"), F.col("fp").alias("class_id"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"), "text_key")
