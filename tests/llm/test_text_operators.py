@@ -8,6 +8,7 @@ import pyarrow as pa
 import public_tokenizers
 import pytest
 import tiktoken
+import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -434,6 +435,44 @@ def test_mixing(clashing, rows, empty, spark):
     assert [r["kept"] for r in mixing.mix(nulls).collect()] in ([True, True], [False, False])
 
 
+@pytest.mark.parametrize("most", [200_000, 5])
+def test_mixing_equals_brute_force(clashing, docs, rows, monkeypatch, most):
+    """Factors by raking in plain Python, probabilities, and the draw by Spark's hash; on the driver and on DataFrames."""
+    monkeypatch.setattr(mixing, "MAX_CELLS", most)
+    got = {r["doc_id"]: r for r in mixing.mix(clashing).collect()}
+    cells: dict[tuple, int] = {}
+    of = {}
+    for i, t in rows:
+        of[i] = (f"s{i % 3}", "en", got[i]["topic"])
+        cells[of[i]] = cells.get(of[i], 0) + len(WORD.findall(t or ""))
+    weight, total = {k: float(n) for k, n in cells.items()}, sum(cells.values())
+    want = []
+    for c, power in enumerate(mixing.POWERS[m] for m in mixing.MARGINS):
+        by: dict[str, int] = {}
+        for k, n in cells.items():
+            by[k[c]] = by.get(k[c], 0) + n
+        share = {v: n**power if n else 0 for v, n in by.items()}
+        want.append({v: x / sum(share.values()) for v, x in share.items()})
+    for _ in range(300):
+        for c in range(3):
+            now: dict[str, float] = {}
+            for k, w in weight.items():
+                now[k[c]] = now.get(k[c], 0) + w
+            weight = {k: w * (want[c][k[c]] * total / now[k[c]] if now[k[c]] else 0) for k, w in weight.items()}
+    factor = {k: weight[k] / n for k, n in cells.items() if n}
+    seen = 0
+    for f, n in sorted((f, cells[k]) for k, f in factor.items()):
+        seen += n
+        if seen >= total / 2:
+            median = f
+            break
+    for i, r in got.items():
+        f = factor.get(of[i], median)
+        draw = (xxhash.xxh64_intdigest(b"mix", xxhash.xxh64_intdigest(str(i).encode(), 42)) >> 11) / 2**53
+        assert (r["factor"], r["probability"]) == (pytest.approx(f, rel=1e-6), pytest.approx(min(1, f / median), rel=1e-6))
+        assert r["kept"] == (draw < r["probability"])
+
+
 def test_rare_sources_do_not_decide_how_much_is_kept(spark):
     def share(rows):
         out = mixing.mix(spark.createDataFrame([(i, "w " * n, "en", s) for i, (s, n) in enumerate(rows)], "doc_id bigint, text string, lang string, source string"))
@@ -497,6 +536,15 @@ def test_pipeline_stages(spark, docs, rows, tmp_path):
     assert sorted(r["doc_id"] for r in near.collect()) == sorted(i for i, (n, top) in tops.items() if top == i)
     clean = {r["doc_id"]: r["text"] for r in p.substring_dedup(spark, docs, str(tmp_path)).collect()}
     assert clean == {i: (kept_words(rows)[i][2] if kept_words(rows)[i][1] else t) for i, t in rows}
+    # rows of one id go or stay by their own texts; repeated rows, null ids, an empty table and extra columns
+    twice = [(1, rows[60][1]), (2, rows[61][1]), (2, "a text of its own " * 9), (3, "once more"), (3, "once more"), (None, rows[62][1]), (None, None), (4, None), (5, "")]
+    odd = spark.createDataFrame([(i, t, None, None, None) for i, t in twice], docs.schema).withColumns({"fp": F.lit(1), "kept": F.lit("x"), "size": F.lit(2)})
+    left = sorted((str(r["doc_id"]), r["text"] or "") for r in p.near_duplicates(spark, odd, str(tmp_path)).collect())
+    assert left == sorted([("1", rows[60][1]), ("2", twice[2][1]), ("3", "once more"), ("None", rows[62][1]), ("None", ""), ("4", ""), ("5", "")])
+    for table in (odd, odd.limit(0)):
+        for name, stage in p.STAGES:
+            out = stage(spark, table, str(tmp_path))
+            assert out.count() <= table.count() and (name == "byte_bpe" or out.columns == p.COLUMNS)
     out = p.run(spark, str(tmp_path)).collect()
     assert out and all(r["round_trip"] for r in out) and len({r["doc_id"] for r in out}) == len(out)
     assert hashlib.sha256(bytes(out[0]["ids"])).digest()
