@@ -22,15 +22,19 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose score is below one half go."""
+    """Documents whose score is below one half go. Null and empty texts are scored like any other, by features of zero."""
     model = quality.fit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return quality.score(docs.select(*COLUMNS), model).where("quality_score >= 0.5").select(*COLUMNS)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the document with the least doc_id stays; those without words or id all stay."""
-    classes = shingle_classes(docs).where("doc_id is not null and component_id <> doc_id").select("doc_id").distinct()
-    return docs.join(classes, "doc_id", "left_anti").dropDuplicates(["doc_id", "text"]).select(*COLUMNS)
+    """Of each group of near copies the document with the least doc_id stays; those without words or id all stay.
+
+    Rows of one doc_id go or stay each by its own text: several that are near copies of one another stay together, and
+    of repeated rows (equal in doc_id and text) one stays."""
+    gone = shingle_classes(docs).where("doc_id is not null and component_id <> doc_id").select(F.col("doc_id").alias("_gone"), "text_key").distinct()
+    kept = docs.join(gone, (F.col("doc_id") == F.col("_gone")) & (F.xxhash64("text") == F.col("text_key")), "left_anti")
+    return kept.dropDuplicates(["doc_id", "text"]).select(*COLUMNS)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,12 +45,13 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """A sample whose tokens have tempered shares of sources, languages and topics."""
+    """A sample whose tokens have tempered shares of sources, languages and topics. Documents without words are kept; null
+    sources and languages count as the empty string."""
     return mixing.mix(docs).where("kept").select(*COLUMNS)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The ids of each document, and whether they decode to its text."""
+    """The ids of each document, and whether they decode to its text; null and empty texts have none and decode to nothing."""
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     out = bpe.round_trip(docs.select(*COLUMNS), path)
     whole = F.coalesce("text", F.lit("")).cast("binary") == F.col("decoded")
