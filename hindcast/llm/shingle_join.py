@@ -12,13 +12,14 @@ adds to a difference. Sets with too few filled parts then also sketch all their
 filled parts, each n-gram by itself; any pair of linked sets meets in the widest form that either of them needs.
 
 Equal sets are one class from the start. Sets that meet are compared with the most connected set of their group
-first; what that leaves apart is compared in pairs. So a large group of near copies costs a few comparisons a set, and
-no link between components is lost.
+first; what that leaves apart is compared in pairs, in a large group with the nearest sets by parity bits first and with
+more of them in rounds while some are left. So a large group of near copies costs a few comparisons a set, and no link
+between components is lost.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -171,6 +172,8 @@ _PAIR = np.dtype([("a", "<i8"), ("b", "<i8")])
 PAIRS_HELD = 1 << 19
 #: Sets of a group that are compared group by group; and sets of a block of a family.
 LARGE, BLOCK = 32, 1024
+#: Sets of a block that a set of a family meets in the first round; four times as many in each further one.
+NEAREST = 4
 _POPCOUNT = np.array([bin(b).count("1") for b in range(256)], np.int32)
 
 
@@ -219,21 +222,27 @@ def _pairs_apart(batches: Iterable[pa.RecordBatch], percent: int) -> Iterator[pa
         yield new()
 
 
-def _blocks_apart(t: pa.Table, percent: int) -> pa.Table:
+def _blocks_apart(t: pa.Table, percent: int, most: int) -> pa.Table:
     """Pairs between two blocks of a family (or within one) that are in different components and that sizes and parity
-    bits allow: one after another row of the first block against the second, without any pair kept before that."""
+    bits allow: one after another row of the first block against the second, of each the ``most`` nearest by parity
+    bits. A row of nulls tells that some row had more."""
     t = t.combine_chunks()
     own, fp, part, n = (t[c].to_numpy() for c in ("block", "fp", "component", "n"))
     bits = text_buffer(t["sketch"])[0].view(_U).reshape(len(fp), -1)
     first, second = np.flatnonzero(own == t["i"][0].as_py()), np.flatnonzero(own == t["j"][0].as_py())
-    found = []
+    found, more = [], False
     for at, x in enumerate(first.tolist()):
         y = second[at + 1 :] if first[0] == second[0] else second
         y = y[(part[y] != part[x]) & (100 * np.minimum(n[x], n[y]) >= percent * np.maximum(n[x], n[y]))]
-        y = y[np.bitwise_count(bits[y] ^ bits[x]).sum(axis=1, dtype=np.int64) * (100 + percent) <= (n[x] + n[y]) * (100 - percent)]
+        apart = np.bitwise_count(bits[y] ^ bits[x]).sum(axis=1, dtype=np.int64)
+        may = apart * (100 + percent) <= (n[x] + n[y]) * (100 - percent)
+        y, apart = y[may], apart[may]
+        if len(y) > most:
+            y, more = y[np.lexsort((fp[y], apart))[:most]], True
         found.append(np.stack([np.minimum(fp[x], fp[y]), np.maximum(fp[x], fp[y])]))
     pairs = np.concatenate(found, axis=1) if found else np.zeros((2, 0), np.int64)
-    return pa.table({"a": pairs[0], "b": pairs[1]})
+    end = pa.nulls(int(more), pa.int64())
+    return pa.table({c: pa.chunked_array([pa.array(v), end]) for c, v in zip("ab", pairs, strict=True)})
 
 
 def _linked(batches: Iterable[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
@@ -352,24 +361,47 @@ def shingle_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     stars = groups.select("leader", F.explode("members").alias("fp")).where("leader <> fp").select(F.least("leader", "fp").alias("a"), F.greatest("leader", "fp").alias("b")).distinct()
     first = linked(stars)
     part = written(components(first, "a", "b"), "parts")
-    labelled = groups.select("gid", F.explode("members").alias("fp")).join(part.withColumnRenamed("node", "fp"), "fp", "left").withColumn("component", F.coalesce("component", "fp"))
-    open_groups = labelled.groupBy("gid").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count(F.lit(1)).alias("size")).where("x <> y").select("gid", "size")
-    rest = labelled.join(open_groups.where("size <= " + str(LARGE)), "gid").join(classes.select("fp", "n"), "fp").groupBy("gid").agg(F.collect_list(F.struct("fp", "component", "n")).alias("members"))
-    small = rest.mapInArrow(lambda batches: _pairs_apart(batches, percent), "a bigint, b bigint")
-    # large groups are much alike: those that share sets are one family, which is gone through once
-    large = written(groups.where(F.size("members") > LARGE).join(open_groups.where("size > " + str(LARGE)).select("gid"), "gid", "left_semi").select("leader", F.explode("members").alias("fp")).distinct(), "large")
-    family = components(large, "leader", "fp").select(F.col("node").alias("fp"), F.col("component").alias("family"))
-    family = written(family.join(part.withColumnRenamed("node", "fp"), "fp", "left").withColumn("component", F.coalesce("component", "fp")).join(classes.select("fp", "n", "sketch"), "fp"), "families")
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    family = family.join(family.groupBy("family").agg(F.count(F.lit(1)).alias("size")), "family").withColumn("blocks", blocks)
-    family = family.withColumn("block", F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    family = family.select("family", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "fp", "component", "n", "sketch")
-    near = family.groupBy("family", "i", "j").applyInArrow(lambda t: _blocks_apart(t, percent), "a bigint, b bigint")
-    apart = written(small.unionByName(near).distinct(), "apart")
-    second = linked(apart.join(stars, ["a", "b"], "left_anti"))
-    part = components(first.unionByName(second), "a", "b")
+    links, tested = first, stars
+
+    def in_parts(df: DataFrame) -> DataFrame:
+        return df.join(part.withColumnRenamed("node", "fp"), "fp", "left").withColumn("component", F.coalesce("component", "fp"))
+
+    def open_groups() -> tuple[DataFrame, DataFrame]:
+        """Members of groups with their components, and the groups that have several, with their sizes."""
+        labelled = in_parts(groups.select("gid", F.explode("members").alias("fp")))
+        sizes = labelled.groupBy("gid").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count(F.lit(1)).alias("size"))
+        return labelled, sizes.where("x <> y").select("gid", "size")
+
+    def nearest(most: int) -> Callable[[pa.Table], pa.Table]:
+        return lambda t: _blocks_apart(t, percent, most)
+
+    def compared(pairs: DataFrame) -> None:
+        """Compare pairs that were not compared before, and bring links and components up to date."""
+        nonlocal links, tested, part
+        new = written(pairs.join(tested, ["a", "b"], "left_anti").distinct(), "apart")
+        links, tested = links.unionByName(linked(new)), tested.unionByName(new)
+        part = written(components(links, "a", "b"), "parts")
+
+    # large groups are much alike: those that share sets are one family, whose rows meet their nearest first. What is
+    # still apart after that meets more of them, until no row has any left
+    large = written(groups.where(F.size("members") > LARGE).join(open_groups()[1].where(f"size > {LARGE}").select("gid"), "gid", "left_semi").select("leader", F.explode("members").alias("fp")).distinct(), "large")
+    if not large.isEmpty():
+        family = components(large, "leader", "fp").select(F.col("node").alias("fp"), F.col("component").alias("family"))
+        family = written(family.join(classes.select("fp", "n", "sketch"), "fp"), "families")
+        sizes = family.groupBy("family").agg(F.count(F.lit(1)).alias("size")).withColumn("blocks", F.ceil(F.col("size") / BLOCK).cast("int"))
+        most, more = NEAREST, True
+        while more:
+            dealt = in_parts(family.join(sizes, "family")).withColumn("block", F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+            dealt = dealt.select("family", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "fp", "component", "n", "sketch")
+            near = written(dealt.groupBy("family", "i", "j").applyInArrow(nearest(most), "a bigint, b bigint"), "near")
+            more = not near.where("a is null").isEmpty()
+            compared(near.where("a is not null"))
+            most *= 4
+    labelled, open_now = open_groups()
+    rest = labelled.join(open_now.where(f"size <= {LARGE}"), "gid").join(classes.select("fp", "n"), "fp").groupBy("gid").agg(F.collect_list(F.struct("fp", "component", "n")).alias("members"))
+    compared(rest.mapInArrow(lambda batches: _pairs_apart(batches, percent), "a bigint, b bigint"))
     labelled = members.join(part.withColumnRenamed("node", "fp"), "fp", "left").withColumn("component", F.coalesce("component", "fp"))
     labelled = written(labelled.select("doc_id", "text_key", "n", "fp", "component"), "labelled")
-    least = labelled.where("n > 0").groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    least = written(labelled.where("n > 0").groupBy("component").agg(F.min("doc_id").alias("component_id")), "least")
     out = labelled.join(least, "component", "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.col("fp").alias("class_id"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"), "text_key")
