@@ -39,8 +39,10 @@ def token_count(text: Column) -> Column:
 def topic(text: Column, tokens: Column) -> Column:
     """A coarse kind of text by its characters: table, shout, noise, figures, long or prose; ``empty`` without words."""
 
+    signs = F.regexp_replace(text, "[^0-9|#$%&*]+", "")  # short, so that it costs little to count in it
+
     def count(chars: str) -> Column:
-        return F.length(text) - F.length(F.translate(text, chars, ""))
+        return F.length(signs) - F.length(F.translate(signs, chars, ""))
 
     return (
         F.when(tokens == 0, "empty")
