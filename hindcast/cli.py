@@ -1,4 +1,4 @@
-"""``python -m hindcast.cli``: run, coverage, backfill, acquire and demo."""
+"""``python -m hindcast.cli``: run, coverage and demo."""
 
 from __future__ import annotations
 
@@ -14,9 +14,7 @@ from hindcast.operators.gates import PASS
 from hindcast.plans import coverage as cov
 from hindcast.plans import run as runs
 from hindcast.schemas import REPORTS
-from hindcast.sources import archive, files, synthetic
-
-USAGE = 64
+from hindcast.sources import files, synthetic
 
 
 def session() -> SparkSession:
@@ -48,38 +46,11 @@ def _coverage(a: argparse.Namespace) -> int:
     return 0 if complete else 1
 
 
-def _backfill(a: argparse.Namespace) -> int:
-    if a.start > a.end:
-        print("the start is after the end", file=sys.stderr)
-        return USAGE
-    try:
-        credentials = archive.Credentials.from_env(Path(".env"))
-        client = archive.ArchiveClient(a.api, a.token_url, credentials, {a.report: a.product}, archive.RateLimiter(a.per_minute))
-        found = archive.backfill(client, a.report, a.start, a.end, Path(a.raw))
-    except archive.MissingCredentials as e:
-        print(e, file=sys.stderr)
-        return USAGE
-    except archive.AcquisitionError as e:
-        print(e, file=sys.stderr)
-        return 1
-    print(f"{len(found)} files")
-    return 0
-
-
-def _acquire(a: argparse.Namespace) -> int:
-    report = REPORTS[a.report]
-    found = archive.list_publications(a.listing, report)[: a.newest]
-    for name, doc in found:
-        archive.download(f"{a.download}?doclookupId={doc}", Path(a.raw) / report.key / name)
-    print(f"{len(found)} files")
-    return 0
-
-
 def _demo(a: argparse.Namespace) -> int:
     spark, ok = session(), True
     for scenario in synthetic.SCENARIOS:
         with tempfile.TemporaryDirectory() as folder:
-            day = synthetic.build(scenario, Path(folder, "raw"))
+            day = synthetic.build(spark, scenario, Path(folder, "raw"))
             code, results = runs.run(spark, f"{folder}/raw", f"{folder}/warehouse", day, window_days=1)
             print(f"{scenario}: exit {code}; {', '.join(f'{r.gate} {r.status}' for r in results)}; {', '.join(x.code for r in results for x in r.reasons) or 'no reasons'}")
             ok &= (results[0].status == PASS) == (scenario in ("pass", "dst_spring_forward"))
@@ -99,11 +70,8 @@ def main(argv: list[str] | None = None) -> int:
 
     raw = ("--raw", {"default": "raw"})
     span = (("--start", {"type": day, "required": True}), ("--end", {"type": day, "required": True}))
-    report = ("--report", {"choices": list(REPORTS), "required": True})
     command("run", _run, raw, ("--warehouse", {"default": "warehouse"}), ("--reports", {"default": "reports"}), ("--processing-date", {"type": day, "required": True}), ("--window-start", {"type": day}), ("--window-end", {"type": day}), ("--window-days", {"type": int, "default": 30}), ("--cutoff-lag-hours", {"type": int, "default": 24}), ("--seasonal-lag-days", {"type": int, "default": 7}))
     command("coverage", _coverage, raw, *span)
-    command("backfill", _backfill, raw, *span, report, ("--api", {"required": True}), ("--token-url", {"required": True}), ("--product", {"required": True}), ("--per-minute", {"type": int, "default": archive.REQUESTS}))
-    command("acquire", _acquire, raw, report, ("--listing", {"required": True}), ("--download", {"required": True}), ("--newest", {"type": int, "default": 24}))
     command("demo", _demo)
     args = parser.parse_args(argv)
     return args.call(args)

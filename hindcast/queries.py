@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from hindcast.functions import time as T
-from hindcast.operators import asof, gates, metrics, normalize
+from hindcast.operators import asof, gates, metrics, normalize, reports
 from hindcast.plans import coverage as cov
 from hindcast.plans.warehouse import row_digest
 
@@ -311,19 +311,29 @@ def time_zone_evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.groupBy("event_type", "pub_day").agg((F.min("target_day") == F.first("pub_day")).alias("same_day"))
 
 
-HOURLY = """h AS (SELECT CAST(timezone('America/Chicago', timezone('UTC', ts)) AS DATE) AS day, CAST(hour(timezone('America/Chicago', timezone('UTC', ts))) AS INTEGER) AS hour, count(*) AS held FROM events WHERE event_id % 20 = 0 GROUP BY 1, 2),
-x AS (SELECT CAST(d AS DATE) AS day, CAST(r.h AS INTEGER) AS hour, 1 AS expected FROM range(DATE '2024-01-01', DATE '2024-02-01', INTERVAL 1 DAY) t(d), range(24) r(h)),
+HOURLY = """h AS (SELECT CAST(wall AS DATE) AS day, CAST(hour(wall) AS INTEGER) AS hour, count(*) AS held FROM (SELECT timezone('America/Chicago', timezone('UTC', ts)) AS wall FROM events) GROUP BY 1, 2),
+s AS (SELECT min(day) AS first, max(day) AS last, CAST(sum(held) AS BIGINT) // ((max(day) - min(day) + 1) * 24) + 1 AS due FROM h),
+i AS (SELECT timezone('America/Chicago', unnest(generate_series(timezone('America/Chicago', CAST(first AS TIMESTAMP)), timezone('America/Chicago', CAST(last + 1 AS TIMESTAMP)) - INTERVAL 1 HOUR, INTERVAL 1 HOUR))) AS wall, due FROM s),
+x AS (SELECT CAST(wall AS DATE) AS day, CAST(hour(wall) AS INTEGER) AS hour, CAST(sum(due) AS BIGINT) AS expected FROM i GROUP BY 1, 2),
 c AS (SELECT x.day, x.hour, x.expected, coalesce(h.held, 0) AS held, least(x.expected, coalesce(h.held, 0)) AS credited FROM x LEFT JOIN h USING (day, hour)),
 d AS (SELECT day, CAST(sum(expected) AS BIGINT) AS expected, CAST(sum(credited) AS BIGINT) AS held FROM c GROUP BY 1)"""
 
 
+def _local(ts: str) -> Column:
+    return F.from_utc_timestamp(F.col(ts).cast("timestamp"), T.ZONE)
+
+
 def _measured(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every twentieth event as a publication, against one an hour in January 2024."""
+    """Every event as a publication, from the first to the last local day; due in each hour is one more than the mean."""
     from hindcast.schemas import LOAD_FORECAST
 
-    days = spark.range(31).select(F.date_add(F.lit(date(2024, 1, 1)), F.col("id").cast("int")).alias("day"))
-    held = table(spark, sf_dir, "events").where("event_id % 20 = 0").select(F.col("ts").cast("timestamp").alias("publication_ts_utc"))
-    return cov.measure(held, cov.expected_publications(days, LOAD_FORECAST))
+    held = table(spark, sf_dir, "events").select(F.col("ts").cast("timestamp").alias("publication_ts_utc"))
+    day = F.to_date(_local("publication_ts_utc"))
+    span = held.agg(F.min(day).alias("first"), F.max(day).alias("last"), F.count(F.lit(1)).alias("n")).first()  # one row
+    n = (span["last"] - span["first"]).days + 1 if span["n"] else 0
+    days = spark.range(n).select(F.date_add(F.lit(span["first"]), F.col("id").cast("int")).alias("day"))
+    expected = cov.expected_publications(days, LOAD_FORECAST).withColumn("expected", F.col("expected") * (span["n"] // (max(n, 1) * 24) + 1))
+    return cov.measure(held, expected)
 
 
 @query(f"WITH {HOURLY} SELECT day, hour, CAST(expected AS BIGINT) AS expected, held, CAST(credited AS BIGINT) AS credited, CAST(expected - credited AS BIGINT) AS missing FROM c")
@@ -331,10 +341,10 @@ def coverage_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _measured(spark, sf_dir).select("day", "hour", "expected", "held", "credited", "missing")
 
 
-@query(f"WITH {HOURLY}, l AS (SELECT CAST(timezone('America/Chicago', timezone('UTC', ts)) AS DATE) AS day, count(*) // 20 AS listed FROM events WHERE event_id % 3 > 0 GROUP BY 1) SELECT day, expected, held, CASE WHEN listed IS NULL THEN 'unknown' WHEN listed <= held THEN 'never published' ELSE 'not retrieved' END AS cause FROM d LEFT JOIN l USING (day) WHERE held < expected")
+@query(f"WITH {HOURLY}, l AS (SELECT day, CAST(sum(held) AS BIGINT) AS listed FROM h GROUP BY 1) SELECT day, expected, held, CASE WHEN listed IS NULL THEN 'unknown' WHEN listed <= held THEN 'never published' ELSE 'not retrieved' END AS cause FROM d LEFT JOIN l USING (day) WHERE held < expected")
 def retrieval_gap_attribution(spark: SparkSession, sf_dir: str) -> DataFrame:
-    local = F.to_date(F.from_utc_timestamp(F.col("ts").cast("timestamp"), T.ZONE))
-    listed = table(spark, sf_dir, "events").where("event_id % 3 > 0").groupBy(local.alias("day")).agg(F.floor(F.count(F.lit(1)) / 20).alias("listed"))
+    """Why days are incomplete, where the archive lists all events of a day and only those due in their hour count."""
+    listed = table(spark, sf_dir, "events").groupBy(F.to_date(_local("ts")).alias("day")).agg(F.count(F.lit(1)).alias("listed"))
     return cov.attribute_gaps(cov.by_day(_measured(spark, sf_dir)).select("day", "expected", "held"), listed).select("day", "expected", "held", "cause")
 
 
@@ -437,5 +447,105 @@ def gaps_by_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT event_type, ts, round(100.0 * abs(value - mean) / nullif(value, 0), 7) AS ape_pct, is_peak FROM s""")
 def ape_scatter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The absolute percentage error of each row, flagged at each day's peak."""
-    rows = table(spark, sf_dir, "events").withColumns({"mean": F.avg("value").over(Window.partitionBy("event_type")), "is_peak": F.row_number().over(Window.partitionBy("event_type", F.to_date("ts")).orderBy(F.col("value").desc(), "event_id")) == 1})
+    events = table(spark, sf_dir, "events")
+    means = events.groupBy("event_type").agg(F.avg("value").alias("mean"))
+    peak = F.row_number().over(Window.partitionBy("event_type", F.to_date("ts")).orderBy(F.col("value").desc(), "event_id")) == 1
+    rows = events.withColumn("is_peak", peak).join(means, "event_type")
     return rows.select("event_type", "ts", F.round(metrics.ape(F.abs(F.col("value") - F.col("mean")), F.col("value")), 7).alias("ape_pct"), "is_peak")
+
+
+@query(f"WITH {EVALUATION} SELECT target_ts_utc, actual_mw, ercot_forecast_mw, naive_forecast_mw FROM ev WHERE weather_zone = 'click' ORDER BY 1")
+def zone_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.zone_series(_evaluation(spark, sf_dir), "click").withColumn("target_ts_utc", plain("target_ts_utc"))
+
+
+@query(f"WITH {ACTUALS} SELECT DISTINCT he AS hour_ending, flag AS dst_flag FROM a WHERE day = DATE '2024-01-10' ORDER BY 1, 2")
+def reported_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.reported_hours(_actuals(spark, sf_dir), date(2024, 1, 10))
+
+
+@query(f"WITH {EVALUATION} SELECT weather_zone, operating_date, hour_ending, dst_flag, ercot_model, ercot_forecast_mw, actual_mw, naive_forecast_mw, ercot_error_mw, naive_error_mw, ercot_vintage_age_hours FROM ev WHERE weather_zone = 'click' AND operating_date = DATE '2024-01-12' AND hour_ending = 9")
+def evaluation_row(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.evaluation_row(_evaluation(spark, sf_dir), "click", date(2024, 1, 12), 9)
+
+
+@query(f"WITH {EVALUATION} SELECT weather_zone, target_ts_utc, actual_mw FROM ev WHERE actual_mw IS NOT NULL ORDER BY actual_mw DESC, target_ts_utc, weather_zone LIMIT 1")
+def highest_actual(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.highest_actual(_evaluation(spark, sf_dir)).withColumn("target_ts_utc", plain("target_ts_utc"))
+
+
+@query(f"WITH {EVALUATION} SELECT weather_zone, hour_ending, round(100.0 * sum(abs(naive_error_mw)) / nullif(sum(actual_mw), 0), 7) AS wape_pct FROM ev WHERE naive_error_mw IS NOT NULL GROUP BY 1, 2 ORDER BY 3 DESC, 1, 2 LIMIT 5")
+def worst_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.worst_cells(_evaluation(spark, sf_dir), "naive")
+
+
+@query(f"""WITH {EVALUATION}, naive AS (SELECT operating_date, round(100.0 * sum(abs(naive_error_mw)) / nullif(sum(actual_mw), 0), 7) AS naive_wape_pct FROM ev WHERE naive_error_mw IS NOT NULL GROUP BY 1),
+used AS (SELECT operating_date, round(100.0 * sum(abs(ercot_error_mw)) / nullif(sum(actual_mw), 0), 7) AS ercot_wape_pct FROM ev WHERE ercot_error_mw IS NOT NULL GROUP BY 1) SELECT operating_date, naive_wape_pct, ercot_wape_pct FROM naive FULL JOIN used USING (operating_date)""")
+def folds_side_by_side(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.folds_side_by_side(_evaluation(spark, sf_dir))
+
+
+@query(f"WITH {VINTAGES} SELECT zone, count(*) AS rows, round(avg(CASE WHEN {DEADLINE} THEN 1.0::DOUBLE ELSE 0 END), 7) AS eligible_share FROM v GROUP BY 1")
+def eligible_share(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many vintages of each zone were published by their deadline."""
+    share = F.round(F.avg((F.col("pub") <= deadline()).cast("double")), 7)
+    return vintages(spark, sf_dir).groupBy("zone").agg(F.count(F.lit(1)).alias("rows"), share.alias("eligible_share"))
+
+
+FAULTS = """b AS (SELECT l_orderkey, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_quantity, l_extendedprice) AS place FROM lineitem),
+o AS (SELECT l_orderkey, place, CASE WHEN l_orderkey % 20 = 0 THEN 'SCHEMA_DRIFT' WHEN place > 23 THEN 'INVALID_HOUR_ENDING' WHEN (l_orderkey + place) % 12 < 9 THEN
+['FIELD_COUNT_MISMATCH', 'INVALID_OPERATING_DATE', 'INVALID_HOUR_ENDING', 'INVALID_DST_FLAG', 'UNEXPECTED_DST_FLAG', 'NONEXISTENT_LOCAL_HOUR', 'UNPARSEABLE_MW', 'NON_FINITE_MW', 'IMPLAUSIBLE_MW'][(l_orderkey + place) % 12 + 1] END AS reason_code FROM b)"""
+
+
+def _faulty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines as source lines of their order's file, most of them with one fault."""
+    from hindcast.schemas import ACTUAL_LOAD
+
+    place = F.row_number().over(Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_quantity", "l_extendedprice"))
+    rows = table(spark, sf_dir, "lineitem").withColumn("place", place)
+    k = F.when(F.col("place") > 23, 2).otherwise((F.col("l_orderkey") + F.col("place")) % 12)
+    day = F.when(k == 1, "1/02/2024").when(k == 5, "03/10/2024").otherwise("01/02/2024")
+    hour = F.when(k == 2, "26:00").when(k == 5, "3:00").otherwise(F.concat(F.col("place").cast("string"), F.lit(":00")))
+    flag = F.when(k == 3, "?").when(k == 4, "Y").otherwise("N")
+    mw = F.when(k == 6, "abc").when(k == 7, "inf").when(k == 8, "200001").otherwise("100.5")
+    cells = F.array(day, hour, *[mw] * len(ACTUAL_LOAD.zones), flag)
+    header = ",".join(ACTUAL_LOAD.header)
+    return rows.select(F.col("l_orderkey").cast("string").alias("local_path"), F.when(F.col("l_orderkey") % 20 == 0, header + ",X").otherwise(header).alias("header"), F.col("place").cast("bigint").alias("row_number"), F.lit("").alias("raw_line"), F.when(k == 0, F.slice(cells, 1, 5)).otherwise(cells).alias("fields"))
+
+
+@query(f"WITH {FAULTS} SELECT CASE WHEN reason_code IS NULL THEN 'ACCEPTED' WHEN reason_code = 'SCHEMA_DRIFT' THEN 'QUARANTINED_SCHEMA_ERROR' WHEN reason_code LIKE '%_MW' THEN 'QUARANTINED_INVALID_VALUE' ELSE 'QUARANTINED_PARSE_ERROR' END AS disposition, reason_code, count(*) AS rows, min(l_orderkey || ' row ' || place) AS sample FROM o GROUP BY 1, 2")
+def ledger_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ledger by disposition and reason, with every fault that a line of actuals can have by itself."""
+    from hindcast.schemas import ACTUAL_LOAD
+
+    told = normalize.classify(_faulty(spark, sf_dir), ACTUAL_LOAD)
+    return normalize.disposition_counts(told.withColumnsRenamed({"local_path": "source_filename", "row_number": "source_row_number"}), ["disposition", "reason_code"])
+
+
+@query(f"WITH {FAULTS} SELECT CAST(l_orderkey AS VARCHAR) AS source_file_id, CAST(place AS BIGINT) AS source_row_number, DATE '2024-01-02' AS operating_date, CAST(place AS INTEGER) AS hour_ending, TIMESTAMP '2024-01-02 06:00:00' + (place - 1) * INTERVAL 1 HOUR AS target_ts_utc, unnest(['COAST', 'EAST', 'FAR_WEST', 'NORTH', 'NORTH_CENTRAL', 'SOUTHERN', 'SOUTH_CENTRAL', 'WEST', 'SYSTEM_TOTAL']) AS weather_zone, 100.5::DOUBLE AS actual_mw FROM o WHERE reason_code IS NULL")
+def observations_of_accepted_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from hindcast.schemas import ACTUAL_LOAD
+
+    lines = _faulty(spark, sf_dir)
+    files = lines.select("local_path", F.col("local_path").alias("source_file_id"), F.lit(START).alias("publication_ts_utc")).distinct()
+    rows = normalize.observations(normalize.classify(lines, ACTUAL_LOAD), files, ACTUAL_LOAD)
+    return rows.select("source_file_id", "source_row_number", "operating_date", "hour_ending", plain("target_ts_utc").alias("target_ts_utc"), "weather_zone", "actual_mw")
+
+
+@query(f"WITH {FAULTS} SELECT CAST(l_orderkey AS VARCHAR) AS local_path, count(*) AS raw_row_count, l_orderkey % 20 = 0 AS drifted FROM o GROUP BY l_orderkey")
+def file_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw rows of each file, and whether its header's fingerprint is another than the report's."""
+    from hindcast.schemas import ACTUAL_LOAD
+
+    facts = normalize.file_facts(_faulty(spark, sf_dir))
+    return facts.select("local_path", "raw_row_count", (F.col("schema_fingerprint") != normalize.fingerprint(F.lit(",".join(ACTUAL_LOAD.header)))).alias("drifted"))
+
+
+@query(f"""WITH {EVALUATION}, s AS (SELECT * FROM ev WHERE naive_error_mw IS NOT NULL), folds AS (SELECT 100.0 * sum(abs(naive_error_mw)) / nullif(sum(actual_mw), 0) AS w FROM s GROUP BY operating_date),
+peaks AS (SELECT weather_zone, max(100.0 * abs(naive_error_mw) / nullif(actual_mw, 0)) AS w FROM (SELECT *, row_number() OVER (PARTITION BY weather_zone, operating_date ORDER BY actual_mw DESC, target_ts_utc) AS k FROM s) WHERE k = 1 GROUP BY 1),
+r AS (SELECT 'INCOMPLETE_SCORING' AS code, (SELECT count(*) FROM ev) - (SELECT count(*) FROM s) AS n UNION ALL SELECT 'WAPE_ABOVE_THRESHOLD', count(*) FROM (SELECT 100.0 * sum(abs(naive_error_mw)) / sum(actual_mw) AS w FROM s) WHERE w > 8
+UNION ALL SELECT 'FOLD_WAPE_ABOVE_THRESHOLD', count(*) FROM folds WHERE w IS NULL OR w > 9 UNION ALL SELECT 'PEAK_HOUR_ERROR_ABOVE_THRESHOLD', count(*) FROM peaks WHERE w > 20) SELECT code, CAST(n AS BIGINT) AS n FROM r WHERE n > 0""")
+def model_gate_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The model gate's verdict as rows; there is a reason for each kind of failure, so a handful."""
+    found = gates.model_gate(_evaluation(spark, sf_dir), "run", date(2024, 1, 26))
+    return spark.createDataFrame([(r.code, r.count) for r in found.reasons], "code string, n bigint")

@@ -1 +1 @@
-"""Sources: publication files, listings, archives."""
+"""Sources: publication files, listings, made-up scenarios."""

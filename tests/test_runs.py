@@ -1,5 +1,5 @@
 import json
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -27,7 +27,7 @@ def ran(spark, tmp_path_factory):
     def go(scenario):
         if scenario not in done:
             raw, house = tmp_path_factory.mktemp("raw"), str(tmp_path_factory.mktemp("house"))
-            day = synthetic.build(scenario, raw)
+            day = synthetic.build(spark, scenario, raw)
             done[scenario] = (raw, house, day, runs.run(spark, str(raw), house, day, reports=f"{house}-reports", window_days=1))
         return done[scenario]
 
@@ -73,7 +73,7 @@ def test_run_id_follows_contents_and_visibility(spark, ran):
     scanned = files.scan_all(spark, str(raw))
     one = runs.run_id(runs.visible(scanned, day), day)
     assert one == runs.run_id(runs.visible(scanned, day), day) and len(one) == 32
-    assert one != runs.run_id(runs.visible(scanned, date(2026, 9, 21)), day)
+    assert one != runs.run_id(runs.visible(scanned, day - timedelta(days=2)), day)
     changed = scanned.withColumn("content_sha256", F.when(F.col("report_key") == "actual_load", "x").otherwise(F.col("content_sha256")))
     assert one != runs.run_id(runs.visible(changed, day), day)
 

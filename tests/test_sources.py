@@ -1,7 +1,5 @@
-import io
-import json
 import zipfile
-from datetime import UTC, date, datetime
+from datetime import date, datetime
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,7 +7,7 @@ from pyspark.sql import functions as F
 from hindcast import schemas as S
 from hindcast.operators import normalize
 from hindcast.plans import coverage as cov
-from hindcast.sources import archive, files, synthetic
+from hindcast.sources import files, synthetic
 from hindcast.streaming.intake import intake
 
 HEADER = ",".join(S.ACTUAL_LOAD.header)
@@ -77,29 +75,31 @@ def test_names_round_trip(spark):
     df = spark.createDataFrame([(at,)], "t timestamp").withColumn("name", files.file_name(S.LOAD_FORECAST, F.col("t")))
     r = df.withColumn("back", files.publication_ts(F.col("name"))).first()
     assert r["name"] == "cdr.00014837.0000000000000000.20260923.053000500.LFMODWEATHERNP3565_csv.zip" and r["back"] == at
-    assert r["name"] == archive.name_of(S.LOAD_FORECAST, at.replace(tzinfo=UTC))
     with pytest.raises(Exception, match="unrecognised file name"):
         spark.createDataFrame([("x.zip",)], "name string").select(files.publication_ts(F.col("name"))).collect()
 
 
+def name_of(report, stamp):
+    return f"cdr.{report.type_id:0>8}.{0:016d}.{stamp}.{report.marker}_csv.zip"
+
+
 def test_listing(spark):
-    name = archive.name_of(S.LOAD_FORECAST, datetime(2026, 9, 23, 10, 30, tzinfo=UTC))
-    later = archive.name_of(S.LOAD_FORECAST, datetime(2026, 9, 23, 11, 30, tzinfo=UTC))
-    other = archive.name_of(S.ACTUAL_LOAD, datetime(2026, 9, 23, 11, 30, tzinfo=UTC))
+    name = name_of(S.LOAD_FORECAST, "20260923.053000000")
+    later = name_of(S.LOAD_FORECAST, "20260923.063000000")
+    other = name_of(S.ACTUAL_LOAD, "20260923.063000000")
     page = "".join(f"<td>{n}</td><a href='/x?doclookupId={d}'>zip</a>" for n, d in ((name, 1), (later, 2), (other, 3), (name, 4)))
     got = files.parse_listing(spark, spark.createDataFrame([(page,)], "html string"), S.LOAD_FORECAST).collect()
     assert [(r["filename"], r["doc_id"]) for r in got] == [(later, "2"), (name, "4")]
-    assert archive.list_publications("http://x", S.LOAD_FORECAST, lambda *a: (200, {}, page.encode())) == [(later, "2"), (name, "4")]
 
 
 def test_scan_and_lines(spark, tmp_path):
-    synthetic.build("pass", tmp_path)
+    synthetic.build(spark, "pass", tmp_path)
     scanned = files.scan(spark, str(tmp_path), "actual_load", content=True)
     assert scanned.count() == 2 and files.scan(spark, str(tmp_path), "load_forecast").count() == 48
     rows = files.lines(scanned).collect()
     assert sorted({r["row_number"] for r in rows}) == list(range(2, 26)) and {r["header"] for r in rows} == {HEADER}
     assert files.scan(spark, str(tmp_path / "none"), "actual_load").count() == 0
-    bad = tmp_path / "actual_load" / archive.name_of(S.ACTUAL_LOAD, datetime(2026, 1, 1, tzinfo=UTC))
+    bad = tmp_path / "actual_load" / name_of(S.ACTUAL_LOAD, "20251231.180000000")
     with zipfile.ZipFile(bad, "w") as z:
         z.writestr("a.csv", "x")
         z.writestr("b.csv", "y")
@@ -108,7 +108,7 @@ def test_scan_and_lines(spark, tmp_path):
 
 
 def test_stream_intake(spark, tmp_path):
-    synthetic.build("pass", tmp_path / "raw")
+    synthetic.build(spark, "pass", tmp_path / "raw")
     counts = []
     query = intake(spark, str(tmp_path / "raw"), S.ACTUAL_LOAD, lambda o, led, k: counts.append((o.count(), led.count())), str(tmp_path / "ck"))
     query.awaitTermination(120)
@@ -132,89 +132,3 @@ def test_coverage(spark):
     daily = cov.coverage(spark, spark.createDataFrame([("actual_load", datetime(2026, 3, d, 11, 50)) for d in range(1, 6)], "report_key string, publication_ts_utc timestamp"), S.ACTUAL_LOAD, date(2026, 3, 1), date(2026, 3, 5))
     assert (daily.held, daily.expected, daily.pct) == (5, 5, 100.0)
     assert "| load_forecast | 19 | 24 | 79.2 |" in cov.retrieval_report([got], [("load_forecast", date(2026, 3, 6), "never published")])
-
-
-# ---------------------------------------------------------------- acquisition, with fakes
-
-
-class Clock:
-    def __init__(self):
-        self.now, self.slept = 0.0, 0.0
-
-    def __call__(self):
-        return self.now
-
-    def sleep(self, s):
-        self.now += s
-        self.slept += s
-
-
-def test_rate_limiter():
-    clock, limiter = Clock(), archive.RateLimiter(24)
-    for _ in range(144):
-        limiter.acquire(clock.sleep, clock)
-    assert 299 < clock.now < 302
-    with pytest.raises(ValueError, match="allows 30"):
-        archive.RateLimiter(31)
-
-
-def fake_zip(name="a.csv", body="x"):
-    out = io.BytesIO()
-    with zipfile.ZipFile(out, "w") as z:
-        z.writestr(name, body)
-    return out.getvalue()
-
-
-def client(answers, clock=None):
-    clock, asked = clock or Clock(), []
-
-    def fetch(url, headers, body):
-        asked.append(url)
-        if body is not None:
-            return 200, {}, json.dumps({"id_token": f"t{len(asked)}", "expires_in": 3600}).encode()
-        return answers.pop(0)
-
-    return archive.ArchiveClient("http://api", "http://token", archive.Credentials("u", "p", "k"), {"load_forecast": "P"}, fetch=fetch, sleep=clock.sleep, clock=clock), asked, clock
-
-
-def test_client_pages_renews_and_waits():
-    page = lambda n, total: (200, {}, json.dumps({"archives": [{"docId": n, "postDatetime": "2026-09-23T05:30:00"}], "_meta": {"totalPages": total}}).encode())
-    c, asked, clock = client([(401, {}, b""), page(1, 2), (429, {"Retry-After": "7"}, b""), page(2, 2)])
-    got = list(c.list_archives(S.LOAD_FORECAST, date(2026, 9, 23), date(2026, 9, 23)))
-    assert [e.doc_id for e in got] == ["1", "2"] and got[0].posted == datetime(2026, 9, 23, 10, 30, tzinfo=UTC)
-    assert clock.slept == 7 and sum(u == "http://token" for u in asked) == 2
-    c, _, _ = client([(500, {}, b"bad")])
-    with pytest.raises(archive.AcquisitionError, match=r"500 from http://api/archive/P\?download=\*\*\*"):
-        c.download(S.LOAD_FORECAST, got[0])
-    with pytest.raises(archive.AcquisitionError, match="no time"):
-        archive.archive_entry({})
-
-
-def test_backfill_keeps_both_of_a_collision(tmp_path):
-    same = archive.ArchiveEntry("1", datetime(2026, 11, 1, 6, 30, tzinfo=UTC), "")
-    other = archive.ArchiveEntry("2", datetime(2026, 11, 1, 7, 30, tzinfo=UTC), "")
-
-    class Fake:
-        def list_archives(self, *a):
-            return iter([same, other, same])
-
-        def download(self, report, e):
-            return fake_zip(body=e.doc_id)
-
-    got = archive.backfill(Fake(), "load_forecast", date(2026, 11, 1), date(2026, 11, 1), tmp_path)
-    assert len({*got}) == 2 and got[0] == got[2]
-    nested = fake_zip("in.zip", fake_zip().decode("latin1"))
-    assert [n for n, _ in archive.unpack(nested)] == ["in.zip"] and archive.unpack(fake_zip())[0][0] == ""
-    for payload in (b"no zip", fake_zip("x.txt")):
-        with pytest.raises(archive.AcquisitionError):
-            archive.unpack(payload)
-
-
-def test_credentials(tmp_path, monkeypatch):
-    env = tmp_path / ".env"
-    env.write_text("# c\nFEED_USERNAME='u'\nFEED_PASSWORD=p=1\nFEED_SUBSCRIPTION_KEY=k\n")
-    monkeypatch.setenv("FEED_USERNAME", "real")
-    c = archive.Credentials.from_env(env)
-    assert (c.username, c.password) == ("real", "p=1") and "p=1" not in repr(c) and "k" not in repr(c).split("username")[1].replace("'real'", "")
-    with pytest.raises(archive.MissingCredentials, match="FEED_PASSWORD"):
-        archive.Credentials.from_env(tmp_path / "none")
