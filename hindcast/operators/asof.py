@@ -22,8 +22,11 @@ def latest_eligible(vintages: DataFrame, keys: list[str], publication: str, dead
     ``<value>_count`` of different values there. Keys without an eligible row give none; null values do not count."""
     latest = F.rank().over(Window.partitionBy(*keys).orderBy(F.col(publication).desc()))
     rows = vintages.where(F.col(publication) <= deadline).withColumn("_rank", latest).where("_rank = 1")
-    found = [c for v in values for c in (F.min(v).alias(v), F.size(F.collect_set(v)).cast("bigint").alias(f"{v}_count"))]
-    return rows.groupBy(*keys).agg(F.max(publication).alias(publication), *found)
+    # different values by their dense rank: windows over the same keys, which spill, and no set of values in memory
+    order = {f"_{v}_order": F.dense_rank().over(Window.partitionBy(*keys).orderBy(F.col(v).asc_nulls_last())) for v in values}
+    count = {v: F.coalesce(F.max(F.when(F.col(v).isNotNull(), F.col(f"_{v}_order"))), F.lit(0)).cast("bigint") for v in values}
+    found = [c for v in values for c in (F.min(v).alias(v), count[v].alias(f"{v}_count"))]
+    return rows.withColumns(order).groupBy(*keys).agg(F.max(publication).alias(publication), *found)
 
 
 def latest_hindsight(vintages: DataFrame, keys: list[str], publication: str, value: str) -> DataFrame:
@@ -100,3 +103,8 @@ def evaluation_dataset(forecasts: DataFrame, actuals: DataFrame, params: Params)
         }
     )
     return out.select(*EVALUATION_COLUMNS)
+
+
+def in_order(evaluation: DataFrame) -> DataFrame:
+    """The evaluation dataset by hour and zone, for presentation: a table that is written and read again has no order."""
+    return evaluation.orderBy("target_ts_utc", "weather_zone")

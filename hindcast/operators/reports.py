@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from hindcast.operators import metrics
@@ -44,3 +44,27 @@ def folds_side_by_side(evaluation: DataFrame) -> DataFrame:
     """The weighted error of each operating day, naive beside published; a day without either keeps the other."""
     naive, published = (metrics.scored(evaluation, m).groupBy("operating_date").agg(F.round(metrics.wape(), 7).alias(f"{m}_wape_pct")) for m in ("naive", "ercot"))
     return naive.join(published, "operating_date", "full")
+
+
+def with_previous(publications: DataFrame, report: str, ts: str) -> DataFrame:
+    """Add ``previous_ts``: the publication before, of the same report.
+
+    One report may hold most rows, so the order is taken day by day, and the last publication of each day is carried
+    over to the next day with one: no task holds more than a day of one report, or one row for each day.
+    """
+    rows = publications.withColumn("_day", F.to_date(ts))
+    days = rows.groupBy(report, "_day").agg(F.max(ts).alias("_last"))
+    before = days.select(report, "_day", F.lag("_last").over(Window.partitionBy(report).orderBy("_day")).alias("_before"))
+    inside = F.lag(ts).over(Window.partitionBy(report, "_day").orderBy(ts))
+    return rows.withColumn("_inside", inside).join(before, [report, "_day"], "left").withColumn("previous_ts", F.coalesce("_inside", "_before")).drop("_day", "_inside", "_before")
+
+
+def newest(publications: DataFrame, ts: str, n: int) -> DataFrame:
+    """The newest ``n`` publications, each time once."""
+    return publications.select(ts).distinct().orderBy(F.col(ts).desc()).limit(n)
+
+
+def zone_peak(rows: DataFrame, zone: str, value: str, tie: str) -> DataFrame:
+    """The row of each zone with the highest value; at a tie, the first by ``tie``."""
+    place = F.row_number().over(Window.partitionBy(zone).orderBy(F.col(value).desc(), tie))
+    return rows.withColumn("_place", place).where("_place = 1").drop("_place")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import UTC, date, datetime, time, timedelta
 from zoneinfo import ZoneInfo
@@ -65,14 +66,17 @@ def build_context(files: DataFrame, processing_date: date, *, cutoff_lag_hours:
     return Context(run, f"{run}-{first}-{last}-{cutoff_lag_hours}-{seasonal_lag_days}", processing_date, first, last, params)
 
 
-def load(spark: SparkSession, raw_root: str, context: Context) -> dict[str, DataFrame]:
-    """The canonical tables of the files that are visible: all rows of all reports, lazily."""
+def load(spark: SparkSession, raw_root: str, context: Context, files: DataFrame, staged: Callable[[DataFrame, str], DataFrame]) -> dict[str, DataFrame]:
+    """The canonical tables of ``files``, those that are visible: all rows of all reports, lazily.
+
+    Lines and their classification are staged, as several tables are made from each: a file is unzipped once.
+    """
     parts: dict[str, list[DataFrame]] = {name: [] for name in TABLES}
     for report in REPORTS.values():
-        files = visible(sources.scan(spark, raw_root, report.key, content=True), context.processing_date)
-        lines = sources.lines(files)
-        named = files.drop("content")
-        classified = normalize.classify(lines, report)
+        named = files.where(F.col("report_key") == report.key)
+        content = visible(sources.scan(spark, raw_root, report.key, content=True), context.processing_date)
+        lines = staged(sources.lines(content), f"lines-{report.key}")
+        classified = staged(normalize.classify(lines, report), f"classified-{report.key}")
         parts["source_row"].append(normalize.ledger(classified, named))
         parts["source_file"].append(named.join(normalize.file_facts(lines), "local_path"))
         parts["forecast_vintage" if report.is_forecast else "actual_vintage"].append(normalize.observations(classified, named, report))
@@ -94,12 +98,13 @@ def expected_rows(spark: SparkSession, first: date, last: date) -> int:
 
 def run(spark: SparkSession, raw_root: str, warehouse: str, processing_date: date, reports: str | None = None, thresholds: gates.Thresholds = gates.Thresholds(), **options) -> tuple[int, list[gates.GateResult]]:
     """Files to verdict. Exit code 0: released; 1: refused or not ready; 2: the model gate failed."""
-    files = visible(sources.scan_all(spark, raw_root), processing_date)
-    if files.isEmpty():
-        return NOT_READY, []
-    context = build_context(files, processing_date, **options)
     store = Warehouse(spark, warehouse)
-    store.commit(load(spark, raw_root, context), processing_date, context.run_id)
+    with store.staging() as staged:
+        files = staged(visible(sources.scan_all(spark, raw_root), processing_date), "files")
+        if files.isEmpty():
+            return NOT_READY, []
+        context = build_context(files, processing_date, **options)
+        store.commit(load(spark, raw_root, context, files, staged), processing_date, context.run_id)
     tables = {name: store.read(name, processing_date) for name in TABLES}
     path = f"{store.root}/evaluation_dataset/{context.eval_id}"
     # vintages of all processing dates: repeated loads of a row change nothing

@@ -10,9 +10,11 @@ from __future__ import annotations
 
 import json
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hindcast.schemas import TABLES
@@ -65,6 +67,34 @@ class Warehouse:
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).parquet(*paths)
 
+    def create_views(self) -> None:
+        """All tables as temporary views for SQL, as they stand now; those without a committed run are empty."""
+        for name in TABLES:
+            self.read(name).createOrReplaceTempView(name)
+
+    def amend(self, name: str, day: date, where: Column, values: dict[str, Column]) -> None:
+        """Set ``values`` where a condition holds, in one table's rows of ``day``: a new commit of all tables, so that
+        readers see all rows changed or none."""
+        standing = self.runs()[str(day)]
+        tables = {n: self.read(n, day) for n in TABLES}
+        tables[name] = tables[name].withColumns({c: F.when(where, v).otherwise(F.col(c)) for c, v in values.items()})
+        self.commit(tables, day, standing.rsplit("-", 1)[0])
+
+    @contextmanager
+    def staging(self) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
+        """Tables of a load that are computed once and read several times, beside the warehouse; they go at the end."""
+        root = f"{self.root}/_staging-{uuid.uuid4().hex}"
+
+        def staged(df: DataFrame, name: str) -> DataFrame:
+            df.write.parquet(f"{root}/{name}")
+            return self.spark.read.schema(df.schema).parquet(f"{root}/{name}")
+
+        try:
+            yield staged
+        finally:
+            fs, folder = self._fs(root)
+            fs.delete(folder, True)
+
 
 def table_digest(df: DataFrame) -> DataFrame:
     """(rows, digest): the same for the same rows in any order, without gathering them."""
@@ -75,3 +105,10 @@ def row_digest(df: DataFrame, columns: list[str], by: list[str]) -> DataFrame:
     """The md5 of each group's rows, joined in order: for small groups, and to compare with other engines."""
     row = F.concat_ws(chr(31), *[F.col(c).cast("string") for c in columns])
     return df.groupBy(*by).agg(F.md5(F.array_join(F.sort_array(F.collect_list(row)), "|").cast("binary")).alias("digest"))
+
+
+def portable_digest(df: DataFrame, columns: list[str]) -> DataFrame:
+    """(rows, digest): the sum of 60 bits of each row's md5, in any order, which other engines compute alike."""
+    row = F.concat_ws(chr(31), *[F.col(c).cast("string") for c in columns])
+    number = F.conv(F.substring(F.md5(row.cast("binary")), 1, 15), 16, 10).cast("decimal(20,0)")
+    return df.agg(F.count(F.lit(1)).alias("rows"), F.sum(number).cast("string").alias("digest"))

@@ -6,6 +6,7 @@ Vintages are derived from ``events``: the zone is the event type, the publicatio
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 from datetime import date, datetime
 
@@ -15,7 +16,7 @@ from pyspark.sql import functions as F
 from hindcast.functions import time as T
 from hindcast.operators import asof, gates, metrics, normalize, reports
 from hindcast.plans import coverage as cov
-from hindcast.plans.warehouse import row_digest
+from hindcast.plans.warehouse import portable_digest, row_digest
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -298,7 +299,7 @@ def models_per_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT event_type, count(*) AS n, min(ts) AS oldest, max(ts) AS newest, count(DISTINCT gap) AS gaps, CAST(max(gap) AS DOUBLE) AS longest FROM g GROUP BY 1""")
 def cadence_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Publication cadence: the span, and the distinct gaps in minutes."""
-    rows = table(spark, sf_dir, "events").withColumn("gap", T.minute_boundaries(F.lag("ts").over(Window.partitionBy("event_type").orderBy("ts", "event_id")), F.col("ts")))
+    rows = reports.with_previous(table(spark, sf_dir, "events").select("event_type", "ts"), "event_type", "ts").withColumn("gap", T.minute_boundaries(F.col("previous_ts"), F.col("ts")))
     return rows.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.min("ts").alias("oldest"), F.max("ts").alias("newest"), F.count_distinct("gap").alias("gaps"), F.max("gap").alias("longest"))
 
 
@@ -549,3 +550,143 @@ def model_gate_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The model gate's verdict as rows; there is a reason for each kind of failure, so a handful."""
     found = gates.model_gate(_evaluation(spark, sf_dir), "run", date(2024, 1, 26))
     return spark.createDataFrame([(r.code, r.count) for r in found.reasons], "code string, n bigint")
+
+
+# ---------------------------------------------------------------- the whole readiness gate, and further forms
+
+
+@query("""WITH d AS (SELECT DISTINCT CAST(o_orderdate AS DATE) AS day, h, flag FROM orders, range(1, 26) r(h), (VALUES ('Y'), ('N')) f(flag)),
+w AS (SELECT day, CAST(h AS INTEGER) AS hour_ending, flag AS dst_flag, CAST(day AS TIMESTAMP) + (h - 1) * INTERVAL 1 HOUR AS wall FROM d),
+u AS (SELECT *, timezone('America/Chicago', wall) AS late FROM w), t AS (SELECT *, timezone('America/Chicago', late) = wall AS real, timezone('America/Chicago', late - INTERVAL 1 HOUR) = wall AS twice FROM u)
+SELECT day, hour_ending, dst_flag, timezone('UTC', CASE WHEN real AND dst_flag = 'N' THEN late WHEN real AND twice THEN late - INTERVAL 1 HOUR END) AS target_ts, real AND twice AS is_repeated,
+CASE WHEN NOT real THEN 'NONEXISTENT_LOCAL_HOUR' WHEN dst_flag = 'Y' AND NOT twice THEN 'UNEXPECTED_DST_FLAG' END AS error_code FROM t""")
+def resolve_flagged_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hours 1 to 25 of each order day, with either flag."""
+    days = table(spark, sf_dir, "orders").select(F.to_date("o_orderdate").alias("day")).distinct()
+    rows = days.select("day", F.explode(F.sequence(F.lit(1), F.lit(25))).alias("hour_ending")).select("*", F.explode(F.array(F.lit("Y"), F.lit("N"))).alias("dst_flag"))
+    rows = rows.withColumn("r", T.resolve_hour(F.col("day"), F.col("hour_ending"), F.col("dst_flag")))
+    return rows.select("day", "hour_ending", "dst_flag", plain("r.target_ts").alias("target_ts"), "r.is_repeated", "r.error_code")
+
+
+@query("""WITH d AS (SELECT DISTINCT CAST(o_orderdate AS DATE) AS day FROM orders), l AS (SELECT day, date_diff('hour', timezone('America/Chicago', CAST(day AS TIMESTAMP)), timezone('America/Chicago', CAST(day + 1 AS TIMESTAMP))) AS hours FROM d)
+SELECT CAST(month(day) AS INTEGER) AS month, count(*) FILTER (WHERE hours = 23) AS spring, count(*) FILTER (WHERE hours = 24) AS ordinary, count(*) FILTER (WHERE hours = 25) AS autumn FROM l GROUP BY 1""")
+def days_by_transition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many order days of each month have 23, 24 and 25 hours."""
+    days = table(spark, sf_dir, "orders").select(F.to_date("o_orderdate").alias("day")).distinct()
+    kind = F.when(T.hours_in_day(F.col("day")) == 23, "spring").when(T.hours_in_day(F.col("day")) == 25, "autumn").otherwise("ordinary")
+    rows = days.select(F.month("day").alias("month"), kind.alias("kind"))
+    return rows.groupBy("month").pivot("kind", ["spring", "ordinary", "autumn"]).agg(F.count(F.lit(1))).na.fill(0)
+
+
+@query("SELECT event_type, event_id, value FROM (SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY value DESC, event_id) AS k FROM events) WHERE k = 1")
+def zone_peak(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.zone_peak(table(spark, sf_dir, "events").select("event_type", "event_id", "value"), "event_type", "value", "event_id")
+
+
+@query("SELECT DISTINCT date_trunc('minute', ts) AS ts FROM events ORDER BY 1 DESC LIMIT 10")
+def newest_publications(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "events").select(F.date_trunc("minute", F.col("ts").cast("timestamp")).alias("ts"))
+    return reports.newest(rows, "ts", 10).withColumn("ts", plain("ts"))
+
+
+@query("""WITH r AS (SELECT md5(concat_ws(chr(31), c_custkey, c_name, c_mktsegment)) AS h FROM customer) SELECT count(*) AS rows, CAST(sum(CAST('0x' || substr(h, 1, 15) AS BIGINT)) AS VARCHAR) AS digest FROM r""")
+def portable_table_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A digest of a whole table that gathers no rows."""
+    return portable_digest(table(spark, sf_dir, "customer"), ["c_custkey", "c_name", "c_mktsegment"])
+
+
+@query(f"WITH {EVALUATION} SELECT target_ts_utc, weather_zone, actual_mw, naive_error_mw FROM ev ORDER BY 1, 2")
+def evaluation_in_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = asof.in_order(_evaluation(spark, sf_dir))
+    return rows.select(plain("target_ts_utc").alias("target_ts_utc"), "weather_zone", "actual_mw", "naive_error_mw")
+
+
+FORECAST_FAULTS = """p AS (SELECT l_orderkey, place, place % 2 = 1 AS used, CASE WHEN place > 23 THEN 'INVALID_HOUR_ENDING' WHEN (l_orderkey + place) % 8 = 0 THEN 'INVALID_IN_USE_FLAG' WHEN (l_orderkey + place) % 8 = 1 THEN 'MISSING_MODEL'
+WHEN (l_orderkey + place) % 8 = 2 THEN 'IMPLAUSIBLE_MW' END AS reason_code FROM b)"""
+DISPOSITION = "CASE WHEN reason_code IS NULL THEN 'ACCEPTED' WHEN reason_code = 'SCHEMA_DRIFT' THEN 'QUARANTINED_SCHEMA_ERROR' WHEN reason_code LIKE '%_MW' OR reason_code IN ('INVALID_IN_USE_FLAG', 'MISSING_MODEL') THEN 'QUARANTINED_INVALID_VALUE' ELSE 'QUARANTINED_PARSE_ERROR' END"
+
+
+def _faulty_forecasts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same order lines as lines of forecast files."""
+    from hindcast.schemas import LOAD_FORECAST
+
+    place = F.row_number().over(Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_quantity", "l_extendedprice"))
+    rows = table(spark, sf_dir, "lineitem").withColumn("place", place)
+    k = (F.col("l_orderkey") + F.col("place")) % 8
+    hour = F.concat(F.when(F.col("place") > 23, 26).otherwise(F.col("place")).cast("string"), F.lit(":00"))
+    use = F.when(k == 0, "?").when(F.col("place") % 2 == 1, "Y").otherwise("n")
+    mw = F.when(k == 2, "-3").otherwise("100.5")
+    cells = F.array(F.lit("01/02/2024"), hour, *[mw] * len(LOAD_FORECAST.zones), F.when(k == 1, " ").otherwise("M"), use, F.lit("N"))
+    return rows.select(F.col("l_orderkey").cast("string").alias("local_path"), F.lit(",".join(LOAD_FORECAST.header)).alias("header"), F.col("place").cast("bigint").alias("row_number"), F.lit("").alias("raw_line"), cells.alias("fields"))
+
+
+def _ledger(lines: DataFrame, report) -> DataFrame:
+    path = F.col("local_path")
+    files = lines.select("local_path", path.alias("source_file_id"), path.alias("original_filename"), F.lit(report.key).alias("report_key")).distinct()
+    return normalize.ledger(normalize.classify(lines, report), files)
+
+
+@query(f"WITH {FAULTS}, {FORECAST_FAULTS}, r AS (SELECT 'actual_load' AS report_key, l_orderkey, place, reason_code FROM o UNION ALL SELECT 'load_forecast', l_orderkey, place, reason_code FROM p) SELECT report_key, {DISPOSITION} AS disposition, reason_code, count(*) AS rows, min(l_orderkey || ' row ' || place) AS sample FROM r GROUP BY 1, 2, 3")
+def ledger_by_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ledger of both reports, by report, disposition and reason."""
+    from hindcast.schemas import ACTUAL_LOAD, LOAD_FORECAST
+
+    both = _ledger(_faulty(spark, sf_dir), ACTUAL_LOAD).unionByName(_ledger(_faulty_forecasts(spark, sf_dir), LOAD_FORECAST))
+    return normalize.disposition_counts(both, ["report_key", "disposition", "reason_code"])
+
+
+@query(f"WITH {FAULTS}, {FORECAST_FAULTS} SELECT CAST(l_orderkey AS VARCHAR) AS source_file_id, CAST(place AS BIGINT) AS source_row_number, CAST(place AS INTEGER) AS hour_ending, unnest(['COAST', 'EAST', 'FAR_WEST', 'NORTH', 'NORTH_CENTRAL', 'SOUTHERN', 'SOUTH_CENTRAL', 'WEST', 'SYSTEM_TOTAL']) AS weather_zone, 'M' AS model, used AS is_ercot_model_in_use, 100.5::DOUBLE AS forecast_mw FROM p WHERE reason_code IS NULL")
+def observations_of_forecast_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from hindcast.schemas import LOAD_FORECAST
+
+    lines = _faulty_forecasts(spark, sf_dir)
+    files = lines.select("local_path", F.col("local_path").alias("source_file_id"), F.lit(START).alias("publication_ts_utc")).distinct()
+    rows = normalize.observations(normalize.classify(lines, LOAD_FORECAST), files, LOAD_FORECAST)
+    return rows.select("source_file_id", "source_row_number", "hour_ending", "weather_zone", "model", "is_ercot_model_in_use", "forecast_mw")
+
+
+def _miscounted(lines: DataFrame) -> DataFrame:
+    """File facts of which every seventh file claims one line more than it has."""
+    more = F.when(F.col("local_path").cast("bigint") % 7 == 0, 1).otherwise(0)
+    return normalize.file_facts(lines).withColumn("raw_row_count", F.col("raw_row_count") + more)
+
+
+@query(f"WITH {FAULTS} SELECT CAST(l_orderkey AS VARCHAR) AS local_path, count(*) + 1 AS raw_row_count, count(*) AS dispositions FROM o WHERE l_orderkey % 7 = 0 GROUP BY l_orderkey")
+def unaccounted_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from hindcast.schemas import ACTUAL_LOAD
+
+    lines = _faulty(spark, sf_dir)
+    return normalize.unaccounted(_miscounted(lines), normalize.classify(lines, ACTUAL_LOAD))
+
+
+def _readiness(spark: SparkSession, sf_dir: str) -> gates.GateResult:
+    """The readiness gate over a ledger with faults, miscounted files and the evaluation dataset."""
+    from hindcast.plans.run import expected_rows
+    from hindcast.schemas import ACTUAL_LOAD
+
+    day, first, last = date(2024, 1, 26), date(2024, 1, 9), date(2024, 1, 24)
+    lines, of_day = _faulty(spark, sf_dir), {"processing_date": F.lit(day)}
+    files = _miscounted(lines).select("raw_row_count", F.col("local_path").alias("source_file_id"), F.col("local_path").alias("original_filename"))
+    tables = {"source_file": files.withColumns(of_day), "source_row": _ledger(lines, ACTUAL_LOAD).withColumns(of_day), "forecast_vintage": _forecasts(spark, sf_dir), "actual_vintage": _actuals(spark, sf_dir)}
+    return gates.readiness(tables, _evaluation(spark, sf_dir), expected_rows(spark, first, last), "run", day, (first, last))
+
+
+ROW_CHECKS = {"MISSING_ASOF_FORECAST": "ercot_forecast_mw IS NULL", "MISSING_ACTUAL": "actual_mw IS NULL", "MISSING_NAIVE_INPUT": "naive_forecast_mw IS NULL", "CONFLICTING_ASOF_FORECAST": "ercot_value_count > 1", "CONFLICTING_ASOF_ACTUAL": "actual_value_count > 1", "CONFLICTING_NAIVE_INPUT": "naive_value_count > 1", "CUTOFF_VIOLATION": "ercot_publication_ts_utc > cutoff_ts_utc", "NAIVE_CUTOFF_VIOLATION": "naive_source_publication_ts_utc > cutoff_ts_utc", "STALE_FORECAST_VINTAGE": "ercot_vintage_age_hours > 2.0"}
+
+
+@query(f"""WITH {FAULTS}, {EVALUATION}, r AS (SELECT 'SOURCE_ROWS_UNACCOUNTED' AS code, count(DISTINCT l_orderkey) AS n FROM o WHERE l_orderkey % 7 = 0
+UNION ALL SELECT 'QUARANTINED_' || reason_code, count(*) FROM o WHERE reason_code IS NOT NULL GROUP BY 1 UNION ALL SELECT 'SCHEMA_DRIFT', count(DISTINCT l_orderkey) FROM o WHERE l_orderkey % 20 = 0
+UNION ALL SELECT 'AMBIGUOUS_MODEL_IN_USE', count(*) FROM (SELECT 1 FROM f GROUP BY zone, target, pub HAVING count(*) FILTER (WHERE used) <> 1)
+UNION ALL SELECT 'INCOMPLETE_ZONE_HOUR_COVERAGE', abs(16 * 24 * 8 - count(*)) FROM ev """ + " ".join(f"UNION ALL SELECT '{code}', count(*) FROM ev WHERE {test}" for code, test in ROW_CHECKS.items()) + ") SELECT code, CAST(n AS BIGINT) AS n FROM r WHERE n > 0")
+def readiness_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The readiness gate's verdict as rows: at most one for each kind of reason."""
+    return spark.createDataFrame([(r.code, r.count) for r in _readiness(spark, sf_dir).reasons], "code string, n bigint")
+
+
+@query(f"""WITH {FAULTS}, {EVALUATION} SELECT 'FAIL' AS status, (SELECT count(DISTINCT l_orderkey) FROM o) AS source_files, (SELECT count(*) FROM o) + (SELECT count(DISTINCT l_orderkey) FROM o WHERE l_orderkey % 7 = 0) AS raw_source_rows, (SELECT count(*) FROM o) AS ledger_rows,
+(SELECT count(*) FROM f) AS forecast_observations, (SELECT count(*) FROM a) AS actual_observations, (SELECT count(*) FROM ev) AS evaluation_rows, CAST(16 * 24 * 8 AS BIGINT) AS expected_evaluation_rows, (SELECT round(max(ercot_vintage_age_hours), 3) FROM ev) AS max_forecast_vintage_age_hours""")
+def readiness_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The readiness gate's metrics: one row."""
+    found = json.loads(_readiness(spark, sf_dir).to_json())
+    kinds = {"source_files": "bigint", "raw_source_rows": "bigint", "ledger_rows": "bigint", "forecast_observations": "bigint", "actual_observations": "bigint", "evaluation_rows": "bigint", "expected_evaluation_rows": "bigint", "max_forecast_vintage_age_hours": "double"}
+    return spark.createDataFrame([(found["status"], *[found["metrics"][k] for k in kinds])], "status string, " + ", ".join(f"{k} {t}" for k, t in kinds.items()))

@@ -103,3 +103,25 @@ def test_windows():
 
 def test_nothing_to_run_is_refused(spark, tmp_path):
     assert runs.run(spark, str(tmp_path), str(tmp_path / "w"), date(2026, 9, 23)) == (runs.NOT_READY, [])
+
+
+def test_staged_tables_are_gone_and_each_file_is_read_once(spark, ran):
+    _, house, day, _ = ran("pass")
+    assert not [p for p in __import__("pathlib").Path(house).iterdir() if p.name.startswith("_staging")]
+
+
+def test_rows_are_amended_together_and_tables_stand_before_the_first_commit(spark, ran, tmp_path):
+    raw, house, day, _ = ran("missing_forecast")
+    store = Warehouse(spark, house)
+    before = {n: table_digest(store.read(n, day)).first() for n in S.TABLES}
+    least = store.read("actual_vintage", day).agg(F.min("actual_mw")).first()[0]
+    n = store.read("actual_vintage", day).where(F.col("actual_mw") == least).count()
+    store.amend("actual_vintage", day, F.col("actual_mw") == least, {"actual_mw": F.lit(-5.0)})
+    assert store.read("actual_vintage", day).where("actual_mw = -5").count() == n
+    after = {n: table_digest(store.read(n, day)).first() for n in S.TABLES}
+    assert {n for n in S.TABLES if before[n] != after[n]} == {"actual_vintage"}
+    assert after["actual_vintage"]["rows"] == before["actual_vintage"]["rows"]
+    Warehouse(spark, str(tmp_path / "new")).create_views()
+    assert [spark.table(n).count() for n in S.TABLES] == [0, 0, 0, 0]
+    store.create_views()
+    assert spark.sql("SELECT count(*) AS n FROM source_row").first()["n"] == before["source_row"]["rows"]
