@@ -45,6 +45,12 @@ def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iter
         at = to
 
 
+def freed(result: pa.Table | pa.RecordBatch) -> pa.Table | pa.RecordBatch:
+    """``result``, with the memory that made it given back: a worker that waits for its next group holds little."""
+    pa.default_memory_pool().release_unused()
+    return result
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A 64-bit finaliser: every input bit reaches every output bit."""
     x = x ^ (x >> _U(30))

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hindcast.llm.kernels import mix, runs, slices, text_buffer, window_hashes, word_hashes, words
+from hindcast.llm.kernels import freed, mix, runs, slices, text_buffer, window_hashes, word_hashes, words
 
 WINDOW, PERIOD = 20, 13
 COVER = np.array([0, 1, 3, 9])
@@ -105,15 +105,15 @@ def _anchor_blocks(batches: Iterable[pa.RecordBatch], buckets: int) -> Iterator[
             at = np.flatnonzero(can)
             more = int((n >= WINDOW).sum())  # fewer than a slice's bytes over 40
             if held and texts + more >= _NOBODY:
-                yield flush()
+                yield freed(flush())
                 texts = 0
             texts += more
             held.append((h[at], part.column("_key").to_numpy()[text[at]], place[at]))
             if sum(len(x[0]) for x in held) > BLOCK_ENTRIES:
-                yield flush()
+                yield freed(flush())
                 texts = 0
     if held:
-        yield flush()
+        yield freed(flush())
 
 
 def _renumber(docs: np.ndarray, ref: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -182,17 +182,19 @@ def _window_blocks(docs: pa.Table, marks: pa.Table, buckets: int) -> pa.Table:
     if not len(start):
         return pa.Table.from_batches([_table([], _BLOCKS)])
     text = np.searchsorted(g.of_text, start, side="right") - 1
-    hashes = [word_hashes(g.buf, g.starts, g.ends, seed=s) for s in (0, 1)]
-    h1, h2 = window_hashes(hashes[0], WINDOW, 1)[start], window_hashes(hashes[1], WINDOW, 2)[start] & _U(0xFFFFFFFF)
-    doc = g.docs["_doc"].to_numpy().astype(np.int64)[text]
-    at = start - g.of_text[text]
-    order = np.lexsort((at, doc, h2, h1))
-    h1, h2, doc, at, key = h1[order], h2[order], doc[order], at[order], g.key[text[order]]
+    h1, h2 = (window_hashes(word_hashes(g.buf, g.starts, g.ends, seed=s), WINDOW, s + 1)[start] for s in (0, 1))
+    h2 = h2.astype(np.uint32)
+    doc, key = g.docs["_doc"].to_numpy().astype(np.int64)[text], g.key[text]
+    at = (start - g.of_text[text]).astype(np.uint32)
+    del start, text
+    order = np.lexsort((key, at, doc, h2, h1))
+    h1, h2, doc, at, key = h1[order], h2[order], doc[order], at[order], key[order]
     new = np.concatenate([[True], (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])])
     head = np.flatnonzero(new)[np.cumsum(new) - 1]
     first = (doc == doc[head]) & (at == at[head])  # copies of a row are as early as each other
-    _, one = np.unique(np.stack([head[first], key[first]]), axis=1, return_index=True) if (first & ~new).any() else (None, np.arange(int(first.sum())))
-    sent = np.flatnonzero(first)[one]
+    again = np.zeros(len(key), bool)
+    again[1:] = ~new[1:] & (key[1:] == key[:-1])
+    sent = np.flatnonzero(first & ~again)
     entry = np.empty(len(sent), _FIRST)
     pairs, entry["ref"] = _pairs(key[sent], doc[sent])
     entry["h1"], entry["h2"], entry["at"] = h1[sent], h2[sent], at[sent]
@@ -286,11 +288,11 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     grouped = rows.withColumn("group", F.pmod("_key", F.lit(groups)).cast("int"))
 
     anchors = rows.select("_key", "text").mapInArrow(lambda batches: _anchor_blocks(batches, buckets), BLOCKS)
-    repeated = anchors.groupBy("bucket").applyInArrow(lambda t: _repeated(t, groups), MARKS)
-    windows = grouped.groupBy("group").cogroup(repeated.groupBy("group")).applyInArrow(lambda d, m: _window_blocks(d, m, buckets), BLOCKS)
-    later = windows.groupBy("bucket").applyInArrow(lambda t: _later(t, groups), MARKS)
+    repeated = anchors.groupBy("bucket").applyInArrow(lambda t: freed(_repeated(t, groups)), MARKS)
+    windows = grouped.groupBy("group").cogroup(repeated.groupBy("group")).applyInArrow(lambda d, m: freed(_window_blocks(d, m, buckets)), BLOCKS)
+    later = windows.groupBy("bucket").applyInArrow(lambda t: freed(_later(t, groups)), MARKS)
     names = [text if f.name == "text" else f.name for f in fields]
     inner = ["text" if f.name == text else f.name for f in fields]
     schema = T.StructType([T.StructField(i, f.dataType) for i, f in zip(inner, fields, strict=True)])
-    out = grouped.groupBy("group").cogroup(later.groupBy("group")).applyInArrow(lambda d, m: _kept(d, m, inner), schema)
+    out = grouped.groupBy("group").cogroup(later.groupBy("group")).applyInArrow(lambda d, m: freed(_kept(d, m, inner)), schema)
     return out.toDF(*names)
