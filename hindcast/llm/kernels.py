@@ -43,6 +43,7 @@ def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iter
         to = max(at + 1, int(np.searchsorted(off, off[at] + limit, side="right")) - 1)
         yield batch.slice(at, to - at)
         at = to
+    pa.default_memory_pool().release_unused()  # what the slices took goes back before the next batch
 
 
 def freed(result: pa.Table | pa.RecordBatch) -> pa.Table | pa.RecordBatch:

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hindcast.llm.graph import components
-from hindcast.llm.kernels import mix, runs, slices, text_buffer, window_hashes, word_hashes, words
+from hindcast.llm.kernels import freed, mix, runs, slices, text_buffer, window_hashes, word_hashes, words
 from hindcast.llm.shared import written
 from hindcast.llm.wordpieces import binary_rows
 
@@ -329,7 +329,7 @@ def shingle_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
             yield from flush()
 
     signed = docs.mapInArrow(sign, "bucket int, ids binary, entries binary")
-    groups = signed.groupBy("bucket").applyInArrow(_groups, "gid bigint, leader bigint, members array<bigint>")
+    groups = signed.groupBy("bucket").applyInArrow(lambda t: freed(_groups(t)), "gid bigint, leader bigint, members array<bigint>")
     groups = written(groups.groupBy("gid").agg(F.min_by("leader", "leader").alias("leader"), F.first("members").alias("members")), "groups")
 
     met = groups.select(F.explode("members").alias("fp")).distinct()
