@@ -24,3 +24,19 @@ m AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS k FROM s a JOIN s b ON a.
 l AS (SELECT x, y FROM m JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE 100 * k >= 75 * (a.n + b.n - k)),
 {_COMPONENTS}
 SELECT w.doc_id, coalesce(n, 0) AS n_shingles, least(w.doc_id, coalesce(component_id, w.doc_id)) AS component_id FROM w LEFT JOIN n USING (doc_id) LEFT JOIN c ON id = w.doc_id"""
+
+OP12 = r"""WITH d AS (SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents),
+i AS (SELECT row_number() OVER () AS i, * FROM d),
+t AS (SELECT i, lang, source, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM i),
+k AS (SELECT lang, term, count(*) AS c FROM t GROUP BY 1, 2 HAVING count(DISTINCT i) >= 30),
+g AS (SELECT DISTINCT lang, source FROM d),
+l AS (SELECT lang, count(*) AS v, sum(c) AS n FROM k GROUP BY 1),
+o AS (SELECT t.lang, source, term, count(*) AS c FROM t JOIN k USING (lang, term) GROUP BY 1, 2, 3),
+s AS (SELECT g.lang, g.source, coalesce(sum(o.c), 0) AS n FROM g LEFT JOIN o ON o.lang = g.lang AND o.source = g.source GROUP BY 1, 2),
+p AS (SELECT g.lang, g.source, k.term, coalesce(o.c, 0) AS c, CAST(1 + (1000000000 * (CAST(coalesce(o.c, 0) AS HUGEINT) + 5)) // CAST(s.n + 5 * l.v AS HUGEINT) AS BIGINT) AS p, CAST(1 + (1000000000 * (CAST(k.c AS HUGEINT) + 5)) // CAST(l.n + 5 * l.v AS HUGEINT) AS BIGINT) AS q
+FROM g JOIN l USING (lang) JOIN k USING (lang) JOIN s ON s.lang = g.lang AND s.source = g.source LEFT JOIN o ON o.lang = g.lang AND o.source = g.source AND o.term = k.term),
+f AS (SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY 1, 2, 3),
+r AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, CAST(coalesce(f.value, 0) AS BIGINT) AS value FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN f ON f.lang = a.lang AND f.source = a.source AND f.item = b.source
+UNION ALL SELECT lang, source, 'term', term, p - q FROM p WHERE c > 0 AND p > q),
+n AS (SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank FROM r)
+SELECT lang, source, part, item, value, rank FROM n WHERE part = 'pair' OR rank <= 50"""
