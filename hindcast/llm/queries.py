@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hindcast.llm import bpe, mixing, oracle, quality, token_store
+from hindcast.llm import alignment, bpe, mixing, oracle, quality, secret_scan, token_store
+from hindcast.llm.divergence import divergence
 from hindcast.llm.near_vectors import near_duplicates
 from hindcast.llm.neighbours import nearest_neighbours
 from hindcast.llm.pitman_yor import language_model_scores
@@ -79,5 +80,28 @@ def op10_quality_gam(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_token_store, op2_substring_dedup, op3_byte_bpe, op4_p_stable, op5_rake_mix, op6_ivf_pq, op7_shingle_join, op8_pitman_yor, op9_shard_by_splitters, op10_quality_gam)}
-ORACLE_SQL: dict[str, str] = {"op2_substring_dedup": oracle.OP2, "op4_p_stable": oracle.OP4, "op7_shingle_join": oracle.OP7}
+def op11_owner_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with the groups and links of their tokens by two tokenizers, and how common the links are."""
+    aligned = alignment.align(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+    return alignment.with_link_counts(aligned.withColumn("groups_sha256", F.when(F.col("n_a") > 0, F.sha2("groups", 256)).otherwise("")).drop("groups"))
+
+
+def op12_group_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pairs of sources of a language by their word use, and the terms that each source uses more than its language."""
+    return divergence(table(spark, sf_dir, "documents"))
+
+
+def _of_kind(kind: str) -> Callable[[Column], Column]:
+    return lambda secret: secret["kind"] == kind
+
+
+def op13_guess_cost(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with their secrets: fixed patterns, and values in a credential's place that are hard to guess."""
+    found = secret_scan.scan(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    count = {f"n_{k}": F.size(F.filter("secrets", _of_kind(k))).cast("bigint") for k in secret_scan.KINDS}
+    base = F.filter("secrets", lambda s: s["kind"] != "guess")
+    return found.select("doc_id", *[c.alias(n) for n, c in count.items()], F.sha2(secret_scan.listed(base), 256).alias("base_sha256"), secret_scan.listed(F.col("secrets")).alias("spans"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_token_store, op2_substring_dedup, op3_byte_bpe, op4_p_stable, op5_rake_mix, op6_ivf_pq, op7_shingle_join, op8_pitman_yor, op9_shard_by_splitters, op10_quality_gam, op11_owner_alignment, op12_group_tiles, op13_guess_cost)}
+ORACLE_SQL: dict[str, str] = {"op2_substring_dedup": oracle.OP2, "op4_p_stable": oracle.OP4, "op7_shingle_join": oracle.OP7, "op12_group_tiles": oracle.OP12}
