@@ -48,9 +48,13 @@ def window(processing_date: date, days: int = 30, start: date | None = None, end
     return first, last
 
 
+def visible_until(processing_date: date) -> datetime:
+    return local_midnight(processing_date + timedelta(days=1))
+
+
 def visible(files: DataFrame, processing_date: date) -> DataFrame:
     """Files published before the local midnight that ends the processing date."""
-    return files.where(F.col("publication_ts_utc") < F.lit(local_midnight(processing_date + timedelta(days=1))))
+    return files.where(F.col("publication_ts_utc") < F.lit(visible_until(processing_date)))
 
 
 def run_id(files: DataFrame, processing_date: date, version: str = VERSION) -> str:
@@ -74,7 +78,7 @@ def load(spark: SparkSession, raw_root: str, context: Context, files: DataFrame,
     parts: dict[str, list[DataFrame]] = {name: [] for name in TABLES}
     for report in REPORTS.values():
         named = files.where(F.col("report_key") == report.key)
-        content = visible(sources.scan(spark, raw_root, report.key, content=True), context.processing_date)
+        content = visible(sources.scan(spark, raw_root, report.key, content=True, until=visible_until(context.processing_date)), context.processing_date)
         lines = staged(sources.lines(content), f"lines-{report.key}")
         classified = staged(normalize.classify(lines, report), f"classified-{report.key}")
         parts["source_row"].append(normalize.ledger(classified, named))
@@ -100,7 +104,7 @@ def run(spark: SparkSession, raw_root: str, warehouse: str, processing_date: dat
     """Files to verdict. Exit code 0: released; 1: refused or not ready; 2: the model gate failed."""
     store = Warehouse(spark, warehouse)
     with store.staging() as staged:
-        files = staged(visible(sources.scan_all(spark, raw_root), processing_date), "files")
+        files = staged(visible(sources.scan_all(spark, raw_root, until=visible_until(processing_date)), processing_date), "files")
         if files.isEmpty():
             return NOT_READY, []
         context = build_context(files, processing_date, **options)

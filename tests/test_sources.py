@@ -1,13 +1,17 @@
+import csv
+import io
+import os
 import zipfile
-from datetime import date, datetime
+from datetime import UTC, date, datetime
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from hindcast import schemas as S
 from hindcast.operators import normalize
 from hindcast.plans import coverage as cov
-from hindcast.sources import files, synthetic
+from hindcast.sources import archive, files, synthetic
 from hindcast.streaming.intake import intake
 
 HEADER = ",".join(S.ACTUAL_LOAD.header)
@@ -132,3 +136,80 @@ def test_coverage(spark):
     daily = cov.coverage(spark, spark.createDataFrame([("actual_load", datetime(2026, 3, d, 11, 50)) for d in range(1, 6)], "report_key string, publication_ts_utc timestamp"), S.ACTUAL_LOAD, date(2026, 3, 1), date(2026, 3, 5))
     assert (daily.held, daily.expected, daily.pct) == (5, 5, 100.0)
     assert "| load_forecast | 19 | 24 | 79.2 |" in cov.retrieval_report([got], [("load_forecast", date(2026, 3, 6), "never published")])
+
+
+def test_files_outside_the_time_are_never_opened(spark, tmp_path):
+    folder = tmp_path / "actual_load"
+    folder.mkdir()
+    for day in range(1, 7):
+        (folder / name_of(S.ACTUAL_LOAD, f"2026010{day}.120000000")).write_bytes(zipped("h\n"))
+    scanned = files.scan(spark, str(tmp_path), "actual_load", content=True, since=datetime(2026, 1, 2, tzinfo=UTC), until=datetime(2026, 1, 4, tzinfo=UTC))
+    for day in (1, 4, 5, 6):  # the listing knows these files; opening one would fail
+        os.remove(folder / name_of(S.ACTUAL_LOAD, f"2026010{day}.120000000"))
+    assert sorted(r["original_filename"].split(".")[3] for r in scanned.collect()) == ["20260102", "20260103"]
+    (folder / "odd_csv.zip").write_bytes(b"x")
+    with pytest.raises(Exception, match="unrecognised file name"):
+        files.scan(spark, str(tmp_path), "actual_load", until=datetime(2026, 1, 4, tzinfo=UTC)).collect()
+
+
+def test_long_files_leave_python_in_parts(spark, tmp_path, monkeypatch):
+    n = 2 * files.BATCH_LINES + 5
+    text = "\ufeffa,b\r\n" + "".join(f"{k},x\r\n" for k in range(n)) + "last\x0bline"
+    got = list(files._read([pa.RecordBatch.from_pydict({"local_path": ["p"], "content": [zipped(text)]})]))
+    assert [b.num_rows for b in got] == [files.BATCH_LINES, files.BATCH_LINES, 7]
+    assert [x for b in got for x in b.column("raw_line").to_pylist()][-2:] == ["last", "line"] and got[-1].column("row_number")[-1].as_py() == n + 3
+    assert got[0].column("header")[0].as_py() == "a,b"
+
+
+def test_fields_are_those_of_the_csv_module(spark):
+    lines = ["", ",", "a,b", '"a,b",c', 'a"b,c', '"a""b",,', '"a"b,c', '"open,b', '"a""', ' "a",b', '""', '"",""', "x,,", '"a"",b"c"",d', "é,\u00a0", "1,2,3"]
+    rng = __import__("random").Random(5)
+    lines += ["".join(rng.choices('ab",  é', k=rng.randint(1, 12))) for _ in range(400)]
+    got = {r["line"]: r["f"] for r in spark.createDataFrame([(x,) for x in lines], "line string").select("line", files.split_fields(F.col("line")).alias("f")).collect()}
+    for x in lines:
+        assert got[x] == next(csv.reader([x]), []), x
+
+
+def zipped(text, inner="a.csv"):
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w") as z:
+        z.writestr(inner, text)
+    return out.getvalue()
+
+
+def test_payloads_are_unwrapped(spark):
+    one, two = zipped("a\n1\n"), zipped("a\n2\n")
+    both = io.BytesIO()
+    with zipfile.ZipFile(both, "w") as z:
+        z.writestr("x/1.zip", one)
+        z.writestr("2.ZIP", two)
+        z.writestr("note.txt", "n")
+    deep = zipped(both.getvalue(), "deep.zip")
+    table = lambda *p: spark.createDataFrame([(i, bytearray(x)) for i, x in enumerate(p)], "id int, payload binary")
+    rows = archive.unwrap(table(one, both.getvalue(), deep)).collect()
+    assert sorted((r["id"], r["member"], bytes(r["content"])) for r in rows) == sorted([(0, "", one), *[(i, m, c) for i in (1, 2) for m, c in (("x/1.zip", one), ("2.ZIP", two))]])
+    for bad, told in ((b"<html>", "is no zip archive"), (zipped("x", "readme.txt"), "neither a zip nor a csv"), (b"", "is no zip archive")):
+        with pytest.raises(Exception, match=told):
+            archive.unwrap(table(bad)).collect()
+
+
+def test_archive_records(spark):
+    records = [
+        '{"docId": 1, "postDatetime": "2026-03-08T05:30:00", "friendlyName": "x"}',
+        '{"docID": "2", "postDatetime": "2026-03-08T11:30:00Z"}',
+        '{"docId": 3, "postDatetime": "", "postDatetimeUTC": "2026-03-08T01:30:00-03:00"}',
+        '{"docId": 0, "postDatetime": "2026-11-01T01:30:00.250"}',
+    ]
+    rows = archive.archive_entries(spark.createDataFrame([(r,) for r in records], "record string")).select("doc_id", F.col("post_ts_utc").cast("string").alias("at"), "friendly_name").collect()
+    assert [tuple(r) for r in rows] == [("1", "2026-03-08 10:30:00", "x"), ("2", "2026-03-08 11:30:00", ""), ("3", "2026-03-08 04:30:00", ""), ("0", "2026-11-01 06:30:00.25", "")]
+    for bad in ("{}", "not json", None, '{"postDatetime": "soon"}'):
+        with pytest.raises(Exception, match="no time of posting"):
+            archive.archive_entries(spark.createDataFrame([(bad,)], "record string")).collect()
+
+
+def test_a_name_on_several_pages_has_its_last_document(spark):
+    n = name_of(S.ACTUAL_LOAD, "20260101.120000000")
+    link = lambda i: f'<td>{n}</td><a href="/x?doclookupId={i}">'
+    pages = spark.createDataFrame([(2, link(5)), (1, link(9) + link(7))], "page int, html string")
+    assert [r["doc_id"] for r in files.parse_listing(spark, pages, S.ACTUAL_LOAD).collect()] == ["5"]
+    assert [r["doc_id"] for r in files.parse_listing(spark, pages.where("page = 1"), S.ACTUAL_LOAD).collect()] == ["7"]
