@@ -53,7 +53,20 @@ def resolve_hour(day: Column, hour_ending: Column, dst_flag: Column, zone: str =
 
     In the repeated hour of autumn, ``Y`` is the first occurrence and ``N`` the second. An hour that the clocks skip is
     an error, and so is ``Y`` where nothing repeats; the first is tested first. The session time zone must be UTC.
+
+    In a day of 24 hours that the clocks run through, hours are counted from its midnight; a lambda, which such days do
+    not enter, looks up those of the others one by one.
     """
+    start, end = midnight(day, zone), midnight(F.date_add(day, 1), zone)
+    noon = F.to_utc_timestamp(day.cast("timestamp") + hours(12), zone)
+    plain = (noon - start == hours(12)) & (end - noon == hours(12)) & (hour_ending <= 24)
+    error = F.when(dst_flag == "Y", UNEXPECTED_DST_FLAG)
+    counted = F.struct(F.when(error.isNull(), start + hours(hour_ending - 1)).alias("target_ts"), F.lit(False).alias("is_repeated"), error.alias("error_code"))
+    asked = F.array(F.struct(day.alias("d"), hour_ending.alias("h"), dst_flag.alias("f")))
+    return F.when(plain, counted).otherwise(F.get(F.transform(asked, lambda r: _looked_up(r["d"], r["h"], r["f"], zone)), F.lit(0)))
+
+
+def _looked_up(day: Column, hour_ending: Column, dst_flag: Column, zone: str) -> Column:
     wall = _wall(day, hour_ending).cast("timestamp")
     early = F.to_utc_timestamp(wall, zone)
     missing = F.from_utc_timestamp(early, zone) != wall

@@ -8,6 +8,8 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from hindcast.operators.quantiles import MOST_SENT, SORTED, exact_percentile, finite, largest_group, settled
+
 MODELS = {"naive": ("naive_forecast_mw", "naive_error_mw"), "ercot": ("ercot_forecast_mw", "ercot_error_mw")}
 
 
@@ -34,7 +36,18 @@ def _ape() -> Column:
 
 
 def summary(rows: DataFrame, by: list[str]) -> DataFrame:
-    return rows.groupBy(*by).agg(F.count(F.lit(1)).alias("rows"), wape().alias("wape_pct"), F.avg("abs_error_mw").alias("mae_mw"), F.avg("error_mw").alias("bias_mw"), F.percentile(_ape(), 0.95).alias("p95_ape_pct"))
+    """Rows, WAPE, mean absolute error, bias, and the exact 95th percentile of the absolute percentage error.
+
+    Groups of up to ``quantiles.SORTED`` rows are one aggregate; where one is larger, its percentile is searched for
+    without gathering it."""
+    sums = [F.count(F.lit(1)).alias("rows"), wape().alias("wape_pct"), F.avg("abs_error_mw").alias("mae_mw"), F.avg("error_mw").alias("bias_mw")]
+    if largest_group(rows, by) <= SORTED:
+        return rows.groupBy(*by).agg(*sums, F.percentile(finite(_ape()), 0.95).alias("p95_ape_pct"))
+    high = exact_percentile(rows, by, _ape(), 0.95, "p95_ape_pct")
+    if not by:  # one row each
+        return rows.agg(*sums).join(F.broadcast(high), F.lit(True), "left")
+    own = high.select(*[F.col(c).alias(f"_{c}") for c in by], "p95_ape_pct")
+    return rows.groupBy(*by).agg(*sums).join(own, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in by], "left").select(*by, "rows", "wape_pct", "mae_mw", "bias_mw", "p95_ape_pct")
 
 
 def ranked_peaks(rows: DataFrame) -> DataFrame:
@@ -47,9 +60,23 @@ def peak_rows(rows: DataFrame) -> DataFrame:
 
 
 def zone_scores(rows: DataFrame) -> DataFrame:
-    """Of each zone: rows, WAPE, and the largest errors at peak hours. One window serves both."""
-    peak = F.col("peak_rank") == 1
-    return ranked_peaks(rows).groupBy("weather_zone").agg(F.count(F.lit(1)).alias("rows"), wape().alias("wape_pct"), F.max(F.when(peak, F.col("abs_error_mw"))).alias("peak_hour_abs_error_mw"), F.max(F.when(peak, _ape())).alias("peak_hour_ape_pct"))
+    """Of each zone: rows, WAPE, and the largest errors at peak hours.
+
+    The peak of a zone's day is its earliest row with the day's greatest actual. The greatest actuals are a first
+    aggregate, a row for each zone and day, which is sent to all tasks while it is small; the second meets only rows that
+    reach them. Both keep partial sums, so no row is shuffled or sorted. A day without actuals has its first hour."""
+    day = ["weather_zone", "operating_date"]
+    sums = rows.groupBy(*day).agg(F.count(F.lit(1)).alias("rows"), F.sum("abs_error_mw").alias("error"), F.sum("actual_mw").alias("actual"), F.max("actual_mw").alias("top"))
+    sums, n = settled(sums)
+    tops = sums.select(*[F.col(c).alias(f"_{c}") for c in day], "top")
+    near = F.broadcast(tops) if n <= MOST_SENT else tops
+    at_top = rows.join(near, [*[F.col(c).eqNullSafe(F.col(f"_{c}")) for c in day], F.col("actual_mw").eqNullSafe(F.col("top"))])
+    peaks = at_top.groupBy(*day).agg(F.min_by("abs_error_mw", "target_ts_utc").alias("error"), F.min_by(_ape(), F.col("target_ts_utc")).alias("ape"))
+    errors = peaks.groupBy("weather_zone").agg(F.max("error").alias("peak_hour_abs_error_mw"), F.max("ape").alias("peak_hour_ape_pct"))
+    wape_pct = F.lit(100.0) * F.sum("error") / F.nullif(F.sum("actual"), F.lit(0.0))
+    zones = sums.groupBy("weather_zone").agg(F.sum("rows").alias("rows"), wape_pct.alias("wape_pct"))
+    errors = errors.withColumnRenamed("weather_zone", "_zone")
+    return zones.join(F.broadcast(errors) if n <= MOST_SENT else errors, F.col("weather_zone").eqNullSafe(F.col("_zone"))).select("weather_zone", "rows", "wape_pct", "peak_hour_abs_error_mw", "peak_hour_ape_pct")
 
 
 @dataclass(frozen=True)
@@ -83,6 +110,7 @@ class Evaluation:
     max_peak_hour_ape_pct: float
     folds: tuple[Fold, ...]
     zones: tuple[ZoneScore, ...]
+    wape_undefined: bool = False  # wape_pct is then 0.0
 
     def to_dict(self) -> dict:
         """Rounded: percentages to four digits, MW to three."""
@@ -91,7 +119,7 @@ class Evaluation:
             digits = lambda k: 4 if k.endswith("pct") else 3
             return {k: round(v, digits(k)) if isinstance(v, float) else v.isoformat() if isinstance(v, date) else v for k, v in x.items()}
 
-        return tidy({k: v for k, v in asdict(self).items() if k not in ("folds", "zones")}) | {"folds": [tidy(asdict(f)) for f in self.folds], "zones": [tidy(asdict(z)) for z in self.zones]}
+        return tidy({k: v for k, v in asdict(self).items() if k not in ("folds", "zones", "wape_undefined")}) | {"folds": [tidy(asdict(f)) for f in self.folds], "zones": [tidy(asdict(z)) for z in self.zones]}
 
 
 def evaluate(evaluation: DataFrame, model: str = "naive") -> Evaluation:
@@ -106,4 +134,4 @@ def evaluate(evaluation: DataFrame, model: str = "naive") -> Evaluation:
     finally:
         rows.unpersist()
     worst = max((f.wape_pct for f in folds if f.wape_pct is not None), default=0.0)
-    return Evaluation(model, total["rows"], *(total[c] or 0.0 for c in ("wape_pct", "mae_mw", "bias_mw", "p95_ape_pct")), worst, top["wape"] or 0.0, top["ape"] or 0.0, folds, zones)
+    return Evaluation(model, total["rows"], *(total[c] or 0.0 for c in ("wape_pct", "mae_mw", "bias_mw", "p95_ape_pct")), worst, top["wape"] or 0.0, top["ape"] or 0.0, folds, zones, total["wape_pct"] is None)

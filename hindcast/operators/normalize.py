@@ -1,7 +1,7 @@
 """Wide source lines to long observations, with exactly one disposition for each line.
 
 Checks form one chain of which the first failure wins. Lines of one file that share a key are compared with the first
-of them by one window: equal ones are duplicates, different ones are conflicts, and a conflict retracts the first line
+of them behind one exchange: equal ones are duplicates, different ones are conflicts, and a conflict retracts the first line
 too. Nothing is guessed: what is not accepted is in the ledger with its reason.
 """
 
@@ -16,6 +16,8 @@ from hindcast.schemas import Report
 
 MIN_MW, MAX_MW = 0.0, 200_000.0
 _NUMBER = r"^\s*[+-]?([0-9]+(_[0-9]+)*\.?([0-9]+(_[0-9]+)*)?|\.[0-9]+(_[0-9]+)*)([eE][+-]?[0-9]+)?\s*$"
+#: What nearly all values look like: none of them is below MIN_MW, and all are of finite length.
+_PLAIN = r"[0-9]{1,6}(?:\.[0-9]{1,12})?"
 _NOT_FINITE = r"(?i)^\s*[+-]?(inf|infinity|nan)\s*$"
 
 
@@ -27,27 +29,46 @@ def _number(text: Column) -> Column:
     return F.when(text.rlike(_NUMBER), F.regexp_replace(F.trim(text), "_", "").try_cast("double"))
 
 
-def _failure(disposition: str, code: str | Column, reason: Column) -> Column:
-    code = F.lit(code) if isinstance(code, str) else code
-    return F.struct(F.lit(disposition).alias("disposition"), code.alias("code"), reason.alias("reason"))
+def _checked(cell: Column) -> Column:
+    """A zone's name and text with what is wrong with its value, or null."""
+    text = cell["text"]
+    number = _number(text)
+    infinite = F.coalesce(text.rlike(_NOT_FINITE), F.lit(False)) | F.coalesce(F.abs(number) == float("inf"), F.lit(False))
+    code = F.when(number.between(MIN_MW, MAX_MW), F.lit(None).cast("string")).when(infinite, "NON_FINITE_MW").when(number.isNull(), "UNPARSEABLE_MW").otherwise("IMPLAUSIBLE_MW")
+    return F.struct(cell["name"].alias("name"), text.alias("text"), code.alias("code"))
 
 
-def classify(lines: DataFrame, report: Report) -> DataFrame:
-    """Add ``disposition``, ``reason_code``, ``reason`` and the parsed values to the lines of one report's files.
+def _quoted(c: Column) -> Column:
+    return F.concat(F.lit("'"), F.coalesce(c, F.lit("")), F.lit("'"))
 
-    ``lines`` is ``sources.files.lines``; rows of number 0 (files without data) are dropped. Parsed columns:
-    operating_date, hour_ending, dst_flag, target_ts_utc, model, in_use, values (map of zone to MW).
-    """
-    expected = ",".join(report.header)
+
+#: What is wrong with a line by its own content, in the order of the checks: disposition and code (null: told by the line).
+FAILURES = [
+    (S.QUARANTINED_SCHEMA_ERROR, "SCHEMA_DRIFT"),
+    (S.QUARANTINED_PARSE_ERROR, "FIELD_COUNT_MISMATCH"),
+    (S.QUARANTINED_PARSE_ERROR, T.INVALID_OPERATING_DATE),
+    (S.QUARANTINED_PARSE_ERROR, T.INVALID_HOUR_ENDING),
+    (S.QUARANTINED_PARSE_ERROR, T.INVALID_DST_FLAG),
+    (S.QUARANTINED_PARSE_ERROR, None),
+    (S.QUARANTINED_INVALID_VALUE, "INVALID_IN_USE_FLAG"),
+    (S.QUARANTINED_INVALID_VALUE, "MISSING_MODEL"),
+    (S.QUARANTINED_INVALID_VALUE, None),
+]
+_HOUR, _VALUE, _CONFLICT, _REPEAT = 5, 8, 9, 10
+OUTCOMES = [*FAILURES, (S.QUARANTINED_KEY_CONFLICT, "SAME_KEY_DIFFERENT_VALUES"), (S.DUPLICATE_IDENTICAL, "EXACT_REPEAT")]
+
+
+def parse(lines: DataFrame, report: Report) -> DataFrame:
+    """The fields of each line, and ``check``: the number of the first check of ``FAILURES`` that it fails, or null.
+
+    The number stands for the reason, which is put into words where it is asked for: neither texts nor the code that
+    makes them are in the way of lines that pass."""
 
     def field(name: str) -> Column:
         return F.get("fields", F.lit(report.header.index(name)))
 
-    quoted = lambda c: F.concat(F.lit("'"), F.coalesce(c, F.lit("")), F.lit("'"))
     rows = lines.where("row_number > 0").withColumns(
         {
-            "_drift": F.trim("header") != expected,
-            "_count": F.size("fields"),
             "operating_date": T.parse_operating_date(field(report.day)),
             "hour_ending": T.parse_hour_ending(field("HourEnding")),
             "dst_flag": T.parse_dst_flag(field("DSTFlag")),
@@ -56,55 +77,89 @@ def classify(lines: DataFrame, report: Report) -> DataFrame:
         }
     )
     rows = rows.withColumn("_hour", T.resolve_hour(F.col("operating_date"), F.col("hour_ending"), F.col("dst_flag")))
-    rows = rows.withColumns({f"_{z}": _number(field(c)) for c, z in report.zones})
-
-    checks: list[tuple[Column, Column]] = [
-        (F.col("_drift"), _failure(S.QUARANTINED_SCHEMA_ERROR, "SCHEMA_DRIFT", F.concat(F.lit(f"header changed: expected '{expected}', found "), quoted(F.trim("header"))))),
-        (F.col("_count") != len(report.header), _failure(S.QUARANTINED_PARSE_ERROR, "FIELD_COUNT_MISMATCH", F.concat(F.lit(f"expected {len(report.header)} fields, found "), F.col("_count").cast("string")))),
-        (F.col("operating_date").isNull(), _failure(S.QUARANTINED_PARSE_ERROR, T.INVALID_OPERATING_DATE, F.concat(F.lit("not a date MM/DD/YYYY: "), quoted(field(report.day))))),
-        (F.col("hour_ending").isNull(), _failure(S.QUARANTINED_PARSE_ERROR, T.INVALID_HOUR_ENDING, F.concat(F.lit("not an hour from 1:00 to 25:00: "), quoted(field("HourEnding"))))),
-        (F.col("dst_flag").isNull(), _failure(S.QUARANTINED_PARSE_ERROR, T.INVALID_DST_FLAG, F.concat(F.lit("not Y or N: "), quoted(field("DSTFlag"))))),
-        (F.col("_hour.error_code").isNotNull(), _failure(S.QUARANTINED_PARSE_ERROR, F.col("_hour.error_code"), F.concat_ws(" ", F.lit("local hour"), F.col("operating_date").cast("string"), F.col("hour_ending").cast("string"), F.lit("flag"), F.col("dst_flag")))),
+    texts = F.array(*[field(c) for c, _ in report.zones])
+    rows = rows.withColumn("_plain", F.coalesce(F.array_join(texts, ",", "").rlike(f"^{_PLAIN}(,{_PLAIN}){{{len(report.zones) - 1}}}$"), F.lit(False)))
+    rows = rows.withColumn("mw", F.when(F.col("_plain"), F.transform(texts, lambda t: t.cast("double"))).otherwise(F.transform(texts, _number)))
+    # only lines with a value that is not plain and plausible pay for finding out which, and why
+    sound = F.col("_plain") & (F.array_max("mw") <= MAX_MW)
+    zones = F.array(*[F.struct(F.lit(c).alias("name"), field(c).alias("text")) for c, _ in report.zones])
+    rows = rows.withColumn("bad", F.when(~sound, F.get(F.filter(F.transform(zones, _checked), lambda c: c["code"].isNotNull()), F.lit(0))))
+    tests = [
+        F.trim("header") != ",".join(report.header),
+        F.size("fields") != len(report.header),
+        F.col("operating_date").isNull(),
+        F.col("hour_ending").isNull(),
+        F.col("dst_flag").isNull(),
+        F.col("_hour.error_code").isNotNull(),
+        ~F.coalesce(F.col("_use").isin("Y", "N"), F.lit(False)),
+        F.coalesce(F.col("model"), F.lit("")) == "" if report.is_forecast else F.lit(False),
+        F.col("bad").isNotNull(),
     ]
-    if report.is_forecast:
-        checks += [
-            (~F.coalesce(F.col("_use").isin("Y", "N"), F.lit(False)), _failure(S.QUARANTINED_INVALID_VALUE, "INVALID_IN_USE_FLAG", F.concat(F.lit("not Y or N: "), quoted(field("InUseFlag"))))),
-            (F.coalesce(F.col("model"), F.lit("")) == "", _failure(S.QUARANTINED_INVALID_VALUE, "MISSING_MODEL", F.lit("no model is named"))),
-        ]
-    for column, zone in report.zones:
-        told = F.concat(F.lit(f"{column}="), quoted(field(column)))
-        infinite = F.coalesce(field(column).rlike(_NOT_FINITE), F.lit(False)) | (F.abs(f"_{zone}") == float("inf"))
-        checks += [
-            (infinite, _failure(S.QUARANTINED_INVALID_VALUE, "NON_FINITE_MW", told)),
-            (F.col(f"_{zone}").isNull(), _failure(S.QUARANTINED_INVALID_VALUE, "UNPARSEABLE_MW", told)),
-            (~F.col(f"_{zone}").between(MIN_MW, MAX_MW), _failure(S.QUARANTINED_INVALID_VALUE, "IMPLAUSIBLE_MW", F.concat(told, F.lit(f" is outside {MIN_MW}..{MAX_MW}")))),
-        ]
-    failed = F.coalesce(*[F.when(F.coalesce(test, F.lit(False)), what) for test, what in checks])
-    rows = rows.withColumn("_failed", failed).withColumn("target_ts_utc", F.col("_hour.target_ts")).withColumn("in_use", F.col("_use") == "Y")
+    check = F.coalesce(*[F.when(F.coalesce(test, F.lit(False)), F.lit(k)) for k, test in enumerate(tests)])
+    rows = rows.withColumn("check", check.cast("tinyint"))
+    return rows.withColumns({"in_use": F.col("_use") == "Y", "hour_error": F.col("_hour.error_code"), "target_ts_utc": F.col("_hour.target_ts")}).select(
+        "local_path", "header", "row_number", "raw_line", "fields", "check", "bad", "hour_error", "operating_date", "hour_ending", "dst_flag", "target_ts_utc", "model", "in_use", "mw"
+    )
+
 
+def _reason(r: Column, report: Report) -> Column:
+    """The reason of a line's outcome in words."""
+
+    def told(name: str) -> Column:
+        return _quoted(F.get(r["fields"], F.lit(report.header.index(name))))
+
+    zone = F.concat(r["bad"]["name"], F.lit("="), _quoted(r["bad"]["text"]), F.when(r["bad"]["code"] == "IMPLAUSIBLE_MW", F.lit(f" lies outside {MIN_MW}..{MAX_MW}")).otherwise(F.lit("")))
+    words = [
+        F.concat(F.lit(f"the header should be '{','.join(report.header)}' and is "), _quoted(F.trim(r["header"]))),
+        F.concat(F.size(r["fields"]).cast("string"), F.lit(f" fields where the report has {len(report.header)}")),
+        F.concat(F.lit("not a date MM/DD/YYYY: "), told(report.day)),
+        F.concat(F.lit("not an hour from 1:00 to 25:00: "), told("HourEnding")),
+        F.concat(F.lit("not Y or N: "), told("DSTFlag")),
+        F.concat_ws(" ", F.lit("local hour"), r["operating_date"].cast("string"), r["hour_ending"].cast("string"), F.lit("flag"), r["dst_flag"]),
+        F.concat(F.lit("not Y or N: "), told("InUseFlag")) if report.is_forecast else F.lit(""),
+        F.lit("no model is named"),
+        zone,
+        F.concat(F.lit("lines "), r["first"].cast("string"), F.lit(" and "), r["other"].cast("string"), F.lit(" give different values for "), F.date_format(r["target_ts_utc"], "yyyy-MM-dd'T'HH:mm:ss'Z'"), F.lit(", model "), _quoted(r["model"])),
+        F.concat(F.lit("same as line "), r["first"].cast("string")),
+    ]
+    out = F.when(r["outcome"] == 0, words[0])
+    for k, w in enumerate(words[1:], 1):
+        out = out.when(r["outcome"] == k, w)
+    return out
+
+
+def classify(lines: DataFrame, report: Report) -> DataFrame:
+    """Add ``disposition``, ``reason_code``, ``reason`` and the parsed values to the lines of one report's files.
+
+    ``lines`` is ``sources.files.lines``; rows of number 0 (files without data) are dropped. Parsed columns:
+    operating_date, hour_ending, dst_flag, target_ts_utc, model, in_use, values (map of zone to MW).
+
+    Lines of a key are compared where one exchange brings them together. Reasons are put into words after it, by a lambda
+    that lines without one do not enter; where nobody selects them they are not made at all.
+    """
     # lines that parse, by key: equal to the first line, or in conflict with it
-    payload = F.struct(*[F.col(f"_{z}") for _, z in report.zones], F.col("in_use"))
-    key = ["local_path", F.col("_failed").isNull(), "target_ts_utc", "model"]
-    inside = Window.partitionBy(*key).orderBy("row_number")
-    whole = Window.partitionBy(*key)
-    rows = rows.withColumns({"_payload": payload, "_first_row": F.min("row_number").over(whole)})
-    rows = rows.withColumn("_first", F.first("_payload").over(inside))
-    rows = rows.withColumn("_clash", F.max(F.when(F.col("_payload") != F.col("_first"), F.col("row_number"))).over(whole))
-    good, first = F.col("_failed").isNull(), F.col("row_number") == F.col("_first_row")
-    other = F.when(first, F.col("_clash")).otherwise(F.col("row_number"))
-    clash = F.concat(F.lit("conflicting values for target "), F.date_format("target_ts_utc", "yyyy-MM-dd'T'HH:mm:ss'Z'"), F.lit(" model="), quoted(F.col("model")), F.lit(": source rows "), F.col("_first_row").cast("string"), F.lit(" and "), other.cast("string"), F.lit(" disagree"))
+    rows = parse(lines, report).withColumn("_good", F.col("check").isNull())
+    whole = Window.partitionBy("local_path", "_good", "target_ts_utc", "model")
+    inside = whole.orderBy("row_number")
+    rows = rows.withColumn("_first", F.first(F.struct("row_number", F.struct("mw", "in_use").alias("payload"))).over(inside))
+    differs = F.struct("mw", "in_use") != F.col("_first.payload")
+    rows = rows.withColumns({"_differs": differs, "_clash": F.max(F.when(differs, F.col("row_number"))).over(whole)})
+    first = F.col("row_number") == F.col("_first.row_number")
     outcome = (
-        F.when(~good, F.col("_failed"))
-        .when((first & F.col("_clash").isNotNull()) | (~first & (F.col("_payload") != F.col("_first"))), _failure(S.QUARANTINED_KEY_CONFLICT, "SAME_KEY_DIFFERENT_VALUES", clash))
-        .when(~first, _failure(S.DUPLICATE_IDENTICAL, "EXACT_REPEAT", F.concat(F.lit("identical to source row "), F.col("_first_row").cast("string"))))
-        .otherwise(_failure(S.ACCEPTED, F.lit(None).cast("string"), F.lit(None).cast("string")))
+        F.when(~F.col("_good"), F.col("check"))
+        .when((first & F.col("_clash").isNotNull()) | (~first & F.col("_differs")), F.lit(_CONFLICT).cast("tinyint"))
+        .when(~first, F.lit(_REPEAT).cast("tinyint"))
     )
-    values = F.create_map(*[x for _, z in report.zones for x in (F.lit(z), F.col(f"_{z}"))])
-    rows = rows.withColumn("_outcome", outcome).withColumn("values", F.when(F.col("_outcome.disposition") == S.ACCEPTED, values))
+    rows = rows.withColumns({"outcome": outcome, "first": F.col("_first.row_number"), "other": F.when(first, F.col("_clash")).otherwise(F.col("row_number"))})
+    code = F.when(F.col("outcome") == _HOUR, F.col("hour_error")).when(F.col("outcome") == _VALUE, F.col("bad.code")).otherwise(F.get(F.array(*[F.lit(c) for _, c in OUTCOMES]), F.col("outcome")))
+    asked = F.array(F.struct("header", "fields", "bad", "operating_date", "hour_ending", "dst_flag", "target_ts_utc", "model", "first", "other", "outcome"))
     return rows.select(
         "local_path", "header", "row_number", "raw_line",
-        F.col("_outcome.disposition").alias("disposition"), F.col("_outcome.code").alias("reason_code"), F.col("_outcome.reason").alias("reason"),
-        "operating_date", "hour_ending", "dst_flag", "target_ts_utc", "model", "in_use", "values",
+        F.coalesce(F.get(F.array(*[F.lit(d) for d, _ in OUTCOMES]), F.col("outcome")), F.lit(S.ACCEPTED)).alias("disposition"),
+        code.alias("reason_code"),
+        F.when(F.col("outcome").isNotNull(), F.get(F.transform(asked, lambda r: _reason(r, report)), F.lit(0))).alias("reason"),
+        "operating_date", "hour_ending", "dst_flag", "target_ts_utc", "model", "in_use",
+        F.when(F.col("outcome").isNull(), F.map_from_arrays(F.array(*[F.lit(z) for _, z in report.zones]), F.col("mw"))).alias("values"),
     )
 
 

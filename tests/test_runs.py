@@ -125,3 +125,13 @@ def test_rows_are_amended_together_and_tables_stand_before_the_first_commit(spar
     assert [spark.table(n).count() for n in S.TABLES] == [0, 0, 0, 0]
     store.create_views()
     assert spark.sql("SELECT count(*) AS n FROM source_row").first()["n"] == before["source_row"]["rows"]
+
+
+def test_the_model_gate_needs_evidence(spark):
+    columns = "weather_zone string, operating_date date, target_ts_utc timestamp, actual_mw double, naive_forecast_mw double, naive_error_mw double"
+    judge = lambda rows: [r.code for r in gates.model_gate(spark.createDataFrame(rows, columns), "r", date(2026, 1, 1)).reasons]
+    assert judge([]) == ["NOTHING_SCORED"]
+    at = datetime(2026, 1, 1)
+    assert judge([("COAST", date(2026, 1, 1), at, None, 1.0, None)]) == ["INCOMPLETE_SCORING", "NOTHING_SCORED"]
+    assert judge([("COAST", date(2026, 1, 1), at, 0.0, 1.0, 1.0)]) == ["WAPE_UNDEFINED", "FOLD_WAPE_ABOVE_THRESHOLD"]
+    assert judge([("COAST", date(2026, 1, 1), at, 100.0, 101.0, 1.0)]) == []

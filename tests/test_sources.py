@@ -213,3 +213,13 @@ def test_a_name_on_several_pages_has_its_last_document(spark):
     pages = spark.createDataFrame([(2, link(5)), (1, link(9) + link(7))], "page int, html string")
     assert [r["doc_id"] for r in files.parse_listing(spark, pages, S.ACTUAL_LOAD).collect()] == ["5"]
     assert [r["doc_id"] for r in files.parse_listing(spark, pages.where("page = 1"), S.ACTUAL_LOAD).collect()] == ["7"]
+
+
+def test_lines_meet_behind_one_exchange(spark):
+    rows = spark.createDataFrame([("f", HEADER, 2, line(), line().split(","))], files.LINES)
+    told = normalize.classify(rows, S.ACTUAL_LOAD)
+    assert told._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+    counted = normalize.disposition_counts(told.select("disposition", F.col("local_path").alias("source_filename"), F.col("row_number").alias("source_row_number")), ["disposition"])
+    plan = counted._jdf.queryExecution().executedPlan().toString()
+    # keys and values move, texts and reasons do not
+    assert plan.count("Exchange hashpartitioning") == 2 and "give different values" not in plan and "header should be" not in plan.split("Exchange hashpartitioning(local_path")[0]
