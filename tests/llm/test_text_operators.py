@@ -460,19 +460,65 @@ def test_mixing_equals_brute_force(clashing, docs, rows, monkeypatch, most):
                 now[k[c]] = now.get(k[c], 0) + w
             weight = {k: w * (want[c][k[c]] * total / now[k[c]] if now[k[c]] else 0) for k, w in weight.items()}
     factor = {k: weight[k] / n for k, n in cells.items() if n}
-    seen = 0
-    for f, n in sorted((f, cells[k]) for k, f in factor.items()):
-        seen += n
-        if seen >= total / 2:
-            median = f
-            break
+    # T: the largest at which values with too few tokens hold at most RARE of all
+    counted = [{v: sum(n for k, n in cells.items() if k[c] == v) for v in want[c]} for c in range(3)]
+    t_most = total
+    for c in range(3):
+        caps = {v: counted[c][v] / s for v, s in want[c].items() if s}
+        t_most = min(t_most, max(cap for cap in caps.values() if sum(counted[c][v] for v, x in caps.items() if x < cap) <= mixing.RARE * total))
+    sums = []
+    for c in range(3):
+        low, high = 0.0, 1e12  # the rate at which values, none above its tokens, sum to T
+        for _ in range(200):
+            mid = (low + high) / 2
+            low, high = (mid, high) if sum(min(counted[c][v], s * mid) for v, s in want[c].items()) < t_most else (low, mid)
+        sums.append({v: min(counted[c][v], s * high) for v, s in want[c].items()})
+    fixed = {k for k in cells if any(sums[c][k[c]] >= counted[c][k[c]] - 1e-6 for c in range(3))}
+    kept = {k: float(n) for k, n in cells.items()}
+    for _ in range(300):
+        for c in range(3):
+            now, left = {}, dict(sums[c])
+            for k, w in kept.items():
+                if k in fixed:
+                    left[k[c]] -= cells[k]
+                else:
+                    now[k[c]] = now.get(k[c], 0) + min(w, cells[k])
+            kept = {k: w if k in fixed else w * (max(left[k[c]], 0) / now[k[c]] if now[k[c]] else 0) for k, w in kept.items()}
     for i, r in got.items():
-        f = factor.get(of[i], median)
+        k = of[i]
         draw = (xxhash.xxh64_intdigest(b"mix", xxhash.xxh64_intdigest(str(i).encode(), 42)) >> 11) / 2**53
-        assert (r["factor"], r["probability"]) == (pytest.approx(f, rel=1e-6), pytest.approx(min(1, f / median), rel=1e-6))
+        want_p = min(kept[k], cells[k]) / cells[k] if cells[k] else 1.0
+        assert (r["factor"], r["probability"]) == (pytest.approx(factor.get(k, 1.0), rel=1e-6), pytest.approx(want_p, abs=1e-5))
         assert r["kept"] == (draw < r["probability"])
 
 
+@pytest.mark.parametrize("most", [200_000, 5])
+def test_kept_shares_are_the_targets(spark, monkeypatch, most):
+    """On a skewed corpus every value that has the tokens has its share of what is expected to be kept, and so have the
+    drawn documents, up to chance."""
+    monkeypatch.setattr(mixing, "MAX_CELLS", most)
+    rng = np.random.default_rng(3)
+    rows, signs = [], ["", " ||" * 40, " 12345" * 30]
+    for i in range(6000):
+        source = "hot" if rng.random() < 0.4 else f"s{rng.integers(12)}"
+        lang = ["en", "de", "fr"][0 if rng.random() < 0.8 else int(rng.integers(1, 3))]
+        rows.append((i, "w " * int(rng.integers(20, 80)) + signs[0 if rng.random() < 0.85 else int(rng.integers(1, 3))], lang, source))
+    rows += [(7000, "w w", "xx", "tiny"), (7001, "w", None, None)]
+    out = mixing.mix(spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string")).cache()
+    total = out.agg(F.sum(F.col("n_tokens") * F.col("probability")), F.sum("n_tokens")).first()
+    assert 0.5 < total[0] / total[1] < 0.95
+    for c in mixing.MARGINS:
+        values = out.groupBy(F.coalesce(c, F.lit(""))).agg(F.sum("n_tokens").alias("t"), F.sum(F.col("n_tokens") * F.col("probability")).alias("e"), F.sum(F.when(F.col("kept"), F.col("n_tokens")).otherwise(0)).alias("k")).collect()
+        power = {r[0]: r["t"] ** mixing.POWERS[c] for r in values}
+        for r in values:
+            target = power[r[0]] / sum(power.values())
+            if r["t"] >= 0.005 * total[1]:
+                assert r["e"] / total[0] == pytest.approx(target, rel=0.01)
+                assert r["k"] / sum(x["k"] for x in values) == pytest.approx(target, abs=0.02)
+            else:
+                assert r["e"] == pytest.approx(r["t"], rel=1e-3)  # all it has
+
+
 def test_rare_sources_do_not_decide_how_much_is_kept(spark):
     def share(rows):
         out = mixing.mix(spark.createDataFrame([(i, "w " * n, "en", s) for i, (s, n) in enumerate(rows)], "doc_id bigint, text string, lang string, source string"))
