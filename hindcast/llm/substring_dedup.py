@@ -45,12 +45,16 @@ def _as_runs(key: np.ndarray, at: np.ndarray) -> np.ndarray:
     return out
 
 
+def _filled(bucket: np.ndarray) -> dict[int, np.ndarray]:
+    """The entries of each bucket that has some: the work goes with the entries, whatever the number of buckets."""
+    order = np.argsort(bucket, kind="stable")
+    start = np.flatnonzero(np.concatenate([[True], bucket[order][1:] != bucket[order][:-1]])) if len(order) else np.zeros(0, np.int64)
+    return dict(zip(bucket[order][start].astype(np.int64).tolist(), np.split(order, start[1:]), strict=True)) if len(order) else {}
+
+
 def _by_group(runs_: np.ndarray, groups: int) -> Iterator[tuple[int, bytes]]:
-    group = runs_["key"] % groups
-    order = np.argsort(group, kind="stable")
-    edge = np.searchsorted(group[order], np.arange(groups + 1))
-    for g in np.flatnonzero(np.diff(edge)):
-        yield int(g), runs_[order[edge[g] : edge[g + 1]]].tobytes()
+    for g, which in _filled(runs_["key"] % groups).items():
+        yield g, runs_[which].tobytes()
 
 
 def _table(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
@@ -81,16 +85,13 @@ def _anchor_blocks(batches: Iterable[pa.RecordBatch], buckets: int) -> Iterator[
         entry["low"], entry["high"], entry["at"] = h[first] & _U(0xFFFFFFFF), (h[first] >> _U(32)) & _U(0xFF), at[first]
         entry["ref"] = np.where(times > 1, _NOBODY, ref)
         bucket = (h[first] >> _U(48)) % _U(buckets)
-        order = np.argsort(bucket, kind="stable")
-        edge = np.searchsorted(bucket[order], np.arange(buckets + 1, dtype=_U))
-        known_in = (h[again] >> _U(48)) % _U(buckets)
+        held_by, known_by = _filled(bucket), _filled((h[again] >> _U(48)) % _U(buckets))
+        key_again, at_again, none = key[again], at[again], np.zeros(0, np.int64)
         rows = []
-        for b in range(buckets):
-            some = entry[order[edge[b] : edge[b + 1]]]
-            which = known_in == b
-            if len(some):
-                mine, some["ref"] = _renumber(docs, some["ref"])
-                rows.append((b, mine.astype("<i8").tobytes(), some.tobytes(), _as_runs(key[again][which], at[again][which]).tobytes()))
+        for b, which in held_by.items():  # an anchor that is known to repeat has an entry in its bucket too
+            some, known = entry[which], known_by.get(b, none)
+            mine, some["ref"] = _renumber(docs, some["ref"])
+            rows.append((b, mine.astype("<i8").tobytes(), some.tobytes(), _as_runs(key_again[known], at_again[known]).tobytes()))
         return _table(rows, _BLOCKS)
 
     for batch in batches:
@@ -199,15 +200,15 @@ def _window_blocks(docs: pa.Table, marks: pa.Table, buckets: int) -> pa.Table:
     pairs, entry["ref"] = _pairs(key[sent], doc[sent])
     entry["h1"], entry["h2"], entry["at"] = h1[sent], h2[sent], at[sent]
     bucket = (mix(h1[sent]) >> _U(40)) % _U(buckets)
-    by = np.argsort(bucket, kind="stable")
-    edge = np.searchsorted(bucket[by], np.arange(buckets + 1, dtype=_U))
+    filled = _filled(bucket)
     known, carrier = _as_runs(key[~first], at[~first]), int(g.key[0]) % buckets
+    if len(known):
+        filled.setdefault(carrier, np.zeros(0, np.int64))
     rows = []
-    for b in range(buckets):
-        some = entry[by[edge[b] : edge[b + 1]]]
-        if len(some) or (b == carrier and len(known)):
-            used, some["ref"] = np.unique(some["ref"], return_inverse=True)
-            rows.append((b, pairs[used].astype("<i8").tobytes(), some.tobytes(), known.tobytes() if b == carrier else b""))
+    for b, which in filled.items():
+        some = entry[which]
+        used, some["ref"] = np.unique(some["ref"], return_inverse=True)
+        rows.append((b, pairs[used].astype("<i8").tobytes(), some.tobytes(), known.tobytes() if b == carrier else b""))
     return pa.Table.from_batches([_table(rows, _BLOCKS)])
 
 

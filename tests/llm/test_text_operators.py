@@ -594,3 +594,24 @@ def test_pipeline_stages(spark, docs, rows, tmp_path):
     out = p.run(spark, str(tmp_path)).collect()
     assert out and all(r["round_trip"] for r in out) and len({r["doc_id"] for r in out}) == len(out)
     assert hashlib.sha256(bytes(out[0]["ids"])).digest()
+
+
+def test_the_work_of_a_block_does_not_grow_with_the_buckets():
+    """Anchors of one block, dealt to few and to very many buckets: the same entries in about the same time."""
+    import time
+
+    from hindcast.llm import substring_dedup as sd
+
+    rng = np.random.default_rng(5)
+    texts = [" ".join(f"w{x}" for x in rng.integers(0, 3000, 400)) for _ in range(300)]
+    texts += texts[:20]
+    batch = pa.RecordBatch.from_pydict({"text": pa.array(texts), "_key": pa.array(range(len(texts)), pa.int64())})
+    took, entries = {}, {}
+    for buckets in (8, 16_000, 60_000):
+        began = time.perf_counter()
+        rows = [r for b in sd._anchor_blocks([batch], buckets) for r in b.to_pylist()]
+        took[buckets] = time.perf_counter() - began
+        entries[buckets] = sum(len(r["entries"]) for r in rows)
+        assert len({r["bucket"] for r in rows}) <= buckets
+    assert len(set(entries.values())) == 1
+    assert took[60_000] < 2.5 * took[16_000] + 1 and took[16_000] < 60
