@@ -108,3 +108,25 @@ def evaluation_dataset(forecasts: DataFrame, actuals: DataFrame, params: Params)
 def in_order(evaluation: DataFrame) -> DataFrame:
     """The evaluation dataset by hour and zone, for presentation: a table that is written and read again has no order."""
     return evaluation.orderBy("target_ts_utc", "weather_zone")
+
+
+def at_deadlines(vintages: DataFrame, keys: list[str], published: str, value: str, deadlines: DataFrame, at: str) -> DataFrame:
+    """``deadlines(*keys, at, ...)`` with what was known at each: ``published``, ``value`` and ``value_count``.
+
+    Any number of deadlines a key in one pass: publications and deadlines are one table in the order of time, and each
+    deadline takes the last publication that came before it or with it. Of different values in one publication the least
+    stands, and their number tells; null values do not count. One exchange by the keys and one sort, whose order both
+    windows share. A deadline before all publications has nulls and a count of 0; null keys are keys like others."""
+    more = [c for c in deadlines.columns if c not in keys]
+    key = [F.col(c) for c in keys]
+    known = vintages.where(F.col(published).isNotNull()).select(*key, F.col(published).alias("_at"), F.lit(0).alias("_kind"), F.col(value).alias("_value"), F.lit(None).cast(deadlines.select(F.struct(*more)).schema[0].dataType).alias("_asked"))
+    asked = deadlines.select(*key, F.col(at).alias("_at"), F.lit(1).alias("_kind"), F.lit(None).cast(vintages.schema[value].dataType).alias("_value"), F.struct(*more).alias("_asked"))
+    together = Window.partitionBy(*keys, "_at", "_kind").orderBy("_value")
+    upto = Window.partitionBy(*keys).orderBy("_at", "_kind", "_value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    # nulls sort first: places of values among those of their publication, without them
+    place = F.dense_rank().over(together) - F.max(F.col("_value").isNull().cast("int")).over(together)
+    # dealt by the keys at first, or the narrower window would deal by more and the wider one again
+    rows = known.unionByName(asked).repartition(*keys).withColumns({"_place": place, "_least": F.min("_value").over(together)})
+    told = F.when(F.col("_kind") == 0, F.struct(F.col("_at").alias("published"), F.col("_least").alias("value"), F.col("_place").cast("bigint").alias("n")))
+    found = rows.withColumn("_told", F.last(told, ignorenulls=True).over(upto)).where("_kind = 1")
+    return found.select(*keys, *[F.col("_asked")[c].alias(c) for c in more], F.col("_told.published").alias(published), F.col("_told.value").alias(value), F.coalesce("_told.n", F.lit(0)).cast("bigint").alias("value_count"))

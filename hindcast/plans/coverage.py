@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from hindcast.functions.time import ZONE, expected_hours
@@ -40,6 +40,20 @@ def missing(measured: DataFrame) -> DataFrame:
     return measured.where("missing > 0").select("day", "hour", F.explode(F.sequence(F.lit(1), F.col("missing"))).alias("_n")).drop("_n")
 
 
+def gap_runs(measured: DataFrame, by: list[str] = []) -> DataFrame:  # noqa: B006
+    """Runs of due hours that lack a publication: ``(*by, first_day, first_hour, last_day, last_hour, hours, missing)``.
+
+    A run goes on over midnight, over hours in which nothing is due, and over clock changes, as it follows the calendar of
+    due hours. It ends where an hour has all it should. There is a row for each due hour of a report, a few thousand a
+    year, in one task each."""
+    calendar = Window.partitionBy(*[F.col(c) for c in by], *([] if by else [F.lit(0)])).orderBy("day", "hour")
+    rows = measured.withColumn("_n", F.row_number().over(calendar)).where("missing > 0")
+    rows = rows.withColumn("_run", F.col("_n") - F.row_number().over(calendar))
+    first, last = F.min(F.struct("day", "hour")), F.max(F.struct("day", "hour"))
+    runs = rows.groupBy(*by, "_run").agg(first.alias("a"), last.alias("b"), F.count(F.lit(1)).alias("hours"), F.sum("missing").alias("missing"))
+    return runs.select(*by, F.col("a.day").alias("first_day"), F.col("a.hour").alias("first_hour"), F.col("b.day").alias("last_day"), F.col("b.hour").alias("last_hour"), "hours", "missing")
+
+
 def attribute_gaps(days: DataFrame, listed: DataFrame) -> DataFrame:
     """Why days are incomplete, by the number that the archive lists (``listed``: day, listed)."""
     rows = days.join(listed, "day", "left").where("held < expected")

@@ -349,6 +349,28 @@ def retrieval_gap_attribution(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cov.attribute_gaps(cov.by_day(_measured(spark, sf_dir)).select("day", "expected", "held"), listed).select("day", "expected", "held", "cause")
 
 
+@query(f"""WITH {HOURLY}, o AS (SELECT *, row_number() OVER (ORDER BY day, hour) AS n FROM c), m AS (SELECT *, n - row_number() OVER (ORDER BY day, hour) AS run FROM o WHERE expected > credited)
+SELECT min(day) AS first_day, arg_min(hour, n) AS first_hour, max(day) AS last_day, arg_max(hour, n) AS last_hour, count(*) AS hours, CAST(sum(expected - credited) AS BIGINT) AS missing FROM m GROUP BY run""")
+def gap_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of hours with fewer events than are due, over midnights."""
+    return cov.gap_runs(_measured(spark, sf_dir))
+
+
+@query(f"""WITH {VINTAGES}, d AS (SELECT zone, target, CAST(lead AS INTEGER) AS lead_hours FROM (SELECT DISTINCT zone, target FROM v), range(1, 49) r(lead)),
+p AS (SELECT d.zone, d.target, lead_hours, max(pub) AS pub FROM d JOIN v USING (zone, target) WHERE pub <= target - lead_hours * INTERVAL 1 HOUR GROUP BY 1, 2, 3),
+x AS (SELECT lead_hours, min(value) AS value, count(DISTINCT value) AS n FROM p JOIN v USING (zone, target, pub) GROUP BY zone, target, lead_hours)
+SELECT d.lead_hours, count(*) AS keys, any_value(k.known) AS known, any_value(k.tied) AS tied, any_value(k.mean_value) AS mean_value FROM d
+LEFT JOIN (SELECT lead_hours, count(*) AS known, count(*) FILTER (WHERE n > 1) AS tied, round(avg(value / 1.0007::DOUBLE), 7) AS mean_value FROM x GROUP BY 1) k USING (lead_hours) GROUP BY 1""")
+def lead_curve(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What was known 1 to 48 hours before each target: 48 deadlines a key in one pass."""
+    v = vintages(spark, sf_dir)
+    wanted = v.select("zone", "target").distinct().select("zone", "target", F.explode(F.sequence(F.lit(1), F.lit(48))).alias("lead_hours"))
+    wanted = wanted.withColumn("deadline", F.col("target") - T.hours(F.col("lead_hours")))
+    found = asof.at_deadlines(v, ["zone", "target"], "pub", "value", wanted, "deadline")
+    known = F.col("pub").isNotNull()
+    return found.groupBy("lead_hours").agg(F.count(F.lit(1)).alias("keys"), F.count_if(known).alias("known"), F.count_if(F.col("value_count") > 1).alias("tied"), F.round(F.avg(F.col("value") / 1.0007), 7).alias("mean_value"))
+
+
 # ---------------------------------------------------------------- normalisation and relational forms
 
 

@@ -89,3 +89,24 @@ def test_selection_is_one_shuffle_with_a_group_limit(spark):
     assert plan.count("Exchange hashpartitioning") == 1 and "WindowGroupLimit" in plan
     assert sorted(map(tuple, out.select("k", "v", "v_count").collect()))[0] == (0, 49.0, 1)
     assert latest_hindsight(df, ["k"], "p", "v").where("k = 0").first()["v"] == 98.0
+
+
+def test_many_deadlines_in_one_pass(spark):
+    import random
+
+    from hindcast.operators import asof
+
+    rng = random.Random(8)
+    vintages = [(rng.choice(["a", "b", None]), rng.randint(0, 40), rng.choice([1.0, 2.0, 3.0, None])) for _ in range(300)] + [("a", None, 9.0)]
+    deadlines = [(k, d, f"{k}{d}") for k in ("a", "b", "c", None) for d in range(-1, 45)]
+    v = spark.createDataFrame(vintages, "k string, pub int, value double").repartition(4)
+    d = spark.createDataFrame(deadlines, "k string, at int, note string")
+    out = asof.at_deadlines(v, ["k"], "pub", "value", d, "at")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and plan.count("Sort [") == 1
+    got = {(r["k"], r["at"], r["note"]): (r["pub"], r["value"], r["value_count"]) for r in out.collect()}
+    for k, at, note in deadlines:
+        before = [p for x, p, _ in vintages if x == k and p is not None and p <= at]
+        values = {y for x, p, y in vintages if x == k and p == max(before, default=None) and y is not None} if before else set()
+        assert got[k, at, note] == (max(before, default=None), min(values, default=None), len(values)), (k, at)
+    assert asof.at_deadlines(v.where("false"), ["k"], "pub", "value", d, "at").where("value_count <> 0 or pub is not null").count() == 0

@@ -223,3 +223,15 @@ def test_lines_meet_behind_one_exchange(spark):
     plan = counted._jdf.queryExecution().executedPlan().toString()
     # keys and values move, texts and reasons do not
     assert plan.count("Exchange hashpartitioning") == 2 and "give different values" not in plan and "header should be" not in plan.split("Exchange hashpartitioning(local_path")[0]
+
+
+def test_gaps_are_runs_of_due_hours(spark):
+    days = spark.createDataFrame([(date(2026, 3, 7),), (date(2026, 3, 8),), (date(2026, 3, 9),)], "day date")
+    due = cov.expected_publications(days, S.LOAD_FORECAST)  # on the 8th the clocks skip an hour
+    held = [(d, h) for d in (7, 8, 9) for h in range(24) if not (d == 7 and h >= 22 or d == 8 and h < 4 or d == 9 and h in (5, 23))]
+    counts = spark.createDataFrame([(date(2026, 3, d), h, 1) for d, h in held], "day date, hour int, n bigint")
+    measured = due.join(counts, ["day", "hour"], "left").withColumn("missing", F.col("expected") - F.coalesce("n", F.lit(0)))
+    rows = sorted(tuple(r) for r in cov.gap_runs(measured).collect())
+    assert rows == [(date(2026, 3, 7), 22, date(2026, 3, 8), 3, 5, 5), (date(2026, 3, 9), 5, date(2026, 3, 9), 5, 1, 1), (date(2026, 3, 9), 23, date(2026, 3, 9), 23, 1, 1)]
+    two = measured.withColumn("report_key", F.lit("x")).unionByName(measured.withColumn("report_key", F.lit("y")))
+    assert cov.gap_runs(two, ["report_key"]).groupBy("report_key").count().orderBy("report_key").collect() == [("x", 3), ("y", 3)]
