@@ -190,6 +190,16 @@ def unaccounted(facts: DataFrame, classified: DataFrame) -> DataFrame:
     return facts.join(counted, "local_path", "left").where(F.col("raw_row_count") != F.coalesce("dispositions", F.lit(0))).select("local_path", "raw_row_count", "dispositions")
 
 
+def unmatched(lines: DataFrame, classified: DataFrame) -> DataFrame:
+    """``(local_path, raw_row_count, dispositions)`` of files in which lines and dispositions are not one to one; empty if the
+    accounting holds. A line that is lost and another that is told twice do not make up for each other."""
+    which = F.sum(F.xxhash64("row_number").cast("decimal(38,0)"))
+    read = lines.where("row_number > 0").groupBy("local_path").agg(F.count(F.lit(1)).alias("raw_row_count"), which.alias("_read"))
+    told = classified.groupBy("local_path").agg(F.count(F.lit(1)).alias("dispositions"), which.alias("_told"))
+    both = read.join(told, "local_path", "full")
+    return both.where(~F.col("_read").eqNullSafe(F.col("_told"))).select("local_path", F.coalesce("raw_row_count", F.lit(0)).alias("raw_row_count"), F.coalesce("dispositions", F.lit(0)).alias("dispositions"))
+
+
 def unpivot(df: DataFrame, ids: list[str], columns: dict[str, str], name: str, value: str) -> DataFrame:
     """Wide to long: one row for each of ``columns`` (source column: name in the result)."""
     renamed = df.select(*ids, *[F.col(c).alias(n) for c, n in columns.items()])

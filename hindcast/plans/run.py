@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from datetime import UTC, date, datetime, time, timedelta
 from zoneinfo import ZoneInfo
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from hindcast.functions.time import ZONE, hours_in_day
@@ -70,17 +70,35 @@ def build_context(files: DataFrame, processing_date: date, *, cutoff_lag_hours:
     return Context(run, f"{run}-{first}-{last}-{cutoff_lag_hours}-{seasonal_lag_days}", processing_date, first, last, params)
 
 
+def _account() -> list[Column]:
+    """What is counted while lines and their dispositions are written: their number, and which they are, in any order."""
+    line = F.col("row_number") > 0
+    return [F.count_if(line).alias("lines"), F.sum(F.when(line, F.xxhash64("local_path", "row_number").cast("decimal(38,0)"))).alias("which")]
+
+
+class Unaccounted(RuntimeError):
+    """A load whose lines and dispositions are not one to one; it names up to 20 files."""
+
+    def __init__(self, report_key: str, files: DataFrame):
+        self.files = [r["local_path"] for r in files.orderBy("local_path").limit(20).collect()]
+        super().__init__(f"{report_key}: lines and dispositions differ in {', '.join(self.files)}")
+
+
 def load(spark: SparkSession, raw_root: str, context: Context, files: DataFrame, staged: Callable[[DataFrame, str], DataFrame]) -> dict[str, DataFrame]:
     """The canonical tables of ``files``, those that are visible: all rows of all reports, lazily.
 
-    Lines and their classification are staged, as several tables are made from each: a file is unzipped once.
+    Lines and their classification are staged, as several tables are made from each: a file is unzipped once. While they
+    are written Spark counts them; the load fails before its commit if a line has no disposition or several.
     """
     parts: dict[str, list[DataFrame]] = {name: [] for name in TABLES}
     for report in REPORTS.values():
         named = files.where(F.col("report_key") == report.key)
         content = visible(sources.scan(spark, raw_root, report.key, content=True, until=visible_until(context.processing_date)), context.processing_date)
-        lines = staged(sources.lines(content), f"lines-{report.key}")
-        classified = staged(normalize.classify(lines, report), f"classified-{report.key}")
+        seen, told = Observation(), Observation()
+        lines = staged(sources.lines(content).observe(seen, *_account()), f"lines-{report.key}")
+        classified = staged(normalize.classify(lines, report).observe(told, *_account()), f"classified-{report.key}")
+        if seen.get != told.get:
+            raise Unaccounted(report.key, normalize.unmatched(lines, classified))
         parts["source_row"].append(normalize.ledger(classified, named))
         parts["source_file"].append(named.join(normalize.file_facts(lines), "local_path"))
         parts["forecast_vintage" if report.is_forecast else "actual_vintage"].append(normalize.observations(classified, named, report))
@@ -110,10 +128,9 @@ def run(spark: SparkSession, raw_root: str, warehouse: str, processing_date: dat
         context = build_context(files, processing_date, **options)
         store.commit(load(spark, raw_root, context, files, staged), processing_date, context.run_id)
     tables = {name: store.read(name, processing_date) for name in TABLES}
-    path = f"{store.root}/evaluation_dataset/{context.eval_id}"
-    # vintages of all processing dates: repeated loads of a row change nothing
-    evaluation_dataset(store.read("forecast_vintage"), store.read("actual_vintage"), context.params).write.mode("overwrite").parquet(path)
-    evaluation = spark.read.parquet(path)
+    # a load holds every file that was visible: what earlier days have loaded is in it
+    store.publish_evaluation(evaluation_dataset(tables["forecast_vintage"], tables["actual_vintage"], context.params), context.eval_id)
+    evaluation = store.evaluation(context.eval_id)
     expected = expected_rows(spark, context.first_day, context.last_day)
     results = [gates.readiness(tables, evaluation, expected, context.run_id, processing_date, (context.first_day, context.last_day), thresholds)]
     if results[0].status == gates.PASS:

@@ -5,9 +5,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from hindcast import schemas as S
-from hindcast.operators import gates
+from hindcast.operators import gates, normalize
 from hindcast.plans import run as runs
-from hindcast.plans.warehouse import Warehouse, table_digest
+from hindcast.plans.warehouse import Conflict, Warehouse, table_digest
 from hindcast.sources import files, synthetic
 
 EXPECTED = {
@@ -80,8 +80,8 @@ def test_run_id_follows_contents_and_visibility(spark, ran):
 
 def test_tampering_is_caught(spark, ran):
     _, house, day, (_, results) = ran("pass")
-    path = next(iter(sorted(__import__("pathlib").Path(house, "evaluation_dataset").iterdir())))
-    rows = spark.read.parquet(str(path))
+    (eval_id,) = (p.name for p in __import__("pathlib").Path(house, "evaluation_dataset").iterdir())
+    rows = Warehouse(spark, house).evaluation(eval_id)
     late = rows.withColumn("ercot_publication_ts_utc", F.when(F.col("hour_ending") == 5, F.col("cutoff_ts_utc") + F.expr("interval 1 hour")).otherwise(F.col("ercot_publication_ts_utc")))
     assert gates.check_counts(late).first()["CUTOFF_VIOLATION"] == 8
     strict = gates.model_gate(rows, "r", day, gates.Thresholds(max_wape_pct=0.0, max_fold_wape_pct=0.0, max_peak_hour_ape_pct=0.0))
@@ -135,3 +135,50 @@ def test_the_model_gate_needs_evidence(spark):
     assert judge([("COAST", date(2026, 1, 1), at, None, 1.0, None)]) == ["INCOMPLETE_SCORING", "NOTHING_SCORED"]
     assert judge([("COAST", date(2026, 1, 1), at, 0.0, 1.0, 1.0)]) == ["WAPE_UNDEFINED", "FOLD_WAPE_ABOVE_THRESHOLD"]
     assert judge([("COAST", date(2026, 1, 1), at, 100.0, 101.0, 1.0)]) == []
+
+
+def test_of_two_commits_one_is_told(spark, tmp_path, monkeypatch):
+    day = date(2026, 1, 2)
+    store, other = Warehouse(spark, str(tmp_path)), Warehouse(spark, str(tmp_path))
+    tables = {n: store.read(n) for n in S.TABLES}
+    assert store.version(day) == -1 and store.commit(tables, day, "one", expected=-1) == 0
+    seen = store.version(day)
+    assert other.commit(tables, day, "two") == 1
+    with pytest.raises(Conflict, match="commit 1 was made since 0"):
+        store.commit(tables, day, "three", expected=seen)
+    assert store.runs()[str(day)].startswith("two-")
+    # both read version 1, and the other claims 2 first but has not put its manifest in place
+    (tmp_path / "_manifest" / f"_claim-{day}.2").touch()
+    with pytest.raises(Conflict, match="has claimed commit 2"):
+        store.commit(tables, day, "four", expected=1)
+    assert store.commit(tables, day, "five") == 3 and other.runs()[str(day)].startswith("five-")
+    row = (1, "x")
+    first = spark.createDataFrame([row], "a int, b string")
+    store.publish_evaluation(first, "e")
+    held = store.evaluation("e")
+    store.publish_evaluation(spark.createDataFrame([(2, "y")], "a int, b string"), "e")
+    assert held.collect() == [row] and store.evaluation("e").collect() == [(2, "y")]  # readers keep what they have begun with
+    assert store.vacuum(older_than_hours=1) == []
+    gone = store.vacuum(older_than_hours=-1)
+    assert len([g for g in gone if g.startswith("evaluation_dataset/e/")]) == 1 and len([g for g in gone if "run_id=one-" in g]) == len(S.TABLES) and not [g for g in gone if "run_id=five-" in g]
+    assert store.evaluation("e").collect() == [(2, "y")] and store.read("source_row", day).collect() == []
+
+
+def test_a_load_that_loses_lines_is_not_committed(spark, ran, tmp_path, monkeypatch):
+    raw, _, day, _ = ran("pass")
+    classify = normalize.classify
+
+    def faulty(lines, report):
+        """One file loses a line and another tells one twice: their numbers cancel."""
+        out = classify(lines, report)
+        paths = sorted(r[0] for r in lines.select("local_path").distinct().collect())
+        if len(paths) < 2:
+            return out
+        lost = out.where(~((F.col("local_path") == paths[0]) & (F.col("row_number") == 3)))
+        return lost.unionByName(out.where((F.col("local_path") == paths[1]) & (F.col("row_number") == 3)))
+
+    monkeypatch.setattr(runs.normalize, "classify", faulty)
+    with pytest.raises(runs.Unaccounted) as told:
+        runs.run(spark, str(raw), str(tmp_path / "house"), day, window_days=1)
+    assert len(told.value.files) == 2
+    assert Warehouse(spark, str(tmp_path / "house")).runs() == {}
