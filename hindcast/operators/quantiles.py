@@ -45,6 +45,13 @@ def settled(searches: DataFrame) -> tuple[DataFrame, int]:
     return written, written.count()
 
 
+def sent(small: DataFrame) -> DataFrame:
+    """A table for the small side of a join: sent to all tasks if it has no more than ``MOST_SENT`` rows, which is
+    counted, and joined by its keys otherwise."""
+    rows, n = settled(small)
+    return F.broadcast(rows) if n <= MOST_SENT else rows
+
+
 def finite(value: Column) -> Column:
     """A value as a double, or null where it is NaN or infinite."""
     v = value.cast("double")

@@ -6,17 +6,24 @@ Vintages are derived from ``events``: the zone is the event type, the publicatio
 
 from __future__ import annotations
 
+import io
 import json
+import zipfile
 from collections.abc import Callable
 from datetime import date, datetime
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType
 
 from hindcast.functions import time as T
-from hindcast.operators import asof, gates, metrics, normalize, reports
+from hindcast.operators import asof, gates, merkle, metrics, normalize, reports
+from hindcast.operators.quantiles import sent
 from hindcast.plans import coverage as cov
 from hindcast.plans.warehouse import portable_digest, row_digest
+from hindcast.sources import archive
+from hindcast.sources.files import lines
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -278,7 +285,7 @@ def cost_of_hindsight(spark: SparkSession, sf_dir: str) -> DataFrame:
 def lead_time_wape(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Weighted error by lead hours, where there are at least 200 rows."""
     v = vintages(spark, sf_dir)
-    rows = v.join(v.groupBy("zone").agg(F.avg("value").alias("actual_mw")), "zone").withColumn("abs_error_mw", F.abs(F.col("value") - F.col("actual_mw")))
+    rows = v.join(sent(v.groupBy("zone").agg(F.avg("value").alias("actual_mw"))), "zone").withColumn("abs_error_mw", F.abs(F.col("value") - F.col("actual_mw")))
     by_lead = rows.groupBy(T.lead_hours(F.col("pub"), F.col("target")).alias("lead_hours")).agg(F.count(F.lit(1)).alias("rows"), F.round(metrics.wape(), 7).alias("wape_pct"))
     return by_lead.where("rows >= 200")
 
@@ -349,6 +356,62 @@ def retrieval_gap_attribution(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cov.attribute_gaps(cov.by_day(_measured(spark, sf_dir)).select("day", "expected", "held"), listed).select("day", "expected", "held", "cause")
 
 
+@query("""WITH h AS (SELECT timezone('America/Chicago', timezone('UTC', ts)) AS wall FROM events), s AS (SELECT CAST(min(wall) AS DATE) AS first, CAST(max(wall) AS DATE) AS last FROM h),
+d AS (SELECT CAST(unnest(generate_series(CAST(first AS TIMESTAMP), CAST(last AS TIMESTAMP), INTERVAL 1 DAY)) AS DATE) AS day FROM s), c AS (SELECT CAST(wall AS DATE) AS day, count(*) AS held FROM h WHERE hour(wall) = 5 GROUP BY 1)
+SELECT day, 5::INTEGER AS hour, 1::BIGINT AS expected, coalesce(held, 0) AS held, CASE WHEN held > 0 THEN 0 ELSE 1 END::BIGINT AS missing FROM d LEFT JOIN c USING (day)""")
+def daily_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A report that is due once a day, at five: every event of that local hour as a publication."""
+    from hindcast.schemas import ACTUAL_LOAD
+
+    held = table(spark, sf_dir, "events").select(F.col("ts").cast("timestamp").alias("publication_ts_utc"))
+    span = held.agg(F.min(F.to_date(_local("publication_ts_utc"))).alias("first"), F.max(F.to_date(_local("publication_ts_utc"))).alias("last")).first()
+    days = spark.range((span["last"] - span["first"]).days + 1 if span["last"] else 0).select(F.date_add(F.lit(span["first"]), F.col("id").cast("int")).alias("day"))
+    return cov.measure(held, cov.expected_publications(days, ACTUAL_LOAD)).select("day", "hour", "expected", "held", "missing")
+
+
+@query("SELECT CAST(event_id AS VARCHAR) AS doc_id, date_trunc('second', ts) AS post_ts_utc, CASE WHEN event_id % 5 > 0 THEN event_type ELSE '' END AS friendly_name FROM events")
+def archive_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records of an archive's listing, in the forms that it gives: local or with an offset, under either of two names."""
+    n, ts = F.col("event_id"), F.col("ts").cast("timestamp")
+    form = "yyyy-MM-dd'T'HH:mm:ss"
+    stamp = F.when(n % 2 == 0, F.date_format(_local("ts"), form)).when(n % 3 == 0, F.concat(F.date_format(ts, form), F.lit("Z"))).otherwise(F.concat(F.date_format(ts + T.hours(2), form), F.lit("+02:00")))
+    name = F.when(n % 5 > 0, F.col("event_type"))  # a missing name is left out of the record
+    one = F.to_json(F.struct(n.alias("docId"), stamp.alias("postDatetime"), name.alias("friendlyName")))
+    other = F.to_json(F.struct(n.alias("docID"), F.lit("").alias("postDatetime"), stamp.alias("postDatetimeUTC"), name.alias("friendlyName")))
+    found = archive.archive_entries(table(spark, sf_dir, "events").select(F.when(n % 7 == 0, other).otherwise(one).alias("record")))
+    return found.withColumn("post_ts_utc", plain("post_ts_utc"))
+
+
+@query("""WITH m AS (SELECT s_suppkey, s_name, unnest(CASE WHEN s_suppkey % 3 = 0 THEN [''] ELSE ['a.zip', 'b.zip'] END) AS member FROM supplier)
+SELECT s_suppkey, member, CAST(unnest([2, 3]) AS BIGINT) AS row_number, unnest([s_name || '|' || member, s_name || '|second "line"']) AS fields FROM m""")
+def payload_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Payloads of an archive, one a supplier: a zip with a csv, or a zip of such zips; unwrapped, read and split."""
+    two = F.array(F.lit("a.zip"), F.lit("b.zip"))
+    members = F.when(F.col("s_suppkey") % 3 == 0, F.array(F.lit(""))).otherwise(two)
+    payloads = table(spark, sf_dir, "supplier").select("s_suppkey", _packed("s_name", members).alias("payload"))
+    files = archive.unwrap(payloads).withColumn("local_path", F.concat(F.col("s_suppkey").cast("string"), F.lit("/"), "member"))
+    rows = lines(files).select(F.split("local_path", "/").alias("p"), "row_number", "fields")
+    return rows.select(F.col("p")[0].cast("bigint").alias("s_suppkey"), F.col("p")[1].alias("member"), "row_number", F.array_join("fields", "|").alias("fields"))
+
+
+@F.pandas_udf(BinaryType())
+def _packed(name: pd.Series, members: pd.Series) -> pd.Series:
+    """Zips as an archive serves them, for the query above."""
+
+    def zipped(**files: bytes | str) -> bytes:
+        out = io.BytesIO()
+        with zipfile.ZipFile(out, "w") as z:
+            for k, v in files.items():
+                z.writestr(k, v)
+        return out.getvalue()
+
+    def payload(n: str, inside: list[str]) -> bytes:
+        csvs = {m: zipped(**{"x.csv": f'name,member\n{n},{m}\n{n},"second ""line"""\n'}) for m in inside}
+        return csvs[""] if "" in csvs else zipped(**csvs)
+
+    return pd.Series([payload(n, list(m)) for n, m in zip(name, members, strict=True)])
+
+
 @query(f"""WITH {HOURLY}, o AS (SELECT *, row_number() OVER (ORDER BY day, hour) AS n FROM c), m AS (SELECT *, n - row_number() OVER (ORDER BY day, hour) AS run FROM o WHERE expected > credited)
 SELECT min(day) AS first_day, arg_min(hour, n) AS first_hour, max(day) AS last_day, arg_max(hour, n) AS last_hour, count(*) AS hours, CAST(sum(expected - credited) AS BIGINT) AS missing FROM m GROUP BY run""")
 def gap_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -471,7 +534,7 @@ SELECT event_type, ts, round(100.0 * abs(value - mean) / nullif(value, 0), 7) AS
 def ape_scatter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The absolute percentage error of each row, flagged at each day's peak."""
     events = table(spark, sf_dir, "events")
-    means = events.groupBy("event_type").agg(F.avg("value").alias("mean"))
+    means = sent(events.groupBy("event_type").agg(F.avg("value").alias("mean")))
     peak = F.row_number().over(Window.partitionBy("event_type", F.to_date("ts")).orderBy(F.col("value").desc(), "event_id")) == 1
     rows = events.withColumn("is_peak", peak).join(means, "event_type")
     return rows.select("event_type", "ts", F.round(metrics.ape(F.abs(F.col("value") - F.col("mean")), F.col("value")), 7).alias("ape_pct"), "is_peak")
@@ -712,3 +775,30 @@ def readiness_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = json.loads(_readiness(spark, sf_dir).to_json())
     kinds = {"source_files": "bigint", "raw_source_rows": "bigint", "ledger_rows": "bigint", "forecast_observations": "bigint", "actual_observations": "bigint", "evaluation_rows": "bigint", "expected_evaluation_rows": "bigint", "max_forecast_vintage_age_hours": "double"}
     return spark.createDataFrame([(found["status"], *[found["metrics"][k] for k in kinds])], "status string, " + ", ".join(f"{k} {t}" for k, t in kinds.items()))
+
+
+# ---------------------------------------------------------------- digests
+
+
+def _merkle_sql(name: str, rows: str) -> str:
+    levels = [f"{name}3 AS (SELECT leaf AS prefix, count(*) AS rows, md5(string_agg(d, '' ORDER BY d)) AS digest FROM ({rows}) GROUP BY 1)"]
+    levels += [f"{name}{n} AS (SELECT substr(prefix, 1, {n}) AS prefix, CAST(sum(rows) AS BIGINT) AS rows, md5(string_agg(prefix || digest, '' ORDER BY prefix)) AS digest FROM {name}{n + 1} GROUP BY 1)" for n in (2, 1, 0)]
+    return ", ".join(levels)
+
+
+ORDER_ROWS = "SELECT substr(md5('=' || o_orderkey), 1, 3) AS leaf, md5('=' || o_orderkey || chr(31) || '=' || o_custkey || chr(31) || '=' || {status} || chr(31) || '=' || o_orderpriority) AS d FROM orders"
+ORDER_COLUMNS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"]
+
+
+@query("WITH " + _merkle_sql("l", ORDER_ROWS.format(status="o_orderstatus")) + " SELECT * FROM l3 UNION ALL SELECT * FROM l2 UNION ALL SELECT * FROM l1 UNION ALL SELECT * FROM l0")
+def merkle_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The digests of all orders as a tree of three digits."""
+    return merkle.tree(table(spark, sf_dir, "orders"), ["o_orderkey"], ORDER_COLUMNS, 3)
+
+
+@query("WITH " + _merkle_sql("l", ORDER_ROWS.format(status="o_orderstatus")) + ", " + _merkle_sql("r", ORDER_ROWS.format(status="CASE WHEN o_orderkey % 1000 = 7 THEN 'X' ELSE o_orderstatus END")) + " SELECT prefix, l3.rows AS left_rows, r3.rows AS right_rows FROM l3 FULL JOIN r3 USING (prefix) WHERE l3.digest IS DISTINCT FROM r3.digest")
+def merkle_differences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The leaves in which the orders differ from their copy with some other states."""
+    orders = table(spark, sf_dir, "orders")
+    other = orders.withColumn("o_orderstatus", F.when(F.col("o_orderkey") % 1000 == 7, "X").otherwise(F.col("o_orderstatus")))
+    return merkle.differences(*[merkle.tree(x, ["o_orderkey"], ORDER_COLUMNS, 3) for x in (orders, other)])
