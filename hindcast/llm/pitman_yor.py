@@ -38,7 +38,6 @@ BURN_IN, SAMPLES, THETA = 2, 3, 1.0
 _U = np.uint64
 MASK = _U((1 << 48) - 1)
 END = _U(0x0123456789ABCDEF) & MASK
-_NULL = np.iinfo(np.int64).max
 _FIXED = float(1 << 30)  # log10 probabilities travel as multiples of 2 ** -30
 
 
@@ -461,7 +460,7 @@ def _finish(table: pa.Table) -> pa.Table:
     rows = table.to_pylist()
     docs, of = np.unique(np.concatenate([np.cumsum(get(r["a"])).view(np.int64) for r in rows]), return_inverse=True)
     n, known, base, score = (np.bincount(of, joined(rows, c), len(docs)) for c in "bcde")
-    return pa.table({"doc_id": pa.array(docs, mask=docs == _NULL), "n_tokens": n.astype(np.int64), "n_known": known.astype(np.int64), "base_score": -base / _FIXED, "score": -score / _FIXED})
+    return pa.table({"_doc": pa.array(docs), "n_tokens": n.astype(np.int64), "n_known": known.astype(np.int64), "base_score": -base / _FIXED, "score": -score / _FIXED})
 
 
 def language_model_scores(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", seed: int = 1, burn_in: int = BURN_IN, samples: int = SAMPLES) -> DataFrame:
@@ -469,12 +468,13 @@ def language_model_scores(docs: DataFrame, doc_id: str = "doc_id", text: str = "
 
     The model learns from all documents that are not held out and scores all. A-Z are lower-cased; tokens are the words
     ``[^\\x20\\x09-\\x0D]+`` and one end; a null or empty text is one end. ``score`` is the log10 probability of the whole
-    text; ``base_score`` that of a unigram model with 0.5 added to each count. Rows that share a doc_id (or have none)
-    are texts of one document and give one row. An empty table gives an empty one. With no training tokens at all
+    text; ``base_score`` that of a unigram model with 0.5 added to each count. Each row is a text of its own, also where
+    several share a doc_id or have none; sums are kept by a hash of id and text, so equal rows are scored together and
+    have equal scores. A very long text is handled whole. An empty table gives an empty one. With no training tokens at all
     every token has the uniform probability. Other columns are not looked at.
     """
     spark = docs.sparkSession
-    rows = docs.select(F.coalesce(F.col(doc_id).cast("bigint"), F.lit(_NULL)).alias("_doc"), held_out(F.col(doc_id)).alias("held"), F.col(text).alias("text"))
+    rows = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.xxhash64(F.col(doc_id).cast("bigint"), F.col(text)).alias("_doc"), held_out(F.col(doc_id)).alias("held"), F.col(text).alias("text"))
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(BUCKETS, size // BUCKET_BYTES + 1)
     bits = max(PARTS.bit_length() - 1, (buckets // 8).bit_length())
@@ -550,6 +550,10 @@ def language_model_scores(docs: DataFrame, doc_id: str = "doc_id", text: str = "
         frequent = spark.sparkContext.broadcast(Lookup(np.concatenate([np.zeros(0, _U), *[get(r["a"]) for r in found]]), joined(found, "b"), scores, totals))
         asked = rows.select("_doc", "text").mapInArrow(lambda b: _ask_blocks(b, deal, frequent.value), MESSAGE)
         answers = asked_of(pairs, [*model, asked]).applyInArrow(lambda p, r: _answer(p, r, final, deal, groups), MESSAGE)
-        out = answers.groupBy("key").applyInArrow(_finish, "doc_id bigint, n_tokens bigint, n_known bigint, base_score double, score double")
-        out = out.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "n_tokens", "n_known", F.lit(int(n)).cast("bigint").alias("train_tokens"), "base_score", "score")
+        out = answers.groupBy("key").applyInArrow(_finish, "_doc bigint, n_tokens bigint, n_known bigint, base_score double, score double")
+        # sums of equal rows have come together; each row has its part of them
+        times = rows.groupBy("_doc").agg(F.count(F.lit(1)).alias("times"))
+        out = rows.select("doc_id", "_doc").join(out.join(times, "_doc"), "_doc")
+        whole = [F.expr(f"{c} div times").alias(c) for c in ("n_tokens", "n_known")]
+        out = out.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), *whole, F.lit(int(n)).cast("bigint").alias("train_tokens"), *[(F.col(c) / F.col("times")).alias(c) for c in ("base_score", "score")])
         return scratch.result(out)

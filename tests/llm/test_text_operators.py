@@ -208,8 +208,12 @@ def test_language_model(docs, rows, empty, spark):
         assert r["base_score"] == pytest.approx(sum(np.log10((count.get(x, 0) + 0.5) / (n + 0.5 * (v + 1))) for x in w))
         assert r["score"] < 0
     assert pitman_yor.language_model_scores(empty).count() == 0
-    one = pitman_yor.language_model_scores(spark.createDataFrame([(None, "a"), (None, "b")], "doc_id bigint, text string")).collect()
-    assert [(r["doc_id"], r["n_tokens"]) for r in one] == [(None, 4)]
+    # every row is a text of its own, without an id, with one that others have, and where it is repeated
+    odd = [(None, "a"), (None, "b c"), (None, None), (7, "a b c"), (7, "d"), (7, "d"), (7, "d"), (8, "d")]
+    each = pitman_yor.language_model_scores(spark.createDataFrame(odd, "doc_id bigint, text string").repartition(3)).collect()
+    assert sorted((r["doc_id"] or 0, r["n_tokens"]) for r in each) == sorted((i or 0, len((t or "").split()) + 1) for i, t in odd)
+    same = {(round(r["base_score"], 6), round(r["score"], 6)) for r in each if r["doc_id"] in (7, 8) and r["n_tokens"] == 2}
+    assert len(same) == 1
 
 
 def test_language_model_learns_word_pairs(spark):
