@@ -39,8 +39,11 @@ def _run(a: argparse.Namespace) -> int:
 
 def _coverage(a: argparse.Namespace) -> int:
     spark, complete = session(), True
+    if a.out:
+        names = files.scan_all(spark, a.raw, digest=False)
+        Path(a.out).write_text(cov.statement(spark, names, {r: (a.start, a.end) for r in REPORTS.values()}))
     for report in REPORTS.values():
-        found = cov.coverage(spark, files.scan(spark, a.raw, report.key), report, a.start, a.end)
+        found = cov.coverage(spark, files.scan(spark, a.raw, report.key, digest=False), report, a.start, a.end)
         print(found.summary())
         complete &= not found.missing
     return 0 if complete else 1
@@ -71,7 +74,7 @@ def main(argv: list[str] | None = None) -> int:
     raw = ("--raw", {"default": "raw"})
     span = (("--start", {"type": day, "required": True}), ("--end", {"type": day, "required": True}))
     command("run", _run, raw, ("--warehouse", {"default": "warehouse"}), ("--reports", {"default": "reports"}), ("--processing-date", {"type": day, "required": True}), ("--window-start", {"type": day}), ("--window-end", {"type": day}), ("--window-days", {"type": int, "default": 30}), ("--cutoff-lag-hours", {"type": int, "default": 24}), ("--seasonal-lag-days", {"type": int, "default": 7}))
-    command("coverage", _coverage, raw, *span)
+    command("coverage", _coverage, raw, *span, ("--out", {"help": "write a statement of what is held and missing"}))
     command("demo", _demo)
     args = parser.parse_args(argv)
     return args.call(args)

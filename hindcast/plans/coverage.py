@@ -98,3 +98,42 @@ def retrieval_report(covered: list[Coverage], gaps: list[tuple[str, date, str]])
     if gaps:
         lines += ["", "| report | day | cause |", "| --- | --- | --- |", *[f"| {r} | {d} | {c} |" for r, d, c in gaps]]
     return "\n".join(lines) + "\n"
+
+
+#: Gap runs that a statement spells out; the others are counted.
+RUNS = 20
+
+
+def _section(spark: SparkSession, files: DataFrame, report: Report, start: date, end: date, listed: DataFrame | None) -> list[str]:
+    """One report's part of a statement. To the driver come a row for each incomplete day and ``RUNS`` runs."""
+    days = spark.range((end - start).days + 1).select(F.date_add(F.lit(start), F.col("id").cast("int")).alias("day"))
+    measured = measure(files.where(F.col("report_key") == report.key), expected_publications(days, report)).cache()
+    known = (listed.where(F.col("report_key") == report.key) if listed is not None else spark.createDataFrame([], "day date, listed bigint")).select("day", "listed")
+    short = attribute_gaps(measured.groupBy("day").agg(F.sum("expected").alias("expected"), F.sum("credited").alias("held")), known).orderBy("day").collect()
+    total = measured.agg(F.coalesce(F.sum("expected"), F.lit(0)).alias("expected"), F.coalesce(F.sum("credited"), F.lit(0)).alias("held"), percentage(F.coalesce(F.sum("credited"), F.lit(0)), F.coalesce(F.sum("expected"), F.lit(0))).alias("pct")).first()
+    gaps = gap_runs(measured).cache()
+    counted, shown = gaps.agg(F.count(F.lit(1)).alias("n"), F.max("hours").alias("longest")).first(), gaps.orderBy("first_day", "first_hour").limit(RUNS).collect()
+    gaps.unpersist()
+    measured.unpersist()
+    out = [f"## {report.key}", "", f"Local days {start} to {end}: {total['held']} of {total['expected']} publications are held ({total['pct']:.1f} %).", ""]
+    if not short:
+        return [*out, "Nothing is missing.", ""]
+    out += ["| day | due | held | listed | cause |", "| --- | ---: | ---: | ---: | --- |"]
+    out += [f"| {r['day']} | {r['expected']} | {r['held']} | {'-' if r['listed'] is None else r['listed']} | {r['cause']} |" for r in short]
+    causes = {c: sum(r["cause"] == c for r in short) for c in ("never published", "not retrieved", "unknown")}
+    told = {"never published": "the archive lists no more than is held", "not retrieved": "the archive lists more: fetch them again", "unknown": "the archive was not asked"}
+    out += ["", *[f"* {n} incomplete days: {told[c]}." for c, n in causes.items() if n]]
+    out += ["", f"{counted['n']} runs of hours without a publication, the longest of {counted['longest']} hours:", ""]
+    out += [f"* {r['first_day']} {r['first_hour']:02d}:00 to {r['last_day']} {r['last_hour']:02d}:59, {r['missing']} publications" for r in shown]
+    return [*out, *([f"* and {counted['n'] - RUNS} runs more"] if counted["n"] > RUNS else []), ""]
+
+
+def statement(spark: SparkSession, files: DataFrame, windows: dict[Report, tuple[date, date]], listed: DataFrame | None = None) -> str:
+    """What is held of each report in its window, day by day where it is incomplete, why, and which hours are missing.
+
+    ``files`` is a scan (names are enough), ``listed`` what an archive lists: (report_key, day, listed)."""
+    lines = ["# What is held", "", "Counted from the files' names.", ""]
+    for report, (start, end) in windows.items():
+        lines += _section(spark, files, report, start, end, listed)
+    lines += ["## What it means", "", "A publication that is missing matters only where it would have been the last one before a target's deadline; the readiness gate tells where a forecast is then missing or stale.", ""]
+    return "\n".join(lines)

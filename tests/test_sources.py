@@ -235,3 +235,18 @@ def test_gaps_are_runs_of_due_hours(spark):
     assert rows == [(date(2026, 3, 7), 22, date(2026, 3, 8), 3, 5, 5), (date(2026, 3, 9), 5, date(2026, 3, 9), 5, 1, 1), (date(2026, 3, 9), 23, date(2026, 3, 9), 23, 1, 1)]
     two = measured.withColumn("report_key", F.lit("x")).unionByName(measured.withColumn("report_key", F.lit("y")))
     assert cov.gap_runs(two, ["report_key"]).groupBy("report_key").count().orderBy("report_key").collect() == [("x", 3), ("y", 3)]
+
+
+def test_statement_of_what_is_held(spark):
+    daily = [("actual_load", datetime(2026, 1, d, 11, 50)) for d in (1, 2, 4)]
+    hourly = [("load_forecast", datetime(2026, 1, 1, 6 + h, 30)) for h in range(18) if h not in (3, 4)] + [("load_forecast", datetime(2026, 1, 2, h, 30)) for h in range(6)]
+    scanned = spark.createDataFrame([*daily, *hourly], "report_key string, publication_ts_utc timestamp")
+    listed = spark.createDataFrame([("actual_load", date(2026, 1, 3), 1), ("load_forecast", date(2026, 1, 1), 22)], "report_key string, day date, listed bigint")
+    one, four = date(2026, 1, 1), date(2026, 1, 4)
+    text = cov.statement(spark, scanned, {S.LOAD_FORECAST: (one, one), S.ACTUAL_LOAD: (one, four)}, listed)
+    assert "22 of 24 publications are held (91.7 %)" in text and "| 2026-01-01 | 24 | 22 | 22 | never published |" in text
+    assert "* 2026-01-01 03:00 to 2026-01-01 04:59, 2 publications" in text and "1 runs of hours" in text
+    assert "3 of 4 publications" in text and "| 2026-01-03 | 1 | 0 | 1 | not retrieved |" in text
+    alone = cov.statement(spark, scanned, {S.ACTUAL_LOAD: (one, date(2026, 1, 2))})
+    assert "Nothing is missing." in alone
+    assert "| unknown |" in cov.statement(spark, scanned.where("false"), {S.ACTUAL_LOAD: (one, one)})
