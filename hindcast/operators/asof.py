@@ -17,11 +17,14 @@ from hindcast.functions.time import hours, minute_boundaries
 from hindcast.schemas import EVALUATION_COLUMNS, SYSTEM_TOTAL
 
 
-def latest_eligible(vintages: DataFrame, keys: list[str], publication: str, deadline: Column, values: list[str]) -> DataFrame:
+def latest_eligible(vintages: DataFrame, keys: list[str], publication: str, deadline: Column, values: list[str], every_key: bool = False) -> DataFrame:
     """For each key, the last publication at or before the deadline: keys, publication, each value's minimum and
-    ``<value>_count`` of different values there. Keys without an eligible row give none; null values do not count."""
+    ``<value>_count`` of different values there. Keys without an eligible row give none, or with ``every_key`` one of
+    nulls and counts of 0, by the same scan and exchange; null values do not count."""
     latest = F.rank().over(Window.partitionBy(*keys).orderBy(F.col(publication).desc()))
-    rows = vintages.where(F.col(publication) <= deadline).withColumn("_rank", latest).where("_rank = 1")
+    known = F.col(publication) <= deadline
+    rows = vintages.withColumns({c: F.when(known, F.col(c)) for c in (publication, *values)}) if every_key else vintages.where(known)
+    rows = rows.withColumn("_rank", latest).where("_rank = 1")
     # different values by their dense rank: windows over the same keys, which spill, and no set of values in memory
     order = {f"_{v}_order": F.dense_rank().over(Window.partitionBy(*keys).orderBy(F.col(v).asc_nulls_last())) for v in values}
     count = {v: F.coalesce(F.max(F.when(F.col(v).isNotNull(), F.col(f"_{v}_order"))), F.lit(0)).cast("bigint") for v in values}

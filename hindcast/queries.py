@@ -71,10 +71,8 @@ a AS (SELECT l.zone, l.target, l.pub, min(value) AS value, count(DISTINCT value)
 SELECT t.zone, t.target, a.pub, a.value, coalesce(a.value_count, 0) AS value_count FROM (SELECT DISTINCT zone, target FROM v) t LEFT JOIN a USING (zone, target)""")
 def asof_latest_eligible(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The flagship: for each zone and target the latest value known 24 hours before, or none."""
-    v = vintages(spark, sf_dir)
-    found = asof.latest_eligible(v, ["zone", "target"], "pub", deadline(), ["value"])
-    out = v.select("zone", "target").distinct().join(found, ["zone", "target"], "left")
-    return out.select("zone", plain("target").alias("target"), plain("pub").alias("pub"), "value", F.coalesce("value_count", F.lit(0)).cast("bigint").alias("value_count"))
+    found = asof.latest_eligible(vintages(spark, sf_dir), ["zone", "target"], "pub", deadline(), ["value"], every_key=True)
+    return found.select("zone", plain("target").alias("target"), plain("pub").alias("pub"), "value", "value_count")
 
 
 def _tied(spark: SparkSession, sf_dir: str) -> DataFrame:

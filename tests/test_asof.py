@@ -110,3 +110,11 @@ def test_many_deadlines_in_one_pass(spark):
         values = {y for x, p, y in vintages if x == k and p == max(before, default=None) and y is not None} if before else set()
         assert got[k, at, note] == (max(before, default=None), min(values, default=None), len(values)), (k, at)
     assert asof.at_deadlines(v.where("false"), ["k"], "pub", "value", d, "at").where("value_count <> 0 or pub is not null").count() == 0
+
+
+def test_every_key_by_one_scan(spark):
+    rows = [("a", 1, 5.0), ("a", 3, 7.0), ("a", 3, 8.0), ("b", 9, 1.0), ("b", 8, 2.0), (None, 2, None), ("c", None, 4.0)]
+    df = spark.createDataFrame(rows, "k string, pub int, value double").repartition(3)
+    out = latest_eligible(df, ["k"], "pub", __import__("pyspark").sql.functions.lit(4), ["value"], every_key=True)
+    assert out._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+    assert {r["k"]: (r["pub"], r["value"], r["value_count"]) for r in out.collect()} == {"a": (3, 7.0, 2), "b": (None, None, 0), None: (2, None, 0), "c": (None, None, 0)}
