@@ -551,9 +551,9 @@ def language_model_scores(docs: DataFrame, doc_id: str = "doc_id", text: str = "
         asked = rows.select("_doc", "text").mapInArrow(lambda b: _ask_blocks(b, deal, frequent.value), MESSAGE)
         answers = asked_of(pairs, [*model, asked]).applyInArrow(lambda p, r: _answer(p, r, final, deal, groups), MESSAGE)
         out = answers.groupBy("key").applyInArrow(_finish, "_doc bigint, n_tokens bigint, n_known bigint, base_score double, score double")
-        # sums of equal rows have come together; each row has its part of them
-        times = rows.groupBy("_doc").agg(F.count(F.lit(1)).alias("times"))
-        out = rows.select("doc_id", "_doc").join(out.join(times, "_doc"), "_doc")
+        # sums of equal rows have come together: each row has its part of them
+        times = rows.groupBy("_doc", "doc_id").agg(F.count(F.lit(1)).alias("times"))
         whole = [F.expr(f"{c} div times").alias(c) for c in ("n_tokens", "n_known")]
+        out = times.join(out, "_doc").withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("times"))))
         out = out.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), *whole, F.lit(int(n)).cast("bigint").alias("train_tokens"), *[(F.col(c) / F.col("times")).alias(c) for c in ("base_score", "score")])
         return scratch.result(out)
