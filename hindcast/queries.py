@@ -441,17 +441,36 @@ c AS (SELECT *, max(CASE WHEN q <> first_q THEN l_linenumber END) OVER (PARTITIO
 o AS (SELECT l_orderkey, l_linenumber, CASE WHEN l_linenumber = first_row AND clash IS NULL THEN 'ACCEPTED' WHEN l_linenumber = first_row OR q <> first_q THEN 'QUARANTINED_KEY_CONFLICT' ELSE 'DUPLICATE_IDENTICAL' END AS disposition FROM c UNION ALL SELECT l_orderkey, l_linenumber, 'QUARANTINED_INVALID_VALUE' FROM b WHERE bad)"""
 
 
+#: Lines to a part: what a task sorts does not grow with the table.
+PART_LINES = 125_000
+
+
+def _placed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines with their place in their order. They are dealt once, as narrow rows, by the name of the file that they
+    stand for: the classifier and joins by that name find them together. Parts grow in number with the table, not in size
+    (its rows are counted from the footers of its files)."""
+    rows = table(spark, sf_dir, "lineitem")
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows.count() // PART_LINES))
+    dealt = rows.withColumn("local_path", F.col("l_orderkey").cast("string")).repartition(parts, "local_path")
+    return dealt.withColumn("place", F.row_number().over(Window.partitionBy("local_path").orderBy("l_linenumber", "l_partkey", "l_quantity", "l_extendedprice")))
+
+
+def _named(lines: DataFrame, *more: Column) -> DataFrame:
+    """The files of some lines, under their own names: dealt by ``local_path`` alone, as the lines are."""
+    path = F.col("local_path")
+    return lines.select("local_path").distinct().select("local_path", path.alias("source_file_id"), path.alias("original_filename"), *more)
+
+
 @query(f"WITH {LEDGER} SELECT disposition, count(*) AS rows, min(l_orderkey || ' row ' || l_linenumber) AS sample FROM o GROUP BY 1")
 def ledger_dispositions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order lines as source lines of their order's file, through the line classifier."""
     from hindcast.schemas import ACTUAL_LOAD
 
-    place = F.row_number().over(Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_quantity", "l_extendedprice"))
-    row = table(spark, sf_dir, "lineitem").withColumn("l_linenumber", place)
+    row = _placed(spark, sf_dir).withColumn("l_linenumber", F.col("place"))
     model = F.col("l_partkey") % 3
     number = F.when(F.col("l_quantity") > 48, F.lit("-1")).otherwise(F.col("l_quantity").cast("string"))
     cells = [F.lit("01/02/2024"), F.concat((model + 1).cast("string"), F.lit(":00")), *[number] * len(ACTUAL_LOAD.zones), F.lit("N")]
-    lines = row.select(F.col("l_orderkey").cast("string").alias("local_path"), F.lit(",".join(ACTUAL_LOAD.header)).alias("header"), F.col("l_linenumber").cast("bigint").alias("row_number"), F.lit("").alias("raw_line"), F.array(*cells).alias("fields"))
+    lines = row.select("local_path", F.lit(",".join(ACTUAL_LOAD.header)).alias("header"), F.col("l_linenumber").cast("bigint").alias("row_number"), F.lit("").alias("raw_line"), F.array(*cells).alias("fields"))
     told = normalize.classify(lines, ACTUAL_LOAD).select("disposition", F.col("local_path").alias("source_filename"), F.col("row_number").alias("source_row_number"))
     return normalize.disposition_counts(told, ["disposition"])
 
@@ -585,8 +604,7 @@ def _faulty(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order lines as source lines of their order's file, most of them with one fault."""
     from hindcast.schemas import ACTUAL_LOAD
 
-    place = F.row_number().over(Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_quantity", "l_extendedprice"))
-    rows = table(spark, sf_dir, "lineitem").withColumn("place", place)
+    rows = _placed(spark, sf_dir)
     k = F.when(F.col("place") > 23, 2).otherwise((F.col("l_orderkey") + F.col("place")) % 12)
     day = F.when(k == 1, "1/02/2024").when(k == 5, "03/10/2024").otherwise("01/02/2024")
     hour = F.when(k == 2, "26:00").when(k == 5, "3:00").otherwise(F.concat(F.col("place").cast("string"), F.lit(":00")))
@@ -594,7 +612,7 @@ def _faulty(spark: SparkSession, sf_dir: str) -> DataFrame:
     mw = F.when(k == 6, "abc").when(k == 7, "inf").when(k == 8, "200001").otherwise("100.5")
     cells = F.array(day, hour, *[mw] * len(ACTUAL_LOAD.zones), flag)
     header = ",".join(ACTUAL_LOAD.header)
-    return rows.select(F.col("l_orderkey").cast("string").alias("local_path"), F.when(F.col("l_orderkey") % 20 == 0, header + ",X").otherwise(header).alias("header"), F.col("place").cast("bigint").alias("row_number"), F.lit("").alias("raw_line"), F.when(k == 0, F.slice(cells, 1, 5)).otherwise(cells).alias("fields"))
+    return rows.select("local_path", F.when(F.col("l_orderkey") % 20 == 0, header + ",X").otherwise(header).alias("header"), F.col("place").cast("bigint").alias("row_number"), F.lit("").alias("raw_line"), F.when(k == 0, F.slice(cells, 1, 5)).otherwise(cells).alias("fields"))
 
 
 @query(f"WITH {FAULTS} SELECT CASE WHEN reason_code IS NULL THEN 'ACCEPTED' WHEN reason_code = 'SCHEMA_DRIFT' THEN 'QUARANTINED_SCHEMA_ERROR' WHEN reason_code LIKE '%_MW' THEN 'QUARANTINED_INVALID_VALUE' ELSE 'QUARANTINED_PARSE_ERROR' END AS disposition, reason_code, count(*) AS rows, min(l_orderkey || ' row ' || place) AS sample FROM o GROUP BY 1, 2")
@@ -611,8 +629,7 @@ def observations_of_accepted_lines(spark: SparkSession, sf_dir: str) -> DataFram
     from hindcast.schemas import ACTUAL_LOAD
 
     lines = _faulty(spark, sf_dir)
-    files = lines.select("local_path", F.col("local_path").alias("source_file_id"), F.lit(START).alias("publication_ts_utc")).distinct()
-    rows = normalize.observations(normalize.classify(lines, ACTUAL_LOAD), files, ACTUAL_LOAD)
+    rows = normalize.observations(normalize.classify(lines, ACTUAL_LOAD), _named(lines, F.lit(START).alias("publication_ts_utc")), ACTUAL_LOAD)
     return rows.select("source_file_id", "source_row_number", "operating_date", "hour_ending", plain("target_ts_utc").alias("target_ts_utc"), "weather_zone", "actual_mw")
 
 
@@ -693,20 +710,17 @@ def _faulty_forecasts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same order lines as lines of forecast files."""
     from hindcast.schemas import LOAD_FORECAST
 
-    place = F.row_number().over(Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_quantity", "l_extendedprice"))
-    rows = table(spark, sf_dir, "lineitem").withColumn("place", place)
+    rows = _placed(spark, sf_dir)
     k = (F.col("l_orderkey") + F.col("place")) % 8
     hour = F.concat(F.when(F.col("place") > 23, 26).otherwise(F.col("place")).cast("string"), F.lit(":00"))
     use = F.when(k == 0, "?").when(F.col("place") % 2 == 1, "Y").otherwise("n")
     mw = F.when(k == 2, "-3").otherwise("100.5")
     cells = F.array(F.lit("01/02/2024"), hour, *[mw] * len(LOAD_FORECAST.zones), F.when(k == 1, " ").otherwise("M"), use, F.lit("N"))
-    return rows.select(F.col("l_orderkey").cast("string").alias("local_path"), F.lit(",".join(LOAD_FORECAST.header)).alias("header"), F.col("place").cast("bigint").alias("row_number"), F.lit("").alias("raw_line"), cells.alias("fields"))
+    return rows.select("local_path", F.lit(",".join(LOAD_FORECAST.header)).alias("header"), F.col("place").cast("bigint").alias("row_number"), F.lit("").alias("raw_line"), cells.alias("fields"))
 
 
 def _ledger(lines: DataFrame, report) -> DataFrame:
-    path = F.col("local_path")
-    files = lines.select("local_path", path.alias("source_file_id"), path.alias("original_filename"), F.lit(report.key).alias("report_key")).distinct()
-    return normalize.ledger(normalize.classify(lines, report), files)
+    return normalize.ledger(normalize.classify(lines, report), _named(lines, F.lit(report.key).alias("report_key")))
 
 
 @query(f"WITH {FAULTS}, {FORECAST_FAULTS}, r AS (SELECT 'actual_load' AS report_key, l_orderkey, place, reason_code FROM o UNION ALL SELECT 'load_forecast', l_orderkey, place, reason_code FROM p) SELECT report_key, {DISPOSITION} AS disposition, reason_code, count(*) AS rows, min(l_orderkey || ' row ' || place) AS sample FROM r GROUP BY 1, 2, 3")
@@ -723,8 +737,7 @@ def observations_of_forecast_lines(spark: SparkSession, sf_dir: str) -> DataFram
     from hindcast.schemas import LOAD_FORECAST
 
     lines = _faulty_forecasts(spark, sf_dir)
-    files = lines.select("local_path", F.col("local_path").alias("source_file_id"), F.lit(START).alias("publication_ts_utc")).distinct()
-    rows = normalize.observations(normalize.classify(lines, LOAD_FORECAST), files, LOAD_FORECAST)
+    rows = normalize.observations(normalize.classify(lines, LOAD_FORECAST), _named(lines, F.lit(START).alias("publication_ts_utc")), LOAD_FORECAST)
     return rows.select("source_file_id", "source_row_number", "hour_ending", "weather_zone", "model", "is_ercot_model_in_use", "forecast_mw")
 
 

@@ -55,3 +55,16 @@ def test_entry_stands_without_the_optional_subpackage(tmp_path):
 def test_scans_read_only_what_a_query_uses(spark):
     plan = queries.wape_overall(spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
     assert "l_comment" not in plan and "l_suppkey" not in plan
+
+
+def test_parts_of_lines_grow_in_number_and_not_in_size(spark, monkeypatch):
+    monkeypatch.setattr(queries, "PART_LINES", 100)
+    n = queries.table(spark, FOLDER, "lineitem").count()
+    assert queries._placed(spark, FOLDER).rdd.getNumPartitions() == -(-n // 100)
+
+
+@pytest.mark.parametrize(("name", "scans"), [("ledger_reasons", 1), ("observations_of_accepted_lines", 2), ("observations_of_forecast_lines", 2), ("ledger_by_report", 4)])
+def test_lines_are_dealt_once(spark, name, scans):
+    """By the file's name, as narrow rows: what is parsed does not move again."""
+    plan = queries.QUERIES[name](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(local_path") == scans and "Exchange hashpartitioning(l_orderkey" not in plan and "_good" not in "".join(x for x in plan.splitlines() if "Exchange" in x)

@@ -225,6 +225,30 @@ def test_lines_meet_behind_one_exchange(spark):
     assert plan.count("Exchange hashpartitioning") == 2 and "give different values" not in plan and "header should be" not in plan.split("Exchange hashpartitioning(local_path")[0]
 
 
+def test_lines_that_come_dealt_by_file_are_not_dealt_again(spark):
+    rows = spark.createDataFrame([("f", HEADER, 2, line(), line().split(","))], files.LINES).repartition(3, "local_path")
+    told = normalize.classify(rows, S.ACTUAL_LOAD).select("disposition", "reason_code", F.col("local_path").alias("source_filename"), F.col("row_number").alias("source_row_number"))
+    plan = normalize.disposition_counts(told, ["disposition", "reason_code"])._jdf.queryExecution().executedPlan().toString()
+    # nothing but the check's number and the values goes through the sort, and the counts need none
+    sort = next(x for x in plan.splitlines() if "Sort [local_path" in x)
+    assert plan.count("Exchange hashpartitioning(local_path") == 1 and "Sort [disposition" not in plan and "hour_error" not in plan and "bad" not in sort
+
+
+@pytest.mark.parametrize(
+    ("cells", "told"),
+    [
+        (["1", "1_0", "inf", "x", "-1", "2", "3", "4", "5"], ("NON_FINITE_MW", "FAR_WEST='inf'")),
+        (["1", "1e999", "x", "2", "2", "2", "3", "4", "5"], ("NON_FINITE_MW", "EAST='1e999'")),
+        (["1", "2", "3", "4", "5", "6", "7", "8", "2e6"], ("IMPLAUSIBLE_MW", "TOTAL='2e6' lies outside 0.0..200000.0")),
+        (["", "nan", "-1", "4", "5", "6", "7", "8", "9"], ("UNPARSEABLE_MW", "COAST=''")),
+        (["-0.0", "1_0", " 2 ", "4.", ".5", "6", "7", "8", "9"], (None, None)),
+    ],
+)
+def test_the_first_bad_value_is_told(spark, cells, told):
+    good, late = classified(spark, [",".join(["09/22/2026", "12:00", *cells, "N"]), ",".join(["09/22/2026", "12:00", *cells, "?"])]).collect()
+    assert (good["reason_code"], good["reason"]) == told and late["reason_code"] == "INVALID_DST_FLAG"
+
+
 def test_gaps_are_runs_of_due_hours(spark):
     days = spark.createDataFrame([(date(2026, 3, 7),), (date(2026, 3, 8),), (date(2026, 3, 9),)], "day date")
     due = cov.expected_publications(days, S.LOAD_FORECAST)  # on the 8th the clocks skip an hour
