@@ -13,6 +13,7 @@ from collections.abc import Callable
 from datetime import date, datetime
 
 import pandas as pd
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType
@@ -756,15 +757,24 @@ def unaccounted_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _readiness(spark: SparkSession, sf_dir: str) -> gates.GateResult:
-    """The readiness gate over a ledger with faults, miscounted files and the evaluation dataset."""
+    """The readiness gate over a ledger with faults, miscounted files and the evaluation dataset.
+
+    The gate reads its tables several times, as those of a run are written before it. Here the ledger's columns that it
+    uses and the evaluation's rows (hours by zones) are kept on the executors' disks meanwhile, so each is made once."""
     from hindcast.plans.run import expected_rows
     from hindcast.schemas import ACTUAL_LOAD
 
     day, first, last = date(2024, 1, 26), date(2024, 1, 9), date(2024, 1, 24)
     lines, of_day = _faulty(spark, sf_dir), {"processing_date": F.lit(day)}
     files = _miscounted(lines).select("raw_row_count", F.col("local_path").alias("source_file_id"), F.col("local_path").alias("original_filename"))
-    tables = {"source_file": files.withColumns(of_day), "source_row": _ledger(lines, ACTUAL_LOAD).withColumns(of_day), "forecast_vintage": _forecasts(spark, sf_dir), "actual_vintage": _actuals(spark, sf_dir)}
-    return gates.readiness(tables, _evaluation(spark, sf_dir), expected_rows(spark, first, last), "run", day, (first, last))
+    told = _ledger(lines, ACTUAL_LOAD).select("source_file_id", "source_filename", "source_row_number", "disposition", "reason_code").persist(StorageLevel.DISK_ONLY)
+    evaluation = _evaluation(spark, sf_dir).persist(StorageLevel.DISK_ONLY)
+    tables = {"source_file": files.withColumns(of_day), "source_row": told.withColumns(of_day), "forecast_vintage": _forecasts(spark, sf_dir), "actual_vintage": _actuals(spark, sf_dir)}
+    try:
+        return gates.readiness(tables, evaluation, expected_rows(spark, first, last), "run", day, (first, last))
+    finally:
+        told.unpersist()
+        evaluation.unpersist()
 
 
 ROW_CHECKS = {"MISSING_ASOF_FORECAST": "ercot_forecast_mw IS NULL", "MISSING_ACTUAL": "actual_mw IS NULL", "MISSING_NAIVE_INPUT": "naive_forecast_mw IS NULL", "CONFLICTING_ASOF_FORECAST": "ercot_value_count > 1", "CONFLICTING_ASOF_ACTUAL": "actual_value_count > 1", "CONFLICTING_NAIVE_INPUT": "naive_value_count > 1", "CUTOFF_VIOLATION": "ercot_publication_ts_utc > cutoff_ts_utc", "NAIVE_CUTOFF_VIOLATION": "naive_source_publication_ts_utc > cutoff_ts_utc", "STALE_FORECAST_VINTAGE": "ercot_vintage_age_hours > 2.0"}

@@ -68,3 +68,19 @@ def test_lines_are_dealt_once(spark, name, scans):
     """By the file's name, as narrow rows: what is parsed does not move again."""
     plan = queries.QUERIES[name](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning(local_path") == scans and "Exchange hashpartitioning(l_orderkey" not in plan and "_good" not in "".join(x for x in plan.splitlines() if "Exchange" in x)
+
+
+def test_the_gate_gets_its_lines_and_evaluation_from_what_is_kept(spark, monkeypatch):
+    seen = {}
+    whole = queries.gates.readiness
+
+    def gate(tables, evaluation, *more):
+        seen.update({"ledger": tables["source_row"], "evaluation": evaluation})
+        seen["plans"] = [df._jdf.queryExecution().executedPlan().toString() for df in (tables["source_row"], evaluation)]
+        return whole(tables, evaluation, *more)
+
+    monkeypatch.setattr(queries.gates, "readiness", gate)
+    queries.readiness_reasons(spark, FOLDER)
+    assert all("InMemoryTableScan" in plan for plan in seen["plans"])
+    # nothing stays behind
+    assert all("InMemoryTableScan" not in df.select("*")._jdf.queryExecution().executedPlan().toString() for df in (seen["ledger"], seen["evaluation"]))
