@@ -15,6 +15,7 @@ import os
 import re
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -29,6 +30,8 @@ from hindcast.llm.wordpieces import WordTable, binary_rows
 
 SEGMENT = 1 << 20
 BLOCK = 512
+#: Bytes of text that are encoded together: the more, the fewer times a frequent word is looked up.
+SLICE = 8 << 20
 
 LEVEL = T.StructType([T.StructField(c, T.BinaryType()) for c in ("chunks", "more", "ranks")])
 SCHEMA = T.StructType(
@@ -100,13 +103,14 @@ def _tokenizer_table(path: str) -> WordTable:
     tokenizer = Tokenizer.from_file(path)
 
     def encode(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        found: list[list[int]] = []
+        flat, counts = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)]
         for k in range(0, len(words), 2048):  # the library's results take much more room than their ids
-            found += [e.ids for e in tokenizer.encode_batch_fast([w.decode() for w in words[k : k + 2048]], add_special_tokens=False)]
-        counts = np.fromiter(map(len, found), np.int64, len(found))
-        return np.fromiter((i for ids in found for i in ids), np.uint32, int(counts.sum())), counts
+            found = [e.ids for e in tokenizer.encode_batch_fast([w.decode() for w in words[k : k + 2048]], add_special_tokens=False)]
+            counts.append(np.fromiter(map(len, found), np.int64, len(found)))
+            flat.append(np.fromiter(chain.from_iterable(found), np.uint32, int(counts[-1].sum())))
+        return np.concatenate(flat), np.concatenate(counts)
 
-    return WordTable(encode, limit=600_000)  # the library takes long for a word
+    return WordTable(encode, limit=700_000)  # the library takes long for a word
 
 
 @lru_cache(maxsize=2)
@@ -158,7 +162,7 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int) -> None:
             return pa.RecordBatch.from_pylist([row], schema=_ARROW)
 
         for batch in batches:
-            for some in slices(batch, "text", 2 << 20):
+            for some in slices(batch, "text", SLICE):
                 flat, edge = _encode(some.column("text"), tokenizer)
                 held.append((some.column("doc_id").to_pylist(), np.insert(flat, edge[1:], end_id), np.diff(edge) + 1))
                 if sum(len(x[1]) for x in held) >= SEGMENT:

@@ -2,7 +2,7 @@
 
 Byte-level BPE never merges across pre-tokens, so the ids of a text are the ids of its pre-tokens in order. A
 ``WordTable`` remembers the ids of the pre-tokens that one Python worker has seen and holds at most ``limit`` of them;
-when it is full it starts anew, which changes the time and never the ids.
+when it is full it keeps those that came again, which changes the time and never the ids.
 """
 
 from __future__ import annotations
@@ -27,11 +27,25 @@ class WordTable:
         self.index: dict[bytes, int] = {}
         self.ids, self.used = np.zeros(1 << 16, np.uint32), 0
         self.starts, self.counts = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64)
+        self.uses = np.zeros(1 << 14, np.int32)  # calls that asked for a word since the table was last full
+
+    def shed(self, room: int) -> None:
+        """Forget the words that one call alone asked for since the last time; all, if the others fill half of the table or
+        leave no room for so many."""
+        keep = np.flatnonzero(self.uses[: len(self.index)] > 1)
+        if len(keep) > self.limit // 2 or len(keep) + room > self.limit:
+            return self.clear()
+        words, counts = list(self.index), self.counts[keep]
+        ids = self.ids[np.repeat(self.starts[keep], counts) + runs(counts)]
+        self.clear()
+        self.index = {words[k]: i for i, k in enumerate(keep.tolist())}
+        self.ids, self.used = _room(ids, 1 << 16), len(ids)
+        self.starts, self.counts, self.uses = _room(np.cumsum(counts) - counts, 1 << 14), _room(counts, 1 << 14), np.zeros(max(len(keep), 1 << 14), np.int32)
 
     def numbers(self, words: list[bytes]) -> np.ndarray:
         """The number of each of some distinct words; new ones are encoded and kept."""
         if len(self.index) + len(words) > self.limit and self.index:
-            self.clear()
+            self.shed(len(words))
         found = self.index
         new = [w for w in words if w not in found]
         if new:
@@ -39,12 +53,15 @@ class WordTable:
             at, n = len(found), len(new)
             self.ids = _room(self.ids, self.used + len(ids))
             self.starts, self.counts = _room(self.starts, at + n), _room(self.counts, at + n)
+            self.uses = _room(self.uses, at + n)
             self.ids[self.used : self.used + len(ids)] = ids
             self.counts[at : at + n] = counts
             self.starts[at : at + n] = self.used + np.cumsum(counts) - counts
             self.used += len(ids)
             found.update(zip(new, range(at, at + n), strict=True))
-        return np.fromiter(map(found.__getitem__, words), np.int64, len(words))
+        number = np.fromiter(map(found.__getitem__, words), np.int64, len(words))
+        self.uses[number] += 1
+        return number
 
     def encode_column(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, and the n + 1 offsets of the texts in them."""

@@ -619,3 +619,21 @@ def test_the_work_of_a_block_does_not_grow_with_the_buckets():
         assert len({r["bucket"] for r in rows}) <= buckets
     assert len(set(entries.values())) == 1
     assert took[60_000] < 2.5 * took[16_000] + 1 and took[16_000] < 60
+
+
+def test_a_full_word_table_keeps_what_comes_again():
+    from hindcast.llm.wordpieces import WordTable
+
+    asked = []
+
+    def encode(words):
+        asked.extend(words)
+        return np.fromiter((b for w in words for b in w), np.uint32), np.array([len(w) for w in words])
+
+    table = WordTable(encode, limit=40)
+    for k in range(26):
+        texts = ["the cat", *[f"q{chr(97 + k)}{chr(97 + i)}" for i in range(9)], None, f"the {chr(97 + k)}q"]
+        ids, edge = table.encode_column(pa.array(texts, pa.string()))
+        assert [bytes(ids[a:b].tolist()).decode() for a, b in zip(edge, edge[1:])] == [t or "" for t in texts]
+        assert len(table.index) <= 40
+    assert asked.count(b"the") == asked.count(b" cat") == 1 and len(asked) > 80
